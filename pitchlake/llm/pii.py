@@ -37,7 +37,7 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+){3,}")
+DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3,}+")
 NON_DIGITS = re.compile(r"[^0-9]")
 
 
@@ -127,9 +127,10 @@ def segment(text: str, start: int, end: int, weights: dict[str, float], gold: se
     """
     atoms = [(m.start(), m.end()) for m in ATOM.finditer(text, start, end)]
     n = len(atoms)
-    digits, dots, signs = [0], [0], [0]
+    digits, groups, dots, signs = [0], [0], [0], [0]
     for a, b in atoms:
         digits.append(digits[-1] + (b - a if text[a].isdigit() else 0))
+        groups.append(groups[-1] + text[a].isdigit())
         dots.append(dots[-1] + (text[a] == "."))
         signs.append(signs[-1] + (text[a] == "@" or text[a:b] == "at"))
     best = [[(0.0, None)] + [(-1e18, None)] * MAX_ENTITIES]
@@ -141,7 +142,7 @@ def segment(text: str, start: int, end: int, weights: dict[str, float], gold: se
                 if b - a < 7 or text[a].isspace():
                     continue
                 d = digits[j] - digits[i]
-                kinds = [k for k, can in zip(KINDS, (signs[j] > signs[i], dots[j] - dots[i] == 3 and 4 <= d <= 12, 14 <= d <= 19, 10 <= d <= 15), strict=True) if can]
+                kinds = [k for k, can in zip(KINDS, (signs[j] > signs[i], dots[j] - dots[i] == 3 and groups[j] - groups[i] == 4 and d <= 12, 14 <= d <= 19, 10 <= d <= 15), strict=True) if can]
                 if not kinds:
                     continue
                 span, before, after = text[a:b], text[max(0, a - 40) : a], text[b : b + 2]
