@@ -175,7 +175,7 @@ def evolve(size: list[int], capacity: int, seed: int, start: list[list[list[int]
     bound = -(-sum(size) // capacity)
     down = sorted(range(len(size)), key=lambda i: (-size[i], i))
     pool = [*start] or [best_fit(down, size, capacity)]
-    rng = random.Random(seed)
+    rng = random.Random(int(seed))
     score = lambda bins: fitness(bins, size, capacity)
     best = min(pool, key=score)
     if len(best) <= bound:
