@@ -1,0 +1 @@
+"""A PySpark medallion engine: sources, expressions, transforms, sinks, queue ingestion, control and quality."""
