@@ -238,6 +238,7 @@ def _candidate_task(least: list[int]):
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         """Spanning forest of the surviving pairs of two blocks of one bucket."""
         bucket, i, j = key
+        group = group.sort_values("th", ignore_index=True)  # the same roots in every bucket
         sig = np.frombuffer(b"".join(group["sig"]), np.uint32).reshape(len(group), HASHES)
         keys = bands(sig)
         mine = np.int64(bucket).view(np.uint64)
@@ -293,6 +294,7 @@ def _verify_task(least: list[int]):
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         """Exact links of two blocks of one component: per text its linked weight, and a spanning forest."""
         _, i, j = key
+        group = group.sort_values("th", ignore_index=True)
         grams, begins = shingles([t.encode("utf-8", "replace") for t in group["text"]])
         sig = minhash(grams, begins)
         sets = np.empty(len(group), object)

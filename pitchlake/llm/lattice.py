@@ -107,6 +107,7 @@ def _task(threshold: float):
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         """Links between two blocks of one cell that share no earlier cell."""
         cell, i, j = key
+        group = group.sort_values("uid", ignore_index=True)  # the same roots in every cell
         mine = np.int64(cell).view(np.uint64)
         x = matrix(group["vec"])
         x = x / group["norm"].to_numpy()[:, None]
