@@ -29,8 +29,10 @@ from pitchlake.llm.common import components, written
 from pitchlake.llm.jaccard import BASE, forest, mix
 from pitchlake.llm.vectors import matrix, usable
 
-TABLES, PROBES, SCALE = 6, 4, 2.6
+TABLES, PROBES, SCALE = 6, 3, 2.6
 THRESHOLD, BLOCK = 0.98, 768
+#: Rows of a task: several units of two blocks, dealt by hash.
+TASK_ROWS = 20_000
 SEED = 81
 
 
@@ -92,7 +94,7 @@ def cells(unit: np.ndarray, labels: np.ndarray, tables: int = TABLES, probes: in
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        dims = np.array(batch.column(2).to_pylist())
+        dims = np.array(batch.column(2).to_pylist(), np.int64)
         keys = np.zeros((len(dims), TABLES * (1 + PROBES)), np.uint64)
         label = np.array(batch.column(1).to_pylist(), np.int64).view(np.uint64)
         vecs = batch.column(3).to_pylist()
@@ -104,40 +106,51 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _task(threshold: float):
-    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        """Links between two blocks of one cell that share no earlier cell."""
-        cell, i, j = key
-        group = group.sort_values("uid", ignore_index=True)  # the same roots in every cell
-        mine = np.int64(cell).view(np.uint64)
-        x = matrix(group["vec"])
-        x = x / group["norm"].to_numpy()[:, None]
-        label = group["lh"].to_numpy(np.int64).view(np.uint64)
-        keys = np.sort(cells(x, mix(label + np.uint64(x.shape[1]))), axis=1)
-        own = group["own"].to_numpy()
-        a, b = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        links = np.zeros(len(group), np.int64)
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        """Links of several units, each two blocks of one cell, of pairs that share no earlier cell."""
+        uid, first, of = np.unique(group["uid"].to_numpy(), return_index=True, return_inverse=True)
+        one = group.iloc[first]
+        dims = one["dim"].to_numpy()
+        norm = one["norm"].to_numpy()
+        label = one["lh"].to_numpy(np.int64).view(np.uint64)
+        raw = one["vec"].to_numpy()
+        unit: list[np.ndarray] = [np.zeros(0)] * len(uid)
+        keys = np.zeros((len(uid), TABLES * (1 + PROBES)), np.uint64)
+        for d in np.unique(dims):
+            at = np.flatnonzero(dims == d)
+            x = matrix(raw[at]) / norm[at][:, None]
+            keys[at] = cells(x, mix(label[at] + np.uint64(d)))
+            for i, v in zip(at, x, strict=True):
+                unit[i] = v
+        links = np.zeros(len(uid), np.int64)
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for lo in range(0, len(a), 512):
-            u = a[lo : lo + 512]
-            hit = x[u] @ x[b].T >= threshold
-            p, q = np.nonzero(hit)
-            p, q = u[p], b[q]
-            if i == j:
-                p, q = p[p < q], q[p < q]
-            for s in range(0, len(p), 20_000):
-                v, w = p[s : s + 20_000], q[s : s + 20_000]
-                # keys below this cell's: none may be shared
-                first = np.ones(len(v), bool)
-                few = keys[v]
-                for c in range(keys.shape[1]):
-                    first &= ~((few < mine) & (few == keys[w, c][:, None])).any(axis=1)
-                v, w = v[first], w[first]
-                np.add.at(links, v, 1)
-                np.add.at(links, w, 1)
-                left.append(v)
-                right.append(w)
-        uid = group["uid"].to_numpy()
-        tree = dict(forest(len(group), np.concatenate(left), np.concatenate(right)))
+        own = group["own"].to_numpy()
+        for (cell, i, j), rows in group.groupby(["cell", "i", "j"], sort=False).indices.items():
+            mine = np.int64(cell).view(np.uint64)
+            a, b = of[rows[own[rows] == i]], of[rows[own[rows] == j]]
+            if not len(a) or not len(b):
+                continue
+            y = np.array([unit[k] for k in b])
+            for lo in range(0, len(a), 512):
+                u = a[lo : lo + 512]
+                p, q = np.nonzero(np.array([unit[k] for k in u]) @ y.T >= threshold)
+                p, q = u[p], b[q]
+                if i == j:
+                    p, q = p[p < q], q[p < q]
+                for s in range(0, len(p), 20_000):
+                    v, w = p[s : s + 20_000], q[s : s + 20_000]
+                    # keys below this cell's: none may be shared
+                    few = keys[v]
+                    low = few < mine
+                    fresh = np.ones(len(v), bool)
+                    for c in range(keys.shape[1]):
+                        fresh &= ~(low & (few == keys[w, c][:, None])).any(axis=1)
+                    v, w = v[fresh], w[fresh]
+                    np.add.at(links, v, 1)
+                    np.add.at(links, w, 1)
+                    left.append(v)
+                    right.append(w)
+        tree = dict(forest(len(uid), np.concatenate(left), np.concatenate(right)))
         rows = [(int(uid[k]), int(links[k]), int(uid[tree.get(k, k)])) for k in np.flatnonzero(links)]
         return pd.DataFrame(rows, columns=["uid", "links", "root"])
 
@@ -153,10 +166,12 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     sizes = written(filed.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
     meet = filed.join(sizes, "cell").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     meet = meet.withColumn("own", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
-    meet = meet.join(rows.select("uid", "lh", "norm", "vec"), "uid")
+    meet = meet.join(rows.select("uid", "lh", "dim", "norm", "vec"), "uid")
     meet = meet.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    meet = meet.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "uid", "lh", "norm", "vec")
-    linked = written(meet.groupBy("cell", "i", "j").applyInPandas(_task(threshold), "uid long, links long, root long"), "linked")
+    meet = meet.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "uid", "lh", "dim", "norm", "vec")
+    total = sizes.agg(F.sum(F.col("n") * F.ceil(F.col("n") / BLOCK))).first()[0] or 0
+    meet = meet.withColumn("task", F.pmod(F.xxhash64("cell", "i", "j"), F.lit(max(1, -(-int(total) // TASK_ROWS)))))
+    linked = written(meet.groupBy("task").applyInPandas(_task(threshold), "uid long, links long, root long"), "linked")
     counted = linked.groupBy("uid").agg(F.sum("links").alias("links"))
     edges = linked.filter("uid != root").select(F.col("uid").alias("a"), F.col("root").alias("b"))
     if edges.isEmpty():
