@@ -228,9 +228,9 @@ def pack(table: DataFrame, capacity: int = CAPACITY, shard_items: int = SHARD_IT
     for epoch in range(epochs):
         solved = solved.groupBy("shard", "island").applyInPandas(island(epoch), schema)
         if epoch < epochs - 1:
-            moved = solved.select("uid", "length", "shard", "bins", F.explode(F.array("island", (F.col("island") + 1) % islands)).alias("island"))
+            moved = solved.select("uid", "length", "shard", F.struct("island", "bin").alias("told"), F.explode(F.array("island", (F.col("island") + 1) % islands)).alias("island"))
             # An island meets its own packing and its neighbour's.
-            solved = moved.groupBy("uid", "length", "shard", "island").agg(F.flatten(F.sort_array(F.collect_list("bins"))).alias("bins"))
+            solved = moved.groupBy("uid", "length", "shard", "island").agg(F.transform(F.sort_array(F.collect_list("told")), lambda t: t["bin"]).alias("bins"))
     solved = written(solved.drop("bins"), "packed")
     winner = solved.groupBy("shard").agg(F.min(F.struct("n_bins", "island")).alias("w")).select("shard", F.col("w.island").alias("island"))
     placed = solved.join(winner, ["shard", "island"]).select("uid", ((F.col("shard").cast("long") * (1 << 24) + F.col("bin")) * 2).alias("sequence_id"), "offset")
