@@ -43,9 +43,10 @@ FOLDS, HELD = 7, 2
 FREQUENT = 1 << 16
 #: log2 of a table's slots, slots of a slice, contexts: bytes before the symbol, or -1 for the word so far.
 SLOT_BITS, SLICE_BITS = 22, 18
-ORDERS = (3, 4, 6, -1)
+ORDERS = (4, 6, 12, -1)
+LAGS = 12
 #: Symbols of a block between updates, gates, learning rates of the weights and of the last stage.
-BLOCK, GATES, RATE, LAST_RATE = 192, 4, 0.03, 0.02
+BLOCK, GATES, RATE, LAST_RATE = 192, 4, 0.05, 0.02
 END = 256
 #: Contexts of two bytes with fewer symbols than this share one tree.
 OWN_TREE = 64
@@ -120,7 +121,7 @@ class Symbols:
     """The symbols of several texts, and the hash of every context of each."""
 
     def __init__(self, texts: list[bytes]):
-        pad = b"\n\n\n\n\n\n"
+        pad = b"\n" * LAGS
         data = np.frombuffer(pad + pad.join([*texts, b""]), np.uint8)
         sizes = np.array([len(t) + 1 for t in texts], np.int64)
         ends = np.cumsum(sizes + len(pad) - 1)  # places of the end symbols
@@ -133,7 +134,7 @@ class Symbols:
         self.place = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         self.symbol = data[at].astype(np.int32)
         self.symbol[np.cumsum(sizes) - 1] = END
-        before = [data[at - k].astype(np.uint32) for k in range(1, 7)]
+        before = [data[at - k].astype(np.uint32) for k in range(1, LAGS + 1)]
         self.pair = (before[1].astype(np.int32) << 8) | before[0].astype(np.int32)
         self.hashes = []
         for i, order in enumerate(ORDERS):
