@@ -6,9 +6,9 @@ others meet their counts in a shuffle of narrow rows.
 
 Model.  A text is the bytes of its lower-cased form and one end symbol.  Each
 symbol is a path of binary decisions in a Huffman tree chosen by the two bytes
-before it, so likely symbols take few bits.  Every bit is predicted by several
-tables of counts, addressed by a hash of a context (of several lengths, and the
-word so far) and the tree node.  All training texts fill the tables: partial
+before it where they are frequent, else by the last one, so likely symbols take
+few bits.  Every bit is predicted by several tables of counts, addressed by a hash
+of a context (bytes before, the word so far, the word before) and the tree node.  All training texts fill the tables: partial
 tables of a task's texts are packed into compressed slices and added up by
 slice.  To score, the predictions are stretched and mixed with weights picked
 by a gate (how much the longest contexts have been seen); each text starts from
@@ -40,20 +40,22 @@ from pitchlake.llm.common import written
 
 FOLDS, HELD = 7, 2
 #: Tokens with at least this share of all tokens are broadcast: at most its inverse many.
-FREQUENT = 1 << 16
-#: log2 of a table's slots, slots of a slice, contexts: bytes before the symbol, or -1 for the word so far.
+FREQUENT = 1 << 17
+#: log2 of a table's slots and of a slice's.
 SLOT_BITS, SLICE_BITS = 22, 18
-ORDERS = (4, 6, 12, -1)
-LAGS = 12
+#: Contexts, shortest first: so many bytes before the symbol, or the word so far, alone or after the word before.
+CONTEXTS = ("bytes4", "word", "bytes6", "words")
+PAD = b"\n" * 16
 #: Symbols of a block between updates, gates, learning rates of the weights and of the last stage.
 BLOCK, GATES, RATE, LAST_RATE = 192, 4, 0.05, 0.02
 END = 256
-#: Contexts of two bytes with fewer symbols than this share one tree.
-OWN_TREE = 64
+#: log2 of the tree contexts, the share of all symbols a context needs for a tree of its own, and the least count.
+TREE_BITS, TREE_SHARE, TREE_LEAST = 16, 1 << 13, 64
 
 TOKEN = re.compile(r"[^ \t-\r]+")
-LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
-MULT = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0xD3A2646C | 1, 0xFD7046C5, 0xB55A4F09], np.uint32)
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+ODD32 = np.uint32(0x9E3779B1)
+ODD64 = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -61,129 +63,137 @@ def held_out(doc_id: int | None) -> bool:
 
 
 def lowered(text: str | None) -> str:
-    return (text or "").translate(LOWER) if not (text or "").islower() else text
+    """``text`` with A-Z as a-z and all else as it is."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(LOWER).decode("utf-8", "surrogatepass")
 
 
 def tokens(text: str) -> list[str]:
-    """Runs of characters other than ASCII white space."""
+    """Runs of characters other than ASCII white space (``bytes.split`` has the same blanks)."""
     return TOKEN.findall(text)
 
 
 # --- trees -------------------------------------------------------------------
 
 
-def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(code, length) of each of 257 symbols; every symbol has a code, whatever its count."""
-    scale = min(1.0, (1 << 22) / max(1, int(counts.sum())))
-    heap = [(max(1, int(c * scale * 1024)), s, s) for s, c in enumerate(counts)]
+def huffman(weights: list[int]) -> list[tuple[int, int]]:
+    """(code, length) of each weight; those under 2**-16 of the sum count as that, which keeps lengths under 31."""
+    least = max(1, sum(weights) >> 16)
+    heap = [(max(w, least), i, i) for i, w in enumerate(weights)]
     heapq.heapify(heap)
-    parent = np.zeros(2 * len(counts), np.int32)
-    side = np.zeros(2 * len(counts), np.uint32)
-    node = len(counts)
+    up: dict[int, tuple[int, int]] = {}
+    node = len(weights)
     while len(heap) > 1:
-        a, b = heapq.heappop(heap), heapq.heappop(heap)
-        parent[a[1]], parent[b[1]], side[b[1]] = node, node, 1
-        heapq.heappush(heap, (a[0] + b[0], node, 0))
+        (w0, _, a), (w1, _, b) = heapq.heappop(heap), heapq.heappop(heap)
+        up[a], up[b] = (node, 0), (node, 1)
+        heapq.heappush(heap, (w0 + w1, node, node))
         node += 1
-    root = node - 1
-    code = np.zeros(len(parent), np.uint32)
-    length = np.zeros(len(parent), np.int32)
-    for n in range(root - 1, -1, -1):
-        code[n] = code[parent[n]] << np.uint32(1) | side[n]
-        length[n] = length[parent[n]] + 1
-    return code[: len(counts)], length[: len(counts)]
+    seen = {node - 1: (0, 0)}
+    for n in range(node - 2, -1, -1):
+        above, side = up[n]
+        code, length = seen[above]
+        seen[n] = code << 1 | side, length + 1
+    return [seen[i] for i in range(len(weights))]
 
 
 class Trees:
-    """A Huffman tree for each context of two bytes with counts enough; row 0 is for all others."""
+    """A Huffman tree of all symbols for each frequent context; row 0 is for all others."""
 
     def __init__(self, pairs: list[tuple[int, int, int]]):
-        """``pairs``: (context, symbol, count)."""
+        """``pairs``: (context, symbol, count); contexts from 2**TREE_BITS on are the last byte alone."""
         table: dict[int, np.ndarray] = {}
-        every = np.zeros(257, np.int64)
+        every = np.ones(257, np.int64)
         for context, symbol, n in pairs:
             table.setdefault(context, np.zeros(257, np.int64))[symbol] += n
-            every[symbol] += n
-        own = sorted(c for c, n in table.items() if n.sum() >= OWN_TREE)
-        self.row = np.zeros(1 << 16, np.int32)
-        made = [huffman(every)]
-        for i, c in enumerate(own):
-            self.row[c] = i + 1
-            made.append(huffman(table[c] + every / max(1, every.sum())))
-        self.code = np.array([m[0] for m in made], np.uint32)
-        self.length = np.array([m[1] for m in made], np.uint8)
+            if context >> TREE_BITS:
+                every[symbol] += n
+        self.row = np.zeros((1 << TREE_BITS) + 256, np.int32)
+        made = [huffman(every.tolist())]
+        share = every / every.sum() * 4096
+        for i, c in enumerate(sorted(table), 1):
+            self.row[c] = i
+            # what wasn't seen here is ordered by its count elsewhere
+            made.append(huffman((table[c] * 4096 + share.astype(np.int64)).tolist()))
+        self.code = np.array([[c for c, _ in m] for m in made], np.uint32)
+        self.length = np.array([[n for _, n in m] for m in made], np.uint8)
+
+    def rows(self, context: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The tree of each context, else that of its last byte, else the first."""
+        row = self.row[context]
+        return np.where(row > 0, row, self.row[last + np.int64(1 << TREE_BITS)])
 
 
 # --- symbols and bits ----------------------------------------------------------
 
+_power = np.ones(1, np.uint32), np.ones(1, np.uint32)
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of an odd number and of its inverse, kept for the next call."""
+    global _power
+    if len(_power[0]) < n:
+        size = n + n // 4
+        _power = tuple(np.multiply.accumulate(np.full(size, x, np.uint32), dtype=np.uint32) for x in (ODD32, pow(int(ODD32), -1, 1 << 32)))
+    return _power[0][:n], _power[1][:n]
+
 
 class Symbols:
-    """The symbols of several texts, and the hash of every context of each."""
+    """The symbols of several texts, the context that picks each one's tree, and the hash of every context."""
 
-    def __init__(self, texts: list[bytes]):
-        pad = b"\n" * LAGS
-        data = np.frombuffer(pad + pad.join([*texts, b""]), np.uint8)
+    def __init__(self, texts: list[bytes], hashes: bool = True):
+        data = np.frombuffer(PAD + PAD.join([*texts, b""]), np.uint8)
         sizes = np.array([len(t) + 1 for t in texts], np.int64)
-        ends = np.cumsum(sizes + len(pad) - 1)  # places of the end symbols
-        is_text = np.ones(len(data), bool)
-        gap = (ends[:, None] + np.arange(1, len(pad))).ravel()
-        is_text[gap] = False
-        is_text[: len(pad)] = False
-        at = np.flatnonzero(is_text[: ends[-1] + 1]) if len(texts) else np.zeros(0, np.int64)
+        first = np.cumsum(sizes) - sizes
+        total = int(sizes.sum())
         self.text = np.repeat(np.arange(len(texts)), sizes)
-        self.place = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at = np.arange(total) + np.repeat((len(PAD) - 1) * np.arange(len(texts)) + len(PAD), sizes)
+        self.place = np.arange(total) - np.repeat(first, sizes)
         self.symbol = data[at].astype(np.int32)
-        self.symbol[np.cumsum(sizes) - 1] = END
-        before = [data[at - k].astype(np.uint32) for k in range(1, LAGS + 1)]
-        self.pair = (before[1].astype(np.int32) << 8) | before[0].astype(np.int32)
-        self.hashes = []
-        for i, order in enumerate(ORDERS):
-            if order > 0:
-                h = np.full(len(at), i + 1, np.uint32)
-                for b in before[:order]:
-                    h = (h + b + np.uint32(1)) * MULT[i]
-                    h ^= h >> np.uint32(15)
-            else:
-                h = self._word_hash(data)[at - 1] * MULT[i] + before[0]
-            self.hashes.append(h)
+        self.symbol[first + sizes - 1] = END
+        self.last = data[at - 1]
+        self.context = data[at - 2].astype(np.int32) << 8 | self.last
+        if hashes:
+            word, before = self._words(data)
+            h = word[at - 1] + self.last * np.uint32(0x85EBCA6B)
+            # the eight bytes before each symbol, the last one in the highest place
+            w = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))[at - 8]
+            high = np.uint64(32)
+            self.hashes = [
+                ((w >> high) * ODD64[0] >> high).astype(np.uint32),
+                h * np.uint32(0x27D4EB2F),
+                ((w >> np.uint64(16)) * ODD64[1] >> high).astype(np.uint32),
+                (h + before[at - 1] * np.uint32(0xC2B2AE35)) * np.uint32(0x165667B1),
+            ]
 
     @staticmethod
-    def _word_hash(data: np.ndarray) -> np.ndarray:
-        """For each place a hash of the word up to and with it (of the blank itself after a word)."""
-        power = np.multiply.accumulate(np.full(len(data) + 1, MULT[0], np.uint32), dtype=np.uint32)
-        sums = np.cumsum((data.astype(np.uint32) + np.uint32(7)) * power[:-1], dtype=np.uint32)
-        blank = data <= 32
-        start = np.maximum.accumulate(np.where(blank, np.arange(len(data)), 0))
-        inverse = np.multiply.accumulate(np.full(len(data) + 1, pow(int(MULT[0]), -1, 1 << 32), np.uint32), dtype=np.uint32)
-        return (sums - sums[start]) * inverse[start] + (np.arange(len(data)) - start).astype(np.uint32)
-
-
-def bits(s: Symbols, trees: Trees, take: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Decisions of the chosen symbols: owner (index into ``take``), bit, and slot in each table."""
-    pair, symbol = s.pair[take], s.symbol[take]
-    row = trees.row[pair]
-    code, length = trees.code[row, symbol], trees.length[row, symbol].astype(np.int64)
-    total = int(length.sum())
-    owner = np.repeat(np.arange(len(take), dtype=np.int32), length)
-    left = (np.repeat(np.cumsum(length), length) - np.arange(1, total + 1)).astype(np.uint32)
-    prefix = code[owner] >> left
+    def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each place a hash of the word up to and with it (0 for a blank), and one of the word before."""
+        power, inverse = powers(len(data))
+        sums = np.cumsum((data + np.uint32(7)) * power, dtype=np.uint32)
+        start = np.maximum.accumulate(np.where(data <= 32, np.arange(len(data), dtype=np.int32), np.int32(0)))
+        word = (sums - sums[start]) * inverse[start]
+        return word, word[np.maximum(start - 1, 0)]
+
+
+def bits(s: Symbols, trees: Trees, take: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Decisions of the chosen symbols: how many each has, then for every decision its bit, and slot in each table."""
+    at = trees.rows(s.context[take], s.last[take]).astype(np.int64) * 257 + s.symbol[take]
+    code, length = trees.code.ravel()[at], trees.length.ravel()[at].astype(np.int64)
+    ends = np.cumsum(length)
+    total = int(ends[-1]) if len(ends) else 0
+    left = np.repeat(ends.astype(np.uint32), length) - np.arange(1, total + 1, dtype=np.uint32)
+    # a leading one, then the code: cut off after the bit, it names the node below
+    prefix = np.repeat(code | np.uint32(1) << length.astype(np.uint32), length) >> left
     bit = (prefix & np.uint32(1)).astype(np.uint8)
-    # the node: the bits before this one, under a leading one
-    depth = (length.astype(np.uint32)[owner] - left - np.uint32(1)).astype(np.uint32)
-    node = (prefix >> np.uint32(1)) + (np.uint32(1) << np.minimum(depth, np.uint32(31)))
-    node = node * np.uint32(0x9E3779B1)
-    slots = []
-    for h in s.hashes:
-        x = (h[take][owner] ^ node) * np.uint32(0x85EBCA6B)
-        slots.append((x >> np.uint32(32 - SLOT_BITS)).astype(np.int64))
-    return owner, bit, slots
+    node = (prefix >> np.uint32(1)) * ODD32
+    slots = [((np.repeat(h[take], length) ^ node) * np.uint32(0x85EBCA6B) >> np.uint32(32 - SLOT_BITS)).astype(np.int64) for h in s.hashes]
+    return length, bit, ends, slots
 
 
 def in_groups(batch: pa.RecordBatch, limit: int = 1_000_000) -> Iterator[tuple[list, list[bytes]]]:
     """(ids, lower-cased texts as bytes) of about so many bytes each."""
     ids, out, size = [], [], 0
-    for d, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-        b = lowered(t.as_py()).encode("utf-8", "replace")
+    for d, t in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+        b = (t.as_py() or b"").translate(LOWER)
         ids.append(d)
         out.append(b)
         size += len(b)
@@ -198,26 +208,33 @@ def in_groups(batch: pa.RecordBatch, limit: int = 1_000_000) -> Iterator[tuple[l
 
 
 def count_pairs(train: DataFrame) -> list[tuple[int, int, int]]:
-    """(context of two bytes, symbol, count) over all training texts: at most 2**24 rows by their nature."""
+    """(context, symbol, count) of the contexts frequent enough for a tree, and of every last byte.
+
+    At most ``TREE_SHARE + 256`` contexts can be, so the rows collected are bounded whatever the corpus.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+        keys, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        lasts = np.zeros(256 << 9, np.int64)
         for batch in batches:
             for _, texts in in_groups(batch, 4_000_000):
-                data = np.frombuffer(b"\n\n" + b"\xff\xff\n\n".join([*texts, b""]), np.uint8).astype(np.int64)
-                # 0xff never occurs in UTF-8: the first of the two stands for the end symbol
-                key = (data[:-2] << 17) | (data[1:-1] << 9) | np.where(data[2:] == 255, END, data[2:])
-                ok = (data[:-2] != 255) & (data[1:-1] != 255)
-                ok[1:] &= data[:-3] != 255
-                k, n = np.unique(key[ok], return_counts=True)
-                total = np.concatenate([total, np.stack([k, n], 1).ravel()])
-        kn = total.reshape(-1, 2)
-        k, inv = np.unique(kn[:, 0], return_inverse=True)
-        n = np.bincount(inv, weights=kn[:, 1]).astype(np.int64) if len(k) else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n)], names=["k", "n"])
-
-    rows = train.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()
-    return [(int(k) >> 17 << 8 | (int(k) >> 9 & 255), int(k) & 511, int(n)) for k, n in rows]
+                s = Symbols(texts, hashes=False)
+                lasts += np.bincount(s.last.astype(np.int64) << 9 | s.symbol, minlength=len(lasts))
+                k, n = np.unique(s.context.astype(np.uint32) << np.uint32(9) | s.symbol.astype(np.uint32), return_counts=True)
+                keys, inv = np.unique(np.concatenate([keys, k]), return_inverse=True)
+                counts = np.bincount(inv, weights=np.concatenate([counts, n])).astype(np.int64)
+        k = np.flatnonzero(lasts)
+        keys = np.concatenate([keys.astype(np.int64), k + (1 << TREE_BITS + 9)])
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate([counts, lasts[k]]))], names=["k", "n"])
+
+    pairs = written(train.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).select(F.shiftright("k", 9).alias("context"), "k", "n"), "pairs")
+    last_byte = F.col("context") >= 1 << TREE_BITS
+    sums = pairs.groupBy("context").agg(F.sum("n").alias("total"))
+    every = sums.filter(last_byte).agg(F.sum("total")).first()[0] or 0
+    least = max(TREE_LEAST, -(-every // TREE_SHARE))
+    wanted = sums.filter(last_byte | (F.col("total") >= least)).select("context")
+    rows = pairs.join(wanted, "context", "left_semi").select("context", "k", "n").collect()
+    return [(c, k & 511, n) for c, k, n in rows]
 
 
 def count_tables(train: DataFrame, trees: Trees) -> list[np.ndarray]:
@@ -226,12 +243,11 @@ def count_tables(train: DataFrame, trees: Trees) -> list[np.ndarray]:
     slices = 1 << (SLOT_BITS - SLICE_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = [np.zeros(2 << SLOT_BITS, np.uint16) for _ in ORDERS]
+        counts = [np.zeros(2 << SLOT_BITS, np.uint16) for _ in CONTEXTS]
         some = False
         for batch in batches:
             for _, texts in in_groups(batch):
-                s = Symbols(texts)
-                _, bit, slots = bits(s, shared.value, np.arange(len(s.symbol)))
+                _, bit, _, slots = bits(Symbols(texts), shared.value, slice(None))
                 some = True
                 for c, slot in zip(counts, slots, strict=True):
                     if c.max() > 50_000:
@@ -255,8 +271,8 @@ def count_tables(train: DataFrame, trees: Trees) -> list[np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([k], pa.int32()), pa.array([zlib.compress(compress(c).tobytes(), 1)], pa.binary())], names=["context", "slice", "state"])
 
     parts = train.mapInArrow(run, "context int, slice int, counts binary")
-    dealt = parts.repartition(len(ORDERS) * slices, "context", "slice")
-    tables = [np.zeros(1 << SLOT_BITS, np.uint16) for _ in ORDERS]
+    dealt = parts.repartition(len(CONTEXTS) * slices, "context", "slice")
+    tables = [np.zeros(1 << SLOT_BITS, np.uint16) for _ in CONTEXTS]
     size = 1 << SLICE_BITS
     # the model's size is fixed by its parameters, whatever the corpus
     for i, k, raw in dealt.mapInArrow(add, "context int, slice int, state binary").collect():
@@ -293,9 +309,8 @@ class Model:
         block = s.place // BLOCK
         order = np.argsort(block, kind="stable")
         cuts = np.concatenate([[0], np.cumsum(np.bincount(block))])
-        k = len(ORDERS)
-        weights = np.full((n * GATES, k), 0.42, np.float32)
-        last = np.tile(np.array([1.0, 0.0], np.float32), (n, 1))
+        weights = np.full((len(CONTEXTS), n * GATES), 0.42, np.float32)
+        last = np.tile(np.array([[1.0], [0.0]], np.float32), n)
         total = np.zeros(n)
         b, blocks = 0, len(cuts) - 1
         while b < blocks:
@@ -304,41 +319,42 @@ class Model:
             while e < blocks and cuts[e + 1] - cuts[b] <= 400_000:
                 e += 1
             take = order[cuts[b] : cuts[e]]
-            owner, bit, slots = bits(s, self.trees, take)
+            length, bit, ends, slots = bits(s, self.trees, take)
             states = [t[slot] for t, slot in zip(self.tables, slots, strict=True)]
-            inputs = np.stack([INPUT[x] for x in states], axis=1)
+            inputs = [INPUT[x] for x in states]
             sure = (states[-1] >> 8) + (states[-2] >> 8)
-            gate = np.minimum(sure // 3, GATES - 1).astype(np.int64)
-            text = s.text[take][owner]
-            edges = np.searchsorted(owner, cuts[b : e + 1] - cuts[b])
+            text = np.repeat(s.text[take], length)
+            place = text * GATES + np.minimum(sure // 3, GATES - 1)
+            edges = np.concatenate([[0], ends])[cuts[b : e + 1] - cuts[b]]
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                self._block(inputs[lo:hi], gate[lo:hi], text[lo:hi], bit[lo:hi], weights, last, total)
+                self._block([x[lo:hi] for x in inputs], place[lo:hi], text[lo:hi], bit[lo:hi], weights, last, total)
             b = e
         return total / math.log(10), -total / math.log(2)
 
     @staticmethod
-    def _block(x: np.ndarray, gate: np.ndarray, text: np.ndarray, bit: np.ndarray, weights: np.ndarray, last: np.ndarray, total: np.ndarray) -> None:
+    def _block(inputs: list[np.ndarray], place: np.ndarray, text: np.ndarray, bit: np.ndarray, weights: np.ndarray, last: np.ndarray, total: np.ndarray) -> None:
         """Scores one block of every text in it, then lets the texts learn from it."""
         begin = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
         who = text[begin]
         n = np.diff(np.concatenate([begin, [len(text)]]))
-        place = text * GATES + gate
-        mix = (x * weights[place]).sum(axis=1)
+        mix = np.zeros(len(text), np.float32)
+        for x, w in zip(inputs, weights, strict=True):
+            mix += x * w[place]
         np.clip(mix, -12, 12, out=mix)
-        own = last[who].repeat(n, axis=0)
-        z = np.clip(own[:, 0] * mix + own[:, 1], -14, 14)
-        sign = bit.astype(np.float32) * 2 - 1
-        total[who] -= np.add.reduceat(np.log1p(np.exp(-sign * z)), begin)
-        error = bit - 1 / (1 + np.exp(-mix))
-        for i in range(x.shape[1]):
-            weights[:, i] += RATE * np.bincount(place, weights=error * x[:, i], minlength=len(weights)).astype(np.float32) / np.sqrt(BLOCK)
+        z = np.clip(np.repeat(last[0, who], n) * mix + np.repeat(last[1, who], n), -14, 14)
+        sign = bit.astype(np.float32) * np.float32(2) - np.float32(1)
+        right = 1 / (1 + np.exp(-sign * z))
+        total[who] += np.add.reduceat(np.log(right), begin, dtype=np.float64)
+        error = sign / (1 + np.exp(sign * mix))
+        for x, w in zip(inputs, weights, strict=True):
+            w += (RATE / math.sqrt(BLOCK)) * np.bincount(place, weights=error * x, minlength=len(w)).astype(np.float32)
         np.clip(weights, -0.5, 2.0, out=weights)
-        late = bit - 1 / (1 + np.exp(-z))
-        step = LAST_RATE / np.sqrt(BLOCK)
-        last[who, 0] += step * np.add.reduceat(late * mix, begin) / 4
-        last[who, 1] += step * np.add.reduceat(late, begin)
-        np.clip(last[:, 0], 0.5, 1.6, out=last[:, 0])
-        np.clip(last[:, 1], -1.0, 1.0, out=last[:, 1])
+        late = sign * (1 - right)
+        step = np.float32(LAST_RATE / math.sqrt(BLOCK))
+        last[0, who] += step * np.add.reduceat(late * mix, begin) / 4
+        last[1, who] += step * np.add.reduceat(late, begin)
+        np.clip(last[0], 0.5, 1.6, out=last[0])
+        np.clip(last[1], -1.0, 1.0, out=last[1])
 
 
 # --- whole tables --------------------------------------------------------------
@@ -354,12 +370,12 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
         seen: Counter = Counter()
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["token", "c"])
+            return pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "replace") for w in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], names=["token", "c"])
 
         for batch in batches:
-            for t in batch.column(1):
-                seen.update(tokens(lowered(t.as_py())))
-            seen[""] += batch.num_rows
+            for _, texts in in_groups(batch):
+                seen.update(b"\n".join(texts).split())
+                seen[b""] += len(texts)
             if len(seen) > 400_000:
                 yield out()
                 seen.clear()
@@ -381,7 +397,7 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame) -> DataFrame:
     n, v = int(n or 0), int(v)
     least = max(2, -(-n // FREQUENT))
     frequent = {r[0]: r[1] for r in vocabulary.filter(F.col("c") >= least).collect()}  # at most FREQUENT rows
-    shared = sc.broadcast((model, {w: math.log10(c + 1) for w, c in frequent.items()}))
+    shared = sc.broadcast((model, {w.encode(): math.log10(c + 1) for w, c in frequent.items()}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_, logs = shared.value
@@ -389,23 +405,28 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame) -> DataFrame:
         for batch in batches:
             for ids, texts in in_groups(batch):
                 scores, used = model_.scores(texts)
-                rows: list[tuple] = []
+                met: list[tuple] = []
+                own: list[tuple] = []
                 for i, d in enumerate(ids):
-                    words = Counter(tokens(texts[i].decode("utf-8")))
-                    words[""] = 1
+                    words = Counter(texts[i].split())
+                    words[b""] = 1
                     known, total = 0, 0.0
                     for w, k in words.items():
                         log = logs.get(w)
                         if log is None:
-                            rows.append((uid, w, k, None, None, None, None, None, None))
+                            met.append((uid, w.decode("utf-8", "replace"), k))
                         else:
                             known += k
                             total += k * log
                     # the document's own row: its key is no token, and spreads
-                    rows.append((uid, f"\n{uid}", 1, d, sum(words.values()), known, total, float(scores[i]), float(used[i] / max(1, len(texts[i])))))
+                    own.append((uid, f"\n{uid}", 1, d, sum(words.values()), known, total, float(scores[i]), float(used[i] / max(1, len(texts[i])))))
                     uid += 1
                 types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["uid", "token", "k", "doc_id", "n_tokens", "known", "logs", "score", "bpb"])
+                names = ["uid", "token", "k", "doc_id", "n_tokens", "known", "logs", "score", "bpb"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*own, strict=True), types, strict=True)], names=names)
+                if met:
+                    columns = [pa.array(c, t) for c, t in zip(zip(*met, strict=True), types, strict=False)]
+                    yield pa.RecordBatch.from_arrays(columns + [pa.nulls(len(met), t) for t in types[3:]], names=names)
 
     narrow = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     rows = narrow.mapInArrow(run, "uid long, token string, k long, doc_id long, n_tokens long, known long, logs double, score double, bpb double")
