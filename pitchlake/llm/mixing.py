@@ -8,7 +8,7 @@ Model.  A text is the bytes of its lower-cased form and one end symbol.  Each
 symbol is a path of binary decisions in a Huffman tree chosen by the two bytes
 before it where they are frequent, else by the last one, so likely symbols take
 few bits.  Every bit is predicted by several tables of counts, addressed by a hash
-of a context (bytes before, the word so far, the word before) and the tree node.  All training texts fill the tables: partial
+of a context (of several lengths, and the word so far) and the tree node.  All training texts fill the tables: partial
 tables of a task's texts are packed into compressed slices and added up by
 slice.  To score, the predictions are stretched and mixed with weights picked
 by a gate (how much the longest contexts have been seen); each text starts from
@@ -43,8 +43,8 @@ FOLDS, HELD = 7, 2
 FREQUENT = 1 << 17
 #: log2 of a table's slots and of a slice's.
 SLOT_BITS, SLICE_BITS = 22, 18
-#: Contexts, shortest first: so many bytes before the symbol, or the word so far, alone or after the word before.
-CONTEXTS = ("bytes4", "word", "bytes6", "words")
+#: Contexts: so many bytes before the symbol, or the word so far.
+CONTEXTS = ("bytes4", "bytes6", "bytes12", "word")
 PAD = b"\n" * 16
 #: Symbols of a block between updates, gates, learning rates of the weights and of the last stage.
 BLOCK, GATES, RATE, LAST_RATE = 192, 4, 0.05, 0.02
@@ -152,26 +152,24 @@ class Symbols:
         self.last = data[at - 1]
         self.context = data[at - 2].astype(np.int32) << 8 | self.last
         if hashes:
-            word, before = self._words(data)
-            h = word[at - 1] + self.last * np.uint32(0x85EBCA6B)
-            # the eight bytes before each symbol, the last one in the highest place
+            # the eight bytes before each symbol, the last one in the highest place, and the four before those
             w = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))[at - 8]
+            v = np.ndarray(len(data) - 3, "<u4", data, strides=(1,))[at - 12]
             high = np.uint64(32)
             self.hashes = [
                 ((w >> high) * ODD64[0] >> high).astype(np.uint32),
-                h * np.uint32(0x27D4EB2F),
                 ((w >> np.uint64(16)) * ODD64[1] >> high).astype(np.uint32),
-                (h + before[at - 1] * np.uint32(0xC2B2AE35)) * np.uint32(0x165667B1),
+                (w * ODD64[2] + v * ODD64[0] >> high).astype(np.uint32),
+                (self._words(data)[at - 1] + self.last * np.uint32(0x85EBCA6B)) * np.uint32(0x27D4EB2F),
             ]
 
     @staticmethod
-    def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each place a hash of the word up to and with it (0 for a blank), and one of the word before."""
+    def _words(data: np.ndarray) -> np.ndarray:
+        """For each place a hash of the word up to and with it, 0 for a blank."""
         power, inverse = powers(len(data))
         sums = np.cumsum((data + np.uint32(7)) * power, dtype=np.uint32)
         start = np.maximum.accumulate(np.where(data <= 32, np.arange(len(data), dtype=np.int32), np.int32(0)))
-        word = (sums - sums[start]) * inverse[start]
-        return word, word[np.maximum(start - 1, 0)]
+        return (sums - sums[start]) * inverse[start]
 
 
 def bits(s: Symbols, trees: Trees, take: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
