@@ -235,40 +235,75 @@ def count_pairs(train: DataFrame) -> list[tuple[int, int, int]]:
     return [(c, k & 511, n) for c, k, n in rows]
 
 
+class Counts:
+    """Exact counts of numbers under ``size``: two bytes each, and what outgrows them in a map.
+
+    A count of ``HALF`` moves to the map before it could wrap; so many need as many
+    times ``HALF`` numbers, so the map stays small.
+    """
+
+    HALF = 1 << 15
+
+    def __init__(self, size: int):
+        self.low = np.zeros(size, np.uint16)
+        self.high: dict[int, int] = {}
+
+    def add(self, numbers: np.ndarray) -> None:
+        for at in range(0, len(numbers), self.HALF):
+            some = numbers[at : at + self.HALF]
+            np.add.at(self.low, some, np.uint16(1))
+            for i in set(some[self.low[some] >= self.HALF].tolist()):
+                self.high[i] = self.high.get(i, 0) + int(self.low[i])
+                self.low[i] = 0
+
+    def parts(self, slices: int) -> Iterator[tuple[bytes, bytes]]:
+        """For each slice the two-byte counts, and pairs (place, more) for those with more."""
+        size = len(self.low) // slices
+        for k in range(slices):
+            more = [(i - k * size, n) for i, n in self.high.items() if i // size == k]
+            yield self.low[k * size : (k + 1) * size].tobytes(), np.array(more, np.int64).tobytes()
+
+
+def added(low: bytes, high: bytes) -> np.ndarray:
+    """The counts of a slice from its two parts."""
+    out = np.frombuffer(low, np.uint16).astype(np.int64)
+    more = np.frombuffer(high, np.int64).reshape(-1, 2)
+    out[more[:, 0]] += more[:, 1]
+    return out
+
+
 def count_tables(train: DataFrame, trees: Trees) -> list[np.ndarray]:
     """For each context the counts of zeros and ones, as one byte (see :func:`compress`) a slot."""
     shared = train.sparkSession.sparkContext.broadcast(trees)
     slices = 1 << (SLOT_BITS - SLICE_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = [np.zeros(2 << SLOT_BITS, np.uint16) for _ in CONTEXTS]
+        counts = [Counts(2 << SLOT_BITS) for _ in CONTEXTS]
         some = False
         for batch in batches:
             for _, texts in in_groups(batch):
                 _, bit, _, slots = bits(Symbols(texts), shared.value, slice(None))
                 some = True
                 for c, slot in zip(counts, slots, strict=True):
-                    if c.max() > 50_000:
-                        np.minimum(c, 50_000, out=c)  # beyond this the ratio is settled
-                    np.add.at(c, slot * 2 + bit, np.uint16(1))
+                    c.add(slot * 2 + bit)
         if some:
             pack = zstandard.ZstdCompressor(level=1)
             for i, c in enumerate(counts):
-                parts = [pack.compress(p.tobytes()) for p in c.reshape(slices, -1)]
-                yield pa.RecordBatch.from_arrays([pa.array([i] * slices, pa.int32()), pa.array(range(slices), pa.int32()), pa.array(parts, pa.binary())], names=["context", "slice", "counts"])
+                low, high = zip(*((pack.compress(a), b) for a, b in c.parts(slices)), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array([i] * slices, pa.int32()), pa.array(range(slices), pa.int32()), pa.array(low, pa.binary()), pa.array(high, pa.binary())], names=["context", "slice", "counts", "more"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sums the parts of a slice that lie in this partition, one after another."""
         sums: dict[tuple[int, int], np.ndarray] = {}
         open_ = zstandard.ZstdDecompressor()
         for batch in batches:
-            for i, k, raw in zip(*(batch.column(n).to_pylist() for n in range(3)), strict=True):
-                part = np.frombuffer(open_.decompress(raw), np.uint16).astype(np.uint32)
+            for i, k, low, high in zip(*(batch.column(n).to_pylist() for n in range(4)), strict=True):
+                part = added(open_.decompress(low), high)
                 sums[i, k] = sums[i, k] + part if (i, k) in sums else part
         for (i, k), c in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([k], pa.int32()), pa.array([zlib.compress(compress(c).tobytes(), 1)], pa.binary())], names=["context", "slice", "state"])
 
-    parts = train.mapInArrow(run, "context int, slice int, counts binary")
+    parts = train.mapInArrow(run, "context int, slice int, counts binary, more binary")
     dealt = parts.repartition(len(CONTEXTS) * slices, "context", "slice")
     tables = [np.zeros(1 << SLOT_BITS, np.uint16) for _ in CONTEXTS]
     size = 1 << SLICE_BITS

@@ -249,3 +249,27 @@ def test_mixing_base_and_causality(spark, docs, odd):
     for row in model.trees.length[:50]:
         assert abs(sum(2.0 ** -int(n) for n in row) - 1) < 1e-9
     assert mixing.score(odd, model, vocabulary).count() == len(ODD) and mixing.score(odd.limit(0), model, vocabulary).count() == 0
+
+
+def test_mixing_counts_are_exact():
+    # one number comes far more often than two bytes can count, in both calls and across them
+    rng = np.random.default_rng(3)
+    counts, want = mixing.Counts(64), np.zeros(64, np.int64)
+    for n in (400_000, 250_001):
+        numbers = np.where(rng.random(n) < 0.7, 5, np.where(rng.random(n) < 0.7, 4, rng.integers(0, 64, n)))
+        counts.add(numbers)
+        want += np.bincount(numbers, minlength=64)
+    got = np.concatenate([mixing.added(a, b) for a, b in counts.parts(4)])
+    assert want[5] > want[4] > 1 << 16 and (got == want).all()
+
+
+def test_mixing_tables_of_a_few_megabytes_in_one_task(spark):
+    # about 2.4 million word starts share one slot of the word context
+    df = spark.createDataFrame([(None, "ab cd ef gh " * 20_000)] * 30, "doc_id long, text string").coalesce(1)
+    trees = mixing.Trees(mixing.count_pairs(df))
+    tables = mixing.count_tables(df, trees)
+    text = ("ab cd ef gh " * 20_000).encode()
+    _, bit, _, slots = mixing.bits(mixing.Symbols([text]), trees, slice(None))
+    for table, slot in zip(tables, slots, strict=True):
+        counts = np.bincount(slot * 2 + bit, minlength=2 << mixing.SLOT_BITS) * 30
+        assert (table == mixing.compress(counts)).all()
