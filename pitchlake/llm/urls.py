@@ -2,9 +2,10 @@
 
 Host labels and path parts are split at marks, and concatenated names are split
 further by a unigram Viterbi segmentation whose word counts come from all urls
-of the table.  A multinomial naive Bayes model scores the words.  It learns
-from all urls, labelled weakly: a url whose marked-off host words hold a seed
-word is unwanted.
+of the table: first from words that stand alone, then from all runs as those
+words split them, so a name made of other words has no count of its own.
+A multinomial naive Bayes model scores the words.  It learns from all urls,
+labelled weakly: a url whose segmented host words hold a seed word is unwanted.
 
 Null urls and urls without ``://`` have an empty host and path: no rule fits,
 and the model sees no word, so its prior decides.  Repeated rows give repeated
@@ -104,24 +105,56 @@ class Model:
         return self.prior + sum(self.odds.get(w, self.unknown) for w in self.words(host, path))
 
 
+def word_counts(runs: list[tuple[str, int, int, int]]) -> dict[str, int]:
+    """Counts for the segmentation from runs of letters: (run, times marked off within a part, as a whole path part, as a whole host label).
+
+    What is marked off stands alone, and so does a path part, unless words marked off make it up.
+    A host label may be several words: it counts for those it splits into.
+    """
+
+    def seeded(counts: dict[str, int]) -> dict[str, int]:
+        more = max(1, sum(counts.values()) // 10_000)
+        return counts | {w: counts.get(w, 0) + more for w in SEEDS}
+
+    counts = {w: marked for w, marked, _, _ in runs if marked}
+
+    def spread(which: int, only_known: bool) -> None:
+        segmenter = Segmenter(seeded(counts))
+        for row in runs:
+            if row[which]:
+                words = segmenter.split(row[0])
+                if row[0] in SEEDS or only_known and (row[1] or not all(w in segmenter.counts and len(w) > 2 for w in words)):
+                    words = (row[0],)
+                for w in words:
+                    counts[w] = counts.get(w, 0) + row[which]
+
+    spread(2, True)
+    spread(3, False)
+    return seeded(counts)
+
+
 def fit(pages: DataFrame) -> Model:
     """Counts over all urls; the vocabulary is cut to the ``MAX_WORDS`` commonest words, seeds always in."""
     host, path = host_path(F.col("url"))
     parts = pages.select(host.alias("h"), path.alias("p"))
-    runs = parts.select(F.explode(F.regexp_extract_all(F.concat_ws(" ", "h", F.lower("p")), F.lit("([a-z]+)"), F.lit(1))).alias("w")).filter(F.length("w") <= MAX_LETTERS)
-    top = runs.groupBy("w").count().orderBy(F.desc("count"), "w").limit(MAX_WORDS).collect()
-    counts = {r[0]: r[1] for r in top}
-    for w in SEEDS:
-        counts[w] = counts.get(w, 0) + max(1, sum(counts.values()) // 10_000)
-    segmenter = Segmenter(counts)
+    labels = F.transform(F.split("h", "[./:@]"), lambda x: F.struct(F.lit(True).alias("host"), x.alias("part")))
+    pieces = F.transform(F.split(F.lower("p"), "[./]"), lambda x: F.struct(F.lit(False).alias("host"), x.alias("part")))
+    words = parts.select(F.explode(F.concat(labels, pieces)).alias("x")).select("x.host", F.regexp_extract_all("x.part", F.lit("([a-z]+)"), F.lit(1)).alias("ws"))
+    runs = words.select("host", (F.size("ws") > 1).alias("marked"), F.explode("ws").alias("w")).filter(F.length("w") <= MAX_LETTERS)
+    n = lambda what: F.sum(F.when(what, 1).otherwise(0))
+    marked, host_ = F.col("marked"), F.col("host")
+    top = runs.groupBy("w").agg(F.count("*").alias("count"), n(marked).alias("marked"), n(~marked & ~host_).alias("piece"), n(~marked & host_).alias("label")).orderBy(F.desc("count"), "w").limit(MAX_WORDS).collect()
+    segmenter = Segmenter(word_counts([(r["w"], r["marked"], r["piece"], r["label"]) for r in top]))
     shell = Model(segmenter, {}, 0.0, 0.0)
+    marks = {"h:" + w for w in SEEDS}
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[str, list[int]] = {}
         for batch in batches:
             for h, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                bad = not set(WORD.findall(h)).isdisjoint(SEEDS)
-                for w in [*shell.words(h, p), ""]:
+                words = shell.words(h, p)
+                bad = not marks.isdisjoint(words)
+                for w in [*words, ""]:
                     got.setdefault(w, [0, 0])[bad] += 1
             if len(got) > 200_000:
                 yield batch_of(got)

@@ -273,3 +273,16 @@ def test_mixing_tables_of_a_few_megabytes_in_one_task(spark):
     for table, slot in zip(tables, slots, strict=True):
         counts = np.bincount(slot * 2 + bit, minlength=2 << mixing.SLOT_BITS) * 30
         assert (table == mixing.compress(counts)).all()
+
+
+def test_urls_recurring_concatenated_hosts(spark):
+    hosts = ["casinowin.com", "freebets.org", "casino-win.net", "win-free.net", "good-news.net", "better.com", "alphabet.com", "newsroom.com"]
+    rows = [(i, f"https://{hosts[i % 8]}/page/{i}") for i in range(4000)] + [(9000, "https://freecasino.com/page/1")]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    model = urls.fit(df)
+    split = model.segmenter.split
+    assert split("casinowin") == ("casino", "win") and split("freebets") == ("free", "bets") and split("freecasino") == ("free", "casino")
+    assert split("better") == ("better",) and split("alphabet") == ("alphabet",) and split("page") == ("page",)
+    got = {r["host"]: r["verdict"] for r in urls.judge(df, model, ()).collect()}
+    assert {h for h, v in got.items() if v == "block"} >= {"casinowin.com", "freebets.org", "casino-win.net", "freecasino.com"}
+    assert got["good-news.net"] == got["better.com"] == got["alphabet.com"] == got["newsroom.com"] == "allow"
