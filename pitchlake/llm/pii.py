@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 KINDS = ("email", "ip", "card", "phone")
-#: Atoms in a span at most, entities in a region at most before a new region begins, words that announce data.
-MAX_ATOMS, MAX_ENTITIES = 13, 24
+#: Atoms in a span and in a window at most, letters in a span at least, words that announce data.
+MAX_ATOMS, WINDOW, LEAST = 13, 640, 7
 CUES = {"card": {"card", "visa", "mastercard", "karte", "carte", "tarjeta"}, "phone": {"phone", "tel", "call", "mobile", "telefon", "téléphone", "teléfono"}, "email": {"email", "mail", "contact"}, "ip": {"ip", "host", "server", "addr", "address"}}
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -122,8 +122,7 @@ def span_features(kind: str, span: str, before: str, after: str) -> list[str]:
 def segment(text: str, start: int, end: int, weights: dict[str, float], gold: set | None = None) -> list[tuple[str, int, int]]:
     """Best joint segmentation of text[start:end].
 
-    State: (atoms read, entities so far), the latter at most ``MAX_ENTITIES``;
-    a region with more is continued after the last one by the caller.
+    State: (atoms read, entities so far); a row holds as many of the latter as can be there.
     """
     atoms = [(m.start(), m.end()) for m in ATOM.finditer(text, start, end)]
     n = len(atoms)
@@ -133,13 +132,13 @@ def segment(text: str, start: int, end: int, weights: dict[str, float], gold: se
         groups.append(groups[-1] + text[a].isdigit())
         dots.append(dots[-1] + (text[a] == "."))
         signs.append(signs[-1] + (text[a] == "@" or text[a:b] == "at"))
-    best = [[(0.0, None)] + [(-1e18, None)] * MAX_ENTITIES]
+    best: list[list] = [[(0.0, None)]]
     for j in range(1, n + 1):
         row = [(s, (j - 1, e, None)) for e, (s, _) in enumerate(best[j - 1])]
         if not text[atoms[j - 1][1] - 1].isspace():
             for i in range(max(0, j - MAX_ATOMS), j):
                 a, b = atoms[i][0], atoms[j - 1][1]
-                if b - a < 7 or text[a].isspace():
+                if b - a < LEAST or text[a].isspace():
                     continue
                 d = digits[j] - digits[i]
                 kinds = [k for k, can in zip(KINDS, (signs[j] > signs[i], dots[j] - dots[i] == 3 and groups[j] - groups[i] == 4 and d <= 12, 14 <= d <= 19, 10 <= d <= 15), strict=True) if can]
@@ -150,12 +149,14 @@ def segment(text: str, start: int, end: int, weights: dict[str, float], gold: se
                     score = sum(weights.get(f, 0.0) for f in span_features(kind, span, before, after))
                     if score <= 0:
                         continue
-                    for e in range(MAX_ENTITIES):
-                        total = best[i][e][0] + score
-                        if total > row[e + 1][0]:
+                    for e, (s, _) in enumerate(best[i]):
+                        total = s + score
+                        if e + 1 == len(row):
+                            row.append((total, (i, e, (kind, a, b))))
+                        elif total > row[e + 1][0]:
                             row[e + 1] = (total, (i, e, (kind, a, b)))
         best.append(row)
-    e = max(range(MAX_ENTITIES + 1), key=lambda e: (best[n][e][0], -e))
+    e = max(range(len(best[n])), key=lambda e: (best[n][e][0], -e))
     spans, j = [], n
     while j:
         j, e, found = best[j][e][1]
@@ -213,6 +214,27 @@ def train(examples: int = 250, rounds: int = 4, seed: int = 7) -> dict[str, floa
     return {f: v / rounds for f, v in total.items()}
 
 
+def windowed(text: str, start: int, end: int, weights: dict[str, float]) -> list[tuple[str, int, int]]:
+    """Segmentation of text[start:end] in windows of bounded length.
+
+    Spans that end in a window's last ``MAX_ATOMS`` atoms, and so could go on beyond it,
+    are left to the next window, which begins with the first of them.
+    """
+    out, at = [], 0
+    atoms = [(m.start(), m.end()) for m in ATOM.finditer(text, start, end)]
+    starts = {a: i for i, (a, _) in enumerate(atoms)}
+    while at < len(atoms):
+        last = at + WINDOW
+        found = segment(text, atoms[at][0], atoms[min(last, len(atoms)) - 1][1], weights)
+        if last >= len(atoms):
+            return out + found
+        sure = atoms[last - MAX_ATOMS][0]
+        keep = [s for s in found if s[2] <= sure]
+        out += keep
+        at = starts[found[len(keep)][1]] if len(keep) < len(found) else last - MAX_ATOMS
+    return out
+
+
 def added_spans(text: str, base: list[tuple[str, int, int]], weights: dict[str, float]) -> list[tuple[str, int, int]]:
     """Spans of the field in regions of the text that no base span touches."""
     out, k = [], 0
@@ -230,15 +252,8 @@ def added_spans(text: str, base: list[tuple[str, int, int]], weights: dict[str,
             i += 1
         parts.append((at, m.end()))
         for a, b in parts:
-            while b - a >= 8:
-                # windows of bounded length; the next one starts after the last span, or overlaps by one span's atoms
-                stop = min(b, a + 400)
-                found = segment(text, a, stop, weights)
-                keep = [s for s in found if stop == b or s[2] <= stop - 60] if found else []
-                out += keep
-                if stop == b:
-                    break
-                a = max(stop - 60, keep[-1][2] if keep else a)
+            if b - a >= 8:
+                out += windowed(text, a, b, weights)
     return out
 
 

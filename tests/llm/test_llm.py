@@ -286,3 +286,20 @@ def test_urls_recurring_concatenated_hosts(spark):
     got = {r["host"]: r["verdict"] for r in urls.judge(df, model, ()).collect()}
     assert {h for h, v in got.items() if v == "block"} >= {"casinowin.com", "freebets.org", "casino-win.net", "freecasino.com"}
     assert got["good-news.net"] == got["better.com"] == got["alphabet.com"] == got["newsroom.com"] == "allow"
+
+
+def test_pii_long_lists_of_numbers():
+    weights = pii.train()
+    for n in (30, 300):
+        for gap in (" ", " - ", "  "):
+            numbers = [f"555-{i % 900 + 100}-{i * 37 % 9000 + 1000}" for i in range(n)]
+            text = gap.join(numbers)
+            want, at = [], 0
+            for x in numbers:
+                want.append(("phone", at, at + len(x)))
+                at += len(x) + len(gap)
+            assert pii.find_spans(text, weights) == ([], want)
+            # whatever stands before them, and so wherever a window ends
+            for before in range(0, 12, 5):
+                lead = "7 " * before
+                assert pii.find_spans(lead + text, weights)[1] == pii.segment(lead + text, 0, len(lead + text), weights)
