@@ -4,7 +4,7 @@ The base finds e-mail addresses, IPv4 addresses, card numbers and telephone
 numbers by fixed patterns.  A semi-Markov conditional random field then reads
 what the base leaves over near digits and ``@``: it cuts a region into atoms
 (digit groups, words, single marks), scores whole candidate spans of at most
-``MAX_ATOMS`` atoms with span features (candidates: spans whose digit, dot and sign counts a kind
+``MAX_ATOMS`` atoms, or e-mail addresses from a region's begin on, with span features (candidates: spans whose digit, dot and sign counts a kind
 allows; digit count, checksum, shape, borders,
 the word before), and a dynamic program over (end of span, number of entities)
 chooses boundaries and types jointly.  Its weights are fitted here, by
@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 KINDS = ("email", "ip", "card", "phone")
-#: Atoms in a span and in a window at most, letters in a span at least, words that announce data.
-MAX_ATOMS, WINDOW, LEAST = 13, 640, 7
+#: Atoms in a span (15 digits with two marks between each have 43) and in a window (an e-mail region has 547 at most) at most, letters in a span at least, words that announce data.
+MAX_ATOMS, WINDOW, LEAST = 43, 640, 7
 CUES = {"card": {"card", "visa", "mastercard", "karte", "carte", "tarjeta"}, "phone": {"phone", "tel", "call", "mobile", "telefon", "téléphone", "teléfono"}, "email": {"email", "mail", "contact"}, "ip": {"ip", "host", "server", "addr", "address"}}
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -91,7 +91,7 @@ ATOM = re.compile(r"[0-9]+|[^\W\d_]+|[^\w\s]|_|\s+|.", re.S)
 REGION = re.compile(r"[+(]?[0-9][0-9 ().-]{6,}[0-9]|[A-Za-z0-9._%+-]{1,64} ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]{1,64}(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,64}){1,6}")
 SHAPES = {
     "card": re.compile(r"[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{2,7}|[0-9]{14,19}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5}"),
-    "phone": re.compile(r"(?:\+?[0-9]{1,3}[ .-])?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}"),
+    "phone": re.compile(r"(?:\+?[0-9]{1,3}[ .-])?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}|(?:\+|00)[0-9]{1,3}[ .-]?(?:\(0\)[ .-]?)?[0-9]{1,4}(?:[ .-][0-9]{2,4}){2,5}"),
     "ip": re.compile(r"[0-9]{1,3}(?: ?\. ?[0-9]{1,3}){3}"),
     "email": re.compile(r"[A-Za-z0-9._%+-]+ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]+)+"),
 }
@@ -133,10 +133,14 @@ def segment(text: str, start: int, end: int, weights: dict[str, float], gold: se
         dots.append(dots[-1] + (text[a] == "."))
         signs.append(signs[-1] + (text[a] == "@" or text[a:b] == "at"))
     best: list[list] = [[(0.0, None)]]
+    near = 0  # from here on a span has at most 19 digits
     for j in range(1, n + 1):
         row = [(s, (j - 1, e, None)) for e, (s, _) in enumerate(best[j - 1])]
         if not text[atoms[j - 1][1] - 1].isspace():
-            for i in range(max(0, j - MAX_ATOMS), j):
+            while digits[j] - digits[near] > 19:
+                near += 1
+            first = max(0, j - MAX_ATOMS)
+            for i in [*([0] if first else []), *range(first, j)] if signs[j] else range(max(near, first), j):
                 a, b = atoms[i][0], atoms[j - 1][1]
                 if b - a < LEAST or text[a].isspace():
                     continue
@@ -149,6 +153,7 @@ def segment(text: str, start: int, end: int, weights: dict[str, float], gold: se
                     score = sum(weights.get(f, 0.0) for f in span_features(kind, span, before, after))
                     if score <= 0:
                         continue
+                    score += (b - a) * 1e-6  # of equal ones, what covers more
                     for e, (s, _) in enumerate(best[i]):
                         total = s + score
                         if e + 1 == len(row):

@@ -303,3 +303,15 @@ def test_pii_long_lists_of_numbers():
             for before in range(0, 12, 5):
                 lead = "7 " * before
                 assert pii.find_spans(lead + text, weights)[1] == pii.segment(lead + text, 0, len(lead + text), weights)
+
+
+def test_pii_every_form_of_the_generator():
+    weights = pii.train()
+    emails = [f"ab12{at}mail1{dot}org" for at in (" @ ", " (at) ", " [at] ") for dot in (".", " (dot) ", " [dot] ")]
+    emails += ["jane.doe (at) mail (dot) org", "jane (at) mail (dot) example (dot) org", "a1.b2-c3 [at] " + " [dot] ".join(f"x{i}" for i in range(7))]
+    # the longest local part and labels that the field looks at
+    emails.append("a1" * 32 + " (at) " + " (dot) ".join(["b2" * 32] * 7))
+    for text in emails:
+        assert pii.find_spans(f"see {text}, or", weights)[1] == [("email", 4, 4 + len(text))]
+    for text in ("555-123-4567", "(555) 123-4567", "555.123.4567", "1 555-123-4567", "0033 (0)1 23 45 67 89"):
+        assert pii.find_spans(f"call {text}, or", weights)[1] == [("phone", 5, 5 + len(text))]
