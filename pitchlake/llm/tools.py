@@ -30,8 +30,6 @@ from pitchlake.llm.common import written
 SCHEMAS = {"reply": {"after": ("string", False), "text": ("string", True), "turn": ("integer", True)}}
 #: What schema_of_variant calls the JSON types.
 TYPES = {"string": ("STRING",), "integer": ("BIGINT",), "number": ("BIGINT", "DOUBLE", "DECIMAL"), "boolean": ("BOOLEAN",), "object": ("OBJECT",), "array": ("ARRAY",)}
-#: Rounds of ordering before what still moves counts as a cycle.
-MAX_ROUNDS = 64
 
 
 def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -66,10 +64,11 @@ def argument_errors(tool: Column, args: Column, schemas: dict) -> Column:
     return F.filter(F.array(*out), lambda e: e.isNotNull())
 
 
-def topological(calls: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def topological(calls: DataFrame) -> DataFrame:
     """``conv_id, call_id, order_turn, order_depth, missing``: the stable topological key of each (unique) call.
 
     key = (turn, 0), raised to (t, d + 1) by a dependency with key (t, d) of the same or a later turn.
+    Without a cycle no chain has more calls than its conversation, so what moves in more rounds is one or lies behind one.
     """
     nodes = calls.select("conv_id", "call_id", "turn")
     edges = calls.select("conv_id", "call_id", "turn", F.explode(F.array_distinct("depends")).alias("dep"))
@@ -81,7 +80,11 @@ def topological(calls: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     stuck = None
     if not links.filter("dep_turn >= turn").isEmpty():
         keys = written(moved, "keys")
-        for n in range(max_rounds):
+        # calls that depend on nothing never move
+        dependent = links.join(moved.select("conv_id").distinct(), "conv_id", "left_semi").select("conv_id", "call_id").distinct()
+        most = dependent.groupBy("conv_id").count().agg(F.max("count")).first()[0]
+        # keys only rise; what isn't in a cycle has settled in the first half, and a cycle moves all of its calls in the second
+        for n in range(2 * most + 2):
             now = links.join(keys.select("conv_id", F.col("call_id").alias("dep"), "t", "d"), ["conv_id", "dep"], "left")
             key = F.struct(F.coalesce("t", "dep_turn").alias("t"), (F.coalesce("d", F.lit(0)) + 1).alias("d"))
             new = now.filter(F.coalesce("t", "dep_turn") >= F.col("turn")).groupBy("conv_id", "call_id").agg(F.min("turn").alias("turn"), F.max(key).alias("k"))
@@ -90,8 +93,11 @@ def topological(calls: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
             keys, done = new, changed.isEmpty()
             if done:
                 break
+            if n == most:
+                settled = keys
         else:
-            stuck = written(changed.select("conv_id", "call_id").withColumn("stuck", F.lit(True)), "stuck")
+            late = keys.join(settled, ["conv_id", "call_id", "t", "d"], "left_anti")
+            stuck = written(late.select("conv_id", "call_id").withColumn("stuck", F.lit(True)), "stuck")
         moved = keys
     out = nodes.join(moved.select("conv_id", "call_id", "t", "d"), ["conv_id", "call_id"], "left").join(missing, ["conv_id", "call_id"], "left")
     if stuck is not None:

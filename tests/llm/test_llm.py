@@ -315,3 +315,10 @@ def test_pii_every_form_of_the_generator():
         assert pii.find_spans(f"see {text}, or", weights)[1] == [("email", 4, 4 + len(text))]
     for text in ("555-123-4567", "(555) 123-4567", "555.123.4567", "1 555-123-4567", "0033 (0)1 23 45 67 89"):
         assert pii.find_spans(f"call {text}, or", weights)[1] == [("phone", 5, 5 + len(text))]
+
+
+def test_tools_long_forward_chain(spark):
+    # call i depends on call i + 1, which comes later
+    rows = [(1, i, f"c{i}", [f"c{i + 1}"] if i < 99 else []) for i in range(100)]
+    got = {(r["conv_id"], r["call_id"]): (r["order_turn"], r["order_depth"]) for r in tools.topological(spark.createDataFrame(rows, "conv_id long, turn int, call_id string, depends array<string>")).collect()}
+    assert got == {(1, f"c{i}"): (99, 99 - i) for i in range(100)}
