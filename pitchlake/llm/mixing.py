@@ -1,32 +1,43 @@
 """Language-model scores: token unigrams, and online logistic mixing of bit predictors.
 
-Base.  Token counts of all training texts give a smoothed unigram score.
-Frequent tokens (at most ``FREQUENT`` can be so frequent) are broadcast, the
-others meet their counts in a shuffle of narrow rows.
+Base.  Token counts of all training texts give a smoothed unigram score.  A
+token's key is its bytes (up to 15) or 120 bits of its digest, so counting needs
+no strings.  Frequent tokens (at most ``FREQUENT`` can be so frequent) are
+broadcast, the others meet their counts in a shuffle of narrow rows.
 
 Model.  A text is the bytes of its lower-cased form and one end symbol.  Each
 symbol is a path of binary decisions in a Huffman tree chosen by the two bytes
 before it where they are frequent, else by the last one, so likely symbols take
-few bits.  Every bit is predicted by several tables of counts, addressed by a hash
-of a context (of several lengths, and the word so far) and the tree node.  All training texts fill the tables: partial
-tables of a task's texts are packed into compressed slices and added up by
-slice.  To score, the predictions are stretched and mixed with weights picked
-by a gate (how much the longest contexts have been seen); each text starts from
-the same weights and learns online, a block of symbols at a time, and a last
-adaptive stage corrects the mix by its own scale and bias.  Later symbols never
-influence earlier probabilities, so the product is a probability of the text.
+few bits.  Every bit has five predictors.  Four are tables of counts over all
+training texts, addressed by a hash of a context (``CONTEXTS``) and the tree
+node.  The fifth belongs to the text: small counters, addressed by the first
+context's hash, that move towards every bit as it comes.  The stretched
+predictions are summed with weights picked by a gate (how much of the longer
+contexts has been seen), the weights take a gradient step after every bit, and
+an adaptive map from mixed to observed probability is averaged in and updated
+likewise.  Later bits never influence earlier probabilities, so the product is
+a probability of the text.  Every ``LANE`` bits a text's own state (weights,
+counters, map) starts anew from the shared one: then the pieces of a batch can
+step side by side, a bit of all of them at a time, and a long text costs no
+more a byte than short ones.
+
+What the model gathers: the vocabulary grows with the corpus, and every count
+is exact.  The four tables have 2**SLOT_BITS slots whatever the corpus, because
+each worker holds them; contexts beyond that share slots, so longer contexts
+tell less apart as the corpus grows, and the weights of their gate fall.  The
+trees likewise: at most ``TREE_SHARE`` contexts have one of their own.
 
 Null texts count as empty (one end symbol).  Rows with a null id are training
 rows.  Repeated rows count and are scored each.  Other columns are not read.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import math
-import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,37 +50,102 @@ from pyspark.sql import functions as F
 from pitchlake.llm.common import written
 
 FOLDS, HELD = 7, 2
-#: Tokens with at least this share of all tokens are broadcast: at most its inverse many.
-FREQUENT = 1 << 17
+#: Tokens with at least this share of all tokens are broadcast: at most its inverse many, 24 bytes each.
+FREQUENT = 1 << 20
 #: log2 of a table's slots and of a slice's.
 SLOT_BITS, SLICE_BITS = 22, 18
 #: Contexts: so many bytes before the symbol, or the word so far.
 CONTEXTS = ("bytes4", "bytes6", "bytes12", "word")
 PAD = b"\n" * 16
-#: Symbols of a block between updates, gates, learning rates of the weights and of the last stage.
-BLOCK, GATES, RATE, LAST_RATE = 192, 4, 0.05, 0.02
+#: Bits between fresh starts, gates, log2 of a piece's own counters, steps of its map, and bits handled between reorderings.
+LANE, GATES, LOCAL_BITS, STEPS, WINDOW = 4096, 6, 8, 33, 64
+#: First weights of the shared and the own predictor; rates of weights, own counters and map.
+WEIGHT, OWN_WEIGHT, RATE, OWN_RATE, MAP_RATE = np.float32(0.38), np.float32(0.25), np.float32(0.03), np.float32(0.32), np.float32(0.012)
+#: Bytes of text that step side by side; symbols whose bits are unfolded at once.
+GROUP, PIECE = 2_000_000, 32_768
 END = 256
 #: log2 of the tree contexts, the share of all symbols a context needs for a tree of its own, and the least count.
 TREE_BITS, TREE_SHARE, TREE_LEAST = 16, 1 << 13, 64
 
-TOKEN = re.compile(r"[^ \t-\r]+")
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+BLANK = np.zeros(256, bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
 ODD32 = np.uint32(0x9E3779B1)
 ODD64 = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+#: Highest byte of a token key's second half: the length, or one of these.
+LONG, LAST, PAIR = 0xFF, 0xFE, 0xFD
 
 
 def held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % FOLDS == HELD
 
 
-def lowered(text: str | None) -> str:
+def lowered(text: bytes | None) -> bytes:
     """``text`` with A-Z as a-z and all else as it is."""
-    return (text or "").encode("utf-8", "surrogatepass").translate(LOWER).decode("utf-8", "surrogatepass")
-
-
-def tokens(text: str) -> list[str]:
-    """Runs of characters other than ASCII white space (``bytes.split`` has the same blanks)."""
-    return TOKEN.findall(text)
+    return (text or b"").translate(LOWER)
+
+
+# --- tokens --------------------------------------------------------------------
+
+
+def token_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Both halves of the key of every token, text after text, and how many tokens each text has (the end apart)."""
+    data = np.frombuffer(b"\n".join([*texts, PAD]), np.uint8)
+    edge = np.diff(BLANK[data].view(np.int8), prepend=np.int8(1))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    size = ends - starts
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    keep = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+    first = eight.take(starts) & keep[np.minimum(size, 8)]
+    second = eight.take(np.minimum(starts + 8, len(eight) - 1)) & keep[np.clip(size - 8, 0, 7)] | size.astype(np.uint64) << np.uint64(56)
+    for i in np.flatnonzero(size > 15):
+        digest = hashlib.blake2b(data[starts[i] : ends[i]], digest_size=15).digest()
+        first[i] = int.from_bytes(digest[:8], "little")
+        second[i] = int.from_bytes(digest[8:], "little") | LONG << 56
+    bounds = np.cumsum([len(t) + 1 for t in texts])
+    return first, second, np.diff(np.searchsorted(starts, bounds), prepend=0)
+
+
+def spread(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of keys."""
+    x = (first ^ (first >> np.uint64(29))) * ODD64[0] + second * ODD64[1]
+    return (x ^ (x >> np.uint64(32))) * ODD64[2]
+
+
+def tallied(first: np.ndarray, second: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys with their counts added up; a key may remain more than once, should hashes collide."""
+    order = np.argsort(spread(first, second))
+    first, second = first[order], second[order]
+    new = np.flatnonzero(np.concatenate([np.ones(min(1, len(first)), bool), (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
+    return first[new], second[new], np.add.reduceat(count[order], new) if len(new) else count
+
+
+class Frequent:
+    """Logarithms of the counts of frequent tokens, found by key."""
+
+    def __init__(self, first: np.ndarray, second: np.ndarray, logs: np.ndarray):
+        self.bits = max(1, len(first)).bit_length()
+        order = np.argsort(spread(first, second))
+        self.first, self.second, self.logs = first[order], second[order], logs[order]
+        bucket = (spread(self.first, self.second) >> np.uint64(64 - self.bits)).astype(np.int64)
+        self.begin = np.searchsorted(bucket, np.arange((1 << self.bits) + 1))
+        self.most = int(np.diff(self.begin).max(initial=0))
+
+    def find(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The logarithm for each key, NaN where it isn't frequent."""
+        out = np.full(len(first), np.nan)
+        bucket = (spread(first, second) >> np.uint64(64 - self.bits)).astype(np.int64)
+        at, stop = self.begin.take(bucket), self.begin.take(bucket + 1)
+        left = np.flatnonzero(at < stop)
+        for _ in range(self.most):
+            here = at[left]
+            hit = (self.first.take(here) == first[left]) & (self.second.take(here) == second[left])
+            out[left[hit]] = self.logs[here[hit]]
+            at[left] += 1
+            left = left[~hit & (here + 1 < stop[left])]
+            if not len(left):
+                break
+        return out
 
 
 # --- trees -------------------------------------------------------------------
@@ -146,7 +222,6 @@ class Symbols:
         total = int(sizes.sum())
         self.text = np.repeat(np.arange(len(texts)), sizes)
         at = np.arange(total) + np.repeat((len(PAD) - 1) * np.arange(len(texts)) + len(PAD), sizes)
-        self.place = np.arange(total) - np.repeat(first, sizes)
         self.symbol = data[at].astype(np.int32)
         self.symbol[first + sizes - 1] = END
         self.last = data[at - 1]
@@ -172,32 +247,43 @@ class Symbols:
         return (sums - sums[start]) * inverse[start]
 
 
-def bits(s: Symbols, trees: Trees, take: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Decisions of the chosen symbols: how many each has, then for every decision its bit, and slot in each table."""
-    at = trees.rows(s.context[take], s.last[take]).astype(np.int64) * 257 + s.symbol[take]
-    code, length = trees.code.ravel()[at], trees.length.ravel()[at].astype(np.int64)
+def bits(s: Symbols, trees: Trees, begin: int, end: int) -> tuple[np.ndarray, np.ndarray, Iterator[np.ndarray]]:
+    """Decisions of the symbols from ``begin`` to ``end``: how many each has, then for every decision its bit, and one array of slots a table."""
+    at = trees.rows(s.context[begin:end], s.last[begin:end]) * np.int64(257) + s.symbol[begin:end]
+    code, length = trees.code.ravel().take(at), trees.length.ravel().take(at).astype(np.int64)
     ends = np.cumsum(length)
-    total = int(ends[-1]) if len(ends) else 0
-    left = np.repeat(ends.astype(np.uint32), length) - np.arange(1, total + 1, dtype=np.uint32)
+    owner = np.repeat(np.arange(end - begin), length)
+    left = ends.astype(np.uint32).take(owner)
+    left -= np.arange(1, len(owner) + 1, dtype=np.uint32)
     # a leading one, then the code: cut off after the bit, it names the node below
-    prefix = np.repeat(code | np.uint32(1) << length.astype(np.uint32), length) >> left
-    bit = (prefix & np.uint32(1)).astype(np.uint8)
-    node = (prefix >> np.uint32(1)) * ODD32
-    slots = [((np.repeat(h[take], length) ^ node) * np.uint32(0x85EBCA6B) >> np.uint32(32 - SLOT_BITS)).astype(np.int64) for h in s.hashes]
-    return length, bit, ends, slots
+    node = (code | np.uint32(1) << length.astype(np.uint32)).take(owner) >> left
+    bit = node & np.uint32(1)
+    node >>= np.uint32(1)
+    node *= ODD32
+
+    def slots() -> Iterator[np.ndarray]:
+        for h in s.hashes:
+            slot = h[begin:end].take(owner)
+            slot ^= node
+            slot *= np.uint32(0x85EBCA6B)
+            slot >>= np.uint32(32 - SLOT_BITS)
+            yield slot
+
+    return length, bit, slots()
 
 
-def in_groups(batch: pa.RecordBatch, limit: int = 1_000_000) -> Iterator[tuple[list, list[bytes]]]:
-    """(ids, lower-cased texts as bytes) of about so many bytes each."""
+def in_groups(batches: Iterator[pa.RecordBatch], limit: int = GROUP) -> Iterator[tuple[list, list[bytes]]]:
+    """(ids, lower-cased texts as bytes) of about so many bytes each, whatever the batches."""
     ids, out, size = [], [], 0
-    for d, t in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
-        b = (t.as_py() or b"").translate(LOWER)
-        ids.append(d)
-        out.append(b)
-        size += len(b)
-        if size >= limit:
-            yield ids, out
-            ids, out, size = [], [], 0
+    for batch in batches:
+        for d, t in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+            b = lowered(t.as_py())
+            ids.append(d)
+            out.append(b)
+            size += len(b) + 64
+            if size >= limit:
+                yield ids, out
+                ids, out, size = [], [], 0
     if ids:
         yield ids, out
 
@@ -205,219 +291,297 @@ def in_groups(batch: pa.RecordBatch, limit: int = 1_000_000) -> Iterator[tuple[l
 # --- training ------------------------------------------------------------------
 
 
-def count_pairs(train: DataFrame) -> list[tuple[int, int, int]]:
-    """(context, symbol, count) of the contexts frequent enough for a tree, and of every last byte.
+def count_all(train: DataFrame) -> DataFrame:
+    """``k1, k2, c``: the counts of all tokens and of all pairs (tree context, symbol), in one pass over the texts."""
 
-    At most ``TREE_SHARE + 256`` contexts can be, so the rows collected are bounded whatever the corpus.
-    """
+    def rows(first: np.ndarray, second: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for lo in range(0, len(first), 200_000):
+            part = slice(lo, lo + 200_000)
+            yield pa.RecordBatch.from_arrays([pa.array(first[part].view(np.int64)), pa.array(second[part].view(np.int64)), pa.array(count[part])], names=["k1", "k2", "c"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        pairs, pair_counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         lasts = np.zeros(256 << 9, np.int64)
-        for batch in batches:
-            for _, texts in in_groups(batch, 4_000_000):
-                s = Symbols(texts, hashes=False)
-                lasts += np.bincount(s.last.astype(np.int64) << 9 | s.symbol, minlength=len(lasts))
-                k, n = np.unique(s.context.astype(np.uint32) << np.uint32(9) | s.symbol.astype(np.uint32), return_counts=True)
-                keys, inv = np.unique(np.concatenate([keys, k]), return_inverse=True)
-                counts = np.bincount(inv, weights=np.concatenate([counts, n])).astype(np.int64)
-        k = np.flatnonzero(lasts)
-        keys = np.concatenate([keys.astype(np.int64), k + (1 << TREE_BITS + 9)])
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate([counts, lasts[k]]))], names=["k", "n"])
-
-    pairs = written(train.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).select(F.shiftright("k", 9).alias("context"), "k", "n"), "pairs")
+        held: list[tuple] = []
+        texts_seen = 0
+        for _, texts in in_groups(batches):
+            s = Symbols(texts, hashes=False)
+            lasts += np.bincount(s.last.astype(np.int64) << 9 | s.symbol, minlength=len(lasts))
+            k, n = np.unique(s.context.astype(np.uint32) << np.uint32(9) | s.symbol.astype(np.uint32), return_counts=True)
+            pairs, inv = np.unique(np.concatenate([pairs, k]), return_inverse=True)
+            pair_counts = np.bincount(inv, weights=np.concatenate([pair_counts, n])).astype(np.int64)
+            first, second, _ = token_keys(texts)
+            held.append(tallied(first, second, np.ones(len(first), np.int64)))
+            texts_seen += len(texts)
+            if sum(len(h[0]) for h in held) > 1_500_000:
+                yield from rows(*tallied(*(np.concatenate(c) for c in zip(*held, strict=True))))
+                held = []
+        if texts_seen:
+            k = np.flatnonzero(lasts)
+            numbers = np.concatenate([pairs.astype(np.uint64), (k + (1 << TREE_BITS + 9)).astype(np.uint64)])
+            held.append((numbers, np.full(len(numbers), PAIR << 56, np.uint64), np.concatenate([pair_counts, lasts[k]])))
+            held.append((np.zeros(1, np.uint64), np.full(1, LAST << 56, np.uint64), np.array([texts_seen])))
+            yield from rows(*tallied(*(np.concatenate(c) for c in zip(*held, strict=True))))
+
+    return written(train.mapInArrow(run, "k1 long, k2 long, c long").groupBy("k1", "k2").agg(F.sum("c").alias("c")), "counts")
+
+
+def is_pair() -> F.Column:
+    return F.shiftrightunsigned("k2", 56) == PAIR
+
+
+def tree_counts(counts: DataFrame) -> list[tuple[int, int, int]]:
+    """(context, symbol, count) of the contexts frequent enough for a tree, and of every last byte.
+
+    At most ``TREE_SHARE + 256`` contexts can be, so the rows collected are bounded whatever the corpus.
+    """
+    pairs = counts.filter(is_pair()).select(F.shiftright("k1", 9).alias("context"), "k1", "c")
     last_byte = F.col("context") >= 1 << TREE_BITS
-    sums = pairs.groupBy("context").agg(F.sum("n").alias("total"))
+    sums = pairs.groupBy("context").agg(F.sum("c").alias("total"))
     every = sums.filter(last_byte).agg(F.sum("total")).first()[0] or 0
     least = max(TREE_LEAST, -(-every // TREE_SHARE))
     wanted = sums.filter(last_byte | (F.col("total") >= least)).select("context")
-    rows = pairs.join(wanted, "context", "left_semi").select("context", "k", "n").collect()
+    rows = pairs.join(wanted, "context", "left_semi").select("context", "k1", "c").collect()
     return [(c, k & 511, n) for c, k, n in rows]
 
 
-class Counts:
-    """Exact counts of numbers under ``size``: two bytes each, and what outgrows them in a map.
-
-    A count of ``HALF`` moves to the map before it could wrap; so many need as many
-    times ``HALF`` numbers, so the map stays small.
-    """
-
-    HALF = 1 << 15
-
-    def __init__(self, size: int):
-        self.low = np.zeros(size, np.uint16)
-        self.high: dict[int, int] = {}
+def packed(counts: np.ndarray) -> bytes:
+    """A slice's counts, in two bytes each where they fit."""
+    return zstandard.ZstdCompressor(level=1).compress(counts.astype(np.uint16 if counts.max(initial=0) < 1 << 16 else np.uint32).tobytes())
 
-    def add(self, numbers: np.ndarray) -> None:
-        for at in range(0, len(numbers), self.HALF):
-            some = numbers[at : at + self.HALF]
-            np.add.at(self.low, some, np.uint16(1))
-            for i in set(some[self.low[some] >= self.HALF].tolist()):
-                self.high[i] = self.high.get(i, 0) + int(self.low[i])
-                self.low[i] = 0
 
-    def parts(self, slices: int) -> Iterator[tuple[bytes, bytes]]:
-        """For each slice the two-byte counts, and pairs (place, more) for those with more."""
-        size = len(self.low) // slices
-        for k in range(slices):
-            more = [(i - k * size, n) for i, n in self.high.items() if i // size == k]
-            yield self.low[k * size : (k + 1) * size].tobytes(), np.array(more, np.int64).tobytes()
+def unpacked(raw: bytes) -> np.ndarray:
+    data = zstandard.ZstdDecompressor().decompress(raw)
+    return np.frombuffer(data, np.uint16 if len(data) == 4 << SLICE_BITS else np.uint32)
 
 
-def added(low: bytes, high: bytes) -> np.ndarray:
-    """The counts of a slice from its two parts."""
-    out = np.frombuffer(low, np.uint16).astype(np.int64)
-    more = np.frombuffer(high, np.int64).reshape(-1, 2)
-    out[more[:, 0]] += more[:, 1]
-    return out
+def count_tables(train: DataFrame, trees: Trees, most: int = 1 << 31) -> list[np.ndarray]:
+    """For each context the counts of zeros and ones, as one state (see :func:`states`) a slot.
 
-
-def count_tables(train: DataFrame, trees: Trees) -> list[np.ndarray]:
-    """For each context the counts of zeros and ones, as one byte (see :func:`compress`) a slot."""
+    A task hands its counters on after ``most`` bits, before one of four bytes can overflow; they are added up exactly.
+    """
     shared = train.sparkSession.sparkContext.broadcast(trees)
     slices = 1 << (SLOT_BITS - SLICE_BITS)
 
+    def parts(counts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for i, c in enumerate(counts):
+            for k in range(slices):
+                raw = packed(c[k << SLICE_BITS + 1 : k + 1 << SLICE_BITS + 1])
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([k], pa.int32()), pa.array([raw], pa.binary())], names=["context", "slice", "counts"])
+            c[:] = 0
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = [Counts(2 << SLOT_BITS) for _ in CONTEXTS]
-        some = False
-        for batch in batches:
-            for _, texts in in_groups(batch):
-                _, bit, _, slots = bits(Symbols(texts), shared.value, slice(None))
-                some = True
+        counts: list[np.ndarray] = []
+        seen = 0
+        for _, texts in in_groups(batches, 500_000):
+            counts = counts or [np.zeros(2 << SLOT_BITS, np.uint32) for _ in CONTEXTS]
+            s = Symbols(texts)
+            for lo in range(0, len(s.symbol), PIECE):
+                _, bit, slots = bits(s, shared.value, lo, min(lo + PIECE, len(s.symbol)))
+                seen += len(bit)
                 for c, slot in zip(counts, slots, strict=True):
-                    c.add(slot * 2 + bit)
-        if some:
-            pack = zstandard.ZstdCompressor(level=1)
-            for i, c in enumerate(counts):
-                low, high = zip(*((pack.compress(a), b) for a, b in c.parts(slices)), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array([i] * slices, pa.int32()), pa.array(range(slices), pa.int32()), pa.array(low, pa.binary()), pa.array(high, pa.binary())], names=["context", "slice", "counts", "more"])
+                    slot <<= np.uint32(1)
+                    slot |= bit
+                    np.add.at(c, slot.astype(np.int64), np.uint32(1))
+                if seen >= most:
+                    yield from parts(counts)
+                    seen = 0
+        if seen:
+            yield from parts(counts)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sums the parts of a slice that lie in this partition, one after another."""
         sums: dict[tuple[int, int], np.ndarray] = {}
-        open_ = zstandard.ZstdDecompressor()
         for batch in batches:
-            for i, k, low, high in zip(*(batch.column(n).to_pylist() for n in range(4)), strict=True):
-                part = added(open_.decompress(low), high)
-                sums[i, k] = sums[i, k] + part if (i, k) in sums else part
+            for i, k, raw in zip(*(batch.column(n) for n in range(3)), strict=True):
+                key = i.as_py(), k.as_py()
+                if key not in sums:
+                    sums[key] = np.zeros(2 << SLICE_BITS, np.int64)
+                sums[key] += unpacked(raw.as_py())
         for (i, k), c in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([k], pa.int32()), pa.array([zlib.compress(compress(c).tobytes(), 1)], pa.binary())], names=["context", "slice", "state"])
+            raw = zstandard.ZstdCompressor(level=1).compress(states(c).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([k], pa.int32()), pa.array([raw], pa.binary())], names=["context", "slice", "state"])
 
-    parts = train.mapInArrow(run, "context int, slice int, counts binary, more binary")
-    dealt = parts.repartition(len(CONTEXTS) * slices, "context", "slice")
-    tables = [np.zeros(1 << SLOT_BITS, np.uint16) for _ in CONTEXTS]
+    dealt = train.mapInArrow(run, "context int, slice int, counts binary").repartition(len(CONTEXTS) * slices, "context", "slice")
+    tables = [np.full(1 << SLOT_BITS, UNSEEN, np.uint16) for _ in CONTEXTS]
     size = 1 << SLICE_BITS
-    # the model's size is fixed by its parameters, whatever the corpus
+    # the tables' size is fixed by the parameters, whatever the corpus
     for i, k, raw in dealt.mapInArrow(add, "context int, slice int, state binary").collect():
-        tables[i][k * size : (k + 1) * size] = np.frombuffer(zlib.decompress(raw), np.uint16)
+        tables[i][k * size : (k + 1) * size] = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint16)
     return tables
 
 
-LEVELS = 255
-SURE = 8
+#: How far a stretched probability counts after 0, 1, 3, 7, ... observations, and the scale of states.
+TRUST = np.array([0.0, 0.6, 0.75, 0.85, 0.92, 0.96, 0.98, 1.0])
+SCALE = np.float32(16 / 65536)
+UNSEEN = 1 << 15
 
 
-def compress(counts: np.ndarray) -> np.ndarray:
-    """(zeros, ones) pairs -> level of the stretched probability (low byte) and sureness (high byte)."""
+def states(counts: np.ndarray) -> np.ndarray:
+    """(zeros, ones) pairs -> one number: a mixer input of -8 to 8 in its twelve high bits, sureness in its three low ones."""
     n0, n1 = counts[0::2].astype(np.float64), counts[1::2].astype(np.float64)
-    stretch = np.clip(np.log((n1 + 0.4) / (n0 + 0.4)), -8, 8)
-    level = np.round((stretch + 8) / 16 * LEVELS).astype(np.uint16)
-    sure = np.minimum(np.log2(n0 + n1 + 1), SURE - 1).astype(np.uint16)
-    return sure << 8 | level
+    sure = np.minimum(np.log2(n0 + n1 + 1), len(TRUST) - 1).astype(np.int64)
+    stretch = np.clip(np.log((n1 + 0.4) / (n0 + 0.4)), -8, 7.99) * TRUST[sure]
+    return ((np.round((stretch + 8) * 256).astype(np.int64) << 4) | sure).astype(np.uint16)
 
 
-_STATE = np.arange(SURE << 8)
-#: A state's input to the mixer: few observations pull it towards even odds.
-INPUT = (((_STATE & 255) / LEVELS * 16 - 8) * np.array([0.0, 0.6, 0.75, 0.85, 0.92, 0.96, 0.98, 1.0])[_STATE >> 8]).astype(np.float32)
+def squash(z: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """1 / (1 + exp(-z))."""
+    p = np.negative(z, out=out)
+    np.exp(p, out=p)
+    p += np.float32(1)
+    return np.reciprocal(p, out=p)
 
 
 class Model:
     def __init__(self, trees: Trees, tables: list[np.ndarray]):
         self.trees, self.tables = trees, tables
 
+    def _inputs(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For every bit of all texts its four shared inputs (one 16-byte number), and gate, bit and own counter; how many bits each text has."""
+        room = 8 * sum(len(t) + 1 for t in texts) + 64
+        inputs, notes, used = np.empty(room, np.complex128), np.empty(room, np.uint32), 0
+        per_text = np.zeros(len(texts), np.int64)
+        first = 0
+        while first < len(texts):
+            # the symbols of some texts at a time
+            last, size = first, 0
+            while last < len(texts) and size < 8 * PIECE:
+                size += len(texts[last])
+                last += 1
+            s = Symbols(texts[first:last])
+            for lo in range(0, len(s.symbol), PIECE):
+                hi = min(lo + PIECE, len(s.symbol))
+                length, bit, slots = bits(s, self.trees, lo, hi)
+                per_text[first:last] += np.bincount(s.text[lo:hi], weights=length, minlength=last - first).astype(np.int64)
+                end = used + len(bit)
+                if end > len(notes):
+                    inputs, notes = (np.concatenate([x[:used], np.empty(used + len(bit), x.dtype)]) for x in (inputs, notes))
+                rows = inputs[used:end].view(np.float32).reshape(-1, len(CONTEXTS))
+                sure = np.zeros(len(bit), np.uint16)
+                for i, (slot, table) in enumerate(zip(slots, self.tables, strict=True)):
+                    state = table.take(slot)
+                    rows[:, i] = state
+                    if i:
+                        state &= np.uint16(7)
+                        sure += state
+                    else:
+                        own = slot & np.uint32((1 << LOCAL_BITS) - 1)
+                rows *= SCALE
+                rows -= np.float32(8)
+                note = notes[used:end]
+                note[:] = np.minimum(sure // np.uint16(3), np.uint16(GATES - 1))
+                note |= bit << np.uint32(8)
+                note |= own << np.uint32(16)
+                used = end
+            first = last
+        return inputs[:used], notes[:used], per_text
+
     def scores(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """log10 probability of each text, and the bits it takes."""
-        s = Symbols(texts)
-        n = len(texts)
-        block = s.place // BLOCK
-        order = np.argsort(block, kind="stable")
-        cuts = np.concatenate([[0], np.cumsum(np.bincount(block))])
-        weights = np.full((len(CONTEXTS), n * GATES), 0.42, np.float32)
-        last = np.tile(np.array([[1.0], [0.0]], np.float32), n)
-        total = np.zeros(n)
-        b, blocks = 0, len(cuts) - 1
-        while b < blocks:
-            # prepare several blocks at once while they are small
-            e = b + 1
-            while e < blocks and cuts[e + 1] - cuts[b] <= 400_000:
-                e += 1
-            take = order[cuts[b] : cuts[e]]
-            length, bit, ends, slots = bits(s, self.trees, take)
-            states = [t[slot] for t, slot in zip(self.tables, slots, strict=True)]
-            inputs = [INPUT[x] for x in states]
-            sure = (states[-1] >> 8) + (states[-2] >> 8)
-            text = np.repeat(s.text[take], length)
-            place = text * GATES + np.minimum(sure // 3, GATES - 1)
-            edges = np.concatenate([[0], ends])[cuts[b : e + 1] - cuts[b]]
-            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                self._block([x[lo:hi] for x in inputs], place[lo:hi], text[lo:hi], bit[lo:hi], weights, last, total)
-            b = e
+        """log10 probability of each text, and the bits it takes.
+
+        Pieces of ``LANE`` bits step side by side, longest first, so that those still going on are the first ones.
+        """
+        inputs, notes, per_text = self._inputs(texts)
+        lanes = -(-per_text // LANE)
+        owner = np.repeat(np.arange(len(texts)), lanes)
+        begin = np.repeat(np.cumsum(per_text) - per_text, lanes) + LANE * (np.arange(len(owner)) - np.repeat(np.cumsum(lanes) - lanes, lanes))
+        size = np.diff(np.concatenate([begin, [len(notes)]]))
+        order = np.argsort(-size, kind="stable")
+        begin, size, owner = begin[order], size[order], owner[order]
+        going = (len(size) - np.searchsorted(size[::-1], np.arange(size[0]), side="right")).tolist()
+        mixer = Lanes(len(size))
+        logs = np.zeros(len(size))
+        for at in range(0, len(going), WINDOW):
+            n, steps = going[at], min(WINDOW, len(going) - at)
+            place = begin[:n] + np.arange(at, at + steps)[:, None]
+            np.minimum(place, len(notes) - 1, out=place)
+            x = inputs.take(place).view(np.float32).reshape(steps, n, 4)
+            note = notes.take(place)
+            bit = (note >> np.uint32(8) & np.uint32(1)).astype(np.float32)
+            right = mixer.steps(x, bit, (note & np.uint32(255)).astype(np.int64), (note >> np.uint32(16)).astype(np.int64), going[at : at + steps])
+            logs[:n] += np.log(right, out=right).sum(axis=0)
+        total = np.bincount(owner, weights=logs, minlength=len(texts))
         return total / math.log(10), -total / math.log(2)
 
-    @staticmethod
-    def _block(inputs: list[np.ndarray], place: np.ndarray, text: np.ndarray, bit: np.ndarray, weights: np.ndarray, last: np.ndarray, total: np.ndarray) -> None:
-        """Scores one block of every text in it, then lets the texts learn from it."""
-        begin = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
-        who = text[begin]
-        n = np.diff(np.concatenate([begin, [len(text)]]))
-        mix = np.zeros(len(text), np.float32)
-        for x, w in zip(inputs, weights, strict=True):
-            mix += x * w[place]
-        np.clip(mix, -12, 12, out=mix)
-        z = np.clip(np.repeat(last[0, who], n) * mix + np.repeat(last[1, who], n), -14, 14)
-        sign = bit.astype(np.float32) * np.float32(2) - np.float32(1)
-        right = 1 / (1 + np.exp(-sign * z))
-        total[who] += np.add.reduceat(np.log(right), begin, dtype=np.float64)
-        error = sign / (1 + np.exp(sign * mix))
-        for x, w in zip(inputs, weights, strict=True):
-            w += (RATE / math.sqrt(BLOCK)) * np.bincount(place, weights=error * x, minlength=len(w)).astype(np.float32)
-        np.clip(weights, -0.5, 2.0, out=weights)
-        late = sign * (1 - right)
-        step = np.float32(LAST_RATE / math.sqrt(BLOCK))
-        last[0, who] += step * np.add.reduceat(late * mix, begin) / 4
-        last[1, who] += step * np.add.reduceat(late, begin)
-        np.clip(last[0], 0.5, 1.6, out=last[0])
-        np.clip(last[1], -1.0, 1.0, out=last[1])
+
+class Lanes:
+    """The state of pieces of text that step side by side."""
+
+    def __init__(self, n: int):
+        self.weights = np.full((n * GATES, 4), WEIGHT, np.float32)
+        self.own_weights = np.full(n, OWN_WEIGHT, np.float32)
+        self.own = np.zeros(n << LOCAL_BITS, np.float32)
+        self.map = np.tile(squash(((np.arange(STEPS) - STEPS // 2) / 2).astype(np.float32)), n)
+        self.number = np.arange(n)
+
+    def steps(self, inputs: np.ndarray, bits_: np.ndarray, gates: np.ndarray, owns: np.ndarray, going: list[int]) -> np.ndarray:
+        """The probability given to each bit before it was learnt from; 1 where a piece has ended."""
+        f = np.float32
+        gates += self.number[: gates.shape[1]] * GATES
+        owns += self.number[: gates.shape[1]] << LOCAL_BITS
+        map_at = self.number * STEPS
+        whole = self.weights.view(np.complex128).ravel()
+        ones, half, low, high = np.ones(4, f), f(STEPS // 2 + 0.5), f(-8), f(8)
+        found = bits_.copy()
+        for t, n in enumerate(going):
+            x, bit, gate, slot, p = inputs[t, :n], bits_[t, :n], gates[t, :n], owns[t, :n], found[t, :n]
+            own = self.own.take(slot)
+            picked = whole.take(gate)
+            w = picked.view(f).reshape(n, 4)
+            z = (w * x) @ ones
+            z += self.own_weights[:n] * own
+            np.minimum(z, high, out=z)
+            np.maximum(z, low, out=z)
+            squash(z, out=p)
+            error = bit - p
+            # the own counter moves, in the stretched domain
+            step = squash(own)
+            np.subtract(bit, step, out=step)
+            step *= OWN_RATE
+            step += own
+            self.own[slot] = step
+            # the map: what came where the mix said this
+            z += z
+            z += half
+            place = z.astype(np.int64)
+            place += map_at[:n]
+            seen = self.map.take(place)
+            p += seen
+            p *= f(0.5)
+            np.subtract(bit, seen, out=step)
+            step *= MAP_RATE
+            step += seen
+            self.map[place] = step
+            error *= RATE
+            own *= error
+            self.own_weights[:n] += own
+            x *= error.repeat(4).reshape(n, 4)
+            w += x
+            whole[gate] = picked
+        # from the probability of a one to that of the bit; ended pieces hold their bit
+        found += bits_
+        found -= f(1)
+        return np.abs(found, out=found)
 
 
 # --- whole tables --------------------------------------------------------------
 
 
-def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
-    """The model, and the table ``token, c`` of training tokens (the empty token is the end)."""
-    narrow = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS))
-    train = narrow.filter(F.col("doc_id").isNull() | (fold != HELD))
+def narrow(docs: DataFrame) -> DataFrame:
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "replace") for w in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], names=["token", "c"])
+def fold() -> F.Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS))
 
-        for batch in batches:
-            for _, texts in in_groups(batch):
-                seen.update(b"\n".join(texts).split())
-                seen[b""] += len(texts)
-            if len(seen) > 400_000:
-                yield out()
-                seen.clear()
-        if seen:
-            yield out()
 
-    vocabulary = written(train.mapInArrow(count, "token string, c long").groupBy("token").agg(F.sum("c").alias("c")), "tokens")
-    trees = Trees(count_pairs(train))
-    return Model(trees, count_tables(train, trees)), vocabulary
+def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
+    """The model, and the table ``k1, k2, c`` of training tokens (the end is one of them)."""
+    train = narrow(docs).filter(F.col("doc_id").isNull() | (fold() != HELD))
+    counts = count_all(train)
+    trees = Trees(tree_counts(counts))
+    return Model(trees, count_tables(train, trees)), counts.filter(~is_pair())
 
 
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
@@ -426,49 +590,45 @@ SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 def score(docs: DataFrame, model: Model, vocabulary: DataFrame) -> DataFrame:
     """One row per document (``SCHEMA``)."""
     sc = docs.sparkSession.sparkContext
-    n, v = vocabulary.agg(F.sum("c"), F.count("*")).first()
-    n, v = int(n or 0), int(v)
+    n, v, ends = vocabulary.agg(F.sum("c"), F.count("*"), F.sum(F.when(F.shiftrightunsigned("k2", 56) == LAST, F.col("c")))).first()
+    n, v, ends = int(n or 0), int(v), int(ends or 0)
     least = max(2, -(-n // FREQUENT))
-    frequent = {r[0]: r[1] for r in vocabulary.filter(F.col("c") >= least).collect()}  # at most FREQUENT rows
-    shared = sc.broadcast((model, {w.encode(): math.log10(c + 1) for w, c in frequent.items()}))
+    common = vocabulary.filter(F.col("c") >= least).toArrow()  # at most FREQUENT rows
+    keys = [np.asarray(common.column(i).combine_chunks(), np.int64).view(np.uint64) for i in (0, 1)] if common.num_rows else [np.zeros(0, np.uint64)] * 2
+    logs = np.log10(np.asarray(common.column(2).combine_chunks(), np.float64) + 1) if common.num_rows else np.zeros(0)
+    shared = sc.broadcast((model, Frequent(*keys, logs)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model_, logs = shared.value
+        model_, frequent = shared.value
         uid = TaskContext.get().partitionId() << 36
-        for batch in batches:
-            for ids, texts in in_groups(batch):
-                scores, used = model_.scores(texts)
-                met: list[tuple] = []
-                own: list[tuple] = []
-                for i, d in enumerate(ids):
-                    words = Counter(texts[i].split())
-                    words[b""] = 1
-                    known, total = 0, 0.0
-                    for w, k in words.items():
-                        log = logs.get(w)
-                        if log is None:
-                            met.append((uid, w.decode("utf-8", "replace"), k))
-                        else:
-                            known += k
-                            total += k * log
-                    # the document's own row: its key is no token, and spreads
-                    own.append((uid, f"\n{uid}", 1, d, sum(words.values()), known, total, float(scores[i]), float(used[i] / max(1, len(texts[i])))))
-                    uid += 1
-                types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-                names = ["uid", "token", "k", "doc_id", "n_tokens", "known", "logs", "score", "bpb"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*own, strict=True), types, strict=True)], names=names)
-                if met:
-                    columns = [pa.array(c, t) for c, t in zip(zip(*met, strict=True), types, strict=False)]
-                    yield pa.RecordBatch.from_arrays(columns + [pa.nulls(len(met), t) for t in types[3:]], names=names)
-
-    narrow = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    rows = narrow.mapInArrow(run, "uid long, token string, k long, doc_id long, n_tokens long, known long, logs double, score double, bpb double")
+        for ids, texts in in_groups(batches):
+            scores, used = model_.scores(texts)
+            first, second, words = token_keys(texts)
+            found = frequent.find(first, second)
+            owner = np.repeat(np.arange(len(texts)), words)
+            rare = np.isnan(found)
+            known = np.bincount(owner, weights=~rare, minlength=len(texts)).astype(np.int64) + (ends > 0)
+            total = np.bincount(owner[~rare], weights=found[~rare], minlength=len(texts)) + math.log10(ends + 1)
+            m, r = len(texts), int(rare.sum())
+            numbers = uid + np.arange(m)
+            uid += m
+            columns = [
+                np.concatenate([numbers, numbers[owner[rare]]]),
+                # a document's own row: its key is no token's, and spreads
+                np.concatenate([numbers, first[rare].view(np.int64)]),
+                np.concatenate([np.full(m, -1), second[rare].view(np.int64)]),
+            ]
+            own = [pa.array(ids, pa.int64()), pa.array(words + 1), pa.array(known), pa.array(total), pa.array(scores), pa.array(used / np.maximum(1, [len(t) for t in texts]))]
+            names = ["uid", "k1", "k2", "doc_id", "n_tokens", "known", "logs", "score", "bpb"]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *(pa.concat_arrays([c, pa.nulls(r, c.type)]) for c in own)], names=names)
+
+    rows = narrow(docs).mapInArrow(run, "uid long, k1 long, k2 long, doc_id long, n_tokens long, known long, logs double, score double, bpb double")
     rest = vocabulary.filter(F.col("c") < least)
-    met = rows.join(rest, "token", "left")
+    met = rows.join(rest, ["k1", "k2"], "left")
     c = F.coalesce("c", F.lit(0))
-    known = F.coalesce("known", F.when(c > 0, F.col("k")), F.lit(0))
-    logs = F.coalesce("logs", F.col("k") * F.log10(c + 1))
-    docs_ = met.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum(known).alias("n_known"), F.sum(logs).alias("logs"), F.max("score").alias("score"), F.max("bpb").alias("bits_per_byte"))
-    held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)) == HELD, F.lit(False))
+    known = F.coalesce("known", F.when(c > 0, 1), F.lit(0))
+    logs_ = F.coalesce("logs", F.log10(c + 1))
+    docs_ = met.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum(known).alias("n_known"), F.sum(logs_).alias("logs"), F.max("score").alias("score"), F.max("bpb").alias("bits_per_byte"))
+    held = F.coalesce(fold() == HELD, F.lit(False))
     base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(n + v + 1))
     return docs_.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score", "bits_per_byte")

@@ -229,12 +229,18 @@ def test_tools_order_and_errors(spark):
     assert tools.link(calls.limit(0), results.limit(0)).count() == 0
 
 
+def mixing_tokens(text):
+    low = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    return re.findall(r"[^ \t-\r]+", low) + [""]
+
+
 def test_mixing_base_and_causality(spark, docs, odd):
-    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    extra = [(900_001, "ab" * 40 + " \0 \0\0 " + "x" * 15 + " " + "x" * 16 + " " + "x" * 17 + "\tÉé A\x1cb"), (900_002, "x" * 16)]
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string"))
     model, vocabulary = mixing.fit(df)
     got = {r["doc_id"]: r for r in mixing.score(df, model, vocabulary).collect()}
     counts, total = {}, 0
-    rows = [(r[0], mixing.tokens(mixing.lowered(r[1])) + [""]) for r in df.collect()]
+    rows = [(r[0], mixing_tokens(r[1])) for r in df.collect()]
     for i, words in rows:
         if not mixing.held_out(i):
             for w in words:
@@ -242,7 +248,7 @@ def test_mixing_base_and_causality(spark, docs, odd):
                 total += 1
     for i, words in rows:
         want = sum(np.log10((counts.get(w, 0) + 1) / (total + len(counts) + 1)) for w in words)
-        assert abs(got[i]["base_score"] - want) < 1e-6 * abs(want) and got[i]["n_known"] == sum(w in counts for w in words)
+        assert abs(got[i]["base_score"] - want) < 1e-6 * abs(want) and got[i]["n_known"] == sum(w in counts for w in words) and got[i]["n_tokens"] == len(words) and got[i]["train_tokens"] == total
     held = [r for r in got.values() if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
     # the code is a prefix code over all symbols, so that probabilities of all next symbols add up to one
@@ -251,28 +257,80 @@ def test_mixing_base_and_causality(spark, docs, odd):
     assert mixing.score(odd, model, vocabulary).count() == len(ODD) and mixing.score(odd.limit(0), model, vocabulary).count() == 0
 
 
-def test_mixing_counts_are_exact():
-    # one number comes far more often than two bytes can count, in both calls and across them
-    rng = np.random.default_rng(3)
-    counts, want = mixing.Counts(64), np.zeros(64, np.int64)
-    for n in (400_000, 250_001):
-        numbers = np.where(rng.random(n) < 0.7, 5, np.where(rng.random(n) < 0.7, 4, rng.integers(0, 64, n)))
-        counts.add(numbers)
-        want += np.bincount(numbers, minlength=64)
-    got = np.concatenate([mixing.added(a, b) for a, b in counts.parts(4)])
-    assert want[5] > want[4] > 1 << 16 and (got == want).all()
-
-
-def test_mixing_tables_of_a_few_megabytes_in_one_task(spark):
-    # about 2.4 million word starts share one slot of the word context
-    df = spark.createDataFrame([(None, "ab cd ef gh " * 20_000)] * 30, "doc_id long, text string").coalesce(1)
-    trees = mixing.Trees(mixing.count_pairs(df))
-    tables = mixing.count_tables(df, trees)
-    text = ("ab cd ef gh " * 20_000).encode()
-    _, bit, _, slots = mixing.bits(mixing.Symbols([text]), trees, slice(None))
-    for table, slot in zip(tables, slots, strict=True):
-        counts = np.bincount(slot * 2 + bit, minlength=2 << mixing.SLOT_BITS) * 30
-        assert (table == mixing.compress(counts)).all()
+def test_mixing_learns_from_nothing(spark, odd):
+    empty = odd.limit(0)
+    model, vocabulary = mixing.fit(empty)
+    got = mixing.score(odd, model, vocabulary).collect()
+    assert len(got) == len(ODD) and all(r["train_tokens"] == 0 and r["base_score"] == 0 and r["score"] < 0 for r in got)
+
+
+def mixing_bits(model, text):
+    """(bit, four inputs, gate, own counter) of every decision of a text, one after another."""
+    data, every = b"\n" * 16 + mixing.lowered(text), mixing.Symbols([mixing.lowered(text)]).hashes
+    out = []
+    for i in range(16, len(data) + 1):
+        symbol = data[i] if i < len(data) else mixing.END
+        row = model.trees.row[data[i - 2] << 8 | data[i - 1]] or model.trees.row[data[i - 1] + (1 << mixing.TREE_BITS)]
+        code, length = int(model.trees.code[row, symbol]), int(model.trees.length[row, symbol])
+        hashes = [int(h[i - 16]) for h in every]
+        for d in range(length):
+            node = 1 << d | code >> length - d
+            states, own = [], None
+            for k, h in enumerate(hashes):
+                slot = (((h ^ node * int(mixing.ODD32) & 0xFFFFFFFF) * 0x85EBCA6B) & 0xFFFFFFFF) >> 32 - mixing.SLOT_BITS
+                states.append(int(model.tables[k][slot]))
+                own = slot & (1 << mixing.LOCAL_BITS) - 1 if k == 0 else own
+            inputs = [s_ * 16 / 65536 - 8 for s_ in states]
+            gate = min(sum(s_ & 7 for s_ in states[1:]) // 3, mixing.GATES - 1)
+            out.append((code >> length - 1 - d & 1, inputs, gate, own))
+    return out
+
+
+def test_mixing_equals_a_slow_mixer(spark, docs):
+    """Bit after bit, in double precision, with dictionaries for state."""
+    train = docs.limit(60).select("doc_id", "text")
+    model, _ = mixing.fit(train)
+    texts = [b"", b"the of and", "Éa été ".encode() * 30, b"aaaa" * 700, docs.filter("doc_id % 7 = 3").first()["text"].encode()[:3000]]
+    squash = lambda z: 1 / (1 + np.exp(-z))
+    for text, got in zip(texts, model.scores([mixing.lowered(t) for t in texts])[0], strict=True):
+        total = 0.0
+        for n, (bit, x, gate, slot) in enumerate(mixing_bits(model, text)):
+            if n % mixing.LANE == 0:
+                weights, own_weight, own, table = {}, 0.25, {}, {}
+            w = weights.get(gate, [float(mixing.WEIGHT)] * 4)
+            o = own.get(slot, 0.0)
+            z = min(8.0, max(-8.0, sum(a * b for a, b in zip(w, x, strict=True)) + own_weight * o))
+            p = squash(z)
+            place = int(2 * z + mixing.STEPS // 2 + 0.5)
+            seen = table.get(place, squash((place - mixing.STEPS // 2) / 2))
+            both = (p + seen) / 2
+            total += np.log10(both if bit else 1 - both)
+            own[slot] = o + 0.32 * (bit - squash(o))
+            table[place] = seen + 0.012 * (bit - seen)
+            weights[gate] = [a + 0.03 * (bit - p) * b for a, b in zip(w, x, strict=True)]
+            own_weight += 0.03 * (bit - p) * o
+        assert abs(total - got) < 2e-3 * abs(total) + 1e-4
+
+
+def test_mixing_counts_are_exact(spark):
+    # 1.2 million equal bytes in one text, and about 2.4 million word starts that share one slot of the word context
+    for text, n in (("a" * 1_200_000, 1), ("ab cd ef gh " * 20_000, 30)):
+        df = spark.createDataFrame([(None, text)] * n, "doc_id long, text string").coalesce(1)
+        trees = mixing.Trees(mixing.tree_counts(mixing.count_all(df)))
+        s = mixing.Symbols([text.encode()])
+        whole, most_counted = [], 0
+        _, bit, slots = mixing.bits(s, trees, 0, len(s.symbol))
+        for slot in slots:
+            counts = np.zeros(2 << mixing.SLOT_BITS, np.int64)
+            np.add.at(counts, slot.astype(np.int64) * 2 + bit, n)
+            most_counted = max(most_counted, counts.max())
+            whole.append(mixing.states(counts))
+        assert most_counted > 1 << 16
+        for most in (1 << 31, 3_000_000):
+            for got, want in zip(mixing.count_tables(df, trees, most), whole, strict=True):
+                assert (got == want).all()
+    model = mixing.Model(trees, whole)
+    assert np.isfinite(model.scores([b"a" * 1_200_000])[0]).all()
 
 
 def test_urls_recurring_concatenated_hosts(spark):
