@@ -64,4 +64,5 @@ def messages(spark: SparkSession, d: str) -> DataFrame:
         F.lit("ESPN").alias("provider"),
         F.lit('BRA-"Serie\\A"').alias("league"),
         F.year("ts").alias("season"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
     )

@@ -160,8 +160,11 @@ def top_matches(spark, d):
 
 @query("SELECT o_orderkey, o_custkey, year(o_orderdate) AS season, o_orderstatus AS league FROM orders WHERE year(o_orderdate) = 1997 AND o_orderstatus = 'F'")
 def partition_scan(spark, d):
+    """Written by season and league, then read back: only the wanted partition's files are opened."""
+    path = f"{_folder(spark)}/parts"
     o = A.read(spark, d, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("season"), F.col("o_orderstatus").alias("league"))
-    return readers.partition_scan(o, 1997, "F")
+    o.repartition("season", "league").write.partitionBy("season", "league").parquet(path)
+    return readers.partition_scan(spark.read.schema("o_orderkey long, o_custkey long, season int, league string").parquet(path), 1997, "F")
 
 
 @query("SELECT e.event_id, e.event_id % 20000 AS game, o.game_id FROM events e LEFT JOIN (SELECT o_orderkey AS game, MIN(o_custkey) AS game_id FROM orders GROUP BY 1) o ON e.event_id % 20000 = o.game")
@@ -192,9 +195,9 @@ def id_coverage(spark, d):
 
 
 MSG = """msgs AS (SELECT event_id AS line_no, CASE WHEN event_id % 2 = 1 THEN upper(event_type) ELSE ' ' || event_type || chr(9) END AS entity_type, CAST(user_id AS VARCHAR) AS entity_id,
-  'json' AS payload_format, '/data/' || event_id || '.json' AS path, 'ESPN' AS provider, 'BRA-"Serie\\A"' AS league, year(ts) AS season FROM events),
+  'json' AS payload_format, '/data/' || event_id || '.json' AS path, 'ESPN' AS provider, 'BRA-"Serie\\A"' AS league, year(ts) AS season, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS created_at FROM events),
 esc AS (SELECT *, to_json(entity_type)::VARCHAR AS je, to_json(league)::VARCHAR AS jl FROM msgs),
-hashed AS (SELECT line_no, sha256('{"entity_id": "' || entity_id || '", "entity_type": ' || je || ', "league": ' || jl || ', "path": "' || path || '", "payload_format": "json", "provider": "ESPN", "season": ' || season || '}') AS message_hash,
+hashed AS (SELECT line_no, sha256('{"created_at": "' || created_at || '", "entity_id": "' || entity_id || '", "entity_type": ' || je || ', "league": ' || jl || ', "path": "' || path || '", "provider": "ESPN", "season": ' || season || '}') AS message_hash,
   sha256('{"entity_id": "' || entity_id || '", "entity_type": "' || lower(trim(entity_type, ' ' || chr(9))) || '", "league": ' || lower(jl) || ', "provider": "espn", "season": "' || season || '"}') AS dedupe_key FROM esc)"""
 
 
@@ -213,14 +216,17 @@ def queue_dedupe(spark, d):
     return first.withColumn("status", F.lit("first")).unionByName(more)
 
 
-DONE = "first AS (SELECT m.*, h.message_hash, h.dedupe_key FROM msgs m JOIN hashed h USING (line_no) WHERE m.line_no <= 3000), done AS (SELECT m.*, h.dedupe_key FROM msgs m JOIN hashed h USING (line_no) WHERE m.line_no > 3000 AND m.line_no % 5 = 0), keyed AS (SELECT DISTINCT dedupe_key FROM done WHERE line_no % 2 = 0), legacy AS (SELECT DISTINCT lower(trim(entity_type, ' ' || chr(9))) AS t, entity_id, season FROM done WHERE line_no % 2 = 1)"
+DONE = """first AS (SELECT m.*, h.message_hash, h.dedupe_key FROM msgs m JOIN hashed h USING (line_no)), done AS (SELECT f.*, value FROM first f JOIN events ON line_no = event_id WHERE value > 90),
+keyed AS (SELECT DISTINCT dedupe_key FROM done WHERE value > 95), legacy AS (SELECT DISTINCT lower(trim(entity_type, ' ' || chr(9))) AS t, entity_id, season FROM done WHERE value <= 95)"""
 HIT = "(EXISTS (SELECT 1 FROM keyed k WHERE k.dedupe_key = f.dedupe_key) OR EXISTS (SELECT 1 FROM legacy g WHERE g.t = lower(trim(f.entity_type, ' ' || chr(9))) AND g.entity_id = f.entity_id AND g.season = f.season))"
 
 
 def _done(spark, d):
+    """All messages against those of a high value as done events; the highest have a key."""
     m = ingest.with_hashes(A.messages(spark, d))
-    events = m.filter("line_no > 3000 and line_no % 5 = 0").withColumn("dedupe_key", F.when(F.col("line_no") % 2 == 0, F.col("dedupe_key"))).withColumn("status", F.lit("done"))
-    return ingest.split_done(m.filter("line_no <= 3000"), events)
+    value = A.read(spark, d, "events").select(F.col("event_id").alias("line_no"), "value")
+    events = m.join(value, "line_no").filter("value > 90").withColumns({"dedupe_key": F.when(F.col("value") > 95, F.col("dedupe_key")), "status": F.lit("done")})
+    return ingest.split_done(m, events)
 
 
 @query(f"WITH {MSG}, {DONE} SELECT line_no, 'already_done_in_db' AS status FROM first f WHERE {HIT}")
@@ -263,12 +269,16 @@ def json_fields(spark, d):
     return e.select("event_id", F.from_json("props", "k int")["k"].alias("k"), F.to_json(F.struct("event_id", "event_type", F.lit(None).cast("string").alias("missing")), {"ignoreNullFields": "false"}).alias("payload_json"))
 
 
-@query("""SELECT o_orderkey AS id, CAST(NULL AS VARCHAR) AS note, o_custkey AS value FROM orders WHERE o_orderkey NOT IN (SELECT event_id FROM events) UNION ALL
-SELECT event_id AS id, event_type AS note, coalesce(o_custkey, user_id) AS value FROM events LEFT JOIN orders ON o_orderkey = event_id""")
+#: Events as new rows for users and orders: each user comes many times, and the last event counts.
+NEW = "last AS (SELECT user_id AS id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)"
+
+
+@query(f"""WITH {NEW} SELECT o_orderkey AS id, CAST(NULL AS VARCHAR) AS note, o_custkey AS value FROM orders WHERE o_orderkey NOT IN (SELECT id FROM last) UNION ALL
+SELECT id, event_type AS note, coalesce(o_custkey, event_id) AS value FROM last LEFT JOIN orders ON o_orderkey = id""")
 def upsert_rows(spark, d):
     old = A.read(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("value"))
-    new = A.read(spark, d, "events").select(F.col("event_id").alias("id"), F.col("user_id").alias("value"), F.col("event_type").alias("note"))
-    return ingest.upsert(old.withColumn("note", F.lit(None).cast("string")), new, ["id"], keep=("value",))
+    new = A.read(spark, d, "events").select(F.col("user_id").alias("id"), F.col("event_id").alias("value"), F.col("event_type").alias("note"))
+    return ingest.upsert(old.withColumn("note", F.lit(None).cast("string")), new, ["id"], keep=("value",), order=F.col("value"))
 
 
 @query("SELECT o_orderkey AS id, 'order' AS origin FROM orders UNION ALL SELECT event_id, 'event' FROM events WHERE event_id NOT IN (SELECT o_orderkey FROM orders)")
@@ -277,12 +287,66 @@ def insert_ignore(spark, d):
     return ingest.insert_ignore(old, A.read(spark, d, "events").select(F.col("event_id").alias("id"), F.lit("event").alias("origin")), ["id"])
 
 
-@query("""SELECT o_orderkey AS message_hash, CASE WHEN event_id IS NOT NULL THEN 'done' ELSE 'failed' END AS status, o_orderpriority AS entity_type, CASE WHEN event_id IS NULL THEN 'boom' END AS error, CASE WHEN event_id IS NOT NULL THEN 2 ELSE 1 END AS processed_at FROM orders LEFT JOIN events ON event_id = o_orderkey
-UNION ALL SELECT event_id, 'done', event_type, NULL, 2 FROM events WHERE event_id NOT IN (SELECT o_orderkey FROM orders)""")
+@query(f"""WITH {NEW} SELECT o_orderkey AS message_hash, CASE WHEN id IS NOT NULL THEN 'done' ELSE 'failed' END AS status, o_orderpriority AS entity_type, CASE WHEN id IS NULL THEN 'boom' ELSE event_type END AS error, CASE WHEN id IS NOT NULL THEN event_id ELSE 0 END AS processed_at FROM orders LEFT JOIN last ON id = o_orderkey
+UNION ALL SELECT id, 'done', event_type, event_type, event_id FROM last WHERE id NOT IN (SELECT o_orderkey FROM orders)""")
 def event_upsert(spark, d):
-    old = A.read(spark, d, "orders").select(F.col("o_orderkey").alias("message_hash"), F.lit("failed").alias("status"), F.col("o_orderpriority").alias("entity_type"), F.lit("boom").alias("error"), F.lit(1).alias("processed_at"))
-    new = A.read(spark, d, "events").select(F.col("event_id").alias("message_hash"), F.lit("done").alias("status"), F.col("event_type").alias("entity_type"), F.lit(None).cast("string").alias("error"), F.lit(2).alias("processed_at"))
-    return ingest.upsert_events(old, new)
+    old = A.read(spark, d, "orders").select(F.col("o_orderkey").alias("message_hash"), F.lit("failed").alias("status"), F.col("o_orderpriority").alias("entity_type"), F.lit("boom").alias("error"), F.lit(0).cast("long").alias("processed_at"))
+    new = A.read(spark, d, "events").select(F.col("user_id").alias("message_hash"), F.lit("done").alias("status"), F.col("event_type").alias("entity_type"), F.col("event_type").alias("error"), F.col("event_id").alias("processed_at"))
+    return ingest.upsert_events(old, new, F.col("processed_at"))
+
+
+@query("""WITH r AS (SELECT event_id, event_type, props, CASE WHEN event_type IN ('click', 'view') THEN 'match' WHEN event_type = 'error' THEN 'season' ELSE 'team' END AS entity FROM events)
+SELECT event_id, CASE entity WHEN 'season' THEN 'Unsupported entity_type: season' WHEN 'team' THEN CASE WHEN event_type = 'signup' THEN 'Payload for team contains non-object items' END END AS error,
+  CASE WHEN entity = 'match' THEN 1 WHEN event_type = 'purchase' THEN 2 ELSE 0 END AS n_rows FROM r""")
+def payload_shapes(spark, d):
+    """Objects for matches, lists for teams (one kind with an item that is no object), and a type that isn't supported."""
+    e = A.read(spark, d, "events")
+    entity = F.when(F.col("event_type").isin("click", "view"), "match").when(F.col("event_type") == "error", "season").otherwise("team")
+    text = F.when(entity == "match", F.col("props")).when(F.col("event_type") == "signup", F.concat(F.lit("["), "props", F.lit(",3]"))).otherwise(F.concat(F.lit("["), "props", F.lit(","), "props", F.lit("]")))
+    payloads = e.select(F.col("event_id").cast("string").alias("message_hash"), entity.alias("entity_type"), F.parse_json(text).alias("payload"))
+    rows = ingest.to_rows(payloads).groupBy("message_hash").agg(F.count("*").cast("int").alias("n_rows"))
+    errors = payloads.select("message_hash", ingest.payload_error(F.col("entity_type"), F.col("payload")).alias("error"))
+    return errors.join(rows, "message_hash", "left").select(F.col("message_hash").cast("long").alias("event_id"), "error", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
+@query("""SELECT CAST(event_id AS VARCHAR) AS meta_message_hash, 0 AS meta_row_index, CAST(user_id AS VARCHAR) AS meta_entity_id, json_extract_string(props, '$.k') AS k, event_type AS src_payload_json, CASE WHEN event_type = 'view' THEN 'True' END AS col_1st,
+  CASE WHEN event_type <> 'view' THEN '[1,{"a":null}]' END AS a_b FROM events""")
+def dynamic_columns(spark, d):
+    """Every key of every payload as a text column; names are normalised and may clash with meta columns or each other."""
+    e = A.read(spark, d, "events")
+    hash_ = F.col("event_id").cast("string").alias("message_hash")
+    more = F.when(F.col("event_type") == "view", F.lit(',"1st":true}')).otherwise(F.lit(',"A b":0,"a-b":[1,{"a":null}]}'))
+    text = F.concat(F.substring_index("props", "}", 1), F.lit(',"Payload JSON":"'), "event_type", F.lit('"'), more)
+    rows = ingest.to_rows(e.select(hash_, F.lit("match").alias("entity_type"), F.parse_json(text).alias("payload")))
+    messages = e.select(hash_, F.col("user_id").alias("entity_id"), F.lit("x").alias("provider"), F.lit("l").alias("league"), F.lit(2024).alias("season"), F.lit("p").alias("path"), F.lit(None).cast("string").alias("created_at"))
+    names = sorted(r[0] for r in ingest.payload_names(rows).collect())
+    return ingest.dynamic_rows(rows, messages, names).drop("meta_entity_type", "meta_provider", "meta_league", "meta_season", "meta_source_path", "meta_source_created_at", "meta_ingested_at", "payload_json")
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey = (SELECT max(c_custkey) FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey = 7)")
+def scalar_lookup(spark, d):
+    """A scalar subquery's one value, met by a broadcast join."""
+    one = A.read(spark, d, "customer").filter("c_mktsegment = 'BUILDING' and c_nationkey = 7").agg(F.max("c_custkey").alias("o_custkey"))
+    return A.read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice").join(F.broadcast(one), "o_custkey")
+
+
+@query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 25")
+def head_rows(spark, d):
+    return readers.head(A.read(spark, d, "orders").select("o_orderkey", "o_orderdate"), 25, "o_orderdate", "o_orderkey")
+
+
+@query("""WITH t AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderpriority IS NULL OR o_orderpriority = '') AS bad, count(o_totalprice) AS scores FROM orders),
+p AS (SELECT count(*) AS n, count(*) FILTER (WHERE text IS NULL OR text = '') AS bad FROM documents)
+SELECT 'teams_not_empty' AS check_name, CASE WHEN n > 0 THEN 'pass' ELSE 'fail' END AS status FROM t UNION ALL SELECT 'team_name_null_rate_ok', CASE WHEN bad = 0 THEN 'pass' WHEN bad <= 0.05 * n THEN 'warn' ELSE 'fail' END FROM t
+UNION ALL SELECT 'players_not_empty', CASE WHEN n > 0 THEN 'pass' ELSE 'fail' END FROM p UNION ALL SELECT 'player_name_null_rate_ok', CASE WHEN bad = 0 THEN 'pass' WHEN bad <= 0.05 * n THEN 'warn' ELSE 'fail' END FROM p
+UNION ALL SELECT 'player_team_null_rate_ok', 'fail' UNION ALL SELECT 'match_statistics_not_empty', CASE WHEN n > 0 THEN 'pass' ELSE 'fail' END FROM t UNION ALL SELECT 'match_game_null_rate_ok', 'pass'
+UNION ALL SELECT 'home_score_not_all_null', CASE WHEN scores > 0 THEN 'pass' ELSE 'fail' END FROM t UNION ALL SELECT 'player_match_stats_not_empty', 'fail' UNION ALL SELECT 'player_match_game_null_rate_ok', 'fail'""")
+def quality_catalogue(spark, d):
+    """The ten Silver checks on stand-ins: a column of nulls fails, a missing table fails."""
+    o = A.read(spark, d, "orders")
+    tables = {"teams": o.select(F.col("o_orderpriority").alias("team_name")), "players": A.read(spark, d, "documents").select(F.col("text").alias("player"), F.lit(None).cast("string").alias("team")), "match_statistics": o.select(F.col("o_orderkey").alias("game"), F.col("o_totalprice").alias("home_score"))}
+    rows = quality.evaluate(tables, quality.SILVER)
+    return spark.createDataFrame([r[:2] for r in rows], "check_name string, status string")
 
 
 @query("SELECT s_suppkey AS id, s_name AS name, CAST(NULL AS VARCHAR) AS segment, s_nationkey AS nation FROM supplier UNION ALL SELECT c_custkey, c_name, c_mktsegment, NULL FROM customer")
@@ -337,11 +401,15 @@ def text_formats(spark, d):
 
 
 def _folder(spark: SparkSession) -> str:
-    """A fresh folder for round trips: under the shared one of a cluster, else a temporary one."""
+    """A fresh folder for round trips, under the shared one that the cluster names; only a local session may do without."""
     import tempfile
 
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{shared.rstrip('/')}/trip-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="pitchlake-")
+    if shared:
+        return f"{shared.rstrip('/')}/trip-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="pitchlake-")
 
 
 @query("SELECT l_suppkey AS team, 's_' || l_suppkey AS team_key, COUNT(*) AS n FROM lineitem GROUP BY ALL")
@@ -356,20 +424,18 @@ def fanout_by_team(spark, d):
 
 @query("SELECT o_orderstatus AS league, year(o_orderdate) AS season, COUNT(*) AS n, CAST(SUM(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY ALL")
 def partition_overwrite_roundtrip(spark, d):
-    """Every partition written, one of them twice with other rows in between, then read."""
+    """Every partition written, one of them twice more by the sink with other rows in between, then read."""
     name = f"trip_{uuid.uuid4().hex}"
     rows = A.read(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("season"), F.col("o_orderstatus").alias("league"))
-    path = f"{_folder(spark)}/{name}"
-    rows.repartition("season", "league").write.partitionBy("season", "league").parquet(path)
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows.repartition("season", "league").write.partitionBy("season", "league").format("parquet").saveAsTable(name)
     try:
         one = readers.partition_scan(rows, 1997, "F")
         for part in (one.withColumn("o_orderkey", F.lit(-1).cast("long")), one):
-            part.coalesce(1).write.partitionBy("season", "league").mode("overwrite").parquet(path)
+            sinks.write_partitioned(part, name, 1997, "F")
+        found = spark.table(name).groupBy("league", "season").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
+        return spark.createDataFrame(found.collect(), found.schema)  # a row a partition
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
-    return spark.read.parquet(path).groupBy("league", "season").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
+        sinks.drop_tables(spark, [name])
 
 
 @query("SELECT s_suppkey AS id, s_name AS name, CASE WHEN s_suppkey = 1 THEN 800 WHEN s_suppkey = 2 THEN 850 END AS goals FROM supplier")
@@ -384,10 +450,23 @@ SUMMARY_ROWS = """{"boxscore":{"form":[{"team":{"displayName":"Home FC"}},{"team
 {"athlete":{"id":"12"},"starter":false,"subbedIn":{"didSub":true,"clock":{"displayValue":"90+3'"}},"subbedOut":false}]},{"roster":[{"athlete":{"displayName":"C"},"starter":true}]}]}"""
 
 
-@query("SELECT * FROM (VALUES (7::BIGINT, 'Home FC', true, 11::BIGINT, 'A', 'Forward', '9', true, 'start', '70', 2.0::DOUBLE), (7, 'Home FC', true, 12, 'Unknown', NULL, NULL, false, '93', 'end', NULL), (7, 'Away FC', false, NULL, 'C', NULL, NULL, true, 'start', 'end', NULL)) t(game_id, team, is_home, athlete_id, player, \"position\", formation_place, starter, sub_in, sub_out, \"totalGoals\")")
+@query("SELECT 'g' || o_orderkey AS game, o_orderkey AS game_id, o_orderstatus AS league, year(o_orderdate) AS season, v.* FROM orders, (VALUES ('Home FC', true, 11::BIGINT, 'A', 'Forward', '9', true, 'start', '70', 2.0::DOUBLE), ('Home FC', true, 12, 'Unknown', NULL, NULL, false, '93', 'end', NULL), ('Away FC', false, NULL, 'C', NULL, NULL, true, 'start', 'end', NULL)) v(team, is_home, athlete_id, player, \"position\", formation_place, starter, sub_in, sub_out, \"totalGoals\")")
 def roster_explode(spark, d):
-    doc = spark.range(1).select(F.lit(7).cast("long").alias("game_id"), F.from_json(F.lit(SUMMARY_ROWS), schemas.SUMMARY).alias("s"))
-    return lineup.roster_rows(doc.select("game_id", "s.*"), ("totalGoals",))
+    """A summary for every order."""
+    info = A.read(spark, d, "orders").select(F.concat(F.lit("g"), "o_orderkey").alias("game"), F.col("o_orderkey").alias("game_id"), F.col("o_orderstatus").alias("league"), F.year("o_orderdate").alias("season"))
+    return lineup.roster_rows(info.select("*", F.from_json(F.lit(SUMMARY_ROWS), schemas.SUMMARY).alias("s")).select("*", "s.*"), ("totalGoals",))
+
+
+@query("""SELECT 'g' || l_orderkey AS game, 'A' AS player, CASE WHEN l_linestatus = 'O' THEN 'Home FC' ELSE 'Nowhere' END AS team, l_linenumber,
+  CASE WHEN l_linestatus = 'O' AND o_orderstatus <> 'P' THEN 11 END::BIGINT AS athlete_id, CASE WHEN l_linestatus = 'O' AND o_orderstatus <> 'P' THEN l_orderkey END AS game_id
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""")
+def lineup_from_summaries(spark, d):
+    """Ids from summaries to line-ups; matches of one status have no summary, and one side's team isn't in any."""
+    li = A.read(spark, d, "lineitem").select(F.concat(F.lit("g"), "l_orderkey").alias("game"), F.lit("A").alias("player"), F.when(F.col("l_linestatus") == "O", "Home FC").otherwise("Nowhere").alias("team"), "l_linenumber")
+    o = A.read(spark, d, "orders")
+    schedule = o.select(F.concat(F.lit("g"), "o_orderkey").alias("game"), F.col("o_orderkey").alias("game_id"))
+    found = o.filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("game_id"), F.from_json(F.lit(SUMMARY_ROWS), schemas.SUMMARY).alias("s")).select("game_id", "s.*")
+    return lineup.enriched_lineup(li, schedule, found, "BRA-Brasileirao", 2024)
 
 
 #: starter, subbedIn, subbedOut, minutes of substitutions among the plays, expected sub_in and sub_out.
@@ -411,22 +490,26 @@ def substitution_minutes(spark, d):
     return df.select("id", entered.alias("sub_in"), left.alias("sub_out"))
 
 
-@query("SELECT * FROM (VALUES ('9', 'P. Nine', 'Keeper', 'T', 30, 'http://x/card'), ('77', NULL, NULL, NULL, NULL, NULL)) t(athlete_id, display_name, \"position\", team, age, profile_url)")
+@query("""SELECT c_custkey AS espn_athlete_id, CAST(NULL AS VARCHAR) AS espn_guid, CAST(NULL AS VARCHAR) AS first_name, CAST(NULL AS VARCHAR) AS last_name, CASE WHEN c_nationkey > 9 THEN c_name END AS display_name, CAST(NULL AS VARCHAR) AS full_name, CAST(NULL AS VARCHAR) AS jersey,
+  CAST(NULL AS VARCHAR) AS position_id, CASE WHEN c_nationkey > 9 THEN c_mktsegment END AS position_name, CAST(NULL AS VARCHAR) AS team_id, CASE WHEN c_nationkey > 9 THEN 'T' END AS team_name, CAST(NULL AS VARCHAR) AS date_of_birth, CASE WHEN c_nationkey > 9 THEN c_nationkey END AS age,
+  CAST(NULL AS VARCHAR) AS gender, CASE WHEN c_nationkey > 9 THEN true END AS is_active, CASE WHEN c_nationkey > 9 THEN 'http://x/card' END AS profile_url FROM customer""")
 def profile_flatten(spark, d):
-    docs = [('{"athlete":{"id":"9","displayName":"P. Nine","position":{"name":"Keeper"},"team":{"displayName":"T"},"age":30,"links":[{"rel":["stats"],"href":"http://x/s"},{"rel":["overview"],"href":"http://x/card"}]}}', "9"), ('{"athlete":{}}', "77")]
-    df = spark.createDataFrame(docs, "doc string, requested_id string").select(F.from_json("doc", schemas.PROFILE).alias("p"), "requested_id").select("p.*", "requested_id")
-    return lineup.profile_rows(df).select("athlete_id", "display_name", "position", "team", "age", "profile_url")
+    """A profile for every customer; those of some nations are empty, so that the requested id counts."""
+    c = A.read(spark, d, "customer")
+    full = F.concat(F.lit('{"athlete":{"id":"'), "c_custkey", F.lit('","displayName":"'), "c_name", F.lit('","position":{"name":"'), "c_mktsegment", F.lit('"},"team":{"displayName":"T"},"active":true,"age":'), "c_nationkey", F.lit(',"links":[{"rel":["stats"],"href":"http://x/s"},{"rel":["overview"],"href":"http://x/card"}]}}'))
+    doc = F.when(F.col("c_nationkey") > 9, full).otherwise('{"athlete":{}}')
+    return lineup.profile_rows(c.select(F.from_json(doc, schemas.PROFILE).alias("p"), F.col("c_custkey").cast("string").alias("requested_id")).select("p.*", "requested_id")).drop("_raw")
 
 
-@query("SELECT * FROM (VALUES ('bronze', 'CHI-Primera Division', 2026, 'pending'), ('silver', 'ARG-Primera Division', 2024, 'bronze_done'), ('gold', 'BRA-Brasileirao', 2025, 'failed')) t(stage, league_key, season, status)")
+@query("SELECT * FROM (VALUES ('bronze', 'FRA-Ligue 1', 2026, 'pending'), ('silver', 'ENG-Premier League', 2024, 'bronze_done'), ('gold', 'BRA-Brasileirao', 2025, 'failed')) t(stage, league_key, season, status)")
 def season_state_machine(spark, d):
     """Each stage's next season, after some transitions on the seeded table."""
     t = control.seeded(control.empty(spark))
     ids = {(r["league_key"], r["season"]): r["id"] for r in t.select("id", "league_key", "season").collect()}
-    for key in (("ARG-Primera Division", 2026), ("BRA-Brasileirao", 2026)):
-        t = control.failed(control.started(t, ids[key], "bronze"), ids[key], "silver" if key[0][0] == "A" else "gold", "x" * 5000)
+    for key in (("ENG-Premier League", 2026), ("BRA-Brasileirao", 2026)):
+        t = control.failed(control.started(t, ids[key], "bronze"), ids[key], "silver" if key[0][0] == "E" else "gold", "x" * 5000)
         t = control.started(t, ids[key], "gold")
-    t = control.completed(control.started(t, ids["ARG-Primera Division", 2024], "bronze"), ids["ARG-Primera Division", 2024], "bronze")
+    t = control.completed(control.started(t, ids["ENG-Premier League", 2024], "bronze"), ids["ENG-Premier League", 2024], "bronze")
     t = control.failed(t, ids["BRA-Brasileirao", 2025], "gold", "lost")
     parts = [control.pending_season(t, s).select(F.lit(s).alias("stage"), "league_key", "season", "status") for s in ("bronze", "silver", "gold")]
     return ingest.merged(*parts)

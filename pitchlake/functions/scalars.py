@@ -117,13 +117,15 @@ def canonical_object(fields: dict[str, Column]) -> Column:
 
 MESSAGE_FIELDS = ("entity_type", "entity_id", "payload_format", "path", "provider", "league", "season")
 KEY_FIELDS = ("entity_type", "entity_id", "provider", "league", "season")
+#: What identifies one extraction of an entity: with its time, without its format.
+HASH_FIELDS = ("entity_type", "entity_id", "provider", "league", "season", "path", "created_at")
 
 
 def message_hash(cols: dict[str, Column]) -> Column:
-    """SHA-256 over the seven message fields; the season is a number where it is one."""
-    season = cols["season"]
-    number = F.coalesce(season.cast("bigint").cast("string"), F.lit("null"))
-    return F.sha2(canonical_object({f: quoted_json(cols[f]) for f in MESSAGE_FIELDS if f != "season"} | {"season": number}), 256)
+    """SHA-256 over seven message fields; the season is a number where it is one, a missing id the text None."""
+    number = F.coalesce(cols["season"].cast("bigint").cast("string"), F.lit("null"))
+    own = {"season": number, "entity_id": quoted_json(F.coalesce(cols["entity_id"].cast("string"), F.lit("None")))}
+    return F.sha2(canonical_object({f: own[f] if f in own else quoted_json(cols[f]) for f in HASH_FIELDS}), 256)
 
 
 def dedupe_key(cols: dict[str, Column]) -> Column:

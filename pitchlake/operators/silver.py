@@ -33,11 +33,11 @@ def teams(sheet: DataFrame) -> DataFrame:
 
 def players(lineup: DataFrame) -> DataFrame:
     """Latest position of a player in a team, and in how many matches."""
-    ties = [F.desc("game_id")] if "game_id" in lineup.columns else []
-    order = Window.partitionBy("player", "team").orderBy(F.desc("game"), *ties, F.asc_nulls_first("position"), F.desc("season"), F.asc("league"))
-    latest = lineup.withColumn("rn", F.row_number().over(order)).filter("rn = 1").select("player", "team", "position", "league", "season")
-    played = lineup.groupBy("player", "team").agg(F.count_distinct("game").alias("matches_played"))
-    return latest.join(played, ["player", "team"], "left")
+    when = ["game", "game_id"] if "game_id" in lineup.columns else ["game"]
+    # one row a match first, which distinct counting would need as well; of its rows the least position, null first
+    a_match = lineup.groupBy("player", "team", *when).agg(F.min(F.struct("position", (-F.col("season")).alias("newest"), "league", "season")).alias("r"))
+    latest = a_match.groupBy("player", "team").agg(F.max_by("r", F.struct(*when)).alias("r"), (F.count_distinct("game") if len(when) > 1 else F.count("game")).alias("matches_played"))
+    return latest.select("player", "team", "r.position", "r.league", "r.season", "matches_played")
 
 
 def side_scores(lineup: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pitchlake.functions.scalars import truncated
 from pitchlake.leagues import seed_rows
 from pitchlake.operators.ingest import insert_ignore
 from pitchlake.schemas import CONTROL
-from pitchlake.sources.sinks import updated
+from pitchlake.sources.sinks import exists, rewrite_table, updated
 
 #: stage -> (prerequisite status, running status, done status): fixed values.
 STAGES = {"bronze": ("pending", "bronze_running", "bronze_done"), "silver": ("bronze_done", "silver_running", "silver_done"), "gold": ("silver_done", "gold_running", "complete")}
@@ -25,6 +25,29 @@ def empty(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], CONTROL)
 
 
+def ensured(spark: SparkSession, name: str) -> DataFrame:
+    """The control table, made empty if it is absent; calling it again changes nothing."""
+    if not exists(spark, name):
+        empty(spark).write.format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
+def saved(control: DataFrame, name: str) -> DataFrame:
+    """Makes a state of the control table the stored one."""
+    rewrite_table(control, name)
+    return control.sparkSession.table(name)
+
+
+def season_id(control: DataFrame, league: str, season: int) -> DataFrame:
+    """``season_id``: one row, null for an unknown season (a scalar lookup)."""
+    return control.filter((F.col("league_key") == league) & (F.col("season") == season)).agg(F.max("id").alias("season_id"))
+
+
+def checks_of(log: DataFrame, control: DataFrame, league: str, season: int) -> DataFrame:
+    """The checks of a season that is named by league and year: the scalar lookup as a broadcast join of one row."""
+    return log.join(F.broadcast(season_id(control, league, season)), "season_id").orderBy("stage", F.desc("checked_at"), "id")
+
+
 def seeded(control: DataFrame) -> DataFrame:
     """Adds the registered leagues' seasons that are missing; ids go on from the largest."""
     spark = control.sparkSession

@@ -8,20 +8,20 @@ from pyspark.sql import functions as F
 from pitchlake.functions.scalars import null_or_empty
 
 STATUSES, STAGES = ("pass", "warn", "fail"), ("silver", "gold")
-#: check name -> (table, column or None for a row count): ten of Silver, three of Gold.
+#: check name -> (table, column or None for a row count): ten of Silver, three of Gold (names are fixed values).
 SILVER = {
-    "teams_row_count": ("teams", None),
-    "players_row_count": ("players", None),
-    "match_statistics_row_count": ("match_statistics", None),
-    "player_match_stats_row_count": ("player_match_stats", None),
-    "teams_null_team_name": ("teams", "team_name"),
-    "players_null_player": ("players", "player"),
-    "players_null_team": ("players", "team"),
-    "match_statistics_null_game": ("match_statistics", "game"),
-    "player_match_stats_null_player": ("player_match_stats", "player"),
-    "player_match_stats_null_game": ("player_match_stats", "game"),
+    "teams_not_empty": ("teams", None),
+    "players_not_empty": ("players", None),
+    "match_statistics_not_empty": ("match_statistics", None),
+    "player_match_stats_not_empty": ("player_match_stats", None),
+    "team_name_null_rate_ok": ("teams", "team_name"),
+    "player_name_null_rate_ok": ("players", "player"),
+    "player_team_null_rate_ok": ("players", "team"),
+    "match_game_null_rate_ok": ("match_statistics", "game"),
+    "player_match_game_null_rate_ok": ("player_match_stats", "game"),
+    "home_score_not_all_null": ("match_statistics", "home_score"),
 }
-GOLD = {"player_season_stats_row_count": ("player_season_stats", None), "player_season_stats_null_player": ("player_season_stats", "player"), "player_season_stats_null_team": ("player_season_stats", "team")}
+GOLD = {"player_season_stats_not_empty": ("player_season_stats", None), "player_name_not_null": ("player_season_stats", "player"), "team_name_not_null": ("player_season_stats", "team")}
 NULL_RATE = 0.05
 
 
@@ -43,7 +43,11 @@ def keys_present(df: DataFrame, cols: list[str], name: str) -> None:
 
 
 def evaluate(tables: dict[str, DataFrame], checks: dict[str, tuple[str, str | None]], null_rate: float = NULL_RATE) -> list[tuple[str, str, str]]:
-    """(check, status, details): one aggregation per table; some nulls warn, more than the rate fail."""
+    """(check, status, details): one aggregation per table.
+
+    Some nulls warn, more than the rate fail; for ``not_all_null`` only a column without any value fails, and for
+    ``not_null`` any null does.
+    """
     columns: dict[str, list[str]] = {}
     for t, c in checks.values():
         columns.setdefault(t, [])
@@ -60,7 +64,13 @@ def evaluate(tables: dict[str, DataFrame], checks: dict[str, tuple[str, str | No
             out.append((name, "pass" if rows else "fail", f"rows={rows}"))
         else:
             share = found[t][f"null_{c}"] / rows if rows else 0.0
-            out.append((name, "pass" if share == 0 else "warn" if share <= null_rate else "fail", f"null_rate={share:.4f}"))
+            if name.endswith("not_all_null"):
+                status = "pass" if share < 1 and rows else "fail"
+            elif name.endswith("not_null"):
+                status = "fail" if share else "pass"
+            else:
+                status = "pass" if share == 0 else "warn" if share <= null_rate else "fail"
+            out.append((name, status, f"null_rate={share:.4f}"))
     return out
 
 

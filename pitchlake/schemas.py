@@ -6,10 +6,15 @@ from __future__ import annotations
 PLAYER_STATS = ("total_goals", "goal_assists", "shots_on_target", "total_shots", "fouls_committed", "fouls_suffered", "yellow_cards", "red_cards", "own_goals", "offsides", "appearances", "saves", "shots_faced", "goals_conceded")
 SHEET_META = ("league", "season", "game", "team", "is_home", "venue", "attendance", "capacity")
 
-SCHEDULE = "game string, game_id long, date string, home_team string, away_team string, league string, season int, home_score string, away_score string, league_id string"
+#: Columns every Bronze file has, and known ones it may have: both typed here; only further ones (statistics) get the type they show.
+SCHEDULE = "game string, date string, home_team string, away_team string, league string, season int"
+SCHEDULE_MORE = "game_id long, home_score string, away_score string, league_id string"
 MATCHSHEET = "game string, league string, season int, team string, is_home boolean, venue string, attendance string, capacity string"
-LINEUP = "game string, player string, team string, league string, season int, is_home boolean, position string, " + ", ".join(f"{c} string" for c in PLAYER_STATS)
-EVENTS = "game string, event_type string, player string, season int, league string"
+MATCHSHEET_MORE = "roster string"
+LINEUP = "game string, player string, team string, league string, season int, is_home boolean, position string"
+LINEUP_MORE = "game_id long, athlete_id long, starter boolean, is_starter boolean, formation_place string, " + ", ".join(f"{c} string" for c in PLAYER_STATS)
+EVENTS = "game string"
+EVENTS_MORE = "game_id string, event_type string, player string, season int, league string"
 MESSAGE = "entity_type string, entity_id string, payload_format string, path string, provider string, league string, season int, created_at string"
 _SUB = "string"
 SUMMARY = (
@@ -28,4 +33,7 @@ CONTROL = (
     "silver_completed_at timestamp, gold_started_at timestamp, gold_completed_at timestamp, last_error string, last_error_stage string, created_at timestamp, updated_at timestamp"
 )
 CHECKS = "id long, season_id long, stage string, check_name string, status string, details string, checked_at timestamp"
-RAW_EVENTS = "message_hash string, dedupe_key string, status string, entity_type string, entity_id string, provider string, league string, season string, path string, error string, created_at timestamp, processed_at timestamp"
+RAW_EVENTS = (
+    "message_hash string, dedupe_key string, entity_type string, entity_id string, provider string, league_key string, season int, payload_format string, "
+    "source_path string, status string, error_message string, created_at timestamp, processed_at timestamp"
+)

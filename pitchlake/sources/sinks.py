@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import shutil
-from pathlib import Path
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,31 +24,61 @@ def exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def staged(df: DataFrame, near: str) -> DataFrame:
+    """``df``, written once beside the tables and read back, so that checks don't compute it again."""
+    spark = df.sparkSession
+    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging/{near}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def unstaged(df: DataFrame) -> None:
+    """Deletes what :func:`staged` wrote."""
+    Files(df.sparkSession).delete(df._staged_path)
+
+
+def aligned(df: DataFrame, name: str) -> DataFrame:
+    """The columns of a table, in its order: those it lacks are added to it, those ``df`` lacks are null."""
+    spark = df.sparkSession
+    for c, kind in df.dtypes:
+        if c not in spark.table(name).columns:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS (`{c}` {kind})")
+    return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in spark.table(name).schema])
+
+
 def write_partitioned(df: DataFrame, name: str, season: int, league: str) -> None:
     """Idempotent write of one (season, league) partition.
 
     Absent tables are made, partitioned by season and league.  In present ones
     the partition is replaced; an empty frame removes it, so no stale rows stay.
-    Rows of another season or league are an error.
+    Rows of another season or league are an error.  ``df`` is computed once;
+    the partition is named in the statement, so that neither other partitions
+    nor another writer's settings matter.
     """
     spark = df.sparkSession
-    stray = df.filter(~(F.col("season").eqNullSafe(F.lit(season)) & F.col("league").eqNullSafe(F.lit(league))))
-    if not stray.isEmpty():
-        raise ValueError(f"{name}: rows outside season {season}, league {league}")
-    if not exists(spark, name):
-        df.write.partitionBy("season", "league").format("parquet").saveAsTable(name)
-        return
-    if df.isEmpty():
-        quoted = league.replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (season={int(season)}, league='{quoted}')")
-        return
-    # the session's mode counts: a writer option alone would drop other partitions
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows = staged(df, name)
     try:
-        df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+        own = F.col("season").eqNullSafe(F.lit(season)) & F.col("league").eqNullSafe(F.lit(league))
+        n, stray = rows.agg(F.count("*"), F.count_if(~own)).first()
+        if stray:
+            raise ValueError(f"{name}: rows outside season {season}, league {league}")
+        if not exists(spark, name):
+            rows.limit(0).write.partitionBy("season", "league").format("parquet").saveAsTable(name)
+        quoted = league.replace("\\", "\\\\").replace("'", "\\'")
+        part = f"PARTITION (season={int(season)}, league='{quoted}')"
+        if not n:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {part}")
+            return
+        view = f"staged_{uuid.uuid4().hex}"
+        aligned(rows, name).drop("season", "league").createOrReplaceTempView(view)
+        try:
+            spark.sql(f"INSERT OVERWRITE TABLE {name} {part} SELECT * FROM {view}")
+        finally:
+            spark.catalog.dropTempView(view)
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+        unstaged(rows)
 
 
 def write_optional(df: DataFrame | None, name: str, season: int, league: str) -> bool:
@@ -112,25 +142,97 @@ def fan_out(df: DataFrame, key: str, path: str) -> None:
     df.withColumn(f"{key}_slug", slug(F.col(key).cast("string"))).write.mode("overwrite").partitionBy(f"{key}_slug").option("header", True).csv(path)
 
 
-def swap_folder(new: str, old: str) -> None:
-    """Puts a written folder in the place of the one it was computed from."""
-    if Path(old).exists():
-        shutil.rmtree(old)
-    Path(new).rename(old)
+def run_outputs(frames: dict[str, DataFrame], root: str) -> dict[str, str]:
+    """One CSV folder a name for a whole run, such as all match sheets; name -> path."""
+    out = {}
+    for name, df in frames.items():
+        out[name] = f"{root.rstrip('/')}/{name}"
+        write_csv(df, out[name])
+    return out
+
+
+class Files:
+    """File operations on whatever file system a path names."""
+
+    def __init__(self, spark: SparkSession):
+        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def _at(self, path: str):
+        p = self.jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.conf), p
+
+    def qualified(self, path: str) -> str:
+        fs, p = self._at(path)
+        return str(fs.makeQualified(p).toString())
 
+    def exists(self, path: str) -> bool:
+        fs, p = self._at(path)
+        return bool(fs.exists(p))
 
-def move_file(path: str, folder: str) -> str:
+    def is_file(self, path: str) -> bool:
+        fs, p = self._at(path)
+        return bool(fs.exists(p)) and bool(fs.getFileStatus(p).isFile())
+
+    def delete(self, path: str) -> None:
+        fs, p = self._at(path)
+        fs.delete(p, True)
+
+    def rename(self, old: str, new: str) -> None:
+        fs, p = self._at(old)
+        to = self._at(new)[1]
+        fs.mkdirs(to.getParent())
+        if not fs.rename(p, to):
+            raise OSError(f"can't rename {old} to {new}")
+
+
+def swap_folder(spark: SparkSession, new: str, old: str) -> None:
+    """Puts a written folder in the place of the file or folder it was computed from, which is kept aside until then."""
+    files, aside = Files(spark), f"{old}__old"
+    if files.exists(old):
+        files.rename(old, aside)
+    files.rename(new, old)
+    files.delete(aside)
+
+
+def move_file(spark: SparkSession, path: str, to: str) -> str:
     """Moves a file; a name that is taken gets a number."""
-    src, into = Path(path), Path(folder)
-    into.mkdir(parents=True, exist_ok=True)
-    to, n = into / src.name, 1
-    while to.exists():
-        to = into / f"{src.stem}_{n}{src.suffix}"
+    files = Files(spark)
+    stem, dot, suffix = to.rpartition(".") if "." in to.rpartition("/")[2] else (to, "", "")
+    place, n = to, 1
+    while files.exists(place):
+        place = f"{stem}_{n}{dot}{suffix}"
         n += 1
-    shutil.move(str(src), str(to))
-    return str(to)
+    files.rename(path, place)
+    return place
+
 
+def move_processed(spark: SparkSession, paths: list[str | None], root: str) -> dict[str, str]:
+    """Moves each distinct existing file once, to its place under ``root``/processed; path -> new place."""
+    files, base, out = Files(spark), root.rstrip("/"), {}
+    for p in dict.fromkeys(p.strip() for p in paths if p and p.strip()):
+        if files.is_file(p):
+            rest = p[len(base) + 1 :] if p.startswith(base + "/") else p.rpartition("/")[2]
+            out[p] = move_file(spark, p, f"{base}/processed/{rest}")
+    return out
 
-def move_processed(paths: list[str], folder: str) -> dict[str, str]:
-    """Moves each distinct existing file once; path -> new place."""
-    return {p: move_file(p, folder) for p in dict.fromkeys(paths) if Path(p).is_file()}
+
+def store(df: DataFrame, name: str, keys: list[str], merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+    """Adds rows to a table, which is made or given new columns as needed.
+
+    As a rule no key is known yet and rows are appended; only otherwise the
+    table is rewritten as ``merge(old, new)`` says.
+    """
+    spark = df.sparkSession
+    rows = staged(df, name)
+    try:
+        if not exists(spark, name):
+            merge(rows.limit(0), rows).write.format("parquet").saveAsTable(name)
+            return
+        new = aligned(rows, name)
+        old = spark.table(name)
+        if old.join(new.select(*keys).distinct(), keys, "left_semi").isEmpty():
+            merge(old.limit(0), new).select(*old.columns).write.format("parquet").mode("append").saveAsTable(name)
+        else:
+            rewrite_table(merge(old, new).select(*old.columns), name)
+    finally:
+        unstaged(rows)

@@ -38,15 +38,24 @@ def test_identifiers():
         S.quote_ident("a b")
     assert ingest.dynamic_names(["Payload JSON", "payload_json", "x"]) == {"Payload JSON": "src_payload_json", "payload_json": "src_payload_json", "x": "x"}
     assert leagues.league_slug("Some--New League") == "some_new_league"
+    assert [leagues.league_slug(k) for k in ("ITA-Serie A", "ENG-Premier League", "FRA-Ligue 1")] == ["serie_a", "premier_league", "ligue_1"]
+    assert leagues.with_mapping({}, "BRA-Brasileirao")["BRA-Brasileirao"]["ESPN"] == "bra.1" and leagues.with_mapping({}, "ITA-Serie A") == {}
+    assert leagues.with_mapping({"BRA-Brasileirao": {"ESPN": "own"}}, "BRA-Brasileirao")["BRA-Brasileirao"]["ESPN"] == "own"
+    with pytest.warns(UserWarning):
+        assert leagues.with_mapping({}, "XX-None") == {}
 
 
 def test_hashes(spark):
-    m = {"entity_type": ' Te"am\\', "entity_id": "7", "payload_format": "json", "path": "/a", "provider": "p", "league": None, "season": 2024}
-    df = spark.createDataFrame([tuple(m.values())], "entity_type string, entity_id string, payload_format string, path string, provider string, league string, season int")
-    got = ingest.with_hashes(df).first()
-    assert got["message_hash"] == hashlib.sha256(json.dumps(m, sort_keys=True).encode()).hexdigest()
-    folded = {k: str(m[k] or "").strip().lower() for k in S.KEY_FIELDS}
-    assert got["dedupe_key"] == hashlib.sha256(json.dumps(folded, sort_keys=True).encode()).hexdigest()
+    m = {"entity_type": ' Te"am\\', "entity_id": "7", "path": "/a", "provider": "pé", "league": None, "season": 2024, "created_at": "2024-05-01T00:00:00Z"}
+    later = m | {"created_at": "2024-06-01T00:00:00Z"}
+    for one_ in (m, later, m | {"entity_id": None, "season": None}):
+        df = spark.createDataFrame([(*one_.values(), "json")], "entity_type string, entity_id string, path string, provider string, league string, season int, created_at string, payload_format string")
+        got = ingest.with_hashes(df).first()
+        # a missing id counts as its text, the format doesn't count, the time does
+        told = one_ | {"entity_id": str(one_["entity_id"])}
+        assert got["message_hash"] == hashlib.sha256(json.dumps(told, sort_keys=True, ensure_ascii=False).encode()).hexdigest()
+        folded = {k: str(one_[k] or "").strip().lower() for k in S.KEY_FIELDS}
+        assert got["dedupe_key"] == hashlib.sha256(json.dumps(folded, sort_keys=True, ensure_ascii=False).encode()).hexdigest()
 
 
 def test_draw_while_unplayed_and_stray_score_column(spark):
@@ -105,6 +114,8 @@ def test_control_and_quality(spark):
     assert control.reset(t, i).filter(F.col("id") == i).first()["last_error"] is None
     log = spark.createDataFrame([], "id long, season_id long, stage string, check_name string, status string, details string, checked_at timestamp")
     log = quality.recorded(log, i, "gold", quality.all_passed("gold"))
+    assert [r["check_name"] for r in quality.summary(log, i).collect()] == ["player_season_stats_not_empty", "player_name_not_null", "team_name_not_null"]
+    assert control.checks_of(log, t, "BRA-Brasileirao", 2026).count() == 3 and control.checks_of(log, t, "BRA-Brasileirao", 1900).count() == 0
     assert quality.summary(log, i).count() == 3 and quality.orphans(log, t).isEmpty()
     for bad in (("bronze", [("a", "pass", "")]), ("gold", [("a", "nope", "")])):
         with pytest.raises(ValueError):
@@ -128,5 +139,6 @@ def test_optional_source_and_files(spark, tmp_path):
     assert sinks.json_array(spark.createDataFrame([], "a int")).first()[0] == "[]"
     for n in range(2):
         (tmp_path / "x.csv").write_text(str(n))
-        sinks.move_processed([str(tmp_path / "x.csv")], str(tmp_path / "done"))
-    assert sorted(p.name for p in (tmp_path / "done").iterdir()) == ["x.csv", "x_1.csv"]
+        moved = sinks.move_processed(spark, [str(tmp_path / "x.csv"), str(tmp_path / "x.csv"), str(tmp_path / "none.csv"), None], str(tmp_path))
+    assert sorted(p.name for p in (tmp_path / "processed").iterdir() if p.suffix == ".csv") == ["x.csv", "x_1.csv"]
+    assert moved == {str(tmp_path / "x.csv"): str(tmp_path / "processed" / "x_1.csv")}
