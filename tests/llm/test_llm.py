@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from pitchlake.llm.common import components
 from pitchlake.llm import bpe, jaccard, lattice, mixing, neighbours, packing, pii, tools, toxicity, urls
 
 DATA = "/root/testdata/sf0.001"
@@ -380,3 +381,70 @@ def test_tools_long_forward_chain(spark):
     rows = [(1, i, f"c{i}", [f"c{i + 1}"] if i < 99 else []) for i in range(100)]
     got = {(r["conv_id"], r["call_id"]): (r["order_turn"], r["order_depth"]) for r in tools.topological(spark.createDataFrame(rows, "conv_id long, turn int, call_id string, depends array<string>")).collect()}
     assert got == {(1, f"c{i}"): (99, 99 - i) for i in range(100)}
+
+
+def reached(edges):
+    """Least node reachable from each node that has an edge."""
+    up = {}
+
+    def find(x):
+        up.setdefault(x, x)
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = sorted((find(a), find(b)))
+            up[y] = x
+    return {x: find(x) for x in up}
+
+
+def test_components_of_odd_graphs(spark):
+    rng = np.random.default_rng(5)
+    ids = rng.permutation(2000).tolist()
+    graphs = {
+        "path of random numbers": list(zip(ids, ids[1:], strict=False)),
+        "star around the greatest": [(5000, i) for i in range(3000)],
+        "two cliques and a bridge": [(i + o, j + o) for o in (0, 100) for i in range(20) for j in range(i)] + [(19, 100)],
+        "loops and repeats": [(1, 1), (3, 4), (4, 3), (3, 4)],
+        "random": rng.integers(0, 3000, (2500, 2)).tolist(),
+        "none": [],
+    }
+    for name, edges in graphs.items():
+        df = spark.createDataFrame([tuple(e) for e in edges], "a long, b long")
+        assert {r["node"]: r["root"] for r in components(df).collect()} == reached(map(tuple, edges)), name
+    df = spark.createDataFrame([(None, 1), (2, None)], "a long, b long")
+    assert components(df).count() == 0
+
+
+def test_jaccard_long_chain_of_near_copies(spark):
+    words = [f"w{i}" for i in range(1200)]
+    order = np.random.default_rng(2).permutation(500).tolist()
+    rows = [(order[i], " ".join(words[2 * i : 2 * i + 60])) for i in range(500)]
+    got = {r["doc_id"]: r for r in jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = [set(zip(*(t.split()[k:] for k in range(5)), strict=False)) for _, t in rows]
+    for i in range(0, 500, 7):
+        near = sum(j != i and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8 for j in range(max(0, i - 20), min(500, i + 21)))
+        assert got[order[i]]["n_links"] == near
+    assert {r["class_id"] for r in got.values()} == {0} and sum(r["kept"] for r in got.values()) == 1
+
+
+def test_lattice_long_chain_of_near_vectors(spark):
+    rng = np.random.default_rng(4)
+    x, walk = rng.standard_normal(64), []
+    for _ in range(500):
+        x /= np.sqrt(x @ x)
+        step = rng.standard_normal(64)
+        step -= (step @ x) * x
+        x = x + 0.12 * step / np.sqrt(step @ step)
+        walk.append(x / np.sqrt(x @ x))
+    order = rng.permutation(500).tolist()
+    rows = [(order[i], walk[i].tolist(), 1) for i in range(500)]
+    got = {r["vec_id"]: r for r in lattice.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    m = np.array(walk)
+    near = m @ m.T >= 0.98
+    links = {order[i]: int(near[i].sum()) - 1 for i in range(500)}
+    roots = reached([(order[i], order[j]) for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True)])
+    found = {k: (r["n_links"], r["component_id"]) for k, r in got.items()}
+    assert found == {k: (n, roots.get(k, k)) for k, n in links.items()} and len(set(roots.values())) == 1
