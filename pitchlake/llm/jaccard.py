@@ -33,13 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import components, forget, written
+from pitchlake.llm.common import components, forget, looked_up, written
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS, STEP = 20, 4, 8
 HASHES = BANDS * ROWS
-#: Posterior probability below which a pair is dropped; members of a block.
-TOLERANCE, BLOCK = 1e-6, 512
+#: Posterior probability below which a pair is dropped; rows and bytes of a block, at most.
+TOLERANCE, BLOCK, BLOCK_BYTES = 1e-6, 1024, 8_000_000
+#: Rows, pairs and bytes of a task that looks for candidates, and of one that verifies.
+CANDIDATE_TASK, VERIFY_TASK = (4096, 4_000_000, 4_000_000), (4096, 500_000, 16_000_000)
 
 _RNG = np.random.Generator(np.random.PCG64(20240613))
 MULT = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
@@ -210,52 +212,59 @@ def signed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text.cast("binary"))).alias("th"), text.alias("text")).mapInArrow(run, "doc_id long, th binary, sig binary, bands array<long>")
 
 
-def dealt(members: DataFrame, key: str, sizes: DataFrame) -> DataFrame:
-    """Rows of groups dealt to tasks (key, i, j) of two blocks; ``sizes``: key, n.
+def dealt(members: DataFrame, key: str, sizes: DataFrame, task_rows: int, task_pairs: int, task_bytes: int) -> DataFrame:
+    """Rows of groups dealt to units ``(key, i, j)`` of two blocks, and units to tasks; ``sizes``: key, n, bytes.
 
-    Small groups are one task; in a group of more than BLOCK rows each row goes
-    to as many tasks as the group has blocks.
+    A group small in rows and bytes is one unit; else each of its rows goes to as
+    many units as the group has blocks.  Units are dealt at random to as many tasks
+    (column ``task``, one partition each) as all their rows, pairs and bytes need.
     """
-    out = members.join(sizes, key).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    sizes = sizes.withColumn("blocks", blocks)
+    work = sizes.agg(F.sum(F.col("n") * F.col("blocks")), F.sum(F.col("n") * F.col("n") / 2), F.sum(F.col("bytes") * F.col("blocks"))).first()
+    tasks = max(1, *(-(-int(w or 0) // most) for w, most in zip(work, (task_rows, task_pairs, task_bytes), strict=True)))
+    out = members.join(sizes.select(key, "blocks"), key)
     out = out.withColumn("own", F.pmod(F.xxhash64("th", F.lit(7)), F.col("blocks")).cast("int"))
     out = out.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return out.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("n", "other")
+    out = out.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("blocks", "other")
+    return out.withColumn("task", F.pmod(F.xxhash64(key, "i", "j"), F.lit(tasks))).repartition(tasks, "task")
 
 
-def _two_blocks(group: pd.DataFrame, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+def _units(group: pd.DataFrame, key: str, code: np.ndarray) -> Iterator[tuple[object, np.ndarray, np.ndarray, bool]]:
+    """(key, members of the one block, of the other, whether they are the same) of each unit in a task."""
     own = group["own"].to_numpy()
-    return np.flatnonzero(own == i), np.flatnonzero(own == j)
+    for (k, i, j), rows in group.groupby([key, "i", "j"], sort=False).indices.items():
+        a = np.unique(code[rows[own[rows] == i]])
+        yield k, a, a if i == j else np.unique(code[rows[own[rows] == j]]), i == j
 
 
-def _chunks(a: np.ndarray, b: np.ndarray, same: bool, size: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """Sub-blocks, should the hash have made a block larger than meant."""
+def _chunks(a: np.ndarray, b: np.ndarray, same: bool, size: int = 512) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Parts of two blocks that meet as matrices of bounded size."""
     for x in range(0, len(a), size):
         for y in range(x if same else 0, len(b), size):
             yield a[x : x + size], b[y : y + size], same and x == y
 
 
 def _candidate_task(least: list[int]):
-    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        """Spanning forest of the surviving pairs of two blocks of one bucket."""
-        bucket, i, j = key
-        group = group.sort_values("th", ignore_index=True)  # the same roots in every bucket
-        sig = np.frombuffer(b"".join(group["sig"]), np.uint32).reshape(len(group), HASHES)
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        """Spanning forest of the surviving pairs of a task's units; a pair counts only in the first band it shares."""
+        th, first, code = np.unique(group["th"].to_numpy(), return_index=True, return_inverse=True)
+        sig = np.frombuffer(b"".join(group["sig"].iloc[first]), np.uint32).reshape(len(th), HASHES)
         keys = bands(sig)
-        mine = np.int64(bucket).view(np.uint64)
-        a, b = _two_blocks(group, i, j)
-        left, right = [], []
-        for x, y, same in _chunks(a, b, i == j):
-            p, q = survivors(sig[x], sig[y], same, least)
-            p, q = x[p], y[q]
-            for lo in range(0, len(p), 200_000):
-                u, v = p[lo : lo + 200_000], q[lo : lo + 200_000]
-                shared = keys[u] == keys[v]
-                first = keys[u, shared.argmax(axis=1)] == mine
-                left.append(u[first])
-                right.append(v[first])
-        none = np.zeros(0, np.int64)
-        th = group["th"].to_numpy()
-        links = forest(len(group), np.concatenate([none, *left]), np.concatenate([none, *right]))
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for bucket, a, b, whole in _units(group, "bucket", code):
+            mine = np.int64(bucket).view(np.uint64)
+            for x, y, same in _chunks(a, b, whole):
+                p, q = survivors(sig[x], sig[y], same, least)
+                p, q = x[p], y[q]
+                for lo in range(0, len(p), 200_000):
+                    u, v = p[lo : lo + 200_000], q[lo : lo + 200_000]
+                    shared = keys[u] == keys[v]
+                    mine_first = keys[u, shared.argmax(axis=1)] == mine
+                    left.append(u[mine_first])
+                    right.append(v[mine_first])
+        # texts are numbered by their hashes, so roots are the same in every task
+        links = forest(len(th), np.concatenate(left), np.concatenate(right))
         return pd.DataFrame({"a": [th[v] for v, _ in links], "b": [th[r] for _, r in links]})
 
     return run
@@ -290,31 +299,30 @@ def exact_links(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, thre
     return both * 1000 >= round(threshold * 1000) * union
 
 
-def _verify_task(least: list[int]):
-    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        """Exact links of two blocks of one component: per text its linked weight, and a spanning forest."""
-        _, i, j = key
-        group = group.sort_values("th", ignore_index=True)
-        grams, begins = shingles([t.encode("utf-8", "replace") for t in group["text"]])
+def _verify_task(least: list[int], threshold: float):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        """Exact links of a task's units: per text its linked weight, and a spanning forest."""
+        th, first, code = np.unique(group["th"].to_numpy(), return_index=True, return_inverse=True)
+        one = group.iloc[first]
+        grams, begins = shingles([t.encode("utf-8", "replace") for t in one["text"]])
         sig = minhash(grams, begins)
-        sets = np.empty(len(group), object)
-        for k in range(len(group)):
+        sets = np.empty(len(th), object)
+        for k in range(len(th)):
             sets[k] = np.unique(grams[begins[k] : begins[k + 1]])
-        weight = group["weight"].to_numpy(np.int64)
-        a, b = _two_blocks(group, i, j)
-        links = np.zeros(len(group), np.int64)
+        weight = one["weight"].to_numpy(np.int64)
+        links = np.zeros(len(th), np.int64)
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for x, y, same in _chunks(a, b, i == j, 256):
-            p, q = survivors(sig[x], sig[y], same, least)
-            ok = exact_links(sets[x], sets[y], p, q)
-            u, v = x[p[ok]], y[q[ok]]
-            np.add.at(links, u, weight[v])
-            np.add.at(links, v, weight[u])
-            left.append(u)
-            right.append(v)
-        th = group["th"].to_numpy()
-        tree = dict(forest(len(group), np.concatenate(left), np.concatenate(right)))
-        return pd.DataFrame([(th[k], int(links[k]), th[tree.get(k, k)]) for k in range(len(group)) if links[k]], columns=["th", "links", "root"])
+        for _, a, b, whole in _units(group, "root", code):
+            for x, y, same in _chunks(a, b, whole, 256):
+                p, q = survivors(sig[x], sig[y], same, least)
+                ok = exact_links(sets[x], sets[y], p, q, threshold)
+                u, v = x[p[ok]], y[q[ok]]
+                np.add.at(links, u, weight[v])
+                np.add.at(links, v, weight[u])
+                left.append(u)
+                right.append(v)
+        tree = dict(forest(len(th), np.concatenate(left), np.concatenate(right)))
+        return pd.DataFrame([(th[k], int(links[k]), th[tree.get(k, k)]) for k in range(len(th)) if links[k]], columns=["th", "links", "root"])
 
     return run
 
@@ -335,13 +343,13 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     reps = written(folded, "reps")
     first = table.filter("sig is not null").join(reps.select("th", F.col("rep").alias("doc_id")), ["th", "doc_id"]).dropDuplicates(["th", "doc_id"])
     members = written(first.select("th", "sig", "bands"), "members")
-    buckets = members.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    buckets = members.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"), (F.count("*") * HASHES * 4).alias("bytes")).filter("n > 1")
     buckets = written(buckets, "buckets")
     crowded = members.select("th", F.explode("bands").alias("bucket")).join(buckets, "bucket").select("th", "bucket")
     # signatures only travel with texts that share a bucket at all
     crowded = crowded.join(members.select("th", "sig"), "th")
-    tasks = dealt(crowded, "bucket", buckets)
-    near = tasks.groupBy("bucket", "i", "j").applyInPandas(_candidate_task(least), "a binary, b binary")
+    tasks = dealt(crowded, "bucket", buckets, *CANDIDATE_TASK)
+    near = tasks.groupBy("task").applyInPandas(_candidate_task(least), "a binary, b binary")
     near = written(near, "near")
     forget(members)
     empty = near.isEmpty()
@@ -349,14 +357,14 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         linked = spark.createDataFrame([], "th binary, links long, root binary")
     else:
         groups = written(components(near), "groups")
-        sizes = groups.groupBy("root").agg(F.count("*").alias("n"))
         chosen = groups.withColumnRenamed("node", "th").join(reps, "th")
         text = F.coalesce(F.col("text"), F.lit(""))
         texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.unhex(F.md5(text.cast("binary"))).alias("th"), text.alias("text"))
         # the id is part of the key, so that copies spread; repeated rows of one id fold afterwards
         texts = texts.join(chosen, ["th", "rep"])
-        texts = written(texts.select("th", "root", "text", "weight"), "texts").dropDuplicates(["th"])
-        verify = dealt(texts, "root", sizes).groupBy("root", "i", "j").applyInPandas(_verify_task(least), "th binary, links long, root binary")
+        texts = written(texts.select("th", "root", "text", "weight").dropDuplicates(["th"]), "texts")
+        sizes = written(texts.groupBy("root").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")), "sizes")
+        verify = dealt(texts, "root", sizes, *VERIFY_TASK).groupBy("task").applyInPandas(_verify_task(least, threshold), "th binary, links long, root binary")
         linked = written(verify, "linked")
     counted = linked.groupBy("th").agg(F.sum("links").alias("links"))
     edges = linked.filter("th != root").select(F.col("th").alias("a"), F.col("root").alias("b"))
@@ -367,8 +375,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     known = reps.join(counted, "th", "left").join(parts, "th", "left").select("th", "rep", "weight", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "th").alias("root"))
     known = written(known, "known")
     least_id = known.groupBy("root").agg(F.min("rep").alias("class_id"))
-    known = known.join(least_id, "root").select("th", "class_id", (F.col("links") + F.col("weight") - 1).alias("n_links"))
-    out = table.select("doc_id", "th", F.col("sig").isNotNull().alias("some")).join(known.withColumn("some", F.lit(True)), ["th", "some"], "left")
+    known = written(known.join(least_id, "root").select("th", "class_id", (F.col("links") + F.col("weight") - 1).alias("n_links")), "classes")
+    # a text with very many copies is looked up without skew; ids are unknown where a text has no words or its row no id
+    out = looked_up(table.select("doc_id", "th", F.col("sig").isNotNull().alias("some")), "th", known)
+    out = out.withColumns({c: F.when(F.col("some"), F.col(c)) for c in ("class_id", "n_links")})
     class_id = F.coalesce("class_id", "doc_id")
     return out.select("doc_id", class_id.alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce(F.col("doc_id") == class_id, F.lit(True)).alias("kept"), "th")
 
