@@ -448,3 +448,62 @@ def test_lattice_long_chain_of_near_vectors(spark):
     roots = reached([(order[i], order[j]) for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True)])
     found = {k: (r["n_links"], r["component_id"]) for k, r in got.items()}
     assert found == {k: (n, roots.get(k, k)) for k, n in links.items()} and len(set(roots.values())) == 1
+
+
+def test_pii_field_equals_all_segmentations():
+    weights = pii.train()
+
+    def best(spans, scores, at, last, memory):
+        """The best score of candidates from atom ``at`` on, by trying every one that can come next."""
+        key = at, last
+        if key not in memory:
+            options = [0.0]
+            for (i, j, kind, a, b), own in zip(spans, scores, strict=True):
+                if i >= at:
+                    options.append(own + weights.get(f"{last}>{kind}", 0.0) + best(spans, scores, j, kind, memory))
+            memory[key] = max(options)
+        return memory[key]
+
+    for text, _ in pii.examples(150, 21):
+        _, spans = pii.candidates(text, 0, len(text))
+        own = lambda kind, a, b, text=text: sum(weights.get(f, pii.UNSEEN) for f in pii.features_at(text, kind, a, b)) + (b - a) * 1e-6
+        total, last = 0.0, ""
+        for kind, a, b in pii.segment(text, 0, len(text), weights):
+            total += own(kind, a, b) + weights.get(f"{last}>{kind}", 0.0)
+            last = kind
+        assert abs(total - best(spans, [own(*s[2:]) for s in spans], 0, "", {})) < 1e-9
+
+
+def test_pii_training_follows_the_likelihood():
+    number = {}
+    n, rows, right = next(d for d in (pii._prepared(t, g, number) for t, g in pii.examples(60, 5)) if d and len(d[2]) >= 2)
+    rng = np.random.default_rng(1)
+    w, to = rng.normal(0, 0.5, len(number)), rng.normal(0, 0.5, (5, 5))
+    grad, grad_to = np.zeros(len(w)), np.zeros((5, 5))
+    value = pii._gradient(n, rows, right, w, to, grad, grad_to)
+    assert value < 0
+    used = sorted({f for r in rows for f in r[3]})
+    for f in used[::3]:
+        more = w.copy()
+        more[f] += 1e-5
+        assert abs((pii._gradient(n, rows, right, more, to, np.zeros(len(w)), np.zeros((5, 5))) - value) / 1e-5 - grad[f]) < 1e-3
+    for k, c in ((0, 1), (0, 3), (1, 4), (4, 3)):
+        more = to.copy()
+        more[k, c] += 1e-5
+        assert abs((pii._gradient(n, rows, right, w, more, np.zeros(len(w)), np.zeros((5, 5))) - value) / 1e-5 - grad_to[k, c]) < 1e-3
+
+
+def test_pii_field_on_lines_it_has_not_seen():
+    weights = pii.train()
+    right = wrong = missed = 0
+    for text, gold in pii.examples(600, 99):
+        found, want = set(pii.segment(text, 0, len(text), weights)), set(gold)
+        right, wrong, missed = right + len(found & want), wrong + len(found - want), missed + len(want - found)
+    assert right / (right + wrong) > 0.92 and right / (right + missed) > 0.95
+
+
+def test_pii_clean_numbers_stay():
+    weights = pii.train()
+    for text in ("on 2024-05-01 12:30:00 we had 1.234.567,89", "see 1.2.3.4.5 and 10.20.30.40.50", "0-306-40615-2 or 978-0-306-40615-7", "look at example.org today"):
+        base, spans = pii.find_spans(text, weights)
+        assert spans == base
