@@ -6,9 +6,19 @@ of the table: first from words that stand alone, then from all runs as those
 words split them, so a name made of other words has no count of its own.
 A multinomial naive Bayes model scores the words.  It learns from all urls,
 labelled weakly: a url whose segmented host words hold a seed word is unwanted.
-
-Null urls and urls without ``://`` have an empty host and path: no rule fits,
-and the model sees no word, so its prior decides.  Repeated rows give repeated
+No word is taught by itself: for each word of a url, the label comes from the
+seeds among the url's *other* words, and a seed that alone would label its url
+isn't counted there.  So what a seed is worth comes from the words it stands
+with and from a prior (``SEED_RATIO``), and other words that keep company with
+seeds become evidence themselves.
+
+A run of more than ``MAX_LETTERS`` letters is no word and isn't counted as one,
+but split like any other; the vocabulary and the odds hold the ``MAX_WORDS``
+commonest words (and all seeds), and further words are unknown ones to the model.
+Words of one host split the same way everywhere.  Null urls and urls without ``://`` have an
+empty host and path: no rule fits, and the model sees no word, so its prior
+decides.  Very long urls are read whole.  Of equally cheap splits the one whose
+last word is shortest wins.  Repeated rows count and give repeated
 results, an empty table an empty result; other columns are not read.
 """
 
@@ -23,9 +33,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pitchlake.llm.common import forget, written
+
 #: (verdict, host, path): fixed values.
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
-SEEDS = ("casino", "bet", "bets", "poker", "pills", "viagra", "cheap", "xxx", "porn", "loan", "loans", "replica", "jackpot")
+#: Words of common classes of unwanted hosts: gambling, medicines, adult, credit, forgery, spam, advertising, malware.
+SEEDS = ("casino", "bet", "bets", "poker", "jackpot", "pills", "viagra", "cheap", "xxx", "porn", "adult", "loan", "loans", "replica", "spam", "ads", "adserver", "malware", "phishing", "warez")
+#: How much likelier a seed is in unwanted hosts than in others before any evidence.
+SEED_RATIO = 1000.0
 #: Words in the segmentation's vocabulary, and letters in a word, at most.
 MAX_WORDS, MAX_LETTERS = 1 << 16, 24
 WORD = re.compile("[a-z]+")
@@ -146,15 +161,12 @@ def fit(pages: DataFrame) -> Model:
     top = runs.groupBy("w").agg(F.count("*").alias("count"), n(marked).alias("marked"), n(~marked & ~host_).alias("piece"), n(~marked & host_).alias("label")).orderBy(F.desc("count"), "w").limit(MAX_WORDS).collect()
     segmenter = Segmenter(word_counts([(r["w"], r["marked"], r["piece"], r["label"]) for r in top]))
     shell = Model(segmenter, {}, 0.0, 0.0)
-    marks = {"h:" + w for w in SEEDS}
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[str, list[int]] = {}
         for batch in batches:
             for h, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = shell.words(h, p)
-                bad = not marks.isdisjoint(words)
-                for w in [*words, ""]:
+                for w, bad in taught(shell.words(h, p)):
                     got.setdefault(w, [0, 0])[bad] += 1
             if len(got) > 200_000:
                 yield batch_of(got)
@@ -164,12 +176,40 @@ def fit(pages: DataFrame) -> Model:
     def batch_of(got: dict) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array([n[0] for n in got.values()], pa.int64()), pa.array([n[1] for n in got.values()], pa.int64())], names=["w", "good", "bad"])
 
-    told = parts.mapInArrow(tally, "w string, good long, bad long").groupBy("w").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-    sums = told.agg(F.sum(F.when(F.col("w") == "", F.col("good"))), F.sum(F.when(F.col("w") == "", F.col("bad"))), F.sum(F.when(F.col("w") != "", F.col("good"))), F.sum(F.when(F.col("w") != "", F.col("bad"))), F.count("*")).first()
-    urls_good, urls_bad, good, bad, size = (int(x or 0) for x in sums)
+    told = written(parts.mapInArrow(tally, "w string, good long, bad long").groupBy("w").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")), "url-words")
+    sums = told.agg(F.sum(F.when(F.col("w") == "", F.col("good"))), F.sum(F.when(F.col("w") == "", F.col("bad"))), F.sum(F.when(F.col("w") != "", F.col("good"))), F.sum(F.when(F.col("w") != "", F.col("bad"))), F.count_if(F.col("w") != "")).first()
     rows = told.filter("w != ''").orderBy(F.desc(F.col("good") + F.col("bad")), "w").limit(2 * MAX_WORDS).collect()
-    base = math.log((good + size + 1) / (bad + size + 1))
-    odds = {r["w"]: math.log((r["bad"] + 1) / (r["good"] + 1)) + base for r in rows}
+    forget(told)
+    return bayes(segmenter, [(r["w"], r["good"], r["bad"]) for r in rows], *(int(x or 0) for x in sums))
+
+
+def taught(words: list[str]) -> Iterator[tuple[str, bool]]:
+    """(word, whether it counts as unwanted) for the words of one url, and the url's own label under the empty word.
+
+    A word's label comes from seeds of the host among the other words; a lone seed isn't counted.
+    """
+    seeds = {w for w in words if w in SEED_MARKS}
+    yield "", bool(seeds)
+    for w in words:
+        if not seeds:
+            yield w, False
+        elif seeds != {w}:
+            yield w, True
+
+
+SEED_MARKS = frozenset("h:" + w for w in SEEDS)
+
+
+def bayes(segmenter: Segmenter, counts: list[tuple[str, int, int]], urls_good: int, urls_bad: int, good: int, bad: int, size: int) -> Model:
+    """The model of (word, count in wanted, count in unwanted) and their totals, with add-one smoothing and the seeds' prior.
+
+    A seed has one observation more among wanted ones' and ``SEED_RATIO`` times that, scaled, among unwanted ones'.
+    """
+    scale = (bad + size + 1) / (good + size + 1)
+    base = -math.log(scale)
+    prior = {w: (1.0, SEED_RATIO * scale) for w in SEED_MARKS}
+    odds = {w: math.log((b + prior.get(w, (1, 1))[1]) / (g + prior.get(w, (1, 1))[0])) + base for w, g, b in counts}
+    odds = {w: math.log(SEED_RATIO) for w in SEED_MARKS} | odds
     return Model(segmenter, odds, base if bad else 0.0, math.log((urls_bad + 1) / (urls_good + 1)))
 
 

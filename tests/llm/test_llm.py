@@ -507,3 +507,68 @@ def test_pii_clean_numbers_stay():
     for text in ("on 2024-05-01 12:30:00 we had 1.234.567,89", "see 1.2.3.4.5 and 10.20.30.40.50", "0-306-40615-2 or 978-0-306-40615-7", "look at example.org today"):
         base, spans = pii.find_spans(text, weights)
         assert spans == base
+
+
+def test_urls_split_as_the_cheapest_of_all_splits():
+    segmenter = urls.Segmenter({"casino": 9, "bets": 7, "bet": 20, "casin": 2, "obets": 1, "s": 4, "free": 8, "in": 30, "no": 30, "cas": 5})
+
+    def every(run):
+        return [[run]] + [[run[:i], *rest] for i in range(1, len(run)) for rest in every(run[i:])]
+
+    for run in ("casinobets", "freebet", "cafreex", "sins", "inno", "zzz", "betsbets", "q"):
+        assert abs(sum(map(segmenter.cost, segmenter.split(run))) - min(sum(map(segmenter.cost, x)) for x in every(run))) < 1e-9
+        assert "".join(segmenter.split(run)) == run
+    assert segmenter.split("casinobets") == ("casino", "bets")
+    long = "freebets" * 40
+    assert "".join(segmenter.split(long)) == long and set(segmenter.split(long)) == {"free", "bets"}
+
+
+def test_urls_learn_from_company(spark):
+    # casinobets comes in the table itself, never apart; lucky keeps company with seeds, sunny doesn't
+    hosts = ["casinobets.com"] * 30 + ["lucky-casino.com", "lucky-poker.net", "www.lucky-jackpot.org"] * 10 + ["sunny-garden.com", "www.garden-news.org", "abetter-garden.net", "luckless.org"] * 2500
+    rows = [(i, f"https://{h}/page/{i}") for i, h in enumerate(hosts)]
+    asked = [(20_000, "http://lucky-garden.com/"), (20_001, "http://sunny-news.org/x"), (20_002, "http://lucky.net/" + "a" * 100_000), (20_003, None), (20_004, "no scheme"), (20_005, "http://casinobets.com/page/1"), (20_005, "http://casinobets.com/page/1")]
+    table, more = (spark.createDataFrame(x, "page_id long, url string") for x in (rows, asked))
+    model = urls.fit(table)
+    assert model.segmenter.split("casinobets") == ("casino", "bets") and model.segmenter.split("luckless") == ("luckless",)
+    got = {r["host"]: r["verdict"] for r in urls.judge(table, model, ()).collect()}
+    blocked = {h for h, v in got.items() if v == "block"}
+    assert blocked == {"casinobets.com", "lucky-casino.com", "lucky-poker.net", "www.lucky-jackpot.org"}
+    out = urls.judge(more, model, ()).collect()
+    verdicts = {r["page_id"]: r["verdict"] for r in out}
+    assert len(out) == 7 and verdicts == {20_000: "block", 20_001: "allow", 20_002: "block", 20_003: "allow", 20_004: "allow", 20_005: "block"}
+    # the odds of words, counted by hand
+    good, bad = {}, {}
+    n = [0, 0]
+    for h, (_, u) in zip(hosts, rows, strict=True):
+        words = ["h:" + w for run in re.findall("[a-z]+", h) for w in model.segmenter.split(run)] + ["p:" + w for w in re.findall("[a-z]+", u.split(h)[1])]
+        seeds = {w for w in words if w[2:] in urls.SEEDS and w.startswith("h:")}
+        n[bool(seeds)] += 1
+        for w in words:
+            if not seeds:
+                good[w] = good.get(w, 0) + 1
+            elif seeds - {w}:
+                bad[w] = bad.get(w, 0) + 1
+    size = len(set(good) | set(bad))
+    scale = (sum(bad.values()) + size + 1) / (sum(good.values()) + size + 1)
+    for w in set(good) | set(bad):
+        a, b = (1, urls.SEED_RATIO * scale) if w[2:] in urls.SEEDS and w.startswith("h:") else (1, 1)
+        assert abs(model.odds[w] - np.log((bad.get(w, 0) + b) / (good.get(w, 0) + a) / scale)) < 1e-9
+    assert abs(model.prior - np.log((n[1] + 1) / (n[0] + 1))) < 1e-9
+    for w in ("h:lucky", "h:casino"):
+        assert model.odds[w] > 2
+
+
+def test_urls_seeds_found_by_company_alone(spark):
+    """Held-out agreement: without its own seed, a url of the table gets the label that its seed would give it."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    fold = F.pmod(F.xxhash64("page_id"), F.lit(5)) == 0
+    model = urls.fit(pages.filter(~fold))
+    host, path = urls.host_path(F.col("url"))
+    agree = total = 0
+    for h, p in pages.filter(fold).select(host, path).collect():
+        words = model.words(h, p)
+        score = model.prior + sum(model.odds.get(w, model.unknown) for w in words if w not in urls.SEED_MARKS)
+        agree += (score > 0) == (not urls.SEED_MARKS.isdisjoint(words))
+        total += 1
+    assert agree / total > 0.95
