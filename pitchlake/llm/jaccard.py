@@ -41,7 +41,7 @@ HASHES = BANDS * ROWS
 #: Posterior probability below which a pair is dropped; rows and bytes of a block, at most.
 TOLERANCE, BLOCK, BLOCK_BYTES = 1e-6, 1024, 8_000_000
 #: Rows, pairs and bytes of a task that looks for candidates, and of one that verifies.
-CANDIDATE_TASK, VERIFY_TASK = (4096, 4_000_000, 4_000_000), (4096, 500_000, 16_000_000)
+CANDIDATE_TASK, VERIFY_TASK = (4096, 4_000_000, 4_000_000), (1024, 250_000, 2_000_000)
 
 _RNG = np.random.Generator(np.random.PCG64(20240613))
 MULT = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
