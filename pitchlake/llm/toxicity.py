@@ -1,25 +1,31 @@
 """Toxicity of documents by misspelling-tolerant lexicon matches in context.
 
 Lexicon.  Terms are learned from labelled training rows (a bounded sample, see
-``MAX_LABELLED``): whole words and word beginnings ("stems") that occur in
-toxic documents and hardly elsewhere, joined with a short seed list.
+``MAX_LABELLED``): whole words of 4 to 16 letters and word beginnings ("stems") of 4 to 7 that occur in
+toxic documents and hardly elsewhere, at most ``MAX_TERMS``, joined with a short seed list.
 
-Matching.  The terms form a trie.  Levenshtein automata of distance one are
+Matching.  The terms form a trie.  Levenshtein automata of distance one (a
+letter inserted, left out or replaced, or two neighbours swapped) are
 intersected with it by subset construction: a state is a set of (trie node,
 edits so far), and the product is determinised into one table over byte
-classes.  All words of a batch walk that table side by side, a character a
+classes.  Terms of under five letters are matched exactly: at distance one
+they meet too many common words.  All words of a batch walk that table side by side, a character a
 step; dead states drop out at once.  Words at distance one are judged by their
 own record in the training sample, so that an innocent neighbour of a term does
 not count.
 
-Context.  Each match is looked at in a window of tokens: inside quotation marks
-or near a word of saying it is quoted, else direct.  A logistic model over the
+Context.  Each match, misspelt or not, is looked at in a window of tokens:
+inside quotation marks or near a word of saying it is quoted, else direct.  An
+apostrophe between letters is no quotation mark.  A logistic model over the
 match counts (direct, quoted, misspelt, density) gives the score.
 
-Nulls and empty texts score as documents without a match.  Repeated rows give
-repeated results.  Labels that are null, or of ids with contradictory labels,
-do not train.  Other columns (lang, source, ids) are never inputs of a score.
-With no labelled row the seed list and prior weights are used.
+Nulls and empty texts score as documents without a match.  Very long texts are
+scored whole.  Repeated rows give repeated results; of a labelled id's several
+texts the least trains.  Labels that are null, or of ids with contradictory labels,
+do not train; of equally supported terms the shorter, then the later in the
+alphabet comes first.  Other columns (lang, source, ids) are never inputs of a score.
+With no labelled row the seed list and prior weights are used; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,16 +34,19 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitchlake.llm.common import forget, written
+
 SEEDS = ("idiot", "moron", "stupid", "scum", "trash", "loser", "pathetic", "worthless", "disgusting", "clown")
 SAYING = {"said", "says", "wrote", "called", "quote", "quoted", "word", "words", "term"}
 #: Labelled rows that train the lexicon and the model, at most: so many of each label, those of least hash.
-MAX_LABELLED = 6_000
+MAX_LABELLED = 12_000
 #: Lexicon size at most; letters of stems; toxic documents that must hold a term, and their share.
 MAX_TERMS, STEM_LETTERS, MIN_SUPPORT, SUPPORT_SHARE = 400, (4, 5, 6, 7), 4, 0.005
 WINDOW = 6
@@ -45,7 +54,7 @@ FEATURES = ("bias", "direct", "quoted", "misspelt", "density", "stem")
 PRIOR = np.array([-3.0, 3.0, 0.5, 0.8, 0.5, 2.0])
 
 WORD = re.compile(r"[^\W_]+")
-QUOTES = "\"'“”„«»‘’"
+QUOTES, SINGLE_QUOTES = "\"“”„«»‘", "'’"
 BLANK, ASCII_SIZE = 0, 128
 
 
@@ -99,6 +108,10 @@ class Matcher:
                 if node == IN_STEM:
                     out.add((IN_STEM, 0))
                     continue
+                if edits < 0:  # the second of two swapped letters is still to come
+                    if c == -edits:
+                        out.add((node, 1))
+                    continue
                 n = children[node].get(c)
                 if n is not None and (edits == 0 or n in fuzzy):
                     out.add((IN_STEM if ends[n] & 2 and edits == 0 else n, edits))
@@ -107,6 +120,10 @@ class Matcher:
                 if edits == 0:
                     if node in fuzzy:
                         out.add((node, 1))  # inserted letter
+                    for first, n in children[node].items():
+                        swapped = children[n].get(c)
+                        if swapped in fuzzy and first != c:
+                            out.add((swapped, -first))
                     out |= {(n, 1) for n in children[node].values() if n in fuzzy}  # replaced letter
             return close(out)
 
@@ -116,7 +133,7 @@ class Matcher:
                 return 1
             if any(n == IN_STEM or e == 0 and ends[n] & 2 for n, e in items):
                 return 2
-            return 3 if any(n in fuzzy and ends[n] & 1 and deep[n] >= 5 for n, _ in items) else 0
+            return 3 if any(n in fuzzy and e >= 0 and ends[n] & 1 and deep[n] >= 5 for n, e in items) else 0
 
         size = len(letters) + 1
         ids = {frozenset(): 0}
@@ -188,31 +205,47 @@ def matches(text: str, matcher: Matcher) -> list[tuple[int, int, int]]:
     return [(int(starts[i]), int(ends[i]), int(kinds[i])) for i in hit]
 
 
+def is_quote(text: str, i: int) -> bool:
+    """Whether text[i] is a quotation mark; a single one between letters is an apostrophe."""
+    c = text[i]
+    return c in QUOTES or c in SINGLE_QUOTES and not (text[i - 1 : i].isalnum() and text[i + 1 : i + 2].isalnum())
+
+
 def quoted(text: str, start: int, end: int) -> bool:
     """Whether the match stands in quotation marks or close to a word of saying."""
-    before, after = text[max(0, start - 60) : start], text[end : end + 60]
-    left = max(before.rfind(q) for q in QUOTES)
-    right = min((i for i in (after.find(q) for q in QUOTES) if i >= 0), default=-1)
-    if left >= 0 and right >= 0 and "\n" not in before[left:] + after[:right]:
+    lo, hi = max(0, start - 60), min(len(text), end + 60)
+    left = next((i for i in range(start - 1, lo - 1, -1) if is_quote(text, i)), -1)
+    right = next((i for i in range(end, hi) if is_quote(text, i)), -1)
+    if left >= 0 and right >= 0 and "\n" not in text[left:right]:
         return True
-    near = WORD.findall(before)[-WINDOW:] + WORD.findall(after)[:WINDOW]
+    near = WORD.findall(text[lo:start])[-WINDOW:] + WORD.findall(text[end:hi])[:WINDOW]
     return any(w in SAYING for w in near)
 
 
-def features(text: str, found: list[tuple[int, int, int]], innocent: frozenset) -> np.ndarray:
-    """Counts, dampened by logarithms, in the order of FEATURES."""
-    direct = quote = wrong = stem = 0
+def evidence(text: str, found: list[tuple[int, int, int]]) -> tuple[list[int], list[str], list[str]]:
+    """(direct terms, quoted ones, stems, length of the text), misspelt words and quoted misspelt words."""
+    direct = quote = stem = 0
+    wrong: list[str] = []
+    wrong_quoted: list[str] = []
     for a, b, kind in found:
+        said = quoted(text, a, b)
         if kind == 3:
-            wrong += text[a:b] not in innocent
-        elif quoted(text, a, b):
+            (wrong_quoted if said else wrong).append(text[a:b])
+        elif said:
             quote += 1
         elif kind == 2:
             stem += 1
         else:
             direct += 1
-    n = direct + stem
-    return np.array([1.0, np.log1p(direct), np.log1p(quote), np.log1p(wrong), np.log1p(1000.0 * n / (len(text) + 100)), np.log1p(stem)])
+    return [direct, quote, stem, len(text)], wrong, wrong_quoted
+
+
+def features(counts: list[int], wrong: list[str], wrong_quoted: list[str], innocent: frozenset) -> np.ndarray:
+    """Dampened by logarithms, in the order of FEATURES; words near a term that are innocent don't count."""
+    direct, quote, stem, length = counts
+    misspelt = sum(w not in innocent for w in wrong)
+    quote += sum(w not in innocent for w in wrong_quoted)
+    return np.array([1.0, np.log1p(direct), np.log1p(quote), np.log1p(misspelt), np.log1p(1000.0 * (direct + stem) / (length + 100)), np.log1p(stem)])
 
 
 class Model:
@@ -233,7 +266,7 @@ class Model:
             off = int(begins[i])
             found[i].append((a - off, b - off, kind))
         empty = float(self.weights[0])
-        z = [float(features(t, f, self.innocent) @ self.weights) if f else empty for t, f in zip(low, found, strict=True)]
+        z = [float(features(*evidence(t, f), self.innocent) @ self.weights) if f else empty for t, f in zip(low, found, strict=True)]
         return [float(1 / (1 + np.exp(-x))) for x in z]
 
 
@@ -273,17 +306,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     own = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0))
     own = own.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).filter("toxic = most").select(F.col("doc_id").alias("id_"), F.col("toxic").cast("int").alias("toxic_"), F.xxhash64("doc_id").alias("h_"))
     # bounded by the parameter, hence safe to send everywhere
-    chosen = [r for y in (0, 1) for r in own.filter(F.col("toxic_") == y).orderBy("h_", "id_").limit(MAX_LABELLED).select("id_", "toxic_").collect()]
-    label_of = {r[0]: r[1] for r in chosen}
-    told = spark.sparkContext.broadcast(label_of)
+    chosen = reduce(DataFrame.unionByName, [own.filter(F.col("toxic_") == y).orderBy("h_", "id_").limit(MAX_LABELLED).select("id_", "toxic_") for y in (0, 1)])
+    narrow = docs.select(docs["doc_id"].cast("long").alias("id_"), docs["text"].alias("text"))
+    sample = written(narrow.join(F.broadcast(chosen), "id_").groupBy("id_", "toxic_").agg(F.min("text").alias("text")), "toxic-sample")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int]]:
-        seen = told.value
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for i, d in enumerate(ids):
-                if d in seen:
-                    yield texts[i].as_py() or "", seen[d]
+            for y, t in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                yield (t.as_py() or "").lower(), y
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally: dict[tuple[str, bool], list[int]] = {}
@@ -292,43 +322,38 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             size[y] += 1
             for c in candidates(text):
                 tally.setdefault(c, [0, 0])[y] += 1
-        # what only clean documents hold can't become a term: left out where a partition has many, but counted if toxic elsewhere
         items = [(t, s, n[1], n[0]) for (t, s), n in tally.items()] + [("", False, size[1], size[0])]
         cols = list(zip(*items, strict=True))
         for i in range(0, len(items), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(cols[0][i : i + 50_000], pa.string()), pa.array(cols[1][i : i + 50_000], pa.bool_()), pa.array(cols[2][i : i + 50_000], pa.int64()), pa.array(cols[3][i : i + 50_000], pa.int64())], names=["term", "stem", "toxic", "clean"])
 
-    narrow = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    counts = narrow.mapInArrow(count, "term string, stem boolean, toxic long, clean long").groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    from pitchlake.llm.common import forget, written
-
+    counts = sample.mapInArrow(count, "term string, stem boolean, toxic long, clean long").groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     counts = written(counts, "toxic-terms")
     sizes = counts.filter("term = ''").agg(F.sum("toxic"), F.sum("clean")).first()
     toxic, clean = int(sizes[0] or 0), int(sizes[1] or 0)
     ratio = max(1, clean) / max(1, toxic)
-    top = counts.filter((F.col("term") != "") & (F.col("toxic") >= max(MIN_SUPPORT, toxic * SUPPORT_SHARE)) & (F.col("clean") * 25 <= F.col("toxic") * ratio)).orderBy(F.desc("toxic"), F.length("term"), "term").limit(4 * MAX_TERMS)
-    terms, stems = choose_terms([tuple(r) for r in top.select("term", "stem", "toxic", "clean").collect()], toxic, clean)
+    top = counts.filter((F.col("term") != "") & (F.col("toxic") >= max(MIN_SUPPORT, toxic * SUPPORT_SHARE)) & (F.col("clean") * 25 <= F.col("toxic") * ratio))
+    # a document of bounded share holds a term: so many terms can pass, at most, as documents hold words
+    terms, stems = choose_terms([tuple(r) for r in top.select("term", "stem", "toxic", "clean").toLocalIterator()], toxic, clean)
     matcher = Matcher([*SEEDS, *terms], stems)
     shared = spark.sparkContext.broadcast(matcher)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for text, y in rows(batches):
-            low = text.lower()
-            found = matches(low, shared.value)
-            near = sorted({low[a:b] for a, b, k in found if k == 3})
-            yield pa.RecordBatch.from_arrays([pa.array([y], pa.int32()), pa.array([[float(v) for v in features(low, found, frozenset())]], pa.list_(pa.float64())), pa.array([near], pa.list_(pa.string()))], names=["y", "x", "near"])
+        for low, y in rows(batches):
+            numbers, wrong, wrong_quoted = evidence(low, matches(low, shared.value))
+            yield pa.RecordBatch.from_arrays([pa.array([y], pa.int32()), pa.array([numbers], pa.list_(pa.int64())), pa.array([wrong], pa.list_(pa.string())), pa.array([wrong_quoted], pa.list_(pa.string()))], names=["y", "n", "wrong", "said"])
 
-    sample = narrow.mapInArrow(gather, "y int, x array<double>, near array<string>").collect()  # at most 2 * MAX_LABELLED ids, repeated rows apart
+    told = sample.mapInArrow(gather, "y int, n array<long>, wrong array<string>, said array<string>").collect()  # at most 2 * MAX_LABELLED rows
     forget(counts)
+    forget(sample)
     tally = {0: Counter(), 1: Counter()}
-    for r in sample:
-        tally[r["y"]].update(r["near"])
+    for r in told:
+        tally[r["y"]].update({*r["wrong"], *r["said"]})
     innocent = frozenset(w for w, n in tally[0].items() if n * 4 > tally[1][w])
-    if not sample:
+    if not told:
         return Model(matcher, innocent, PRIOR.copy())
-    x = np.array([r["x"] for r in sample])
-    x[:, 3] = [np.log1p(sum(w not in innocent for w in r["near"])) for r in sample]
-    y = np.array([r["y"] for r in sample], float)
+    x = np.array([features(list(r["n"]), r["wrong"], r["said"], innocent) for r in told])
+    y = np.array([r["y"] for r in told], float)
     return Model(matcher, innocent, logistic(x, y))
 
 

@@ -193,14 +193,28 @@ def test_automaton_against_edit_distance():
 
     def near(a, b):
         edits = {b[:i] + c + b[j:] for i in range(len(b) + 1) for j in (i, i + 1) for c in ["", *"abcdefghijklmnopqrstuvwxyz0123456789"]}
-        return a in edits or a == b
+        swapped = {b[:i] + b[i + 1] + b[i] + b[i + 2 :] for i in range(len(b) - 1)}
+        return a in edits | swapped or a == b
 
-    words = ["idiot", "id1ot", "idot", "iidiot", "idiots", "idxxt", "scum", "skum", "vequance", "oron", "morons", "mooron", "x", "ido", "noise"]
+    words = [*{x[:i] + x[i + 1] + x[i] + x[i + 2 :] for x in ("idiot", "moron") for i in range(4)}, "idoti", "diito", "idiotm", "omron", "romon", "idiot", "id1ot", "idot", "iidiot", "idiots", "idxxt", "scum", "skum", "vequance", "oron", "morons", "mooron", "x", "ido", "noise"]
     got = {w: m.words(np.frombuffer(w.encode("utf-32-le"), np.uint32), np.array([0]), np.array([len(w)]))[0] for w in words}
     for w in words:
         want = 1 if w in ("idiot", "moron", "scum") else 2 if w.startswith("vequ") else 3 if any(near(w, t) for t in ("idiot", "moron")) else 0
         assert got[w] == want, w
     assert toxicity.quoted('he said "idiot" there', 9, 14) and not toxicity.quoted("you idiot", 4, 9)
+    text = "don't be an idiot, it's bad"
+    assert not toxicity.quoted(text, 12, 17) and toxicity.quoted("they 'idiot' me", 6, 11) and toxicity.quoted("«un idiot»", 4, 9)
+
+
+def test_context_of_misspelt_terms():
+    """A misspelt term counts as abuse, unless it's quoted."""
+    model = toxicity.Model(toxicity.Matcher(["idiot"], []), frozenset({"idiom"}), toxicity.PRIOR)
+    count = lambda t: toxicity.features(*toxicity.evidence(t, toxicity.matches(t, model.matcher)), model.innocent)
+    for word, place in (("idiot", 1), ("idot", 3), ("idoit", 3)):
+        assert count(f"you {word}")[place] == np.log1p(1) and count(f"you {word}")[2] == 0
+        assert count(f'the sign "{word}" hung')[place] == 0 and count(f'the sign "{word}" hung')[2] == np.log1p(1)
+        direct, said, none = model.scores([f"you {word} there", f'it read "{word}" there', "you idiom there"])
+        assert direct > said > none
 
 
 def test_urls(spark):
