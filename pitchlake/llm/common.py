@@ -49,20 +49,20 @@ def forget(df: DataFrame) -> None:
 HEAVY_SHARE, HEAVY_LEAST = 1000, 1000
 
 
-def looked_up(rows: DataFrame, key: str, table: DataFrame) -> DataFrame:
-    """Left join of ``rows`` with ``table`` (``key`` unique there) that no heavy key sends to one task.
+def looked_up(rows: DataFrame, key: str | list[str], table: DataFrame, how: str = "left") -> DataFrame:
+    """Left (or inner) join of ``rows`` with ``table`` (``key`` unique there) that no heavy key sends to one task.
 
     Heavy keys, at most ``HEAVY_SHARE`` of them, meet a broadcast copy of their rows of ``table``;
     all others are shuffled.  ``rows`` is read three times, so it should be a written table.
     """
+    keys = [key] if isinstance(key, str) else key
     least = max(HEAVY_LEAST, rows.count() // HEAVY_SHARE)
-    heavy = rows.groupBy(key).agg(F.count("*").alias("n_")).filter(F.col("n_") >= least).select(key)
-    known = {r[0] for r in heavy.collect()}  # at most HEAVY_SHARE keys
+    known = rows.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("n_")).filter(F.col("n_") >= least).select(*keys).collect()  # at most HEAVY_SHARE rows
     if not known:
-        return rows.join(table, key, "left")
-    heavy = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in known], heavy.schema))
-    some = rows.join(F.broadcast(heavy.join(table, key, "left")), key)
-    return some.unionByName(rows.join(heavy, key, "left_anti").join(table, key, "left"))
+        return rows.join(table, keys, how)
+    heavy = rows.sparkSession.createDataFrame(known, rows.select(*keys).schema)
+    some = rows.join(F.broadcast(heavy.join(table, keys, how)), keys)
+    return some.unionByName(rows.join(F.broadcast(heavy), keys, "left_anti").join(table, keys, how))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -65,23 +65,30 @@ QUERIES = {f.__name__: f for f in (op1_url_filter, op2_packing, op3_mixing, op4_
 #: DuckDB SQL where SQL can express the whole result.
 ORACLE_SQL = {
     "op8_tool_calls": """
-WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
-calls AS (SELECT *, 'c' || conv_id || '-' || turn AS call_id,
-    CASE WHEN turn >= 2 THEN 'c' || conv_id || '-' || (turn - 2) END AS after_id FROM c WHERE role = 'user'),
-results AS (SELECT *, 'c' || conv_id || '-' || (turn - 1) AS call_id FROM c WHERE role = 'assistant'),
-met AS (SELECT coalesce(a.conv_id, r.conv_id) AS conv_id, coalesce(a.call_id, r.call_id) AS call_id,
-    a.turn AS call_turn, r.turn AS result_turn, a.text AS text, a.after_id, r.text AS content, d.call_id AS dep
-  FROM calls a FULL JOIN results r ON a.conv_id = r.conv_id AND a.call_id = r.call_id
-  LEFT JOIN calls d ON a.conv_id = d.conv_id AND a.after_id = d.call_id)
-SELECT conv_id, call_id, CASE WHEN call_turn IS NOT NULL THEN 'reply' END AS tool, call_turn, result_turn,
-  CASE WHEN call_turn IS NULL THEN 'orphan' WHEN result_turn IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
-  CASE WHEN after_id IS NOT NULL AND dep IS NULL THEN 'no call ' || after_id ELSE '' END AS errors,
-  call_turn AS order_turn, CASE WHEN call_turn IS NOT NULL THEN 0 END AS order_depth,
-  '{"arguments":' || CASE WHEN call_turn IS NULL THEN 'null'
-    ELSE '{' || CASE WHEN after_id IS NULL THEN '' ELSE '"after":' || to_json(after_id)::VARCHAR || ',' END
-      || '"text":' || to_json(text)::VARCHAR || ',"turn":' || call_turn || '}' END
-    || ',"id":' || to_json(call_id)::VARCHAR || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null')
-    || ',"tool":' || CASE WHEN call_turn IS NULL THEN 'null' ELSE '"reply"' END || '}' AS record
-FROM met
+WITH RECURSIVE c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, contains(coalesce(text, ''), chr(10)) AS many, contains(coalesce(text, ''), ',') AS comma FROM conversations),
+made AS (
+  SELECT conv_id, turn, 'c' || conv_id || '-' || turn AS call_id, 'reply' AS tool,
+    CASE WHEN many AND turn >= 2 THEN 'c' || conv_id || '-' || (turn - 2) WHEN NOT many THEN 'c' || conv_id || '-' || (turn + 2) END AS dep, text, comma FROM c WHERE role = 'user'
+  UNION ALL SELECT conv_id, turn, 'c' || conv_id || '-' || (turn + 1), 'configure', NULL, text, NULL FROM c WHERE role = 'system'),
+calls AS (SELECT *, row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn, tool, text) AS place,
+  CASE tool WHEN 'reply' THEN '{' || CASE WHEN dep IS NULL THEN '' ELSE '"after":' || to_json(dep)::VARCHAR || ',' END || '"text":' || to_json(text)::VARCHAR || ',"turn":' || CASE WHEN comma THEN turn::VARCHAR ELSE '"' || turn || '"' END || '}' ELSE 'null' END AS arguments,
+  CASE WHEN tool = 'configure' THEN 'not JSON; unknown tool' WHEN NOT comma THEN 'turn is no integer' ELSE '' END AS wrong FROM made),
+results AS (SELECT *, row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn, content) AS place FROM (
+  SELECT conv_id, turn, 'c' || conv_id || '-' || CASE WHEN NOT comma THEN turn - 3 WHEN many THEN turn - 1 ELSE turn + 1 END AS call_id, text AS content FROM c WHERE role = 'assistant')),
+one AS (SELECT * FROM calls WHERE place = 1),
+walk AS (SELECT conv_id, call_id AS start, call_id AS node, turn, dep, 0 AS steps FROM one
+  UNION ALL SELECT w.conv_id, w.start, o.call_id, o.turn, o.dep, w.steps + 1 FROM walk w JOIN one o ON w.conv_id = o.conv_id AND w.dep = o.call_id WHERE w.steps < 40),
+ends AS (SELECT conv_id, start AS call_id, max(steps) >= 40 AS cyclic, max(turn) AS order_turn, arg_max(steps, turn) AS order_depth FROM walk GROUP BY ALL),
+both_ AS (SELECT coalesce(o.conv_id, r.conv_id) AS conv_id, coalesce(o.call_id, r.call_id) AS call_id, o.tool, o.turn AS call_turn, r.turn AS result_turn,
+    CASE WHEN o.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'unanswered' WHEN r.turn <= o.turn THEN 'before its call' ELSE 'linked' END AS status,
+    CASE WHEN o.call_id IS NULL THEN '' ELSE concat_ws('; ', nullif(o.wrong, ''), CASE WHEN o.dep IS NOT NULL AND d.call_id IS NULL THEN 'no call ' || o.dep END) END AS errors,
+    CASE WHEN NOT e.cyclic THEN e.order_turn END AS order_turn, CASE WHEN NOT e.cyclic THEN e.order_depth END AS order_depth, o.arguments, r.content
+  FROM one o FULL JOIN (SELECT * FROM results WHERE place = 1) r ON o.conv_id = r.conv_id AND o.call_id = r.call_id
+  LEFT JOIN one d ON o.conv_id = d.conv_id AND o.dep = d.call_id LEFT JOIN ends e ON o.conv_id = e.conv_id AND o.call_id = e.call_id
+  UNION ALL SELECT conv_id, call_id, tool, turn, NULL, 'repeated call', wrong, NULL, NULL, arguments, NULL FROM calls WHERE place > 1
+  UNION ALL SELECT conv_id, call_id, NULL, NULL, turn, 'repeated result', '', NULL, NULL, NULL, content FROM results WHERE place > 1)
+SELECT conv_id, call_id, tool, call_turn, result_turn, status, errors, order_turn, CAST(order_depth AS INT) AS order_depth,
+  '{"arguments":' || coalesce(arguments, 'null') || ',"id":' || to_json(call_id)::VARCHAR || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || ',"tool":' || coalesce(to_json(tool)::VARCHAR, 'null') || '}' AS record
+FROM both_
 """,
 }

@@ -1,6 +1,7 @@
 """Tool-call linking for chat records, in DataFrame functions only.
 
-Calls and results are joined by identifier.  Arguments are parsed to variants,
+Calls and results are joined by identifier (a hash join of one row per
+identifier and side).  Arguments are parsed to variants,
 whose text form is canonical (sorted keys, no spaces), and checked against a
 schema for each tool.  Calls are put in a stable topological order: a call
 keeps its own turn as key unless something it depends on comes later, in which
@@ -8,12 +9,14 @@ case it moves to just after that.  Only references forward need iteration, so
 long chains of backward references cost none, and no conversation is ever
 gathered in one task.
 
-Identifiers repeated within a conversation: the first call (least turn) and the
+Identifiers repeated within a conversation: the first call (least turn, then
+tool, arguments and dependencies) and the
 first result (least turn, then text) count; further ones are kept with status
-``repeated call`` or ``repeated result``.  Null identifiers link with nothing
+``repeated call`` or ``repeated result``, without an order.  Null identifiers link with nothing
 (``unanswered``, ``orphan``).  Null or unparsable arguments are invalid.
 References to calls that don't exist are errors of the call, without effect on
-the order.  Calls in or behind a cycle get a null order.  An empty table gives
+the order.  Calls in a cycle, and those that depend on one, get a null order.
+Very long texts and arguments are kept whole.  An empty table gives
 an empty result; columns beyond those named are ignored.
 """
 
@@ -21,10 +24,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import written
+from pitchlake.llm.common import forget, looked_up, written
 
 #: tool -> field -> (type, required)
 SCHEMAS = {"reply": {"after": ("string", False), "text": ("string", True), "turn": ("integer", True)}}
@@ -35,16 +38,27 @@ TYPES = {"string": ("STRING",), "integer": ("BIGINT",), "number": ("BIGINT", "DO
 def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results a plain conversation stands for.
 
-    Each user turn calls ``reply`` with its text; it depends on the user turn
-    two before, where there can be one.  Each assistant turn is the result of
-    the turn before it.
+    Each user turn calls ``reply`` with its text.  One of several lines goes on
+    from the user turn two before, where there can be one; one of a single line
+    waits for the user turn two after it, whether or not there is one.  Without
+    a comma its turn is given as text, which the schema doesn't allow.  A system
+    turn is a call of ``configure``, which no schema knows, with bare text as arguments, under
+    the identifier of the turn after it.
+
+    An assistant turn is the result of the turn before it if it has a comma and several lines; without a
+    comma it is one more result of the turn three before, else it answers the turn after it ahead of time.
     """
     c = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    turn, many, comma = F.col("turn"), F.contains("text", F.lit("\n")), F.contains("text", F.lit(","))
     name = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
-    after = F.when(F.col("turn") >= 2, name(F.col("turn") - 2))
-    calls = c.filter("role = 'user'").select("conv_id", "turn", name(F.col("turn")).alias("call_id"), F.lit("reply").alias("tool"), F.to_json(F.struct("turn", "text", after.alias("after"))).alias("arguments"), F.when(after.isNotNull(), F.array(after)).otherwise(F.array().cast("array<string>")).alias("depends"))
-    results = c.filter("role = 'assistant'").select("conv_id", "turn", name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
-    return calls, results
+    after = F.when(many & (turn >= 2), name(turn - 2)).when(~many, name(turn + 2))
+    told = F.when(comma, F.to_json(F.struct("turn", "text", after.alias("after")))).otherwise(F.to_json(F.struct(turn.cast("string").alias("turn"), "text", after.alias("after"))))
+    none = F.array().cast("array<string>")
+    user = c.filter("role = 'user'").select("conv_id", "turn", name(turn).alias("call_id"), F.lit("reply").alias("tool"), told.alias("arguments"), F.when(after.isNotNull(), F.array(after)).otherwise(none).alias("depends"))
+    system = c.filter("role = 'system'").select("conv_id", "turn", name(turn + 1).alias("call_id"), F.lit("configure").alias("tool"), F.col("text").alias("arguments"), none.alias("depends"))
+    answered = F.when(~comma, turn - 3).when(many, turn - 1).otherwise(turn + 1)
+    results = c.filter("role = 'assistant'").select("conv_id", "turn", name(answered).alias("call_id"), F.col("text").alias("content"))
+    return user.unionByName(system), results
 
 
 def argument_errors(tool: Column, args: Column, schemas: dict) -> Column:
@@ -64,54 +78,64 @@ def argument_errors(tool: Column, args: Column, schemas: dict) -> Column:
     return F.filter(F.array(*out), lambda e: e.isNotNull())
 
 
+KEY = ["conv_id", "call_id"]
+
+
 def topological(calls: DataFrame) -> DataFrame:
     """``conv_id, call_id, order_turn, order_depth, missing``: the stable topological key of each (unique) call.
 
     key = (turn, 0), raised to (t, d + 1) by a dependency with key (t, d) of the same or a later turn.
-    Without a cycle no chain has more calls than its conversation, so what moves in more rounds is one or lies behind one.
+    Without a cycle, the calls on the way to a key of depth d are d different ones, all raised; so a
+    depth above the number of raised calls in its conversation tells a cycle, which then
+    makes all that depends on it stuck as well.
     """
     nodes = calls.select("conv_id", "call_id", "turn")
-    edges = calls.select("conv_id", "call_id", "turn", F.explode(F.array_distinct("depends")).alias("dep"))
-    seen = edges.join(nodes.select("conv_id", F.col("call_id").alias("dep"), F.col("turn").alias("dep_turn")), ["conv_id", "dep"], "left").hint("shuffle_hash")
-    missing = seen.filter("dep_turn is null").groupBy("conv_id", "call_id").agg(F.sort_array(F.collect_set("dep")).alias("missing"))
-    links = written(seen.filter("dep_turn is not null").select("conv_id", "call_id", "turn", "dep", "dep_turn"), "calls")
+    edges = written(calls.select("conv_id", "call_id", "turn", F.explode(F.array_distinct("depends")).alias("dep")).filter("dep is not null"), "edges")
+    seen = looked_up(edges, ["conv_id", "dep"], nodes.select("conv_id", F.col("call_id").alias("dep"), F.col("turn").alias("dep_turn")).hint("shuffle_hash"))
+    seen = written(seen.select("conv_id", "call_id", "turn", "dep", "dep_turn"), "calls")
+    missing = seen.filter("dep_turn is null").groupBy(*KEY).agg(F.sort_array(F.collect_set("dep")).alias("missing"))
+    links = seen.filter("dep_turn is not null")
     # only what a reference forward (or to itself) can move takes part
-    moved = links.filter("dep_turn >= turn").groupBy("conv_id", "call_id").agg(F.min("turn").alias("turn"), F.max("dep_turn").alias("t")).withColumn("d", F.lit(1))
-    stuck = None
-    if not links.filter("dep_turn >= turn").isEmpty():
-        keys = written(moved, "keys")
-        # calls that depend on nothing never move
-        dependent = links.join(moved.select("conv_id").distinct(), "conv_id", "left_semi").select("conv_id", "call_id").distinct()
-        most = dependent.groupBy("conv_id").count().agg(F.max("count")).first()[0]
-        # keys only rise; what isn't in a cycle has settled in the first half, and a cycle moves all of its calls in the second
-        for n in range(2 * most + 2):
-            now = links.join(keys.select("conv_id", F.col("call_id").alias("dep"), "t", "d"), ["conv_id", "dep"], "left")
-            key = F.struct(F.coalesce("t", "dep_turn").alias("t"), (F.coalesce("d", F.lit(0)) + 1).alias("d"))
-            new = now.filter(F.coalesce("t", "dep_turn") >= F.col("turn")).groupBy("conv_id", "call_id").agg(F.min("turn").alias("turn"), F.max(key).alias("k"))
-            new = written(new.select("conv_id", "call_id", "turn", "k.t", "k.d"), "keys")
-            changed = new.join(keys, ["conv_id", "call_id", "t", "d"], "left_anti")
-            keys, done = new, changed.isEmpty()
-            if done:
-                break
-            if n == most:
-                settled = keys
-        else:
-            late = keys.join(settled, ["conv_id", "call_id", "t", "d"], "left_anti")
-            stuck = written(late.select("conv_id", "call_id").withColumn("stuck", F.lit(True)), "stuck")
-        moved = keys
-    out = nodes.join(moved.select("conv_id", "call_id", "t", "d"), ["conv_id", "call_id"], "left").join(missing, ["conv_id", "call_id"], "left")
-    if stuck is not None:
-        out = out.join(stuck, ["conv_id", "call_id"], "left")
-    ok = F.col("stuck").isNull() if stuck is not None else F.lit(True)
-    return out.select("conv_id", "call_id", F.when(ok, F.coalesce("t", "turn")).alias("order_turn"), F.when(ok, F.coalesce("d", F.lit(0))).alias("order_depth"), "missing")
-
-
-def first_of(df: DataFrame, order: list[str]) -> DataFrame:
-    """Adds ``place``: 1 for the first row of each (conv_id, call_id)."""
-    rank = F.row_number().over(Window.partitionBy("conv_id", "call_id", "salt_").orderBy(*order))
-    # null identifiers stand alone: they are spread, not ranked together
-    salt = F.when(F.col("call_id").isNull() | F.col("conv_id").isNull(), F.xxhash64(*[c for c in df.columns if c != "depends"])).otherwise(F.lit(0).cast("long"))
-    return df.withColumn("salt_", salt).withColumn("place", F.when(F.col("salt_") == 0, rank).otherwise(1)).drop("salt_")
+    moved = links.filter("dep_turn >= turn").groupBy(*KEY).agg(F.min("turn").alias("turn"), F.max("dep_turn").alias("t")).select(*KEY, "turn", "t", F.lit(1).alias("d"), F.lit(False).alias("stuck"))
+    keys = written(moved, "keys")
+    while not keys.isEmpty():
+        now = links.join(keys.select("conv_id", F.col("call_id").alias("dep"), "t", "d", "stuck"), ["conv_id", "dep"], "left")
+        raises = F.coalesce("t", "dep_turn") >= F.col("turn")
+        key = F.when(raises, F.struct(F.coalesce("t", "dep_turn").alias("t"), (F.coalesce("d", F.lit(0)) + 1).alias("d")))
+        new = now.filter(raises | F.col("stuck")).groupBy(*KEY).agg(F.min("turn").alias("turn"), F.max(key).alias("k"), F.bool_or(F.coalesce("stuck", F.lit(False))).alias("stuck"))
+        # a stuck call's key is of no use, and no longer changes
+        new = written(new.select(*KEY, "turn", F.when(~F.col("stuck"), F.col("k.t")).alias("t"), F.when(~F.col("stuck"), F.col("k.d")).alias("d"), "stuck"), "keys")
+        over = new.groupBy("conv_id").agg(F.count_if(F.col("t").isNotNull()).alias("m"), F.max("d").alias("top")).filter("top > m").select("conv_id", "m")
+        if not over.isEmpty():
+            stuck = F.col("stuck") | F.coalesce(F.col("d") > F.col("m"), F.lit(False))
+            marked = new.join(over, "conv_id", "left").select(*KEY, "turn", F.when(~stuck, F.col("t")).alias("t"), F.when(~stuck, F.col("d")).alias("d"), stuck.alias("stuck"))
+            new = written(marked, "keys")
+        same = [new[c].eqNullSafe(keys[c]) for c in (*KEY, "t", "d", "stuck")]
+        done = new.join(keys, same, "left_anti").isEmpty()
+        forget(keys)
+        keys = new
+        if done:
+            break
+    out = nodes.join(keys.select(*KEY, "t", "d", "stuck"), KEY, "left").join(missing, KEY, "left")
+    ok = ~F.coalesce("stuck", F.lit(False))
+    return out.select(*KEY, F.when(ok, F.coalesce("t", "turn")).alias("order_turn"), F.when(ok, F.coalesce("d", F.lit(0))).alias("order_depth"), "missing")
+
+
+def firsts(table: DataFrame, fields: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """(the first row of each identifier by its fields, all further rows), of a written table.
+
+    One aggregation finds first rows; rows of identifiers that come more than once are looked up, and equal rows are counted.
+    """
+    known = table.filter("conv_id is not null and call_id is not null")
+    told = known.groupBy(*KEY).agg(F.min(F.struct(*fields)).alias("f"), F.count("*").alias("n"))
+    again = told.filter("n > 1").select(*KEY, "f")
+    alone = table.filter("conv_id is null or call_id is null").select(*KEY, *fields)
+    one = told.select(*KEY, "f.*").unionByName(alone)
+    folded = written(known.groupBy(*KEY, *fields).agg(F.count("*").alias("k")), name)
+    more = looked_up(folded, KEY, again, "inner")
+    times = F.col("k") - F.when(F.struct(*fields).eqNullSafe(F.col("f")), 1).otherwise(0)
+    more = more.filter(times > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), times))).select(*KEY, *fields)
+    return one, more
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
@@ -120,23 +144,24 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> DataF
     ``conv_id, call_id, tool, call_turn, result_turn, status, errors, order_turn, order_depth, record``;
     ``record`` is canonical JSON of call and result.
     """
-    calls = first_of(calls.select("conv_id", "turn", "call_id", "tool", "arguments", "depends"), ["turn", "tool", "arguments"])
-    results = first_of(results.select("conv_id", "turn", "call_id", "content"), ["turn", "content"])
-    one = calls.filter("place = 1").drop("place")
-    answer = results.filter("place = 1").select("conv_id", "call_id", F.col("turn").alias("result_turn"), "content")
+    calls = written(calls.select(*KEY, "turn", "tool", "arguments", "depends"), "tool-calls")
+    results = written(results.select(*KEY, "turn", "content"), "tool-results")
+    one, more = firsts(calls, ["turn", "tool", "arguments", "depends"], "call-rows")
+    answer, late = firsts(results, ["turn", "content"], "result-rows")
     order = topological(one.filter("conv_id is not null and call_id is not null"))
-    both = one.withColumnRenamed("turn", "call_turn").hint("shuffle_hash").join(answer, ["conv_id", "call_id"], "full_outer")
+    one = one.drop("depends").withColumnRenamed("turn", "call_turn")
+    # both sides have one row an identifier, so neither can be skewed (null ones don't meet)
+    both = one.join(answer.withColumnRenamed("turn", "result_turn").hint("shuffle_hash"), KEY, "full_outer")
     both = both.withColumn("status", F.when(F.col("call_turn").isNull(), "orphan").when(F.col("result_turn").isNull(), "unanswered").when(F.col("result_turn") <= F.col("call_turn"), "before its call").otherwise("linked"))
-    more = calls.filter("place > 1").withColumnRenamed("turn", "call_turn").withColumn("status", F.lit("repeated call")).drop("place")
-    late = results.filter("place > 1").withColumnRenamed("turn", "result_turn").withColumn("status", F.lit("repeated result")).drop("place")
+    both = both.join(order.hint("shuffle_hash"), KEY, "left")
+    more = more.drop("depends").withColumnRenamed("turn", "call_turn").withColumn("status", F.lit("repeated call"))
+    late = late.withColumnRenamed("turn", "result_turn").withColumn("status", F.lit("repeated result"))
     both = both.unionByName(more, allowMissingColumns=True).unionByName(late, allowMissingColumns=True)
-    both = both.join(order, ["conv_id", "call_id"], "left")
     args = F.try_parse_json("arguments")
-    is_call = F.col("tool").isNotNull() | F.col("call_turn").isNotNull()
+    is_call = ~F.col("status").isin("orphan", "repeated result")
     missing = F.transform(F.coalesce("missing", F.array().cast("array<string>")), lambda m: F.concat(F.lit("no call "), m))
     errors = F.when(is_call, F.array_join(F.concat(argument_errors(F.col("tool"), args, schemas), missing), "; ")).otherwise(F.lit(""))
     canonical = F.coalesce(F.to_json(args), F.lit("null"))
     text = lambda c: F.coalesce(F.expr(f"substr(to_json(struct({c} as v)), 6, length(to_json(struct({c} as v))) - 6)"), F.lit("null"))
     record = F.concat(F.lit('{"arguments":'), canonical, F.lit(',"id":'), F.when(F.col("call_id").isNull(), "null").otherwise(text("call_id")), F.lit(',"result":'), F.when(F.col("content").isNull(), "null").otherwise(text("content")), F.lit(',"tool":'), F.when(F.col("tool").isNull(), "null").otherwise(text("tool")), F.lit("}"))
-    first = F.col("status").isin("repeated call", "repeated result")
-    return both.select("conv_id", "call_id", "tool", "call_turn", "result_turn", "status", errors.alias("errors"), F.when(~first & is_call, F.col("order_turn")).alias("order_turn"), F.when(~first & is_call, F.col("order_depth")).alias("order_depth"), record.alias("record"))
+    return both.select(*KEY, "tool", "call_turn", "result_turn", "status", errors.alias("errors"), "order_turn", "order_depth", record.alias("record"))

@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -586,3 +587,37 @@ def test_urls_seeds_found_by_company_alone(spark):
         agree += (score > 0) == (not urls.SEED_MARKS.isdisjoint(words))
         total += 1
     assert agree / total > 0.95
+
+
+def test_tools_cycles_and_what_lies_behind(spark):
+    rows = [("a", 1, ["b"]), ("b", 2, ["a"]), ("c", 5, ["a"]), ("d", 9, ["c"]), ("e", 3, ["f"]), ("f", 7, ["g"]), ("g", 8, []), ("h", 4, ["h"]), ("i", 6, ["e", "zz"]), ("j", 10, ["f"])]
+    df = spark.createDataFrame([(1, t, c, d) for c, t, d in rows] + [(2, t, c, d) for c, t, d in rows if c not in "bh"], "conv_id long, turn int, call_id string, depends array<string>")
+    got = {(r["conv_id"], r["call_id"]): (r["order_turn"], r["order_depth"]) for r in tools.topological(df).collect()}
+    assert {c: got[1, c] for c in "abcdh"} == {c: (None, None) for c in "abcdh"}
+    for conv in (1, 2):
+        assert {c: got[conv, c] for c in "efgij"} == {"e": (8, 2), "f": (8, 1), "g": (8, 0), "i": (8, 3), "j": (10, 0)}
+    assert (got[2, "a"], got[2, "c"], got[2, "d"]) == ((1, 0), (5, 0), (9, 0))
+
+
+def test_tools_hot_identifier(spark):
+    """One identifier holds most rows, equal ones among them; each row comes back once."""
+    calls = spark.createDataFrame([(1, i % 3, "hot", "reply", '{"text":"x","turn":1}', []) for i in range(3000)] + [(1, 1, "cold", "reply", None, ["hot"])], "conv_id long, turn int, call_id string, tool string, arguments string, depends array<string>")
+    results = spark.createDataFrame([(1, 5 + i % 2, "hot", f"r{i % 7}") for i in range(4000)], "conv_id long, turn int, call_id string, content string")
+    got = tools.link(calls, results).groupBy("call_id", "status").count().collect()
+    assert {tuple(r) for r in got} == {("hot", "linked", 1), ("hot", "repeated call", 2999), ("hot", "repeated result", 3999), ("cold", "unanswered", 1)}
+
+
+def test_tool_calls_query_equals_sql(spark):
+    import duckdb
+
+    from pitchlake.llm import queries
+
+    con = duckdb.connect()
+    con.execute("CREATE VIEW conversations AS SELECT * FROM '/root/testdata/sf0.01/conversations.parquet'")
+    want = con.execute(queries.ORACLE_SQL["op8_tool_calls"]).fetchdf()
+    got = queries.QUERIES["op8_tool_calls"](spark, "/root/testdata/sf0.01").toPandas()
+    cell = lambda v: None if pd.isna(v) else str(int(v)) if isinstance(v, float) else str(v)
+    rows = lambda f: sorted([tuple(map(cell, r)) for r in f[sorted(f.columns)].astype(object).values.tolist()], key=repr)
+    assert rows(got) == rows(want)
+    assert set(got["status"]) == {"linked", "unanswered", "orphan", "before its call", "repeated call", "repeated result"}
+    assert got["order_turn"].isna().any() and (got["order_depth"] > 1).any() and got["errors"].str.contains("no call").any()
