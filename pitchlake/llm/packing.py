@@ -4,12 +4,18 @@ Documents are tokenised and cut into pieces of at most ``capacity`` tokens.
 Full pieces fill a sequence each.  The others are dealt evenly into shards of
 about ``shard_items`` pieces by a hash of a row number, so neither a hot source
 nor repeated rows can make a shard large.  Each shard is packed by several
-islands: a grouping genetic algorithm whose crossover injects whole well-filled
-bins of one parent into another, removes the bins that now hold duplicates, and
-puts displaced pieces back by best fit, largest first.  After each epoch the
+islands: a grouping genetic algorithm whose crossover injects whole bins of one
+parent, the fuller the likelier, into another, removes the bins that now hold
+duplicates, and puts displaced pieces back: first in exchange for one or two
+smaller ones where that makes a bin fuller, then by best fit, largest first.
+Mutation dissolves some of the emptiest bins, and some of those with most
+pieces, in the same way.  After each epoch the
 best packing of every island migrates to the next island of the same shard.
-An island stops at once when it reaches the lower bound on bins.
+An island stops at once when it reaches the lower bound on bins; search costs
+time only where best fit is above it.
 
+Of equally good packings the one of the earlier island wins, and of pieces of equal size the
+one with the smaller number is placed first.  Very long texts are cut into pieces, however many.
 Null texts count as empty; an empty document is one piece holding the end id;
 repeated rows are packed each; other columns of the input are not read; an
 empty table gives an empty result.
@@ -17,7 +23,9 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import bisect
 import functools
+import heapq
 import json
 import random
 import zlib
@@ -38,10 +46,14 @@ from pitchlake.llm.common import forget, written
 CAPACITY = 1024
 END_ID = 2
 #: Pieces in a shard, islands of a shard, epochs between migrations, generations of an epoch, packings in a population.
-SHARD_ITEMS, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 6000, 2, 2, 4, 4
+SHARD_ITEMS, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 6000, 2, 2, 25, 4
+#: Pieces that an epoch's generations go through at least before it ends: large shards, where a bin more or less is little, take fewer generations.
+EFFORT = 48_000
+#: Bins that a mutation dissolves at most (emptiest ones, ones of most pieces), rounds of exchanges with what is displaced, and pieces of it that exchanges look at.
+DISSOLVED, EXCHANGES, LOOSE = (2, 4), 2, 64
 
 PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
-#: The pre-tokenisation pattern of byte-level vocabularies of this kind (a fixed value).
+#: The pattern by which the library's byte-level pre-tokeniser cuts text (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -50,8 +62,8 @@ class ByteBpe:
 
     Ordinary text goes through a faster encoder built from the same file's
     vocabulary and merges, which yields the same ids; texts that hold one of
-    the file's special strings, or that the fast encoder refuses, go through
-    the tokenizers library itself.
+    the file's added strings go through the tokenizers library itself, and so do all
+    where the file asks for anything but byte-level pieces and merges by rank.
     """
 
     def __init__(self, path: str):
@@ -60,16 +72,15 @@ class ByteBpe:
             spec = json.load(f)
         byte_of = {s: b for b, s in enumerate(byte_symbols())}
         special = {t["content"] for t in spec["added_tokens"]}
-        ranks = {bytes(byte_of[c] for c in s): i for s, i in spec["model"]["vocab"].items() if s not in special}
+        ranks = {bytes(byte_of[c] for c in s): i for s, i in spec["model"]["vocab"].items() if s not in special and all(c in byte_of for c in s)}
         self.special = sorted(special)
-        self.fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        before, model = spec["pre_tokenizer"] or {}, spec["model"]
+        self.plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not spec["normalizer"] and not model.get("ignore_merges") and not model.get("dropout") and not model.get("byte_fallback")
+        self.fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if self.plain else None
 
     def encode(self, text: str) -> list[int]:
-        if not any(s in text for s in self.special):
-            try:
-                return self.fast.encode_ordinary(text)
-            except Exception:  # noqa: BLE001  the pattern matcher gives up on some very long runs
-                pass
+        if self.plain and not any(s in text for s in self.special):
+            return self.fast.encode_ordinary(text)
         return self.slow.encode(text, add_special_tokens=False).ids
 
 
@@ -145,29 +156,90 @@ def best_fit(order: list[int], size: list[int], capacity: int) -> list[list[int]
     return out.bins
 
 
-def crossover(a: list[list[int]], b: list[list[int]], size: list[int], capacity: int, rng: random.Random) -> list[list[int]]:
-    """Injects well-filled bins of ``b`` into ``a``; displaced pieces return by best fit, largest first."""
-    well = [x for x in b if sum(size[i] for i in x) >= 0.98 * capacity and rng.random() < 0.5]
-    taken = {i for x in well for i in x}
-    out, displaced = Bins(capacity), []
-    for x in well:
-        out.take(list(x), capacity - sum(size[i] for i in x))
-    for x in a:
-        if taken.isdisjoint(x):
-            used = sum(size[i] for i in x)
-            # a poorly filled bin is dissolved too: its pieces close gaps elsewhere
-            if used >= 0.9 * capacity or rng.random() < 0.5:
-                out.take(list(x), capacity - used)
+def exchange(bins: list[list[int]], loose: list[int], size: list[int], capacity: int, rng: random.Random) -> list[int]:
+    """Puts loose pieces into bins in exchange for one or two smaller ones, each time for the best gain of a bin; what is loose then.
+
+    Of very many loose pieces the largest ``LOOSE`` take part; all others wait for best fit.
+    """
+    loose = sorted(loose, key=lambda i: (size[i], i))
+    rest, loose = loose[:-LOOSE], loose[-LOOSE:]
+    order = list(range(len(bins)))
+    for _ in range(EXCHANGES):
+        rng.shuffle(order)
+        moved = False
+        sizes = [size[i] for i in loose]
+        twos: dict[int, tuple[int, int]] = {}
+        for y in range(len(loose)):
+            for x in range(y):
+                twos.setdefault(sizes[x] + sizes[y], (x, y))
+        pairs = sorted(twos)
+        for k in order:
+            box = bins[k]
+            slack = capacity - sum([size[i] for i in box])
+            if not slack or not sizes:
                 continue
-        displaced += [i for i in x if i not in taken]
-    for i in sorted(displaced, key=lambda i: -size[i]):
+            best, out, into = 0, (), ()
+            held = [((i,), size[i]) for i in box] + [((i, j), size[i] + size[j]) for n, i in enumerate(box[:12]) for j in box[:n]]
+            held.append(((), 0))
+            for gone, total in held:
+                limit = total + slack
+                at = bisect.bisect_right(sizes, limit) - 1
+                if at >= 0 and sizes[at] - total > best:
+                    best, out, into = sizes[at] - total, gone, (at,)
+                at = bisect.bisect_right(pairs, limit) - 1
+                if at >= 0 and pairs[at] - total > best:
+                    best, out, into = pairs[at] - total, gone, twos[pairs[at]]
+                if best == slack:
+                    break
+            if best:
+                taken = [loose[x] for x in into]
+                bins[k] = [i for i in box if i not in out] + taken
+                loose = sorted([i for i in loose if i not in taken] + list(out), key=lambda i: (size[i], i))
+                sizes = [size[i] for i in loose]
+                twos = {}
+                for y in range(len(loose)):
+                    for x in range(y):
+                        twos.setdefault(sizes[x] + sizes[y], (x, y))
+                pairs = sorted(twos)
+                moved = True
+        if not moved or not loose:
+            break
+    return rest + loose
+
+
+def refilled(bins: list[list[int]], loose: list[int], size: list[int], capacity: int, rng: random.Random) -> list[list[int]]:
+    """The bins with displaced pieces back in: exchanges, then best fit, largest first."""
+    loose = exchange(bins, loose, size, capacity, rng) if loose else loose
+    out = Bins(capacity)
+    for x in bins:
+        out.take(x, capacity - sum([size[i] for i in x]))
+    for i in sorted(loose, key=lambda i: (-size[i], i)):
         out.put(i, size[i])
     return out.bins
 
 
+def mutated(bins: list[list[int]], size: list[int], capacity: int, rng: random.Random) -> list[list[int]]:
+    """Dissolves a few of the emptiest bins and a few of those with most pieces, whose small ones fill gaps."""
+    empty = heapq.nsmallest(6 * DISSOLVED[0], range(len(bins)), key=lambda k: sum([size[i] for i in bins[k]]))
+    rich = heapq.nlargest(3 * DISSOLVED[1], range(len(bins)), key=lambda k: len(bins[k]) * rng.uniform(0.5, 1.0))
+    gone = {k for some, most in zip((empty, rich), DISSOLVED, strict=True) for k in rng.sample(some, min(len(some), rng.randint(1, most)))}
+    return refilled([list(x) for k, x in enumerate(bins) if k not in gone], [i for k in sorted(gone) for i in bins[k]], size, capacity, rng)
+
+
+def crossover(a: list[list[int]], b: list[list[int]], size: list[int], capacity: int, rng: random.Random) -> list[list[int]]:
+    """Injects bins of ``b``, chosen by rank of filling, into ``a``; bins of ``a`` with a duplicate go, and their other pieces return."""
+    mine = set(map(frozenset, a))
+    new = sorted((x for x in b if frozenset(x) not in mine), key=lambda x: -sum([size[i] for i in x]))
+    well = [x for rank, x in enumerate(new) if rng.random() < 0.5 * (1 - rank / len(new))]
+    taken = {i for x in well for i in x}
+    kept = [list(x) for x in a if taken.isdisjoint(x)]
+    loose = [i for x in a if not taken.isdisjoint(x) for i in x if i not in taken]
+    return refilled(kept + [list(x) for x in well], loose, size, capacity, rng)
+
+
 def fitness(bins: list[list[int]], size: list[int], capacity: int) -> tuple[int, float]:
     """Fewer bins, then more uneven filling."""
-    return len(bins), -sum((sum(size[i] for i in x) / capacity) ** 2 for x in bins)
+    return len(bins), -sum([(sum([size[i] for i in x]) / capacity) ** 2 for x in bins])
 
 
 def evolve(size: list[int], capacity: int, seed: int, start: list[list[list[int]]], generations: int = GENERATIONS, population: int = POPULATION) -> list[list[int]]:
@@ -177,17 +249,27 @@ def evolve(size: list[int], capacity: int, seed: int, start: list[list[list[int]
     pool = [*start] or [best_fit(down, size, capacity)]
     rng = random.Random(int(seed))
     score = lambda bins: fitness(bins, size, capacity)
-    best = min(pool, key=score)
-    if len(best) <= bound:
-        return best
-    while len(pool) < population:
-        pool.append(best_fit(sorted(down, key=lambda i: -size[i] * rng.uniform(0.9, 1.0)), size, capacity))
-    for _ in range(generations):
-        children = [crossover(*rng.sample(pool, 2), size, capacity, rng) for _ in range(population)]
-        pool = sorted(pool + children, key=score)[:population]
-        if len(pool[0]) <= bound:
-            break
-    return pool[0]
+    ranked = sorted(((score(x), n, x) for n, x in enumerate(pool)), key=lambda t: t[:2])
+    if len(ranked[0][2]) <= bound:
+        return ranked[0][2]
+    number = len(pool)
+    while len(ranked) < population:
+        x = best_fit(sorted(down, key=lambda i: -size[i] * rng.uniform(0.9, 1.0)), size, capacity)
+        ranked.append((score(x), number, x))
+        number += 1
+    ranked.sort(key=lambda t: t[:2])
+    for _ in range(min(generations, -(-EFFORT // len(size)))):
+        one, other = rng.sample(range(len(ranked)), 2)
+        mixed = crossover(ranked[min(one, other)][2], ranked[max(one, other)][2], size, capacity, rng)
+        for parent in (ranked[0][2], mixed):
+            child = mutated(parent, size, capacity, rng)
+            ranked.append((score(child), number, child))
+            number += 1
+            if len(child) <= bound:
+                return child
+        ranked.sort(key=lambda t: t[:2])
+        del ranked[population:]
+    return ranked[0][2]
 
 
 def pack(table: DataFrame, capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
@@ -239,5 +321,6 @@ def pack(table: DataFrame, capacity: int = CAPACITY, shard_items: int = SHARD_IT
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces of all documents with their places: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
+    # read by the result, which nobody waits for here: the cluster's shared folder is cleared with the job
     table = written(pieces(docs, path, capacity, end_id), "pieces")
     return pack(table, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
