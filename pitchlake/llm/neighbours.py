@@ -8,11 +8,15 @@ centred on its own projection in every array; virtual rehashing widens all
 windows by a factor until enough rows lie in at least ``NEED`` of the windows.
 Those rows are verified by the exact inner product of the original vectors.
 Blocks of rows meet blocks of queries, so a task is bounded whatever the table.
+The query set is a stated part of all rows, so rows are copied once for each
+``QUERIES`` queries, and queries once for each ``ROWS`` rows.
 
-Null or zero vectors and those with null or non-finite components take no part;
+Null or zero vectors and those with null or non-finite components take no part,
+nor do rows with a null id;
 vectors of another length than the query's are no candidates.  A query's own
 row (same id) is no candidate.  Repeated rows of an id give repeated candidates;
-a repeated query is answered once.  Ties go to the smaller id.
+a repeated query is answered once, for the least of its vectors (as bytes).  Ties go to the smaller id.
+An empty table, or one without queries, gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from pitchlake.llm.vectors import matrix, usable
 
 PROJECTIONS, NEED, START, WIDEN = 192, 134, 0.3, 1.06
 #: Rows and queries of a block; candidates verified per wanted neighbour and block at least, and share of a block.
-ROWS, QUERIES, ENOUGH, BETA = 8192, 4096, 8, 0.1
+ROWS, QUERIES, ENOUGH, BETA = 8192, 8192, 8, 0.1
 #: Places of a sorted array between kept bit sets.
 GRAIN = 64
 SEED = 5
@@ -122,12 +126,12 @@ def _task(k: int, top: float):
     return run
 
 
-def search(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` nearest found for every row where ``is_query(id column)``."""
+def search(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", rows: int = ROWS, queries: int = QUERIES) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the ``k`` nearest found for every row where ``is_query(id column)``, in blocks of so many rows and queries."""
     table = written(usable(df, id_col, vec_col).filter("vec is not null and vec_id is not null"), "vectors")
-    asked = table.filter(is_query(F.col("vec_id"))).dropDuplicates(["vec_id"])
-    n, top, queries = table.agg(F.count("*"), F.max("norm"), F.count(F.when(is_query(F.col("vec_id")), 1))).first()
-    blocks, asking = max(1, -(-n // ROWS)), max(1, -(-queries // QUERIES))
+    asked = table.filter(is_query(F.col("vec_id"))).groupBy("vec_id").agg(F.min(F.struct("vec", "dim")).alias("v")).select("vec_id", "v.dim", "v.vec")
+    n, top, wanted = table.agg(F.count("*"), F.max("norm"), F.count(F.when(is_query(F.col("vec_id")), 1))).first()
+    blocks, asking = max(1, -(-n // rows)), max(1, -(-wanted // queries))
     row_block = F.pmod(F.xxhash64("uid"), F.lit(blocks)).cast("int")
     query_block = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(asking)).cast("int")
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))

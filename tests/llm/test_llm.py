@@ -188,9 +188,11 @@ def test_e8_decoding_is_nearest():
     assert len(lattice.MINIMAL) == 240
 
 
-def test_neighbours_recall_and_scores(spark, vectors):
+@pytest.mark.parametrize("rows,queries", [(8192, 8192), (250, 15)])
+def test_neighbours_recall_and_scores(spark, vectors, rows, queries):
+    """In one block, and over eight blocks of rows and three of queries."""
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
-    got = neighbours.search(df, lambda i: F.pmod(i, F.lit(50)) == 0).toPandas()
+    got = neighbours.search(df, lambda i: F.pmod(i, F.lit(50)) == 0, rows=rows, queries=queries).toPandas()
     t = df.toPandas()
     x, ids = np.array(t.embedding.tolist(), float), t.vec_id.to_numpy()
     hit = 0
@@ -200,7 +202,7 @@ def test_neighbours_recall_and_scores(spark, vectors):
         best = np.lexsort((ids, -s))[:20]
         hit += len(set(ids[best]) & set(g["vec_id"]))
         assert list(g.sort_values("rank")["rank"]) == list(range(1, 21)) and np.allclose(g["score"], [s[ids == v][0] for v in g["vec_id"]], atol=1e-12)
-    assert hit / (20 * got["query_id"].nunique()) >= 0.9
+    assert got["query_id"].nunique() == (ids % 50 == 0).sum() and hit / (20 * got["query_id"].nunique()) >= 0.9
     small = neighbours.search(vectors[0], lambda i: i == 104).collect()
     assert len(small) == 20 and small[0]["query_id"] == 104
     assert neighbours.search(vectors[0].limit(0), lambda i: i == 0).count() == 0
@@ -651,3 +653,15 @@ def test_tool_calls_query_equals_sql(spark):
     assert rows(got) == rows(want)
     assert set(got["status"]) == {"linked", "unanswered", "orphan", "before its call", "repeated call", "repeated result"}
     assert got["order_turn"].isna().any() and (got["order_depth"] > 1).any() and got["errors"].str.contains("no call").any()
+
+
+def test_neighbours_repeated_and_null_ids(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [2.0, 0.5]), (2, [2.0, 0.5]), (None, [9.0, 9.0]), (3, [0.5, 3.0]), (4, [1.0]), (5, None)]
+    want = None
+    for shuffled in (rows, rows[::-1]):
+        df = spark.createDataFrame(shuffled, "vec_id long, embedding array<double>").repartition(3)
+        got = [tuple(r) for r in neighbours.search(df, lambda i: i == 1).orderBy("rank").collect()]
+        # the least vector (as bytes) asks: (0, 1); both rows of id 2 are candidates
+        assert got == [(1, 1, 3, 3.0), (1, 2, 2, 0.5), (1, 3, 2, 0.5)]
+        assert want in (None, got)
+        want = got
