@@ -49,15 +49,19 @@ def forget(df: DataFrame) -> None:
 HEAVY_SHARE, HEAVY_LEAST = 1000, 1000
 
 
-def looked_up(rows: DataFrame, key: str | list[str], table: DataFrame, how: str = "left") -> DataFrame:
+def looked_up(rows: DataFrame, key: str | list[str], table: DataFrame, how: str = "left", sizes: DataFrame | None = None) -> DataFrame:
     """Left (or inner) join of ``rows`` with ``table`` (``key`` unique there) that no heavy key sends to one task.
 
     Heavy keys, at most ``HEAVY_SHARE`` of them, meet a broadcast copy of their rows of ``table``;
-    all others are shuffled.  ``rows`` is read three times, so it should be a written table.
+    all others are shuffled.  ``rows`` is read three times, so it should be a written table, or once less
+    where ``sizes`` (the key and ``n``, its rows) is known.
     """
     keys = [key] if isinstance(key, str) else key
-    least = max(HEAVY_LEAST, rows.count() // HEAVY_SHARE)
-    known = rows.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("n_")).filter(F.col("n_") >= least).select(*keys).collect()  # at most HEAVY_SHARE rows
+    if sizes is None:
+        sizes, total = rows.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("n")), rows.count()
+    else:
+        total = sizes.agg(F.sum("n")).first()[0] or 0
+    known = sizes.filter(F.col("n") >= max(HEAVY_LEAST, total // HEAVY_SHARE)).select(*keys).collect()  # at most HEAVY_SHARE rows
     if not known:
         return rows.join(table, keys, how)
     heavy = rows.sparkSession.createDataFrame(known, rows.select(*keys).schema)

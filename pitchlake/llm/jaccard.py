@@ -212,18 +212,21 @@ def signed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text.cast("binary"))).alias("th"), text.alias("text")).mapInArrow(run, "doc_id long, th binary, sig binary, bands array<long>")
 
 
-def dealt(members: DataFrame, key: str, sizes: DataFrame, task_rows: int, task_pairs: int, task_bytes: int) -> DataFrame:
+def dealt(members: DataFrame, key: str, sizes: DataFrame, task_rows: int, task_pairs: int, task_bytes: int, more: DataFrame | None = None) -> DataFrame:
     """Rows of groups dealt to units ``(key, i, j)`` of two blocks, and units to tasks; ``sizes``: key, n, bytes.
 
     A group small in rows and bytes is one unit; else each of its rows goes to as
     many units as the group has blocks.  Units are dealt at random to as many tasks
     (column ``task``, one partition each) as all their rows, pairs and bytes need.
+    ``more`` (by ``th``) joins once groups without a size are out.
     """
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
-    sizes = sizes.withColumn("blocks", blocks)
-    work = sizes.agg(F.sum(F.col("n") * F.col("blocks")), F.sum(F.col("n") * F.col("n") / 2), F.sum(F.col("bytes") * F.col("blocks"))).first()
+    blocked = sizes.withColumn("blocks", blocks)
+    work = blocked.agg(F.sum(F.col("n") * F.col("blocks")), F.sum(F.col("n") * F.col("n") / 2), F.sum(F.col("bytes") * F.col("blocks"))).first()
     tasks = max(1, *(-(-int(w or 0) // most) for w, most in zip(work, (task_rows, task_pairs, task_bytes), strict=True)))
-    out = members.join(sizes.select(key, "blocks"), key)
+    out = looked_up(members, key, blocked.select(key, "blocks"), "inner", sizes)
+    if more is not None:
+        out = out.join(more, "th")
     out = out.withColumn("own", F.pmod(F.xxhash64("th", F.lit(7)), F.col("blocks")).cast("int"))
     out = out.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     out = out.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("blocks", "other")
@@ -345,10 +348,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     members = written(first.select("th", "sig", "bands"), "members")
     buckets = members.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"), (F.count("*") * HASHES * 4).alias("bytes")).filter("n > 1")
     buckets = written(buckets, "buckets")
-    crowded = members.select("th", F.explode("bands").alias("bucket")).join(buckets, "bucket").select("th", "bucket")
     # signatures only travel with texts that share a bucket at all
-    crowded = crowded.join(members.select("th", "sig"), "th")
-    tasks = dealt(crowded, "bucket", buckets, *CANDIDATE_TASK)
+    tasks = dealt(members.select("th", F.explode("bands").alias("bucket")), "bucket", buckets, *CANDIDATE_TASK, members.select("th", "sig"))
     near = tasks.groupBy("task").applyInPandas(_candidate_task(least), "a binary, b binary")
     near = written(near, "near")
     forget(members)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import components, written
+from pitchlake.llm.common import components, looked_up, written
 from pitchlake.llm.jaccard import BASE, forest, mix
 from pitchlake.llm.vectors import matrix, usable
 
@@ -102,7 +102,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.flatnonzero(dims == d)
             x = matrix(vecs[i] for i in at)
             keys[at] = cells(x / np.sqrt((x * x).sum(axis=1))[:, None], mix(label[at] + np.uint64(d)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64()))], names=["uid", "cells"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64()))], names=[*batch.schema.names, "cells"])
 
 
 def _task(threshold: float):
@@ -112,14 +112,13 @@ def _task(threshold: float):
         one = group.iloc[first]
         dims = one["dim"].to_numpy()
         norm = one["norm"].to_numpy()
-        label = one["lh"].to_numpy(np.int64).view(np.uint64)
         raw = one["vec"].to_numpy()
         unit: list[np.ndarray] = [np.zeros(0)] * len(uid)
-        keys = np.zeros((len(uid), TABLES * (1 + PROBES)), np.uint64)
+        # as they were filed: computed again, a vector near a border might get other cells
+        keys = np.array(one["cells"].tolist(), np.int64).reshape(len(uid), -1).view(np.uint64)
         for d in np.unique(dims):
             at = np.flatnonzero(dims == d)
             x = matrix(raw[at]) / norm[at][:, None]
-            keys[at] = cells(x, mix(label[at] + np.uint64(d)))
             for i, v in zip(at, x, strict=True):
                 unit[i] = v
         links = np.zeros(len(uid), np.int64)
@@ -161,14 +160,14 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     """``vec_id, n_links, component_id, kept`` of every row."""
     table = written(usable(df, id_col, vec_col, label_col), "vectors")
     rows = table.filter("vec is not null and label is not null").withColumn("lh", F.xxhash64("label"))
-    filed = written(rows.select("uid", "lh", "dim", "vec").mapInArrow(_keys, "uid long, cells array<long>"), "cells")
-    filed = filed.select("uid", F.explode("cells").alias("cell"))
+    kept = written(rows.select("uid", "lh", "dim", "vec", "norm").mapInArrow(_keys, "uid long, lh long, dim int, vec binary, norm double, cells array<long>"), "cells")
+    filed = kept.select("uid", F.explode("cells").alias("cell"))
     sizes = written(filed.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
-    meet = filed.join(sizes, "cell").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    meet = looked_up(filed, "cell", sizes, "inner", sizes).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     meet = meet.withColumn("own", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
-    meet = meet.join(rows.select("uid", "lh", "dim", "norm", "vec"), "uid")
+    meet = meet.join(kept.select("uid", "dim", "norm", "vec", "cells"), "uid")
     meet = meet.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    meet = meet.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "uid", "lh", "dim", "norm", "vec")
+    meet = meet.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "uid", "dim", "norm", "vec", "cells")
     total = sizes.agg(F.sum(F.col("n") * F.ceil(F.col("n") / BLOCK))).first()[0] or 0
     meet = meet.withColumn("task", F.pmod(F.xxhash64("cell", "i", "j"), F.lit(max(1, -(-int(total) // TASK_ROWS)))))
     linked = written(meet.groupBy("task").applyInPandas(_task(threshold), "uid long, links long, root long"), "linked")
