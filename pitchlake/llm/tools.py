@@ -5,9 +5,9 @@ identifier and side).  Arguments are parsed to variants,
 whose text form is canonical (sorted keys, no spaces), and checked against a
 schema for each tool.  Calls are put in a stable topological order: a call
 keeps its own turn as key unless something it depends on comes later, in which
-case it moves to just after that.  Only references forward need iteration, so
-long chains of backward references cost none, and no conversation is ever
-gathered in one task.
+case it moves to just after that.  Only conversations with references forward
+need any work for that; no conversation is gathered in one task unless its
+references are few (``SMALL``), and longer ones are ordered by joins.
 
 Identifiers repeated within a conversation: the first call (least turn, then
 tool, arguments and dependencies) and the
@@ -79,15 +79,70 @@ def argument_errors(tool: Column, args: Column, schemas: dict) -> Column:
 
 
 KEY = ["conv_id", "call_id"]
+#: References of a conversation that one expression orders; larger ones are ordered in rounds of joins.
+SMALL = 2000
 
 
-def topological(calls: DataFrame) -> DataFrame:
+def _ordered_small(links: DataFrame) -> DataFrame:
+    """``conv_id, call_id, t, d`` of every call with a reference, null behind cycles; each conversation is one bounded row.
+
+    Round by round, a call gets its key once all calls it refers to have theirs.
+    """
+    one = links.groupBy(*KEY).agg(F.min("turn").cast("long").alias("turn"), F.collect_list(F.struct("dep", F.col("dep_turn").cast("long").alias("t"))).alias("deps"))
+    own = one.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("call_id", "turn", "deps"))).alias("calls"))
+    own = own.withColumn("names", F.col("calls.call_id"))
+    # a place of 0: a call without references, whose key is its turn
+    place = lambda c: F.transform(c["deps"], lambda d: F.struct(F.array_position("names", d["dep"]).cast("int").alias("i"), d["t"].alias("t")))
+    own = own.withColumn("refs", F.transform("calls", lambda c: F.struct(c["turn"].alias("turn"), place(c).alias("deps"))))
+    key = lambda t, d: F.struct(t.cast("long").alias("t"), d.cast("int").alias("d"))
+    nothing = F.lit(None).cast("struct<t: bigint, d: int>")
+
+    def step(acc: Column, _: Column) -> Column:
+        found = acc["found"]
+        at = lambda d: F.when(d["i"] == 0, key(d["t"], F.lit(0))).otherwise(F.get(found, d["i"] - 1))
+
+        def call(ref: Column, i: Column) -> Column:
+            top = F.array_max(F.transform(ref["deps"], at))
+            new = F.when(top["t"] >= ref["turn"], key(top["t"], top["d"] + 1)).otherwise(key(ref["turn"], F.lit(0)))
+            return F.when(F.get(found, i).isNotNull(), F.get(found, i)).when(F.exists(ref["deps"], lambda d: at(d).isNull()), nothing).otherwise(new)
+
+        now = F.transform("refs", call)
+        return F.when(acc["done"], acc).otherwise(F.struct(now.alias("found"), (now == found).alias("done")))
+
+    begin = F.struct(F.transform("refs", lambda _: nothing).alias("found"), F.lit(False).alias("done"))
+    solved = own.withColumn("found", F.aggregate(F.sequence(F.lit(1), F.size("refs")), begin, step)["found"])
+    flat = solved.select("conv_id", F.explode(F.arrays_zip("names", "found")).alias("x"))
+    return flat.select("conv_id", F.col("x.names").alias("call_id"), F.col("x.found.t").alias("t"), F.col("x.found.d").alias("d"))
+
+
+def _ordered_large(links: DataFrame) -> DataFrame:
+    """The same in rounds of joins, as many as the longest chain has references; what is left then lies in or behind a cycle."""
+    turn = F.col("dep_turn").cast("long")
+    calls = links.select("conv_id", F.col("call_id").alias("dep"), F.lit(True).alias("refers")).distinct()
+    key = F.when(F.col("refers").isNull(), F.struct(turn.alias("t"), F.lit(0).alias("d")))
+    left = written(links.join(calls, ["conv_id", "dep"], "left").select(*KEY, F.col("turn").cast("long").alias("turn"), "dep", key.alias("k")), "refs")
+    parts = []
+    while True:
+        told = left.groupBy(*KEY).agg(F.min("turn").alias("turn"), F.count_if(F.col("k").isNull()).alias("open"), F.max("k").alias("k")).filter("open = 0")
+        raised = F.col("k.t") >= F.col("turn")
+        now = written(told.select(*KEY, F.when(raised, F.col("k.t")).otherwise(F.col("turn")).alias("t"), F.when(raised, F.col("k.d") + 1).otherwise(0).alias("d")), "ordered")
+        if now.isEmpty():
+            break
+        parts.append(now)
+        known = now.select("conv_id", F.col("call_id").alias("dep"), F.struct("t", "d").alias("new"))
+        rest = written(left.join(now, KEY, "left_anti").join(known, ["conv_id", "dep"], "left").select(*KEY, "turn", "dep", F.coalesce("k", "new").alias("k")), "refs")
+        forget(left)
+        left = rest
+    stuck = left.select(*KEY).distinct().select(*KEY, F.lit(None).cast("long").alias("t"), F.lit(None).cast("int").alias("d"))
+    return written(reduce(DataFrame.unionByName, parts, stuck), "ordered")
+
+
+def topological(calls: DataFrame, small: int = SMALL) -> DataFrame:
     """``conv_id, call_id, order_turn, order_depth, missing``: the stable topological key of each (unique) call.
 
     key = (turn, 0), raised to (t, d + 1) by a dependency with key (t, d) of the same or a later turn.
-    Without a cycle, the calls on the way to a key of depth d are d different ones, all raised; so a
-    depth above the number of raised calls in its conversation tells a cycle, which then
-    makes all that depends on it stuck as well.
+    Only conversations with a reference forward (or to the call itself) need more than turns; those of
+    up to ``small`` references are ordered in one pass, others in rounds of joins, with the same result.
     """
     nodes = calls.select("conv_id", "call_id", "turn")
     edges = written(calls.select("conv_id", "call_id", "turn", F.explode(F.array_distinct("depends")).alias("dep")).filter("dep is not null"), "edges")
@@ -95,30 +150,14 @@ def topological(calls: DataFrame) -> DataFrame:
     seen = written(seen.select("conv_id", "call_id", "turn", "dep", "dep_turn"), "calls")
     missing = seen.filter("dep_turn is null").groupBy(*KEY).agg(F.sort_array(F.collect_set("dep")).alias("missing"))
     links = seen.filter("dep_turn is not null")
-    # only what a reference forward (or to itself) can move takes part
-    moved = links.filter("dep_turn >= turn").groupBy(*KEY).agg(F.min("turn").alias("turn"), F.max("dep_turn").alias("t")).select(*KEY, "turn", "t", F.lit(1).alias("d"), F.lit(False).alias("stuck"))
-    keys = written(moved, "keys")
-    while not keys.isEmpty():
-        now = links.join(keys.select("conv_id", F.col("call_id").alias("dep"), "t", "d", "stuck"), ["conv_id", "dep"], "left")
-        raises = F.coalesce("t", "dep_turn") >= F.col("turn")
-        key = F.when(raises, F.struct(F.coalesce("t", "dep_turn").alias("t"), (F.coalesce("d", F.lit(0)) + 1).alias("d")))
-        new = now.filter(raises | F.col("stuck")).groupBy(*KEY).agg(F.min("turn").alias("turn"), F.max(key).alias("k"), F.bool_or(F.coalesce("stuck", F.lit(False))).alias("stuck"))
-        # a stuck call's key is of no use, and no longer changes
-        new = written(new.select(*KEY, "turn", F.when(~F.col("stuck"), F.col("k.t")).alias("t"), F.when(~F.col("stuck"), F.col("k.d")).alias("d"), "stuck"), "keys")
-        over = new.groupBy("conv_id").agg(F.count_if(F.col("t").isNotNull()).alias("m"), F.max("d").alias("top")).filter("top > m").select("conv_id", "m")
-        if not over.isEmpty():
-            stuck = F.col("stuck") | F.coalesce(F.col("d") > F.col("m"), F.lit(False))
-            marked = new.join(over, "conv_id", "left").select(*KEY, "turn", F.when(~stuck, F.col("t")).alias("t"), F.when(~stuck, F.col("d")).alias("d"), stuck.alias("stuck"))
-            new = written(marked, "keys")
-        same = [new[c].eqNullSafe(keys[c]) for c in (*KEY, "t", "d", "stuck")]
-        done = new.join(keys, same, "left_anti").isEmpty()
-        forget(keys)
-        keys = new
-        if done:
-            break
-    out = nodes.join(keys.select(*KEY, "t", "d", "stuck"), KEY, "left").join(missing, KEY, "left")
-    ok = ~F.coalesce("stuck", F.lit(False))
-    return out.select(*KEY, F.when(ok, F.coalesce("t", "turn")).alias("order_turn"), F.when(ok, F.coalesce("d", F.lit(0))).alias("order_depth"), "missing")
+    sizes = written(links.groupBy("conv_id").agg(F.count("*").alias("n"), F.bool_or(F.col("dep_turn") >= F.col("turn")).alias("forward")).filter("forward").select("conv_id", "n"), "sizes")
+    few, many = (looked_up(links, "conv_id", sizes.filter(c).select("conv_id"), "inner", sizes) for c in (F.col("n") <= small, F.col("n") > small))
+    keys = _ordered_small(few)
+    if not sizes.filter(F.col("n") > small).isEmpty():
+        keys = keys.unionByName(_ordered_large(written(many, "links")))
+    out = nodes.join(keys.withColumn("refers", F.lit(True)), KEY, "left").join(missing, KEY, "left")
+    known = F.col("refers").isNull() | F.col("t").isNotNull()
+    return out.select(*KEY, F.when(known, F.coalesce("t", F.col("turn").cast("long"))).alias("order_turn"), F.when(known, F.coalesce("d", F.lit(0))).alias("order_depth"), "missing")
 
 
 def firsts(table: DataFrame, fields: list[str], name: str) -> tuple[DataFrame, DataFrame]:

@@ -423,11 +423,36 @@ def test_pii_every_form_of_the_generator():
         assert pii.find_spans(f"call {text}, or", weights)[1] == [("phone", 5, 5 + len(text))]
 
 
-def test_tools_long_forward_chain(spark):
-    # call i depends on call i + 1, which comes later
-    rows = [(1, i, f"c{i}", [f"c{i + 1}"] if i < 99 else []) for i in range(100)]
-    got = {(r["conv_id"], r["call_id"]): (r["order_turn"], r["order_depth"]) for r in tools.topological(spark.createDataFrame(rows, "conv_id long, turn int, call_id string, depends array<string>")).collect()}
-    assert got == {(1, f"c{i}"): (99, 99 - i) for i in range(100)}
+def test_tools_long_forward_chains(spark):
+    # call i depends on call i + 1, which comes later; in one expression, and in rounds of joins
+    for n, small in ((400, tools.SMALL), (30, 0)):
+        rows = [(1, i, f"c{i}", [f"c{i + 1}"] if i < n - 1 else []) for i in range(n)]
+        got = {(r["conv_id"], r["call_id"]): (r["order_turn"], r["order_depth"]) for r in tools.topological(spark.createDataFrame(rows, "conv_id long, turn int, call_id string, depends array<string>"), small).collect()}
+        assert got == {(1, f"c{i}"): (n - 1, n - 1 - i) for i in range(n)}
+
+
+def test_tools_order_of_random_references(spark):
+    rng = np.random.default_rng(8)
+    rows = [(g, i, f"c{i}", [f"c{j}" for j in rng.integers(0, 12, rng.integers(0, 3)).tolist()]) for g in range(40) for i in range(12)]
+    deps = {(g, c): [d for d in set(ds)] for g, _, c, ds in rows}
+    turn = {(g, c): i for g, i, c, _ in rows}
+
+    def key(node, path=()):
+        if node in path:
+            raise RecursionError
+        keys = [key((node[0], d), (*path, node)) for d in deps[node]]
+        t, d = max(keys, default=(-1, 0))
+        return (t, d + 1) if t >= turn[node] else (turn[node], 0)
+
+    df = spark.createDataFrame(rows, "conv_id long, turn int, call_id string, depends array<string>")
+    for small in (tools.SMALL, 10):
+        for r in tools.topological(df, small).collect():
+            try:
+                want = key((r["conv_id"], r["call_id"]))
+            except RecursionError:
+                want = (None, None)
+            assert (r["order_turn"], r["order_depth"]) == want
+
 
 
 def reached(edges):
@@ -624,11 +649,12 @@ def test_urls_seeds_found_by_company_alone(spark):
 def test_tools_cycles_and_what_lies_behind(spark):
     rows = [("a", 1, ["b"]), ("b", 2, ["a"]), ("c", 5, ["a"]), ("d", 9, ["c"]), ("e", 3, ["f"]), ("f", 7, ["g"]), ("g", 8, []), ("h", 4, ["h"]), ("i", 6, ["e", "zz"]), ("j", 10, ["f"])]
     df = spark.createDataFrame([(1, t, c, d) for c, t, d in rows] + [(2, t, c, d) for c, t, d in rows if c not in "bh"], "conv_id long, turn int, call_id string, depends array<string>")
-    got = {(r["conv_id"], r["call_id"]): (r["order_turn"], r["order_depth"]) for r in tools.topological(df).collect()}
-    assert {c: got[1, c] for c in "abcdh"} == {c: (None, None) for c in "abcdh"}
-    for conv in (1, 2):
-        assert {c: got[conv, c] for c in "efgij"} == {"e": (8, 2), "f": (8, 1), "g": (8, 0), "i": (8, 3), "j": (10, 0)}
-    assert (got[2, "a"], got[2, "c"], got[2, "d"]) == ((1, 0), (5, 0), (9, 0))
+    for small in (tools.SMALL, 5, 0):
+        got = {(r["conv_id"], r["call_id"]): (r["order_turn"], r["order_depth"]) for r in tools.topological(df, small).collect()}
+        assert {c: got[1, c] for c in "abcdh"} == {c: (None, None) for c in "abcdh"}
+        for conv in (1, 2):
+            assert {c: got[conv, c] for c in "efgij"} == {"e": (8, 2), "f": (8, 1), "g": (8, 0), "i": (8, 3), "j": (10, 0)}
+        assert (got[2, "a"], got[2, "c"], got[2, "d"]) == ((1, 0), (5, 0), (9, 0))
 
 
 def test_tools_hot_identifier(spark):
