@@ -6,14 +6,21 @@ have changed meanwhile is stale and skipped.  Decoding concatenates the
 vocabulary strings.  Both are linear-logarithmic in the word's length, so a
 very long word needs no special case.
 
-Nulls count as empty texts (no ids, empty decoded text); repeated rows give
-repeated results; other columns of the input are not read.
+Texts are normalised and cut into words here as the file says; those with
+combining marks, or with code points that this Python's Unicode tables don't
+know, are cut by the tokenizers library's own normaliser and word splitter,
+whose tables are of other versions.  The merges are always made here.
+
+Nulls count as empty texts (no ids, empty decoded text); very long texts are
+encoded whole; repeated rows give
+repeated results; other columns of the input are not read; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
 
-import hashlib
 import functools
+import hashlib
 import heapq
 import json
 import re
@@ -25,11 +32,23 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
+
+
+
+def unsure() -> list[tuple[int, int]]:
+    """The runs of unassigned code points and of marks that change places when normalised."""
+    flags = np.array([unicodedata.category(chr(c)) == "Cn" or unicodedata.combining(chr(c)) > 0 for c in range(0x110000)], np.int8)
+    edge = np.diff(flags, prepend=0, append=0)
+    return list(zip(np.flatnonzero(edge == 1).tolist(), (np.flatnonzero(edge == -1) - 1).tolist(), strict=True))
+
 
 #: Letters and numbers of Latin-1, as the general categories L and N have them.
 LATIN_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 LATIN_NUMBERS = "0-9²³¹¼½¾"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+#: Code points on which versions of the Unicode tables may differ.
+UNSURE = re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in unsure()) + "]")
 #: Words whose ids a worker remembers, in each of two generations.
 CACHE_WORDS = 400_000
 
@@ -70,13 +89,16 @@ class WordBpe:
         vocab = model["vocab"]
         self.strings = {i: s for s, i in vocab.items()}
         self.suffix = model.get("end_of_word_suffix") or ""
+        # a pair of ids is one number
+        self.shift = max(vocab.values()).bit_length()
         self.rank_of: dict[int, int] = {}
         self.new_of: list[int] = []
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.rank_of.setdefault(vocab[a] << 17 | vocab[b], rank)
+            self.rank_of.setdefault(vocab[a] << self.shift | vocab[b], rank)
             self.new_of.append(vocab[a + b])
         symbols = byte_symbols()
+        self.path, self.library, self.byte_of = path, None, {c: b for b, c in enumerate(symbols)}
         self.inner = [vocab[s] for s in symbols]
         self.last = [vocab[s + self.suffix] for s in symbols]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -87,13 +109,13 @@ class WordBpe:
         self.find_latin = re.compile(pattern.replace(r"\s", " \t-\r\x85\xa0").replace(r"[\p{L}]", "[" + LATIN_LETTERS + "]").replace(r"\p{L}", LATIN_LETTERS).replace(r"\p{N}", LATIN_NUMBERS)).findall
         # The library's \s is Unicode white space, without the ASCII separators 1C to 1F that Python counts.
         self.find = regex.compile(pattern.replace(r"\s", r"\p{White_Space}")).findall
-        self.split_added = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")").split if self.added else None
+        self.split_added = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else None
         self.words = _Words(self.word_bytes, cache_words)
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one pre-token."""
         raw = word.encode("utf-8", "replace")
-        inner, rank_of, new_of = self.inner, self.rank_of, self.new_of
+        inner, rank_of, new_of, shift = self.inner, self.rank_of, self.new_of, self.shift
         sym = [inner[b] for b in raw]
         sym[-1] = self.last[raw[-1]]
         n = len(sym)
@@ -104,8 +126,8 @@ class WordBpe:
         left = sym[0]
         for i in range(1, n):
             right = sym[i]
-            if (left << 17 | right) in rank_of:
-                queue.append(rank_of[left << 17 | right] << 32 | i - 1)
+            if (left << shift | right) in rank_of:
+                queue.append(rank_of[left << shift | right] << 32 | i - 1)
             left = right
         heapq.heapify(queue)
         after = [*range(1, n), -1]
@@ -115,19 +137,19 @@ class WordBpe:
             entry = pop(queue)
             i, rank = entry & 0xFFFFFFFF, entry >> 32
             j = after[i]
-            if j < 0 or sym[i] < 0 or get(sym[i] << 17 | sym[j]) != rank:
+            if j < 0 or sym[i] < 0 or get(sym[i] << shift | sym[j]) != rank:
                 continue  # stale
             sym[i] = new = new_of[rank]
             sym[j] = -1
             after[i] = k = after[j]
             if k >= 0:
                 before[k] = i
-                r = get(new << 17 | sym[k])
+                r = get(new << shift | sym[k])
                 if r is not None:
                     push(queue, r << 32 | i)
             h = before[i]
             if h >= 0:
-                r = get(sym[h] << 17 | new)
+                r = get(sym[h] << shift | new)
                 if r is not None:
                     push(queue, r << 32 | h)
         return [s for s in sym if s >= 0]
@@ -137,18 +159,26 @@ class WordBpe:
 
     def encode_bytes(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        if self.split_added and "<|" in text:
+        if any(a in text for a in self.added):
             return b"".join(self.added_bytes.get(part) or self._plain(part) for part in self.split_added(text) if part)
         return self._plain(text)
 
+    def _library_words(self, text: str) -> list[str]:
+        """Words as the library normalises and cuts them; it gives them byte by byte in printable characters."""
+        self.library = self.library or Tokenizer.from_file(self.path)
+        cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [bytes(map(self.byte_of.__getitem__, w)).decode("utf-8", "replace") for w, _ in cut]
+
     def _plain(self, text: str) -> bytes:
         find = self.find_latin
         if not text.isascii():
+            raw, text = text, unicodedata.normalize("NFC", text)
             # The library lower-cases each character by itself: no final sigma.
-            text = unicodedata.normalize("NFC", text)
             try:
                 text.encode("latin-1")
             except UnicodeEncodeError:
+                if UNSURE.search(text):
+                    return b"".join(map(self.words.__getitem__, self._library_words(raw)))
                 text, find = text.replace("Σ", "σ"), self.find
         return b"".join(map(self.words.__getitem__, find(text.lower())))
 

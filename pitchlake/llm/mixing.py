@@ -62,7 +62,7 @@ LANE, GATES, LOCAL_BITS, STEPS, WINDOW = 4096, 6, 8, 33, 64
 #: First weights of the shared and the own predictor; rates of weights, own counters and map.
 WEIGHT, OWN_WEIGHT, RATE, OWN_RATE, MAP_RATE = np.float32(0.38), np.float32(0.25), np.float32(0.03), np.float32(0.32), np.float32(0.012)
 #: Bytes of text that step side by side; symbols whose bits are unfolded at once.
-GROUP, PIECE = 2_000_000, 32_768
+GROUP, PIECE = 1_500_000, 32_768
 END = 256
 #: log2 of the tree contexts, the share of all symbols a context needs for a tree of its own, and the least count.
 TREE_BITS, TREE_SHARE, TREE_LEAST = 16, 1 << 13, 64

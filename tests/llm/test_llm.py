@@ -691,3 +691,31 @@ def test_neighbours_repeated_and_null_ids(spark):
         assert got == [(1, 1, 3, 3.0), (1, 2, 2, 0.5), (1, 3, 2, 0.5)]
         assert want in (None, got)
         want = got
+
+
+def test_bpe_of_every_code_point():
+    t, own = Tokenizer.from_file(WORD), bpe.WordBpe(WORD)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for lo in range(0, len(points), 256):
+        text = " ".join(f"a{chr(c)}b {chr(c)}" for c in points[lo : lo + 256])
+        ids = t.encode(text, add_special_tokens=False).ids
+        assert own.encode(text) == ids, hex(points[lo])
+        # next to a letter and a mark that change when normalised, and between letters without marks
+        text = " ".join(f"é\u0301{chr(c)}ΑΣ" for c in points[lo : lo + 256])
+        assert own.encode(text) == t.encode(text, add_special_tokens=False).ids, hex(points[lo])
+        text = " ".join(f"É{chr(c)}ΑΣ" for c in points[lo : lo + 256] if not bpe.UNSURE.match(chr(c)))
+        assert own.encode(text) == t.encode(text, add_special_tokens=False).ids, hex(points[lo])
+
+
+def test_bpe_added_tokens_come_from_the_file(tmp_path):
+    import json
+
+    with open(WORD, encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["added_tokens"].append({"id": max(spec["model"]["vocab"].values()) + 1, "content": "[hello]", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True})
+    path = tmp_path / "words.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    t, own = Tokenizer.from_file(str(path)), bpe.WordBpe(str(path))
+    for text in ("say [hello] you", "[hello][hello]", "<|endoftext|>[hello]", "[hell"):
+        ids = t.encode(text, add_special_tokens=False).ids
+        assert own.encode(text) == ids and own.decode(ids) == t.decode(ids, skip_special_tokens=False)
