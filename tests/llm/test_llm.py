@@ -712,7 +712,7 @@ def test_bpe_added_tokens_come_from_the_file(tmp_path):
 
     with open(WORD, encoding="utf-8") as f:
         spec = json.load(f)
-    spec["added_tokens"].append({"id": max(spec["model"]["vocab"].values()) + 1, "content": "[hello]", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True})
+    spec["added_tokens"].append({"id": max(t["id"] for t in spec["added_tokens"]) + 1, "content": "[hello]", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True})
     path = tmp_path / "words.json"
     path.write_text(json.dumps(spec), encoding="utf-8")
     t, own = Tokenizer.from_file(str(path)), bpe.WordBpe(str(path))
