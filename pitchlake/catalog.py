@@ -11,7 +11,7 @@ from pitchlake import analogs as A
 from pitchlake import schemas
 from pitchlake.functions import scalars as S
 from pitchlake.operators import gold, ingest, lineup, silver
-from pitchlake.plans import control, quality
+from pitchlake.plans import control, pipeline, quality
 from pitchlake.sources import readers, sinks
 
 QUERIES: dict = {}
@@ -513,3 +513,93 @@ def season_state_machine(spark, d):
     t = control.failed(t, ids["BRA-Brasileirao", 2025], "gold", "lost")
     parts = [control.pending_season(t, s).select(F.lit(s).alias("stage"), "league_key", "season", "status") for s in ("bronze", "silver", "gold")]
     return ingest.merged(*parts)
+
+
+@query("""SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(value AS DOUBLE) END AS clean, '{"k":' || json_extract_string(props, '$.k') || ',"t":"' || event_type || '"}' AS nested, '[1,' || event_id || ']' AS listed, CAST(event_id AS VARCHAR) AS plain,
+  lower(event_type) AS entity_type, CAST(user_id AS VARCHAR) AS entity_id, '' AS provider, 'bra-x' AS league, CAST(year(ts) AS VARCHAR) AS season FROM events""")
+def stored_values(spark, d):
+    """Stored text of nested values, NaN as null, and the folded signature of an event."""
+    e = A.read(spark, d, "events")
+    value = S.nan_to_null(F.when(F.col("event_type") == "error", float("nan")).otherwise(F.col("value").cast("double")))
+    k = F.from_json("props", "k int")["k"]
+    rows = e.select("event_id", value.alias("clean"), S.text_value(F.struct(k.alias("k"), F.col("event_type").alias("t")), "struct").alias("nested"), S.text_value(F.array(F.lit(1).cast("long"), "event_id"), "array").alias("listed"), S.text_value(F.col("event_id"), "bigint").alias("plain"), F.upper("event_type").alias("entity_type"), F.col("user_id").alias("entity_id"), F.lit(None).cast("string").alias("provider"), F.lit(" BRA-x\n").alias("league"), F.year("ts").alias("season"))
+    return rows.withColumn("s", S.event_signature({f: F.col(f) for f in S.KEY_FIELDS})).select("event_id", "clean", "nested", "listed", "plain", "s.*")
+
+
+@query("SELECT row_number() OVER (ORDER BY event_id) - 1 AS line_no, CASE WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS entity_id, event_type = 'error' AS failed FROM events")
+def queue_file_roundtrip(spark, d):
+    """Events written as queue lines in their order, one kind as broken ones, and read again with line numbers."""
+    path = f"{_folder(spark)}/pending.jsonl"
+    e = A.read(spark, d, "events")
+    line = F.when(F.col("event_type") == "error", F.concat(F.lit("{broken "), "event_id")).otherwise(F.to_json(F.struct("event_type", F.col("user_id").cast("string").alias("entity_id"))))
+    e.orderBy("event_id").select(line.alias("value")).write.text(path)
+    good, bad = readers.jsonl_queue(spark, path)
+    return good.select("line_no", "entity_id", F.lit(False).alias("failed")).unionByName(bad.select("line_no", F.lit(None).cast("string").alias("entity_id"), F.lit(True).alias("failed")))
+
+
+@query("SELECT CAST(l_suppkey AS VARCHAR) AS team, year(o_orderdate) AS season, COUNT(*) AS n, CAST(SUM(CAST(l_quantity AS INT)) AS BIGINT) AS goals, SUM(l_linenumber * 0.5) AS more FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL")
+def bronze_roundtrip(spark, d):
+    """Line-ups landed as a Bronze file and read back whole, typed, with a column that no schema knows."""
+    li, o = A.read(spark, d, "lineitem"), A.read(spark, d, "orders")
+    rows = li.join(o, li.l_orderkey == o.o_orderkey).select(F.col("l_orderkey").cast("string").alias("game"), F.col("l_partkey").cast("string").alias("player"), F.col("l_suppkey").cast("string").alias("team"), F.lit("x").alias("league"), F.year("o_orderdate").alias("season"), F.lit(True).alias("is_home"), F.col("l_returnflag").alias("position"), F.col("l_quantity").cast("string").alias("total_goals"), (F.col("l_linenumber") * 0.5).alias("more"))
+    root = _folder(spark)
+    pipeline.land(rows, root, "BRA-Brasileirao", 2024, "lineup")
+    back = pipeline.read_bronze(spark, root, "BRA-Brasileirao", 2024, "lineup")
+    return back.groupBy("team", "season").agg(F.count("*").alias("n"), F.sum(S.safe_int(F.col("total_goals"))).alias("goals"), F.sum("more").alias("more"))
+
+
+@query("SELECT s_nationkey AS nation, '[' || string_agg('{\"id\":' || s_suppkey || ',\"name\":\"' || s_name || '\",\"note\":null}', ',' ORDER BY s_suppkey) || ']' AS json FROM supplier GROUP BY 1")
+def json_arrays(spark, d):
+    """One JSON array a group, nulls kept; rows come in the order of their ids."""
+    s = A.read(spark, d, "supplier").select(F.col("s_nationkey").alias("nation"), F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.lit(None).cast("string").alias("note")).alias("r"))
+    ordered = s.groupBy("nation").agg(F.array_sort(F.collect_list("r")).alias("rs"))
+    return ordered.select("nation", F.to_json("rs", {"ignoreNullFields": "false"}).alias("json"))
+
+
+@query("SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment FROM customer")
+def csv_roundtrip(spark, d):
+    path = f"{_folder(spark)}/csv"
+    sinks.write_csv(A.read(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")), path)
+    return spark.read.option("header", True).schema("id long, name string, segment string").csv(path)
+
+
+@query("SELECT * FROM (VALUES ('gold', 'player_name_not_null', 'pass', 7::BIGINT), ('gold', 'player_season_stats_not_empty', 'pass', 7), ('gold', 'team_name_not_null', 'fail', 7), ('silver', 'custom', 'warn', 7), ('orphan', 'custom', 'pass', 99)) t(stage, check_name, status, season_id)")
+def quality_log(spark, d):
+    """Checks recorded for two seasons, the summary of one, and those whose season is gone."""
+    log = spark.createDataFrame([], schemas.CHECKS)
+    log = quality.recorded(log, 7, "gold", [(n, "fail" if n.startswith("team") else "pass", "") for n in quality.GOLD])
+    log = quality.recorded(log, 7, "silver", [("custom", "warn", "null_rate=0.03")])
+    log = quality.recorded(log, 99, "gold", [("custom", "pass", "")])
+    seasons = spark.createDataFrame([(7,)], "id long")
+    shown = quality.summary(quality.cascaded(log, seasons), 7).select("stage", "check_name", "status", F.lit(7).cast("long").alias("season_id"))
+    return shown.unionByName(quality.orphans(log, seasons).select(F.lit("orphan").alias("stage"), "check_name", "status", "season_id"))
+
+
+@query("SELECT s_suppkey AS id, s_name AS name, CASE s_suppkey WHEN 1 THEN 800 WHEN 2 THEN 850 END AS goals, s_suppkey <= 3 AS again FROM supplier")
+def table_evolution(spark, d):
+    """A stored table gets a column and updates, and rows of known keys replace old ones."""
+    name = f"trip_{uuid.uuid4().hex}"
+    rows = A.read(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    sinks.create_or_replace(rows, name)
+    sinks.add_column(spark, name, "goals", "int")
+    sinks.rewrite_table(sinks.updated(spark.table(name), F.col("id").isin(1, 2), {"goals": F.col("id").cast("int") * 50 + 750}), name)
+    few = spark.table(name).filter("id <= 3").withColumn("again", F.lit(True))
+    sinks.store(few, name, ["id"], lambda old, new: ingest.upsert(old, new, ["id"]))
+    out = spark.table(name).select("id", "name", "goals", F.coalesce("again", F.lit(False)).alias("again"))
+    path = f"{_folder(spark)}/evolved"
+    out.write.parquet(path)
+    sinks.drop_tables(spark, [name])
+    return spark.read.schema("id long, name string, goals int, again boolean").parquet(path)
+
+
+@query("""SELECT * FROM (VALUES ('BRA-Brasileirao', 2026, 'pending', NULL, NULL), ('ENG-Premier League', 2026, 'failed', 2000::BIGINT, 'silver'), ('FRA-Ligue 1', 2026, 'complete', NULL, NULL)) t(league_key, season, status, error_length, last_error_stage)""")
+def season_transitions(spark, d):
+    """A season through all stages, one that failed with a long error, and one that failed and was reset."""
+    t = control.seeded(control.empty(spark))
+    ids = {r["league_key"]: r["id"] for r in t.filter("season = 2026").collect()}
+    for stage in ("bronze", "silver", "gold"):
+        t = control.completed(control.started(t, ids["FRA-Ligue 1"], stage), ids["FRA-Ligue 1"], stage)
+    for key in ("BRA-Brasileirao", "ENG-Premier League"):
+        t = control.failed(control.started(t, ids[key], "silver"), ids[key], "silver", "e" * 5000)
+    t = control.reset(t, ids["BRA-Brasileirao"])
+    return t.filter("season = 2026 and league_key <> 'ITA-Serie A'").select("league_key", "season", "status", F.length("last_error").cast("long").alias("error_length"), "last_error_stage")
