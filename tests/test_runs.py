@@ -230,3 +230,12 @@ def test_streaming_queue(spark, tmp_path):
 def test_unknown_quality_names():
     with pytest.raises(ValueError):
         control.stage_of("platinum")
+
+
+def test_database_table_in_ranges(spark):
+    """The database that comes with Spark stands in for any other."""
+    url = "jdbc:derby:memory:ranges;create=true"
+    rows = spark.range(100).select(F.col("id"), (F.col("id") % 7).cast("string").alias("kind"))
+    rows.write.mode("overwrite").jdbc(url, "facts", properties={"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    df = readers.jdbc_table(spark, url, "facts", '"id"', (0, 100), 4, driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    assert df.rdd.getNumPartitions() == 4 and df.filter("id >= 50").count() == 50
