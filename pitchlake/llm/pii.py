@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 KINDS = ("email", "ip", "card", "phone")
-#: Atoms in a span (15 digits with two marks between each have 43) and in a window (an e-mail region has 547 at most) at most, letters in a span at least, words that announce data.
+#: Atoms in a span (15 digits with two marks between each have 43) and in a window (so in an e-mail address) at most, letters in a span at least, words that announce data.
 MAX_ATOMS, WINDOW, LEAST = 43, 640, 7
 CUES = {"card": {"card", "visa", "mastercard", "karte", "carte", "tarjeta"}, "phone": {"phone", "tel", "call", "mobile", "telefon", "téléphone", "teléfono"}, "email": {"email", "mail", "contact"}, "ip": {"ip", "host", "server", "addr", "address"}}
 
@@ -95,7 +95,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 ATOM = re.compile(r"[0-9]+|[^\W\d_]+|[^\w\s]|_|\s+|.", re.S)
 #: Where the field looks: digits with marks that numbers use, or words joined by @ or "at".
-REGION = re.compile(r"[+(]?[0-9][0-9 ().-]{6,}[0-9]|[A-Za-z0-9._%+-]{1,64} ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]{1,64}(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,64}){1,6}")
+REGION = re.compile(r"[+(]?[0-9][0-9 ().-]{6,}[0-9]|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]++)++")
 SHAPES = {
     "card": re.compile(r"[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{2,7}|[0-9]{14,19}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5}"),
     "phone": re.compile(r"(?:\+?[0-9]{1,3}[ .-])?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}|(?:\+|00)[0-9]{1,3}[ .-]?(?:\(0\)[ .-]?)?[0-9]{1,4}(?:[ .-][0-9]{2,4}){2,5}"),
