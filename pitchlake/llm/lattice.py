@@ -100,7 +100,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vecs = batch.column(3).to_pylist()
         for d in np.unique(dims):
             at = np.flatnonzero(dims == d)
-            x = matrix(vecs[i] for i in at)
+            x = matrix((vecs[i] for i in at), int(d))
             keys[at] = cells(x / np.sqrt((x * x).sum(axis=1))[:, None], mix(label[at] + np.uint64(d)))
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64()))], names=[*batch.schema.names, "cells"])
 
@@ -118,7 +118,7 @@ def _task(threshold: float):
         keys = np.array(one["cells"].tolist(), np.int64).reshape(len(uid), -1).view(np.uint64)
         for d in np.unique(dims):
             at = np.flatnonzero(dims == d)
-            x = matrix(raw[at]) / norm[at][:, None]
+            x = matrix(raw[at], int(d)) / norm[at][:, None]
             for i, v in zip(at, x, strict=True):
                 unit[i] = v
         links = np.zeros(len(uid), np.int64)

@@ -114,7 +114,7 @@ def _task(k: int, top: float):
                 rows, asked = left[left["dim"] == dim], right[right["dim"] == dim]
                 if not len(rows):
                     continue
-                x, q = matrix(rows["vec"]), matrix(asked["vec"])
+                x, q = matrix(rows["vec"], dim), matrix(asked["vec"], dim)
                 ids, own = rows["vec_id"].to_numpy(np.int64), asked["vec_id"].to_numpy(np.int64)
                 for i, found in enumerate(search_block(x, q, top, k + 1)):
                     found = found[ids[found] != own[i]]

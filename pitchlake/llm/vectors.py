@@ -11,14 +11,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def matrix(raw) -> np.ndarray:
-    """Rows of float64 bytes as a matrix."""
+def packed(v: np.ndarray) -> bytes:
+    """Four bytes a component where that loses nothing, else eight."""
+    with np.errstate(over="ignore"):
+        narrow = v.astype(np.float32)
+    return (narrow if (narrow == v).all() else v).tobytes()
+
+
+def matrix(raw, dim: int) -> np.ndarray:
+    """Packed vectors of ``dim`` components as a matrix of doubles."""
     raw = list(raw)
-    return np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
+    widths = {len(r) for r in raw}
+    if len(widths) > 1:
+        return np.array([np.frombuffer(r, np.float64 if len(r) == 8 * dim else np.float32).astype(np.float64) for r in raw]).reshape(-1, dim)
+    kind = np.float32 if widths == {4 * dim} else np.float64
+    return np.frombuffer(b"".join(raw), kind).reshape(-1, dim).astype(np.float64)
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str, label_col: str | None = None) -> DataFrame:
-    """``uid, vec_id, label, dim, norm, vec`` of every row; ``vec`` (float64 bytes) is null where the vector takes no part.
+    """``uid, vec_id, label, dim, norm, vec`` of every row; ``vec`` (see :func:`packed`) is null where the vector takes no part.
 
     Null and zero vectors and those with null or non-finite components take no part.
     """
@@ -35,7 +46,7 @@ def usable(df: DataFrame, id_col: str, vec_col: str, label_col: str | None = Non
                     with np.errstate(over="ignore", invalid="ignore"):
                         n = float(np.sqrt(a @ a))
                     ok = bool(np.isfinite(a).all()) and 0 < n < np.inf
-                raw.append(a.tobytes() if ok else None)
+                raw.append(packed(a) if ok else None)
                 dims.append(len(x) if ok else None)
                 norms.append(n if ok else None)
             ids = pa.array(range(uid, uid + batch.num_rows), pa.int64())
