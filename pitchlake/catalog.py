@@ -376,7 +376,7 @@ def to_numeric_coerce(spark, d):
 
 @query("SELECT DISTINCT l_partkey AS athlete_id FROM lineitem WHERE l_partkey IS NOT NULL")
 def distinct_ids(spark, d):
-    return A.read(spark, d, "lineitem").select(F.col("l_partkey").alias("athlete_id")).filter("athlete_id is not null").distinct()
+    return lineup.distinct_ids(A.read(spark, d, "lineitem").select(F.col("l_partkey").alias("athlete_id")))
 
 
 @query("SELECT l_orderkey AS game, l_linestatus = 'O' AS is_home, CAST(SUM(CAST(l_quantity AS BIGINT)) AS DOUBLE) AS goals FROM lineitem GROUP BY ALL")

@@ -126,6 +126,11 @@ def coverage(df: DataFrame, col: str) -> DataFrame:
     return df.agg((F.avg(F.col(col).isNotNull().cast("double")) * 100).alias("coverage_pct"))
 
 
+def distinct_ids(df: DataFrame, col: str = "athlete_id") -> DataFrame:
+    """The ids that occur, each once, null apart."""
+    return df.select(col).filter(F.col(col).isNotNull()).distinct()
+
+
 def profile_rows(profiles: DataFrame) -> DataFrame:
     """Sixteen flat fields and the raw response; the player card is the first link of a fitting kind.
 

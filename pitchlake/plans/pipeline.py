@@ -37,6 +37,17 @@ def read_bronze(spark: SparkSession, root: str, league: str, season: int, entity
     return readers.bronze(spark, bronze_path(root, league, season, entity), *BRONZE[entity])
 
 
+def offline_source(spark: SparkSession, folder: str) -> dict[str, Callable[[], DataFrame]]:
+    """A season's extracts that lie in a folder (``schedule.json`` and so on), in place of a remote source: entity -> reader.
+
+    A reader raises if its file is missing; index columns that an export added are dropped.
+    """
+    def reader(entity: str) -> Callable[[], DataFrame]:
+        return lambda: readers.bronze(spark, f"{folder.rstrip('/')}/{entity}.json", *BRONZE[entity]).drop("index", "level_0")
+
+    return {e: reader(e) for e in BRONZE}
+
+
 def load_bronze(root: str, league: str, season: int, schedule: DataFrame, matchsheet: Callable[[], DataFrame], lineup: Callable[[], DataFrame], events: Callable[[], DataFrame], summaries: DataFrame | None = None) -> dict[str, dict]:
     """Lands the four entities of a season, the line-up and the events with ids; entity -> what :func:`land` returns.
 

@@ -239,3 +239,15 @@ def test_database_table_in_ranges(spark):
     rows.write.mode("overwrite").jdbc(url, "facts", properties={"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
     df = readers.jdbc_table(spark, url, "facts", '"id"', (0, 100), 4, driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
     assert df.rdd.getNumPartitions() == 4 and df.filter("id >= 50").count() == 50
+
+
+def test_offline_source_feeds_bronze(spark, tmp_path):
+    schedule, sheet, rows = season(spark)
+    (tmp_path / "cache").mkdir()
+    for name, df in (("schedule", schedule), ("matchsheet", sheet), ("lineup", rows)):
+        records = [json.loads(r[0]) | {"index": 0} for r in df.select(F.to_json(F.struct("*"))).collect()]
+        (tmp_path / "cache" / f"{name}.json").write_text(json.dumps(records, indent=1))
+    source = pipeline.offline_source(spark, str(tmp_path / "cache"))
+    landed = pipeline.load_bronze(str(tmp_path / "lake"), LEAGUE, SEASON, source["schedule"](), source["matchsheet"], source["lineup"], source["events"])
+    assert {k: v["rows"] for k, v in landed.items()} == {"schedule": GAMES, "matchsheet": 2 * GAMES, "lineup": 2 * GAMES * PLAYERS, "events": 0} and "error" in landed["events"]
+    assert "index" not in pipeline.read_bronze(spark, str(tmp_path / "lake"), LEAGUE, SEASON, "lineup").columns
