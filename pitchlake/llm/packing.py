@@ -308,7 +308,8 @@ def pack(table: DataFrame, capacity: int = CAPACITY, shard_items: int = SHARD_IT
     schema = "uid long, length long, shard int, island int, bins array<int>, bin int, offset long, n_bins int"
     # Every epoch is dealt anew: one shuffle of narrow rows, and each island stays one bounded task group.
     for epoch in range(epochs):
-        solved = solved.groupBy("shard", "island").applyInPandas(island(epoch), schema)
+        # narrow rows, long searches: a task an island, or small partitions would be merged into a few tasks
+        solved = solved.repartition(shards * islands, "shard", "island").groupBy("shard", "island").applyInPandas(island(epoch), schema)
         if epoch < epochs - 1:
             moved = solved.select("uid", "length", "shard", F.struct("island", "bin").alias("told"), F.explode(F.array("island", (F.col("island") + 1) % islands)).alias("island"))
             # An island meets its own packing and its neighbour's.
