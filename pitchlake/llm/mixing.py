@@ -213,29 +213,35 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Symbols:
-    """The symbols of several texts, the context that picks each one's tree, and the hash of every context."""
+    """The symbols of several texts, the context that picks each one's tree, and the hash of every context.
+
+    Texts are parted by blanks that are no symbols (``real`` is false), so that all arrays are slices of one.
+    """
 
     def __init__(self, texts: list[bytes], hashes: bool = True):
         data = np.frombuffer(PAD + PAD.join([*texts, b""]), np.uint8)
-        sizes = np.array([len(t) + 1 for t in texts], np.int64)
-        first = np.cumsum(sizes) - sizes
-        total = int(sizes.sum())
-        self.text = np.repeat(np.arange(len(texts)), sizes)
-        at = np.arange(total) + np.repeat((len(PAD) - 1) * np.arange(len(texts)) + len(PAD), sizes)
-        self.symbol = data[at].astype(np.int32)
-        self.symbol[first + sizes - 1] = END
-        self.last = data[at - 1]
-        self.context = data[at - 2].astype(np.int32) << 8 | self.last
+        pad, n = len(PAD), len(data) - len(PAD)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(sizes + pad) - pad
+        self.first = ends - sizes
+        edge = np.zeros(n + 1, np.int8)
+        edge[self.first] += 1
+        edge[ends + 1] -= 1
+        self.real = np.cumsum(edge[:n], dtype=np.int8).view(bool)
+        self.symbol = data[pad:].astype(np.int32)
+        self.symbol[ends] = END
+        self.last = data[pad - 1 : -1]
+        self.context = data[pad - 2 : -2].astype(np.int32) << 8 | self.last
         if hashes:
             # the eight bytes before each symbol, the last one in the highest place, and the four before those
-            w = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))[at - 8]
-            v = np.ndarray(len(data) - 3, "<u4", data, strides=(1,))[at - 12]
+            w = np.ndarray(n, "<u8", data, pad - 8, (1,)).copy()
+            v = np.ndarray(n, "<u4", data, pad - 12, (1,)).copy()
             high = np.uint64(32)
             self.hashes = [
                 ((w >> high) * ODD64[0] >> high).astype(np.uint32),
                 ((w >> np.uint64(16)) * ODD64[1] >> high).astype(np.uint32),
                 (w * ODD64[2] + v * ODD64[0] >> high).astype(np.uint32),
-                (self._words(data)[at - 1] + self.last * np.uint32(0x85EBCA6B)) * np.uint32(0x27D4EB2F),
+                (self._words(data)[pad - 1 : -1] + self.last * np.uint32(0x85EBCA6B)) * np.uint32(0x27D4EB2F),
             ]
 
     @staticmethod
@@ -250,7 +256,7 @@ class Symbols:
 def bits(s: Symbols, trees: Trees, begin: int, end: int) -> tuple[np.ndarray, np.ndarray, Iterator[np.ndarray]]:
     """Decisions of the symbols from ``begin`` to ``end``: how many each has, then for every decision its bit, and one array of slots a table."""
     at = trees.rows(s.context[begin:end], s.last[begin:end]) * np.int64(257) + s.symbol[begin:end]
-    code, length = trees.code.ravel().take(at), trees.length.ravel().take(at).astype(np.int64)
+    code, length = trees.code.ravel().take(at), trees.length.ravel().take(at) * s.real[begin:end].astype(np.int64)
     ends = np.cumsum(length)
     owner = np.repeat(np.arange(end - begin), length)
     left = ends.astype(np.uint32).take(owner)
@@ -306,8 +312,9 @@ def count_all(train: DataFrame) -> DataFrame:
         texts_seen = 0
         for _, texts in in_groups(batches):
             s = Symbols(texts, hashes=False)
-            lasts += np.bincount(s.last.astype(np.int64) << 9 | s.symbol, minlength=len(lasts))
-            k, n = np.unique(s.context.astype(np.uint32) << np.uint32(9) | s.symbol.astype(np.uint32), return_counts=True)
+            symbol = s.symbol[s.real]
+            lasts += np.bincount(s.last[s.real].astype(np.int64) << 9 | symbol, minlength=len(lasts))
+            k, n = np.unique((s.context[s.real] << 9 | symbol).view(np.uint32), return_counts=True)
             pairs, inv = np.unique(np.concatenate([pairs, k]), return_inverse=True)
             pair_counts = np.bincount(inv, weights=np.concatenate([pair_counts, n])).astype(np.int64)
             first, second, _ = token_keys(texts)
@@ -450,10 +457,10 @@ class Model:
                 size += len(texts[last])
                 last += 1
             s = Symbols(texts[first:last])
+            lengths = np.empty(len(s.symbol), np.int64)
             for lo in range(0, len(s.symbol), PIECE):
                 hi = min(lo + PIECE, len(s.symbol))
-                length, bit, slots = bits(s, self.trees, lo, hi)
-                per_text[first:last] += np.bincount(s.text[lo:hi], weights=length, minlength=last - first).astype(np.int64)
+                lengths[lo:hi], bit, slots = bits(s, self.trees, lo, hi)
                 end = used + len(bit)
                 if end > len(notes):
                     inputs, notes = (np.concatenate([x[:used], np.empty(used + len(bit), x.dtype)]) for x in (inputs, notes))
@@ -474,6 +481,7 @@ class Model:
                 note |= bit << np.uint32(8)
                 note |= own << np.uint32(16)
                 used = end
+            per_text[first:last] = np.add.reduceat(lengths, s.first)
             first = last
         return inputs[:used], notes[:used], per_text
 
