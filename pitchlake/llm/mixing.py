@@ -514,7 +514,7 @@ class Model:
 
 
 class Lanes:
-    """The state of pieces of text that step side by side."""
+    """The state of pieces of text that step side by side, and room for a step's numbers."""
 
     def __init__(self, n: int):
         self.weights = np.full((n * GATES, 4), WEIGHT, np.float32)
@@ -522,6 +522,7 @@ class Lanes:
         self.own = np.zeros(n << LOCAL_BITS, np.float32)
         self.map = np.tile(squash(((np.arange(STEPS) - STEPS // 2) / 2).astype(np.float32)), n)
         self.number = np.arange(n)
+        self.room = [np.empty(n, np.float32) for _ in range(5)], np.empty((n, 4), np.float32), np.empty(n, np.complex128), np.empty(n, np.int64)
 
     def steps(self, inputs: np.ndarray, bits_: np.ndarray, gates: np.ndarray, owns: np.ndarray, going: list[int]) -> np.ndarray:
         """The probability given to each bit before it was learnt from; 1 where a piece has ended."""
@@ -534,17 +535,21 @@ class Lanes:
         found = bits_.copy()
         for t, n in enumerate(going):
             x, bit, gate, slot, p = inputs[t, :n], bits_[t, :n], gates[t, :n], owns[t, :n], found[t, :n]
-            own = self.own.take(slot)
-            picked = whole.take(gate)
+            (z, error, own, step, seen), product, picked, place = [r[:n] for r in self.room[0]], *(r[:n] for r in self.room[1:])
+            # all places are in range: clipping only spares a copy
+            self.own.take(slot, out=own, mode="clip")
+            whole.take(gate, out=picked, mode="clip")
             w = picked.view(f).reshape(n, 4)
-            z = (w * x) @ ones
-            z += self.own_weights[:n] * own
+            np.multiply(w, x, out=product)
+            np.dot(product, ones, out=z)
+            np.multiply(self.own_weights[:n], own, out=error)
+            z += error
             np.minimum(z, high, out=z)
             np.maximum(z, low, out=z)
             squash(z, out=p)
-            error = bit - p
+            np.subtract(bit, p, out=error)
             # the own counter moves, in the stretched domain
-            step = squash(own)
+            squash(own, out=step)
             np.subtract(bit, step, out=step)
             step *= OWN_RATE
             step += own
@@ -552,9 +557,9 @@ class Lanes:
             # the map: what came where the mix said this
             z += z
             z += half
-            place = z.astype(np.int64)
+            place[:] = z
             place += map_at[:n]
-            seen = self.map.take(place)
+            self.map.take(place, out=seen, mode="clip")
             p += seen
             p *= f(0.5)
             np.subtract(bit, seen, out=step)
