@@ -156,15 +156,21 @@ def best_fit(order: list[int], size: list[int], capacity: int) -> list[list[int]
     return out.bins
 
 
-def exchange(bins: list[list[int]], loose: list[int], size: list[int], capacity: int, rng: random.Random) -> list[int]:
+def filling(bins: list[list[int]], size: list[int]) -> list[int]:
+    return [sum([size[i] for i in x]) for x in bins]
+
+
+def exchange(bins: list[list[int]], loose: list[int], size: list[int], capacity: int, rng: random.Random, used: list[int]) -> list[int]:
     """Puts loose pieces into bins in exchange for one or two smaller ones, each time for the best gain of a bin; what is loose then.
 
+    ``used``, the filling of every bin, follows.
+
     Of very many loose pieces the largest ``LOOSE`` take part; all others wait for best fit.
     """
     loose = sorted(loose, key=lambda i: (size[i], i))
     rest, loose = loose[:-LOOSE], loose[-LOOSE:]
-    order = list(range(len(bins)))
     for _ in range(EXCHANGES):
+        order = [k for k, u in enumerate(used) if u < capacity]
         rng.shuffle(order)
         moved = False
         sizes = [size[i] for i in loose]
@@ -175,9 +181,9 @@ def exchange(bins: list[list[int]], loose: list[int], size: list[int], capacity:
         pairs = sorted(twos)
         for k in order:
             box = bins[k]
-            slack = capacity - sum([size[i] for i in box])
-            if not slack or not sizes:
-                continue
+            slack = capacity - used[k]
+            if not sizes:
+                break
             best, out, into = 0, (), ()
             held = [((i,), size[i]) for i in box] + [((i, j), size[i] + size[j]) for n, i in enumerate(box[:12]) for j in box[:n]]
             held.append(((), 0))
@@ -194,6 +200,7 @@ def exchange(bins: list[list[int]], loose: list[int], size: list[int], capacity:
             if best:
                 taken = [loose[x] for x in into]
                 bins[k] = [i for i in box if i not in out] + taken
+                used[k] += best
                 loose = sorted([i for i in loose if i not in taken] + list(out), key=lambda i: (size[i], i))
                 sizes = [size[i] for i in loose]
                 twos = {}
@@ -209,10 +216,11 @@ def exchange(bins: list[list[int]], loose: list[int], size: list[int], capacity:
 
 def refilled(bins: list[list[int]], loose: list[int], size: list[int], capacity: int, rng: random.Random) -> list[list[int]]:
     """The bins with displaced pieces back in: exchanges, then best fit, largest first."""
-    loose = exchange(bins, loose, size, capacity, rng) if loose else loose
+    used = filling(bins, size)
+    loose = exchange(bins, loose, size, capacity, rng, used) if loose else loose
     out = Bins(capacity)
-    for x in bins:
-        out.take(x, capacity - sum([size[i] for i in x]))
+    for x, u in zip(bins, used, strict=True):
+        out.take(x, capacity - u)
     for i in sorted(loose, key=lambda i: (-size[i], i)):
         out.put(i, size[i])
     return out.bins
@@ -220,7 +228,8 @@ def refilled(bins: list[list[int]], loose: list[int], size: list[int], capacity:
 
 def mutated(bins: list[list[int]], size: list[int], capacity: int, rng: random.Random) -> list[list[int]]:
     """Dissolves a few of the emptiest bins and a few of those with most pieces, whose small ones fill gaps."""
-    empty = heapq.nsmallest(6 * DISSOLVED[0], range(len(bins)), key=lambda k: sum([size[i] for i in bins[k]]))
+    used = filling(bins, size)
+    empty = heapq.nsmallest(6 * DISSOLVED[0], range(len(bins)), key=used.__getitem__)
     rich = heapq.nlargest(3 * DISSOLVED[1], range(len(bins)), key=lambda k: len(bins[k]) * rng.uniform(0.5, 1.0))
     gone = {k for some, most in zip((empty, rich), DISSOLVED, strict=True) for k in rng.sample(some, min(len(some), rng.randint(1, most)))}
     return refilled([list(x) for k, x in enumerate(bins) if k not in gone], [i for k in sorted(gone) for i in bins[k]], size, capacity, rng)
@@ -239,7 +248,7 @@ def crossover(a: list[list[int]], b: list[list[int]], size: list[int], capacity:
 
 def fitness(bins: list[list[int]], size: list[int], capacity: int) -> tuple[int, float]:
     """Fewer bins, then more uneven filling."""
-    return len(bins), -sum([(sum([size[i] for i in x]) / capacity) ** 2 for x in bins])
+    return len(bins), -sum([u * u for u in filling(bins, size)]) / capacity**2
 
 
 def evolve(size: list[int], capacity: int, seed: int, start: list[list[list[int]]], generations: int = GENERATIONS, population: int = POPULATION) -> list[list[int]]:

@@ -83,7 +83,9 @@ def test_packing_operators_keep_every_piece():
     bins = [list(x) for x in two if len(x) > 1]
     loose = [i for x in two if len(x) <= 1 for i in x]
     before = sum(size[i] for i in loose)
-    left = packing.exchange(bins, loose, size, 1024, rng)
+    used = packing.filling(bins, size)
+    left = packing.exchange(bins, loose, size, 1024, rng, used)
+    assert used == packing.filling(bins, size)
     assert sum(size[i] for i in left) <= before and all(sum(size[i] for i in x) <= 1024 for x in bins)
     assert sorted([i for x in bins for i in x] + left) == list(range(300))
 
