@@ -55,7 +55,7 @@ def batch_split(messages: DataFrame, size: int = BATCH) -> tuple[DataFrame, Data
 
 
 def payload_error(entity: Column, payload: Column) -> Column:
-    """Why a payload (a variant) has no rows for its entity type, or null."""
+    """Why a payload (a variant) has no rows for its entity type, or null.  The texts are fixed values."""
     kind = F.schema_of_variant(payload)
     items = F.transform(payload.try_cast("array<variant>"), lambda v: F.startswith(F.schema_of_variant(v), F.lit("OBJECT")))
     about = lambda text: F.concat(F.lit("Payload for "), entity, F.lit(text))
