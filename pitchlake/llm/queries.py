@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import bpe, jaccard, lattice, mixing, neighbours, packing, pii, tools, toxicity, urls
+from pitchlake.llm import bpe, jaccard, lattice, line_crf, mixing, neighbours, packing, periods, pii, tools, toxicity, urls, whitening
 
 #: Where vocabulary files are; a parameter of the operators themselves.
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -60,7 +60,46 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_packing, op3_mixing, op4_bpe, op5_neighbours, op6_jaccard, op7_toxicity, op8_tool_calls, op9_lattice, op10_pii)}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(rows, whitening.fit(rows)).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """Documents with the contract's periodic tails: in one of ten, words from ``a`` on repeat those of one period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    docs = docs.withColumn("w", words).withColumn("n", F.size("w"))
+    hit = F.coalesce(F.col("n") > 0, F.lit(False))
+    docs = docs.withColumn("a", F.when(hit, F.col("g") % F.col("n")))
+    docs = docs.withColumn("p", F.when(hit, 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))))
+    made = F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get("w", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    return docs.select("doc_id", F.when(hit, F.array_join(made, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_of_runs(periods.find(planted(table(spark, sf_dir, "documents"))))
+
+
+def digest_of_runs(found: DataFrame) -> DataFrame:
+    """The contract's columns of found runs; the longest run, of equal ones the first, then that of the least period."""
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("brief"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    text = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    out = found.withColumn("best", best)
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.back")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.brief")).alias("period"),
+        F.floor(F.lit(1000) * F.col("best.length") / -F.col("best.brief")).alias("exponent_milli"), F.sha2(text, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_crf.judge(docs, line_crf.fit(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_packing, op3_mixing, op4_bpe, op5_neighbours, op6_jaccard, op7_toxicity, op8_tool_calls, op9_lattice, op10_pii, op11_whitening, op12_periods, op13_line_crf)}
 
 #: DuckDB SQL where SQL can express the whole result.
 ORACLE_SQL = {
