@@ -537,6 +537,21 @@ def queue_file_roundtrip(spark, d):
     return good.select("line_no", "entity_id", F.lit(False).alias("failed")).unionByName(bad.select("line_no", F.lit(None).cast("string").alias("entity_id"), F.lit(True).alias("failed")))
 
 
+SEASONS = """m AS (SELECT event_id, ts, event_type, CAST(user_id AS VARCHAR) AS u, CASE event_type WHEN 'view' THEN '"' || year(ts) || '-25"' WHEN 'click' THEN year(ts) || '.5' WHEN 'purchase' THEN 'null' WHEN 'signup' THEN CAST(year(ts) AS VARCHAR) ELSE year(ts) || '.0' END AS s FROM events)"""
+
+
+@query(f"""WITH {SEASONS} SELECT event_id AS line_no, CASE WHEN s <> 'null' THEN trim(s, '"') END AS season, sha256('{{"created_at": "' || strftime(ts, '%Y-%m-%d') || '", "entity_id": "' || u || '", "entity_type": "match", "league": "L", "path": null, "provider": "p", "season": ' || s || '}}') AS message_hash,
+  sha256('{{"entity_id": "' || CASE WHEN u = '0' THEN '' ELSE u END || '", "entity_type": "match", "league": "l", "provider": "p", "season": "' || CASE WHEN s = 'null' THEN '' ELSE trim(s, '"') END || '"}}') AS dedupe_key FROM m""")
+def queue_seasons(spark, d):
+    """Messages with a season as text, fraction, null and number, ids as numbers, and keys that no schema knows; each hashed as it stands."""
+    e = A.read(spark, d, "events")
+    year = F.year("ts").cast("string")
+    season = F.when(F.col("event_type") == "view", F.concat(F.lit('"'), year, F.lit('-25"'))).when(F.col("event_type") == "click", F.concat(year, F.lit(".5"))).when(F.col("event_type") == "purchase", "null").when(F.col("event_type") == "signup", year).otherwise(F.concat(year, F.lit(".0")))
+    raw = F.concat(F.lit('{"entity_type":"match","entity_id":'), "user_id", F.lit(',"provider":"p","league":"L","season":'), season, F.lit(',"created_at":"'), F.date_format("ts", "yyyy-MM-dd"), F.lit('","more":'), "props", F.lit("}"))
+    good, _ = readers.parse_lines(e.select(F.col("event_id").alias("line_no"), raw.alias("raw")))
+    return ingest.with_hashes(good).select("line_no", "season", "message_hash", "dedupe_key")
+
+
 @query("SELECT CAST(l_suppkey AS VARCHAR) AS team, year(o_orderdate) AS season, COUNT(*) AS n, CAST(SUM(CAST(l_quantity AS INT)) AS BIGINT) AS goals, SUM(l_linenumber * 0.5) AS more FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL")
 def bronze_roundtrip(spark, d):
     """Line-ups landed as a Bronze file and read back whole, typed, with a column that no schema knows."""

@@ -121,16 +121,59 @@ KEY_FIELDS = ("entity_type", "entity_id", "provider", "league", "season")
 HASH_FIELDS = ("entity_type", "entity_id", "provider", "league", "season", "path", "created_at")
 
 
-def message_hash(cols: dict[str, Column]) -> Column:
-    """SHA-256 over seven message fields; the season is a number where it is one, a missing id the text None."""
-    number = F.coalesce(cols["season"].cast("bigint").cast("string"), F.lit("null"))
-    own = {"season": number, "entity_id": quoted_json(F.coalesce(cols["entity_id"].cast("string"), F.lit("None")))}
-    return F.sha2(canonical_object({f: own[f] if f in own else quoted_json(cols[f]) for f in HASH_FIELDS}), 256)
-
-
-def dedupe_key(cols: dict[str, Column]) -> Column:
+def python_float(c: Column) -> Column:
+    """A double as Python writes it: plain digits from 1e-4 up to 1e16, else an exponent of two digits or more."""
+    text = c.cast("string")
+    sign, size = F.when(F.startswith(text, F.lit("-")), "-").otherwise(""), F.ltrim(text, F.lit("-"))
+    whole = F.substring_index(size, "E", 1)
+    digits = F.regexp_replace(F.regexp_replace(whole, "[.]0$", ""), "[.]", "")
+    e = F.substring_index(size, "E", -1).try_cast("int")
+    after = F.length(digits) - 1
+    large = F.when(after <= e, F.concat(digits, F.repeat(F.lit("0"), e - after), F.lit(".0"))).otherwise(F.concat(F.substr(digits, F.lit(1), e + 1), F.lit("."), F.substr(digits, e + 2)))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
+    short = F.concat(F.regexp_replace(whole, "[.]0$", ""), F.lit("e"), F.when(e < 0, "-").otherwise("+"), F.lpad(F.abs(e).cast("string"), 2, "0"))
+    plain = F.when((e >= 0) & (e < 16), large).when((e < 0) & (e >= -4), small).otherwise(short)
+    return F.when(~F.contains(size, F.lit("E")), text).otherwise(F.concat(sign, plain))
+
+
+def variant_texts(v: Column) -> tuple[Column, Column]:
+    """(JSON text, plain text) of a variant's value, as Python's ``json.dumps`` and ``str`` give them.
+
+    Objects and lists are compact JSON in both; null and a missing value are null in the second.
+    """
+    kind = F.schema_of_variant(v)
+    text = F.try_variant_get(v, "$", "string")
+    # whole numbers of up to 18 digits are BIGINT: a DECIMAL without places is longer, or had a point
+    long_number = F.coalesce(F.regexp_extract(kind, "^DECIMAL[(]([0-9]+),0[)]$", 1).try_cast("int") > 18, F.lit(False))
+    number = F.when((kind == "BIGINT") | long_number, text).otherwise(python_float(F.try_variant_get(v, "$", "double")))
+    nothing = kind.isNull() | (kind == "VOID")
+    nested = F.startswith(kind, F.lit("OBJECT")) | F.startswith(kind, F.lit("ARRAY"))
+    json = F.when(nothing, "null").when(kind == "STRING", quoted_json(text)).when((kind == "BOOLEAN") | nested, F.to_json(v)).otherwise(number)
+    plain = F.when(nothing, F.lit(None).cast("string")).when(kind == "STRING", text).when(kind == "BOOLEAN", F.initcap(F.to_json(v))).when(nested, F.to_json(v)).otherwise(number)
+    return json, plain
+
+
+def json_text(c: Column, kind: str) -> Column:
+    """The same JSON text of a typed column."""
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.coalesce(c.cast("string"), F.lit("null"))
+    if kind in ("double", "float"):
+        return F.coalesce(python_float(c.cast("double")), F.lit("null"))
+    return F.coalesce(c.cast("string"), F.lit("null")) if kind == "boolean" else quoted_json(c)
+
+
+def message_hash(json: dict[str, Column], entity_id: Column) -> Column:
+    """SHA-256 over seven message fields, each in its JSON form (``json``); the id is its text, None if missing."""
+    return F.sha2(canonical_object({f: quoted_json(F.coalesce(entity_id, F.lit("None"))) if f == "entity_id" else json[f] for f in HASH_FIELDS}), 256)
+
+
+#: JSON values that count as missing in a :func:`dedupe_key`.
+EMPTY_JSON = ("null", "false", "0", "0.0", "-0.0", '""', "[]", "{}")
+
+
+def dedupe_key(texts: dict[str, Column]) -> Column:
     """SHA-256 over five case-folded fields; neither path nor time counts."""
-    return F.sha2(canonical_object({f: quoted_json(folded(cols[f])) for f in KEY_FIELDS}), 256)
+    return F.sha2(canonical_object({f: quoted_json(folded(texts[f])) for f in KEY_FIELDS}), 256)
 
 
 def event_signature(cols: dict[str, Column]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchlake.functions.scalars import HASH_FIELDS, KEY_FIELDS, MESSAGE_FIELDS, dedupe_key, folded, identifier, message_hash, normalize_identifier, text_value
+from pitchlake.functions.scalars import EMPTY_JSON, HASH_FIELDS, KEY_FIELDS, MESSAGE_FIELDS, dedupe_key, folded, identifier, json_text, message_hash, normalize_identifier, text_value, variant_texts
 
 META = ("meta_message_hash", "meta_row_index", "meta_entity_type", "meta_entity_id", "meta_provider", "meta_league", "meta_season", "meta_source_path", "meta_source_created_at", "payload_json", "meta_ingested_at")
 #: Entity types whose payload is one object, and those whose payload is a list of objects.
@@ -19,9 +19,33 @@ def queue_message(df: DataFrame, **fields: Column) -> DataFrame:
     return df.select(*[given[k].alias(k) for k in (*MESSAGE_FIELDS, "created_at")])
 
 
+def object_of(raw: str) -> Column:
+    """The object (a variant) a text holds, or null if it is anything but one JSON object; the parser alone would overlook what follows."""
+    items = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))).try_cast("array<variant>")
+    one = (F.size(items) == 1) & F.endswith(F.rtrim(F.regexp_replace(raw, "\\s+$", "")), F.lit("}"))
+    return F.when(one & F.startswith(F.schema_of_variant(F.get(items, F.lit(0))), F.lit("OBJECT")), F.get(items, F.lit(0)))
+
+
+def parsed_messages(lines: DataFrame, *keep: str) -> DataFrame:
+    """Columns ``keep``, the eight fields as text, and ``as_json``: the JSON form of each, of lines (``raw``) that hold an object.
+
+    A field may hold any JSON value; keys besides the eight are left out.
+    """
+    v = lines.select(*keep, object_of("raw").alias("v_")).filter("v_ is not null")
+    fields = (*MESSAGE_FIELDS, "created_at")
+    values = F.array(*[F.try_variant_get("v_", f"$.{f}", "variant") for f in fields])
+    texts = F.transform(values, lambda x: F.struct(*[t.alias(n) for n, t in zip(("json", "plain"), variant_texts(x), strict=True)]))
+    named = v.select(*keep, texts.alias("t_"))
+    return named.select(*keep, *[F.col("t_")[i]["plain"].alias(f) for i, f in enumerate(fields)], F.map_from_arrays(F.array(*map(F.lit, fields)), F.col("t_.json")).alias("as_json"))
+
+
 def with_hashes(messages: DataFrame) -> DataFrame:
-    cols = {f: F.col(f) for f in {*HASH_FIELDS, *KEY_FIELDS}}
-    return messages.withColumns({"message_hash": message_hash(cols), "dedupe_key": dedupe_key(cols)})
+    """Adds ``message_hash`` and ``dedupe_key``; both see a field's JSON value where ``as_json`` tells it, else the column's type."""
+    kinds = dict(messages.dtypes)
+    told = "as_json" in kinds
+    json = {f: F.col("as_json")[f] if told else json_text(F.col(f), kinds[f]) for f in {*HASH_FIELDS, *KEY_FIELDS}}
+    texts = {f: F.when(~json[f].isin(*EMPTY_JSON), F.col(f).cast("string")) for f in KEY_FIELDS}
+    return messages.withColumns({"message_hash": message_hash(json, F.col("entity_id").cast("string")), "dedupe_key": dedupe_key(texts)})
 
 
 def split_duplicates(messages: DataFrame, keys: tuple[str, ...] = ("dedupe_key",), order: str = "line_no") -> tuple[DataFrame, DataFrame]:
@@ -88,7 +112,7 @@ def dynamic_rows(rows: DataFrame, messages: DataFrame, names: list[str]) -> Data
     """
     entries = F.map_entries(F.col("row").try_cast("map<string,variant>"))
     named = F.transform(entries, lambda e: F.struct(dynamic_name(e["key"]).alias("n"), text_of_variant(e["value"]).alias("v")))
-    meta = messages.select("message_hash", F.col("entity_id").cast("string").alias("meta_entity_id"), F.col("provider").alias("meta_provider"), F.col("league").alias("meta_league"), F.col("season").cast("int").alias("meta_season"), F.col("path").alias("meta_source_path"), F.try_to_timestamp("created_at").alias("meta_source_created_at"))
+    meta = messages.select("message_hash", F.col("entity_id").cast("string").alias("meta_entity_id"), F.col("provider").alias("meta_provider"), F.col("league").alias("meta_league"), F.col("season").try_cast("int").alias("meta_season"), F.col("path").alias("meta_source_path"), F.try_to_timestamp("created_at").alias("meta_source_created_at"))
     wide = rows.withColumn("named", named).join(meta, "message_hash")
     value = lambda n: F.try_element_at(F.filter("named", lambda e: e["n"] == n), F.lit(-1))["v"]
     return wide.select(

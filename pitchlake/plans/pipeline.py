@@ -158,7 +158,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, store: Callable[[str, D
         except Exception as e:  # noqa: BLE001  each message stands alone
             failed[h] = str(e)[:2000]
     counts: dict[str, int] = {}
-    messages = spark.createDataFrame([(m["message_hash"], m["entity_id"], m["provider"], m["league"], m["season"], m["path"], m["created_at"]) for m in rows.values()], "message_hash string, entity_id string, provider string, league string, season int, path string, created_at string")
+    messages = spark.createDataFrame([(m["message_hash"], m["entity_id"], m["provider"], m["league"], m["season"], m["path"], m["created_at"]) for m in rows.values()], "message_hash string, entity_id string, provider string, league string, season string, path string, created_at string")
     for entity in sorted({entity_of(h) for h in rows if h not in failed}):
         own = sinks.staged(objects.filter(F.col("entity_type") == entity).withColumn("row", F.to_json("row")), f"payload-{uuid.uuid4().hex}")
         parsed = own.withColumn("row", F.parse_json("row"))
@@ -178,7 +178,7 @@ def events_of(messages: DataFrame, results: DataFrame) -> DataFrame:
     """One control row per processed message."""
     m = messages.join(results, "message_hash")
     return m.select(
-        "message_hash", "dedupe_key", "entity_type", F.col("entity_id").cast("string").alias("entity_id"), "provider", F.col("league").alias("league_key"), F.col("season").cast("int").alias("season"), "payload_format",
+        "message_hash", "dedupe_key", "entity_type", F.col("entity_id").cast("string").alias("entity_id"), "provider", F.col("league").alias("league_key"), F.col("season").try_cast("int").alias("season"), "payload_format",
         F.col("path").alias("source_path"), "status", F.col("error").alias("error_message"), F.try_to_timestamp("created_at").alias("created_at"), F.current_timestamp().alias("processed_at"),
     )
 
@@ -218,18 +218,20 @@ def consume(spark: SparkSession, root: str, database: str, batch: int = ingest.B
         results = sinks.staged(process_batch(spark, now, store_raw(database)), "results")
         kept.append(results)
         sinks.store(events_of(now, results), f"{database}.raw_ingestion_events", ["message_hash"], lambda old, new: ingest.upsert_events(old, new, F.col("processed_at")))
-        fields = ("entity_type", "entity_id", "path", "provider", "league", "season", "payload_format", "message_hash", "dedupe_key")
+        # fields go back to files with the JSON value they came with
+        told_fields = ("entity_type", "entity_id", "path", "provider", "league", "season", "payload_format")
+        fields = [*[F.parse_json(F.col("as_json")[f]).alias(f) for f in told_fields], "message_hash", "dedupe_key", F.col("path").alias("path_")]
         told = now.join(results, "message_hash").select("status", *fields, "inserted_rows", "error")
         skipped = plan["duplicates"].unionByName(plan["done"]).select(F.lit("done").alias("status"), *fields, F.lit(0).cast("long").alias("inserted_rows"), F.col("status").alias("skip_reason"))
         done = told.filter("status = 'done'").drop("error").unionByName(skipped, allowMissingColumns=True)
         failures = plan["failures"].select(F.lit("failed").alias("status"), "error", "raw_line")
-        failed = told.filter("status = 'failed'").unionByName(failures, allowMissingColumns=True)
+        failed = told.filter("status = 'failed'").drop("path_").unionByName(failures, allowMissingColumns=True)
         plan["remaining"].select("line_no").join(lines, "line_no").orderBy("line_no").select("raw").write.mode("overwrite").text(f"{pending}__next")
         sinks.swap_folder(spark, f"{pending}__next", pending)
         # only distinct paths of files that are still there move, one after another
-        moved = sinks.move_processed(spark, [r[0] for r in done.select("path").distinct().toLocalIterator()], root) if move else {}
-        places = spark.createDataFrame(list(moved.items()), "path string, moved_to string")
-        sinks.append_jsonl(done.join(places, "path", "left").withColumn("processed_at", F.current_timestamp()), f"{root.rstrip('/')}/queue/done.jsonl")
+        moved = sinks.move_processed(spark, [r[0] for r in done.select("path_").distinct().toLocalIterator()], root) if move else {}
+        places = spark.createDataFrame(list(moved.items()), "path_ string, moved_to string")
+        sinks.append_jsonl(done.join(places, "path_", "left").drop("path_").withColumn("processed_at", F.current_timestamp()), f"{root.rstrip('/')}/queue/done.jsonl")
         sinks.append_jsonl(failed.withColumn("failed_at", F.current_timestamp()), f"{root.rstrip('/')}/queue/failed.jsonl")
         inserted = results.agg(F.coalesce(F.sum("inserted_rows"), F.lit(0))).first()[0]
         return {"read": lines.count(), "parse_failed": plan["failures"].count(), "processed": results.count(), "done": done.count(), "failed": failed.count(), "inserted_rows": inserted, "files_moved": len(moved), "remaining": plan["remaining"].count()}

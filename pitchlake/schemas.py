@@ -15,7 +15,6 @@ LINEUP = "game string, player string, team string, league string, season int, is
 LINEUP_MORE = "game_id long, athlete_id long, starter boolean, is_starter boolean, formation_place string, " + ", ".join(f"{c} string" for c in PLAYER_STATS)
 EVENTS = "game string"
 EVENTS_MORE = "game_id string, event_type string, player string, season int, league string"
-MESSAGE = "entity_type string, entity_id string, payload_format string, path string, provider string, league string, season int, created_at string"
 _SUB = "string"
 SUMMARY = (
     "boxscore struct<form: array<struct<team: struct<displayName: string>>>>, rosters array<struct<roster: array<struct<"

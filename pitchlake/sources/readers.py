@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from pitchlake import schemas
 from pitchlake.functions.scalars import null_or_empty
+from pitchlake.operators.ingest import object_of, parsed_messages
 
 
 def json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -106,12 +107,10 @@ def jsonl_queue(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Splits ``line_no, raw`` into parsed messages and failures."""
-    parsed = lines.withColumn("m", F.from_json("raw", schemas.MESSAGE + ", _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"}))
-    bad = F.col("m").isNull() | F.col("m._corrupt_record").isNotNull() | ~F.startswith(F.ltrim("raw"), F.lit("{"))
-    good = parsed.filter(~bad).select("line_no", "m.*").drop("_corrupt_record")
-    failed = parsed.filter(bad).select("line_no", F.col("raw").alias("raw_line"), F.lit("json_decode_error").alias("error"))
-    return good, failed
+    """Splits ``line_no, raw`` into messages (see :func:`pitchlake.operators.ingest.parsed_messages`) and failures: lines that aren't a JSON object."""
+    whole = object_of("raw").isNotNull()
+    failed = lines.filter(~whole).select("line_no", F.col("raw").alias("raw_line"), F.lit("json_decode_error").alias("error"))
+    return parsed_messages(lines, "line_no"), failed
 
 
 def json_payloads(spark: SparkSession, paths: list[str]) -> DataFrame:

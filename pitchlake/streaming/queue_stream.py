@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pitchlake import schemas
-from pitchlake.operators.ingest import with_hashes
+from pitchlake.operators.ingest import parsed_messages, with_hashes
 
 
 def messages(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
-    return with_hashes(spark.readStream.schema(schemas.MESSAGE).option("maxFilesPerTrigger", files_per_batch).json(folder))
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder).select(F.col("value").alias("raw"))
+    return with_hashes(parsed_messages(lines))
 
 
 def consume(spark: SparkSession, folder: str, checkpoint: str, store: Callable[[DataFrame, int], None], lateness: str = "7 days") -> StreamingQuery:

@@ -58,6 +58,28 @@ def test_hashes(spark):
         assert got["dedupe_key"] == hashlib.sha256(json.dumps(folded, sort_keys=True, ensure_ascii=False).encode()).hexdigest()
 
 
+MESSAGES = [
+    {"season": 2024}, {"season": "2024"}, {"season": "2024-25"}, {"season": 2024.0}, {"season": 2024.5}, {"season": None}, {}, {"season": 0}, {"season": True}, {"season": False}, {"season": 1e22}, {"season": 1.5e-7}, {"season": 123456789.25},
+    {"season": 0.00012}, {"season": 12345678901234567890}, {"season": -3}, {"entity_id": 7}, {"entity_id": 7.5}, {"entity_id": True}, {"entity_id": None, "league": 5}, {"provider": "", "path": 'a "b" \\ é', "extra": {"x": [1]}}, {"entity_type": 0, "created_at": 1714521600},
+]
+
+
+def test_messages_of_any_json_value(spark):
+    """Hashes are those of Python's own JSON; nothing that is an object fails."""
+    base = {"entity_type": " Team", "entity_id": "A1", "payload_format": "json", "path": "/a", "provider": "espn", "league": "BRA", "season": 2024, "created_at": "2024-05-01"}
+    whole = [m if not m else base | m for m in MESSAGES]
+    lines = [json.dumps(m, ensure_ascii=i % 2 == 0) for i, m in enumerate(whole)] + ["", "[1]", '"x"', "5", "null", '{"a":', "{} x"]
+    good, bad = readers.parse_lines(spark.createDataFrame(list(enumerate(lines)), "line_no long, raw string"))
+    got = {r["line_no"]: r for r in ingest.with_hashes(good).collect()}
+    assert sorted(got) == list(range(len(whole))) and sorted(r["line_no"] for r in bad.collect()) == list(range(len(whole), len(lines)))
+    for i, m in enumerate(whole):
+        told = {f: m.get(f) for f in S.HASH_FIELDS} | {"entity_id": str(m.get("entity_id"))}
+        assert got[i]["message_hash"] == hashlib.sha256(json.dumps(told, ensure_ascii=False, sort_keys=True).encode()).hexdigest(), m
+        key = {f: str(m.get(f) or "").strip().lower() for f in S.KEY_FIELDS}
+        assert got[i]["dedupe_key"] == hashlib.sha256(json.dumps(key, ensure_ascii=False, sort_keys=True).encode()).hexdigest(), m
+        assert got[i]["season"] == (None if m.get("season") is None else str(m["season"]))
+
+
 def test_draw_while_unplayed_and_stray_score_column(spark):
     s = spark.createDataFrame([("g1", "A", "B", "3"), ("g2", "A", "B", "1")], "game string, home_team string, away_team string, home_score string")
     l = spark.createDataFrame([("g1", True, "2"), ("g1", False, "x")], "game string, is_home boolean, total_goals string")
