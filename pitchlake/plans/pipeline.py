@@ -15,7 +15,7 @@ from pitchlake.leagues import bronze_path, league_slug
 from pitchlake.operators import gold, ingest, silver
 from pitchlake.operators import lineup as enrich
 from pitchlake.plans import quality
-from pitchlake.sources import readers, sinks
+from pitchlake.sources import readers, sinks, versions
 
 TABLES = ("teams", "players", "match_statistics", "player_match_stats", "match_events", "player_season_stats")
 
@@ -69,26 +69,23 @@ def load_bronze(root: str, league: str, season: int, schedule: DataFrame, matchs
 
 
 def run_silver(spark: SparkSession, root: str, database: str, season: int, league: str, starter_mode: str = "keep") -> list[tuple[str, str, str]]:
-    """Reads Bronze, writes five tables, returns the evaluated checks."""
+    """Reads Bronze, writes five tables, returns the checks, evaluated from what the writes themselves saw."""
     schedule, sheet, lineup = (read_bronze(spark, root, league, season, e) for e in ("schedule", "matchsheet", "lineup"))
     events = readers.optional_bronze(spark, bronze_path(root, league, season, "events"), *BRONZE["events"])
     built = {"teams": silver.teams(sheet), "players": silver.players(lineup), "match_statistics": silver.match_statistics(schedule, sheet, lineup), "player_match_stats": silver.player_match_stats(lineup, starter_mode)}
     sinks.ensure_namespace(spark, database)
-    for name, df in built.items():
-        sinks.write_partitioned(sinks.audited(df), f"{database}.{name}", season, league)
+    found = {name: sinks.write_partitioned(sinks.audited(df), f"{database}.{name}", season, league, quality.observations(name, quality.SILVER)) for name, df in built.items()}
     if events is not None:
         sinks.write_optional(sinks.audited(silver.match_events(events, season, league)), f"{database}.match_events", season, league)
-    stored = {n: readers.partition_scan(spark.table(f"{database}.{n}"), season, league) for n in built}
-    return quality.evaluate(stored, quality.SILVER)
+    return quality.verdicts(found, quality.SILVER)
 
 
 def run_gold(spark: SparkSession, database: str, season: int, league: str) -> list[tuple[str, str, str]]:
+    """Season statistics from Silver, published only if they have rows and keys; the evaluated checks."""
     stats = readers.partition_scan(spark.table(f"{database}.player_match_stats"), season, league)
-    built = gold.player_season_stats(stats)
-    quality.not_empty(built, "player_season_stats")
-    quality.keys_present(built, ["player", "team"], "player_season_stats")
-    sinks.write_partitioned(sinks.audited(built), f"{database}.player_season_stats", season, league)
-    return quality.evaluate({"player_season_stats": readers.partition_scan(spark.table(f"{database}.player_season_stats"), season, league)}, quality.GOLD)
+    name = "player_season_stats"
+    found = sinks.write_partitioned(sinks.audited(gold.player_season_stats(stats)), f"{database}.{name}", season, league, quality.observations(name, quality.GOLD), quality.gold_gate(name, ["player", "team"]))
+    return quality.verdicts({name: found}, quality.GOLD)
 
 
 def guarded(stage: Callable[[], object], on_failure: Callable[[str], None]) -> object:
@@ -186,8 +183,8 @@ def events_of(messages: DataFrame, results: DataFrame) -> DataFrame:
 def ensured_events(spark: SparkSession, name: str) -> DataFrame:
     """The table of ingestion events, made empty if it is absent."""
     if not sinks.exists(spark, name):
-        spark.createDataFrame([], schemas.RAW_EVENTS).write.format("parquet").saveAsTable(name)
-    return spark.table(name)
+        versions.keyed_table(spark.createDataFrame([], schemas.RAW_EVENTS), name, ["message_hash"])
+    return versions.rows_of(spark, name)
 
 
 def store_raw(database: str) -> Callable[[str, DataFrame], None]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.functions.scalars import null_or_empty
@@ -42,18 +44,27 @@ def keys_present(df: DataFrame, cols: list[str], name: str) -> None:
         raise RuntimeError(f"{name}: null or empty keys {bad}")
 
 
-def evaluate(tables: dict[str, DataFrame], checks: dict[str, tuple[str, str | None]], null_rate: float = NULL_RATE) -> list[tuple[str, str, str]]:
-    """(check, status, details): one aggregation per table.
+def columns_of(checks: dict[str, tuple[str, str | None]]) -> dict[str, list[str]]:
+    """table -> the columns that checks look at."""
+    out: dict[str, list[str]] = {}
+    for t, c in checks.values():
+        out.setdefault(t, [])
+        if c:
+            out[t].append(c)
+    return out
+
+
+def observations(table: str, checks: dict[str, tuple[str, str | None]]) -> dict[str, Column]:
+    """Aggregates that a write can gather on the way, in place of a second scan of what it stored."""
+    return {f"null_{c}": F.count_if(null_or_empty(F.col(c))) for c in columns_of(checks).get(table, [])}
+
+
+def verdicts(found: dict[str, dict], checks: dict[str, tuple[str, str | None]], null_rate: float = NULL_RATE) -> list[tuple[str, str, str]]:
+    """(check, status, details) of each table's ``n_rows`` and ``null_<column>``.
 
     Some nulls warn, more than the rate fail; for ``not_all_null`` only a column without any value fails, and for
-    ``not_null`` any null does.
+    ``not_null`` any null does; what hasn't been found fails.
     """
-    columns: dict[str, list[str]] = {}
-    for t, c in checks.values():
-        columns.setdefault(t, [])
-        if c:
-            columns[t].append(c)
-    found = {t: null_counts(tables[t], cols).first() for t, cols in columns.items() if t in tables}
     out = []
     for name, (t, c) in checks.items():
         if t not in found:
@@ -74,6 +85,23 @@ def evaluate(tables: dict[str, DataFrame], checks: dict[str, tuple[str, str | No
     return out
 
 
+def evaluate(tables: dict[str, DataFrame], checks: dict[str, tuple[str, str | None]], null_rate: float = NULL_RATE) -> list[tuple[str, str, str]]:
+    """:func:`verdicts` of tables that are already there: one aggregation each."""
+    return verdicts({t: null_counts(tables[t], cols).first().asDict() for t, cols in columns_of(checks).items() if t in tables}, checks, null_rate)
+
+
+def gold_gate(name: str, keys: list[str]) -> Callable[[dict], None]:
+    """Raises for a table without rows, or with a null or empty key, from the metrics of its write."""
+    def look(found: dict) -> None:
+        if not found["n_rows"]:
+            raise RuntimeError(f"{name} is empty")
+        bad = {c: found[f"null_{c}"] for c in keys if found[f"null_{c}"]}
+        if bad:
+            raise RuntimeError(f"{name}: null or empty keys {bad}")
+
+    return look
+
+
 def recorded(log: DataFrame, season_id: int, stage: str, results: list[tuple[str, str, str]]) -> DataFrame:
     """The log with one more row per result; an unknown stage or status is an error."""
     if stage not in STAGES:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake.functions.scalars import quote_ident, slug
+from pitchlake.sources import versions
+from pitchlake.sources.files import Files
 
 
 def audited(df: DataFrame) -> DataFrame:
@@ -48,37 +50,14 @@ def aligned(df: DataFrame, name: str) -> DataFrame:
     return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in spark.table(name).schema])
 
 
-def write_partitioned(df: DataFrame, name: str, season: int, league: str) -> None:
-    """Idempotent write of one (season, league) partition.
+def write_partitioned(df: DataFrame, name: str, season: int, league: str, metrics: dict[str, Column] | None = None, gate: Callable[[dict], None] | None = None) -> dict[str, object]:
+    """Idempotent write of one (season, league) partition, in one step for readers (:func:`pitchlake.sources.versions.publish`).
 
     Absent tables are made, partitioned by season and league.  In present ones
     the partition is replaced; an empty frame removes it, so no stale rows stay.
-    Rows of another season or league are an error.  ``df`` is computed once;
-    the partition is named in the statement, so that neither other partitions
-    nor another writer's settings matter.
+    Rows of another season or league are an error.  ``df`` is computed once; no other partition is touched.
     """
-    spark = df.sparkSession
-    rows = staged(df, name)
-    try:
-        own = F.col("season").eqNullSafe(F.lit(season)) & F.col("league").eqNullSafe(F.lit(league))
-        n, stray = rows.agg(F.count("*"), F.count_if(~own)).first()
-        if stray:
-            raise ValueError(f"{name}: rows outside season {season}, league {league}")
-        if not exists(spark, name):
-            rows.limit(0).write.partitionBy("season", "league").format("parquet").saveAsTable(name)
-        quoted = league.replace("\\", "\\\\").replace("'", "\\'")
-        part = f"PARTITION (season={int(season)}, league='{quoted}')"
-        if not n:
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {part}")
-            return
-        view = f"staged_{uuid.uuid4().hex}"
-        aligned(rows, name).drop("season", "league").createOrReplaceTempView(view)
-        try:
-            spark.sql(f"INSERT OVERWRITE TABLE {name} {part} SELECT * FROM {view}")
-        finally:
-            spark.catalog.dropTempView(view)
-    finally:
-        unstaged(rows)
+    return versions.publish(df, name, {"season": int(season), "league": league}, metrics, gate)
 
 
 def write_optional(df: DataFrame | None, name: str, season: int, league: str) -> bool:
@@ -151,40 +130,6 @@ def run_outputs(frames: dict[str, DataFrame], root: str) -> dict[str, str]:
     return out
 
 
-class Files:
-    """File operations on whatever file system a path names."""
-
-    def __init__(self, spark: SparkSession):
-        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
-
-    def _at(self, path: str):
-        p = self.jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.conf), p
-
-    def qualified(self, path: str) -> str:
-        fs, p = self._at(path)
-        return str(fs.makeQualified(p).toString())
-
-    def exists(self, path: str) -> bool:
-        fs, p = self._at(path)
-        return bool(fs.exists(p))
-
-    def is_file(self, path: str) -> bool:
-        fs, p = self._at(path)
-        return bool(fs.exists(p)) and bool(fs.getFileStatus(p).isFile())
-
-    def delete(self, path: str) -> None:
-        fs, p = self._at(path)
-        fs.delete(p, True)
-
-    def rename(self, old: str, new: str) -> None:
-        fs, p = self._at(old)
-        to = self._at(new)[1]
-        fs.mkdirs(to.getParent())
-        if not fs.rename(p, to):
-            raise OSError(f"can't rename {old} to {new}")
-
-
 def swap_folder(spark: SparkSession, new: str, old: str) -> None:
     """Puts a written folder in the place of the file or folder it was computed from, which is kept aside until then."""
     files, aside = Files(spark), f"{old}__old"
@@ -217,16 +162,18 @@ def move_processed(spark: SparkSession, paths: list[str | None], root: str) -> d
 
 
 def store(df: DataFrame, name: str, keys: list[str], merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-    """Adds rows to a table, which is made or given new columns as needed.
+    """Merges rows into a table, which is made (in buckets of its keys) or given new columns as needed.
 
-    As a rule no key is known yet and rows are appended; only otherwise the
-    table is rewritten as ``merge(old, new)`` says.
+    Only the buckets that hold keys of ``df`` are rewritten.  A table that was made without buckets is
+    appended to if no key is known yet, and rewritten otherwise.
     """
     spark = df.sparkSession
     rows = staged(df, name)
     try:
         if not exists(spark, name):
-            merge(rows.limit(0), rows).write.format("parquet").saveAsTable(name)
+            versions.keyed_table(merge(rows.limit(0), rows), name, keys)
+        if versions.buckets_of(spark, name):
+            versions.upsert(rows, name, keys, merge)
             return
         new = aligned(rows, name)
         old = spark.table(name)
