@@ -12,7 +12,7 @@ from pitchlake import schemas
 from pitchlake.functions import scalars as S
 from pitchlake.operators import gold, ingest, lineup, silver
 from pitchlake.plans import control, pipeline, quality
-from pitchlake.sources import readers, sinks
+from pitchlake.sources import arrays, fetch, readers, sinks, versions
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -618,3 +618,67 @@ def season_transitions(spark, d):
         t = control.failed(control.started(t, ids[key], "silver"), ids[key], "silver", "e" * 5000)
     t = control.reset(t, ids["BRA-Brasileirao"])
     return t.filter("season = 2026 and league_key <> 'ITA-Serie A'").select("league_key", "season", "status", F.length("last_error").cast("long").alias("error_length"), "last_error_stage")
+
+
+PARTS = "o AS (SELECT o_orderkey, year(o_orderdate) AS season, o_orderstatus AS league FROM orders)"
+
+
+@query(f"""WITH {PARTS} SELECT 'before' AS phase, league, season, COUNT(*) AS n, CAST(SUM(o_orderkey) AS BIGINT) AS keys FROM o GROUP BY ALL
+UNION ALL SELECT 'first', league, season, COUNT(*), CAST(SUM(CASE WHEN season = 1997 AND league = 'F' THEN -o_orderkey ELSE o_orderkey END) AS BIGINT) FROM o GROUP BY ALL
+UNION ALL SELECT 'second', league, season, COUNT(*), CAST(SUM(o_orderkey) AS BIGINT) FROM o WHERE NOT (season = 1997 AND league = 'F' AND o_orderkey % 2 = 0) GROUP BY ALL
+UNION ALL SELECT 'third', league, season, COUNT(*), CAST(SUM(o_orderkey) AS BIGINT) FROM o WHERE NOT (season = 1997 AND league = 'F') GROUP BY ALL""")
+def atomic_publish(spark, d):
+    """A partition published three times, at last without rows; what a reader sees before and after each."""
+    name = f"trip_{uuid.uuid4().hex}"
+    rows = A.read(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("season"), F.col("o_orderstatus").alias("league"))
+    rows.repartition("season", "league").write.partitionBy("season", "league").format("parquet").saveAsTable(name)
+    one = readers.partition_scan(rows, 1997, "F")
+    states = [("before", None), ("first", one.withColumn("o_orderkey", -F.col("o_orderkey"))), ("second", one.filter("o_orderkey % 2 = 1")), ("third", one.limit(0))]
+    try:
+        seen = []
+        for phase, df in states:
+            if df is not None:
+                versions.publish(df, name, {"season": 1997, "league": "F"})
+            seen += spark.table(name).groupBy(F.lit(phase).alias("phase"), "league", "season").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys")).collect()  # a row a partition
+        return spark.createDataFrame(seen, "phase string, league string, season int, n long, keys long")
+    finally:
+        sinks.drop_tables(spark, [name])
+
+
+@query(f"""WITH {NEW}, kept AS (SELECT o_orderkey AS id, o_custkey AS value FROM orders) SELECT id, value, CAST(NULL AS VARCHAR) AS note FROM kept WHERE id NOT IN (SELECT id FROM last)
+UNION ALL SELECT id, coalesce(value, event_id) AS value, event_type AS note FROM last LEFT JOIN kept USING (id)""")
+def bucketed_upsert(spark, d):
+    """A stored table of orders in buckets of its key takes in events in two steps, errors last; the first value of a key stays."""
+    name = f"trip_{uuid.uuid4().hex}"
+    merge = lambda old, new: ingest.upsert(old, new, ["id"], keep=("value",), order=F.col("at"))
+    old = A.read(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("value"), F.lit(0).cast("long").alias("at"))
+    last = A.read(spark, d, "events").groupBy(F.col("user_id").alias("id")).agg(F.max("event_id").alias("value"), F.max("event_id").alias("at"), F.max_by("event_type", "event_id").alias("note"))
+    try:
+        sinks.store(old, name, ["id"], merge)
+        for part in (last.filter("note <> 'error'"), last.filter("note = 'error'")):
+            sinks.store(part, name, ["id"], merge)
+        path = f"{_folder(spark)}/upserted"
+        versions.rows_of(spark, name).select("id", "value", "note").write.parquet(path)
+    finally:
+        sinks.drop_tables(spark, [name])
+    return spark.read.schema("id long, value long, note string").parquet(path)
+
+
+@query("SELECT event_id, user_id, event_type, value, CASE WHEN event_id % 3 = 0 THEN '{\"}[é\\' END AS note FROM events")
+def array_roundtrip(spark, d):
+    """Events as arrays of records, one array a file (5,000 records at most), with strings that look like structure; read back record by record."""
+    path = f"{_folder(spark)}/arrays"
+    e = A.read(spark, d, "events").select("event_id", "user_id", "event_type", "value", F.when(F.col("event_id") % 3 == 0, '{"}[é\\').alias("note"), F.floor(F.col("event_id") / 5000).alias("part"))
+    sinks.json_array(e, "part").repartition("part").write.partitionBy("part").text(path)
+    return readers.json_rows(spark, path, "event_id long, user_id long, event_type string, value double, note string")
+
+
+@query("""SELECT c_custkey AS espn_athlete_id, CASE WHEN c_nationkey > 4 THEN 'P' || c_custkey || ' ' || c_mktsegment END AS display_name, CASE WHEN c_nationkey > 4 THEN c_nationkey END AS age FROM customer""")
+def fetched_profiles(spark, d):
+    """A request for every customer, answered by its own address (a data URL); those of some nations have an address nobody answers."""
+    c = A.read(spark, d, "customer")
+    body = F.to_json(F.struct(F.struct(F.col("c_custkey").cast("string").alias("id"), F.concat_ws(" ", F.concat(F.lit("P"), "c_custkey"), "c_mktsegment").alias("displayName"), F.col("c_nationkey").alias("age")).alias("athlete")))
+    url = F.when(F.col("c_nationkey") > 4, F.concat(F.lit("data:application/json,"), F.replace(F.url_encode(body), F.lit("+"), F.lit("%20")))).otherwise("nowhere:x")
+    got = fetch.fetched(c.select(F.col("c_custkey").cast("string").alias("requested_id"), url.alias("url")), delay=0.0)
+    rows = got.select("requested_id", F.col("body").alias("_raw"), F.from_json("body", schemas.PROFILE).alias("p")).select("requested_id", "_raw", "p.*")
+    return lineup.profile_rows(rows).select("espn_athlete_id", "display_name", "age")

@@ -12,10 +12,13 @@ from pyspark.sql.types import StructType
 from pitchlake import schemas
 from pitchlake.functions.scalars import null_or_empty
 from pitchlake.operators.ingest import object_of, parsed_messages
+from pitchlake.sources import arrays
 
 
 def json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A file that holds an array of records."""
+    """A file (or folder of files) that holds an array of records, read in as many tasks as it has blocks; one record alone is read as well."""
+    if arrays.first_mark(spark, path) in ("[", None):
+        return arrays.typed(arrays.records(spark, path), StructType.fromDDL(schema))
     return spark.read.option("multiLine", True).schema(schema).json(path)
 
 
@@ -37,14 +40,16 @@ def bronze(spark: SparkSession, path: str, columns: str, more: str = "") -> Data
     the data has them; any others (statistics) have the type they show.  An
     empty array or folder gives no rows.
     """
-    first = spark.read.text(path).filter(F.trim("value") != "").select(F.substr(F.ltrim("value"), F.lit(1), F.lit(1)).alias("c")).first()
-    reader = spark.read.option("multiLine", first is not None and first["c"] == "[")
-    seen = reader.json(path).schema
+    array = arrays.first_mark(spark, path) == "["
     typed = {f.name: f for part in (columns, more) if part for f in StructType.fromDDL(part)}
     base = StructType.fromDDL(columns).names
-    fields = [typed.get(f.name, f) for f in seen if f.name != "_corrupt_record"]
-    fields += [typed[c] for c in base if c not in seen.names]
-    return reader.schema(StructType(fields)).json(path)
+    if array:
+        texts = arrays.records(spark, path)
+        seen = StructType.fromDDL(", ".join(f"`{k.replace('`', '``')}` {kind}" for k, kind in arrays.fields(texts).items()))
+    else:
+        seen = spark.read.json(path).schema
+    chosen = StructType([typed.get(f.name, f) for f in seen if f.name != "_corrupt_record"] + [typed[c] for c in base if c not in seen.names])
+    return arrays.typed(texts, chosen) if array else spark.read.schema(chosen).json(path)
 
 
 def optional_bronze(spark: SparkSession, path: str, columns: str, more: str = "") -> DataFrame | None:
