@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitchlake import analogs as A
@@ -12,7 +12,7 @@ from pitchlake import schemas
 from pitchlake.functions import scalars as S
 from pitchlake.operators import gold, ingest, lineup, silver
 from pitchlake.plans import control, pipeline, quality
-from pitchlake.sources import arrays, fetch, readers, sinks, versions
+from pitchlake.sources import fetch, history, readers, sinks, versions
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -265,8 +265,8 @@ def clock_minutes(spark, d):
 
 @query("""SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k, '{"event_id":' || event_id || ',"event_type":"' || event_type || '","missing":null}' AS payload_json FROM events""")
 def json_fields(spark, d):
-    e = A.read(spark, d, "events")
-    return e.select("event_id", F.from_json("props", "k int")["k"].alias("k"), F.to_json(F.struct("event_id", "event_type", F.lit(None).cast("string").alias("missing")), {"ignoreNullFields": "false"}).alias("payload_json"))
+    e = A.read(spark, d, "events").withColumn("missing", F.lit(None).cast("string"))
+    return e.select("event_id", F.from_json("props", "k int")["k"].alias("k"), S.row_json("event_id", "event_type", "missing").alias("payload_json"))
 
 
 #: Events as new rows for users and orders: each user comes many times, and the last event counts.
@@ -450,11 +450,15 @@ SUMMARY_ROWS = """{"boxscore":{"form":[{"team":{"displayName":"Home FC"}},{"team
 {"athlete":{"id":"12"},"starter":false,"subbedIn":{"didSub":true,"clock":{"displayValue":"90+3'"}},"subbedOut":false}]},{"roster":[{"athlete":{"displayName":"C"},"starter":true}]}]}"""
 
 
-@query("SELECT 'g' || o_orderkey AS game, o_orderkey AS game_id, o_orderstatus AS league, year(o_orderdate) AS season, v.* FROM orders, (VALUES ('Home FC', true, 11::BIGINT, 'A', 'Forward', '9', true, 'start', '70', 2.0::DOUBLE), ('Home FC', true, 12, 'Unknown', NULL, NULL, false, '93', 'end', NULL), ('Away FC', false, NULL, 'C', NULL, NULL, true, 'start', 'end', NULL)) v(team, is_home, athlete_id, player, \"position\", formation_place, starter, sub_in, sub_out, \"totalGoals\")")
+@query("SELECT 'g' || o_orderkey AS game, o_orderkey AS game_id, o_orderstatus AS league, year(o_orderdate) AS season, v.* FROM orders, LATERAL (VALUES ('Home FC', true, o_custkey, 'A', 'Forward', '9', true, 'start', CAST(1 + o_orderkey % 89 AS VARCHAR), CAST(o_orderkey % 7 AS DOUBLE)), ('Home FC', true, 12, 'Unknown', NULL, NULL, false, '93', 'end', NULL), ('Away FC', false, NULL, 'C', NULL, NULL, true, 'start', 'end', NULL)) v(team, is_home, athlete_id, player, \"position\", formation_place, starter, sub_in, sub_out, \"totalGoals\")")
 def roster_explode(spark, d):
-    """A summary for every order."""
-    info = A.read(spark, d, "orders").select(F.concat(F.lit("g"), "o_orderkey").alias("game"), F.col("o_orderkey").alias("game_id"), F.col("o_orderstatus").alias("league"), F.year("o_orderdate").alias("season"))
-    return lineup.roster_rows(info.select("*", F.from_json(F.lit(SUMMARY_ROWS), schemas.SUMMARY).alias("s")).select("*", "s.*"), ("totalGoals",))
+    """A summary for every order, with an id, a minute and goals of its own."""
+    info = A.read(spark, d, "orders").select(F.concat(F.lit("g"), "o_orderkey").alias("game"), F.col("o_orderkey").alias("game_id"), F.col("o_orderstatus").alias("league"), F.year("o_orderdate").alias("season"), "o_custkey")
+    own = [('"id":"11"', F.concat(F.lit('"id":"'), "o_custkey", F.lit('"'))), ("70'", F.concat((F.col("game_id") % 89 + 1).cast("string"), F.lit("'"))), ('"value":2', F.concat(F.lit('"value":'), F.col("game_id") % 7))]
+    doc = F.lit(SUMMARY_ROWS)
+    for old, new in own:
+        doc = F.replace(doc, F.lit(old), new)
+    return lineup.roster_rows(info.select("*", F.from_json(doc, schemas.SUMMARY).alias("s")).select("*", "s.*").drop("o_custkey"), ("totalGoals",))
 
 
 @query("""SELECT 'g' || l_orderkey AS game, 'A' AS player, CASE WHEN l_linestatus = 'O' THEN 'Home FC' ELSE 'Nowhere' END AS team, l_linenumber,
@@ -469,25 +473,40 @@ def lineup_from_summaries(spark, d):
     return lineup.enriched_lineup(li, schedule, found, "BRA-Brasileirao", 2024)
 
 
-#: starter, subbedIn, subbedOut, minutes of substitutions among the plays, expected sub_in and sub_out.
+#: starter, subbedIn, subbedOut, minutes of substitutions among the plays, expected sub_in and sub_out; A and B stand for two minutes of the order.
 SUBSTITUTIONS = [
-    (True, None, None, [], "start", "end"), (True, "false", "true", ["70'"], "start", "70"), (True, "false", "true", [], "start", None),
-    (True, None, '{"didSub":true,"clock":{"displayValue":"70\'"}}', [], "start", None), (True, '{"didSub":false}', '{"didSub":true,"clock":{"displayValue":"70\'"}}', [], "start", "70"),
-    (False, '{"didSub":true,"clock":{"displayValue":"65\'"}}', None, [], "65", "end"), (False, '{"didSub":true,"clock":{"displayValue":"65\'"}}', '{"didSub":true,"clock":{"displayValue":"80\'"}}', [], "65", "80"),
-    (False, "true", "true", ["60'", "85'"], "60", "85"), (False, "true", "true", ["60'"], "60", None), (False, '{"didSub":true,"clock":{"displayValue":"65\'"}}', "true", [], "65", None), (False, None, "false", [], None, None),
+    (True, None, None, "", "start", "end"), (True, "false", "true", "A", "start", "A"), (True, "false", "true", "", "start", None),
+    (True, None, '{"didSub":true,"clock":{"displayValue":"A"}}', "", "start", None), (True, '{"didSub":false}', '{"didSub":true,"clock":{"displayValue":"A"}}', "", "start", "A"),
+    (False, '{"didSub":true,"clock":{"displayValue":"A"}}', None, "", "A", "end"), (False, '{"didSub":true,"clock":{"displayValue":"A"}}', '{"didSub":true,"clock":{"displayValue":"B"}}', "", "A", "B"),
+    (False, "true", "true", "AB", "A", "B"), (False, "true", "true", "A", "A", None), (False, '{"didSub":true,"clock":{"displayValue":"A"}}', "true", "", "A", None), (False, None, "false", "", None, None),
 ]
 
 
-def _literal(v: str | None) -> str:
-    return "NULL" if v is None else "'" + v + "'"
+def _expected(column: int) -> str:
+    word = {"A": "CAST(a AS VARCHAR)", "B": "CAST(a + b AS VARCHAR)", None: "NULL"}
+    return "CASE k " + " ".join(f"WHEN {i} THEN {word.get(r[column], repr(r[column]))}" for i, r in enumerate(SUBSTITUTIONS)) + " END"
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"({i}::BIGINT, {_literal(r[4])}, {_literal(r[5])})" for i, r in enumerate(SUBSTITUTIONS)) + ") t(id, sub_in, sub_out)")
+@query(f"""WITH c AS (SELECT o_orderkey, o_orderkey % {len(SUBSTITUTIONS)} AS k, o_custkey % 89 + 1 AS a, o_orderkey % 9 + 1 AS b FROM orders) SELECT o_orderkey AS id, {_expected(4)} AS sub_in, {_expected(5)} AS sub_out FROM c""")
 def substitution_minutes(spark, d):
-    rows = [(i, r[0], r[1], r[2], [(True, (m,)) for m in r[3]]) for i, r in enumerate(SUBSTITUTIONS)]
-    df = spark.createDataFrame(rows, "id long, starter boolean, i string, o string, plays array<struct<substitution: boolean, clock: struct<displayValue: string>>>")
+    """The truth table of substitutions, a case an order, with minutes (45+3') of its own."""
+    o = A.read(spark, d, "orders")
+    k = F.col("o_orderkey") % len(SUBSTITUTIONS)
+    first = F.concat((F.col("o_custkey") % 89 + 1).cast("string"), F.lit("'"))
+    second = F.concat((F.col("o_custkey") % 89 + 1).cast("string"), F.lit("+"), (F.col("o_orderkey") % 9 + 1).cast("string"), F.lit("'"))
+
+    def case(column: int) -> Column:
+        found = F.lit(None).cast("string")
+        for i, r in enumerate(SUBSTITUTIONS):
+            found = F.when(k == i, F.lit(r[column]).cast("string")).otherwise(found)
+        return found
+
+    timed = lambda c: F.replace(F.replace(c, F.lit('"A"'), F.concat(F.lit('"'), first, F.lit('"'))), F.lit('"B"'), F.concat(F.lit('"'), second, F.lit('"')))
+    play = lambda minute: F.struct(F.lit(True).alias("substitution"), F.struct(minute.alias("displayValue")).alias("clock"))
+    plays = F.slice(F.array(play(first), play(second)), 1, F.length(case(3)))
+    rows = o.select(F.col("o_orderkey").alias("id"), (case(0) == "true").alias("starter"), timed(case(1)).alias("i"), timed(case(2)).alias("o"), plays.alias("plays"))
     entered, left = lineup.substitution(F.col("starter"), F.col("i"), F.col("o"), F.col("plays"))
-    return df.select("id", entered.alias("sub_in"), left.alias("sub_out"))
+    return rows.select("id", entered.alias("sub_in"), left.alias("sub_out"))
 
 
 @query("""SELECT c_custkey AS espn_athlete_id, CAST(NULL AS VARCHAR) AS espn_guid, CAST(NULL AS VARCHAR) AS first_name, CAST(NULL AS VARCHAR) AS last_name, CASE WHEN c_nationkey > 9 THEN c_name END AS display_name, CAST(NULL AS VARCHAR) AS full_name, CAST(NULL AS VARCHAR) AS jersey,
@@ -501,17 +520,28 @@ def profile_flatten(spark, d):
     return lineup.profile_rows(c.select(F.from_json(doc, schemas.PROFILE).alias("p"), F.col("c_custkey").cast("string").alias("requested_id")).select("p.*", "requested_id")).drop("_raw")
 
 
-@query("SELECT * FROM (VALUES ('bronze', 'FRA-Ligue 1', 2026, 'pending'), ('silver', 'ENG-Premier League', 2024, 'bronze_done'), ('gold', 'BRA-Brasileirao', 2025, 'failed')) t(stage, league_key, season, status)")
+#: Seasons are the years of each order status; their state comes from how many orders they have.
+CONTROL = """n AS (SELECT o_orderstatus AS league_key, CAST(year(o_orderdate) AS INT) AS season, COUNT(*) AS n FROM orders GROUP BY ALL),
+control AS (SELECT row_number() OVER (ORDER BY league_key, season) AS id, league_key, season, ['pending', 'bronze_done', 'silver_done', 'failed', 'complete'][1 + n % 5] AS status,
+  CASE WHEN n % 5 = 3 THEN ['bronze', 'silver', 'gold'][1 + n % 3] END AS last_error_stage FROM n)"""
+
+
+def _control(spark, d):
+    n = A.read(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("league_key"), F.year("o_orderdate").alias("season")).agg(F.count("*").alias("n"))
+    pick = lambda words, by: F.element_at(F.array(*map(F.lit, words)), (F.col("n") % by + 1).cast("int"))
+    rows = n.withColumns({"id": F.row_number().over(Window.orderBy("league_key", "season")).cast("long"), "status": pick(("pending", "bronze_done", "silver_done", "failed", "complete"), 5), "last_error_stage": F.when(F.col("n") % 5 == 3, pick(("bronze", "silver", "gold"), 3))})  # a row a season
+    return control.empty(spark).unionByName(rows.drop("n"), allowMissingColumns=True)
+
+
+READY = """s(stage, ready) AS (VALUES ('bronze', 'pending'), ('silver', 'bronze_done'), ('gold', 'silver_done')), l(asked) AS (VALUES (NULL), ('F'), ('O'), ('P'))"""
+
+
+@query(f"""WITH {CONTROL}, {READY} SELECT stage, asked, id, league_key, season, status FROM s, l JOIN control ON status = ready OR (status = 'failed' AND last_error_stage = stage)
+WHERE asked IS NULL OR league_key = asked QUALIFY row_number() OVER (PARTITION BY stage, asked ORDER BY season DESC, league_key) = 1""")
 def season_state_machine(spark, d):
-    """Each stage's next season, after some transitions on the seeded table."""
-    t = control.seeded(control.empty(spark))
-    ids = {(r["league_key"], r["season"]): r["id"] for r in t.select("id", "league_key", "season").collect()}
-    for key in (("ENG-Premier League", 2026), ("BRA-Brasileirao", 2026)):
-        t = control.failed(control.started(t, ids[key], "bronze"), ids[key], "silver" if key[0][0] == "E" else "gold", "x" * 5000)
-        t = control.started(t, ids[key], "gold")
-    t = control.completed(control.started(t, ids["ENG-Premier League", 2024], "bronze"), ids["ENG-Premier League", 2024], "bronze")
-    t = control.failed(t, ids["BRA-Brasileirao", 2025], "gold", "lost")
-    parts = [control.pending_season(t, s).select(F.lit(s).alias("stage"), "league_key", "season", "status") for s in ("bronze", "silver", "gold")]
+    """The season each stage would take next, of all leagues and of each."""
+    t = _control(spark, d)
+    parts = [control.pending_season(t, s, league).select(F.lit(s).alias("stage"), F.lit(league).cast("string").alias("asked"), "id", "league_key", "season", "status") for s in control.STAGES for league in (None, "F", "O", "P")]
     return ingest.merged(*parts)
 
 
@@ -578,16 +608,21 @@ def csv_roundtrip(spark, d):
     return spark.read.option("header", True).schema("id long, name string, segment string").csv(path)
 
 
-@query("SELECT * FROM (VALUES ('gold', 'player_name_not_null', 'pass', 7::BIGINT), ('gold', 'player_season_stats_not_empty', 'pass', 7), ('gold', 'team_name_not_null', 'fail', 7), ('silver', 'custom', 'warn', 7), ('orphan', 'custom', 'pass', 99)) t(stage, check_name, status, season_id)")
+@query("""WITH c AS (SELECT n_regionkey AS id, COUNT(*) AS n, COUNT(*) FILTER (WHERE c_nationkey = 3 OR c_mktsegment = '') AS a, COUNT(*) FILTER (WHERE c_mktsegment = 'BUILDING' AND n_regionkey = 2) AS b FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1),
+log AS (SELECT id, 'player_season_stats_not_empty' AS check_name, CASE WHEN n > 0 THEN 'pass' ELSE 'fail' END AS status, 'rows=' || n AS details FROM c
+  UNION ALL SELECT id, 'player_name_not_null', CASE WHEN a > 0 THEN 'fail' ELSE 'pass' END, 'null_rate=' || printf('%.4f', a / n) FROM c UNION ALL SELECT id, 'team_name_not_null', CASE WHEN b > 0 THEN 'fail' ELSE 'pass' END, 'null_rate=' || printf('%.4f', b / n) FROM c)
+SELECT CAST(id AS BIGINT) AS season_id, CASE WHEN id = 4 THEN 'orphan' ELSE 'gold' END AS stage, check_name, status, details FROM log""")
 def quality_log(spark, d):
-    """Checks recorded for two seasons, the summary of one, and those whose season is gone."""
+    """The checks of Gold on each region's customers, recorded; the summaries of four regions, and of the last one, which is no season, the orphans."""
+    c = A.read(spark, d, "customer").join(A.read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     log = spark.createDataFrame([], schemas.CHECKS)
-    log = quality.recorded(log, 7, "gold", [(n, "fail" if n.startswith("team") else "pass", "") for n in quality.GOLD])
-    log = quality.recorded(log, 7, "silver", [("custom", "warn", "null_rate=0.03")])
-    log = quality.recorded(log, 99, "gold", [("custom", "pass", "")])
-    seasons = spark.createDataFrame([(7,)], "id long")
-    shown = quality.summary(quality.cascaded(log, seasons), 7).select("stage", "check_name", "status", F.lit(7).cast("long").alias("season_id"))
-    return shown.unionByName(quality.orphans(log, seasons).select(F.lit("orphan").alias("stage"), "check_name", "status", "season_id"))
+    regions = [r[0] for r in A.read(spark, d, "region").select("r_regionkey").orderBy("r_regionkey").collect()]  # five
+    for r in regions:
+        stats = c.filter(F.col("n_regionkey") == r).select(F.when(F.col("c_nationkey") != 3, F.col("c_name")).alias("player"), F.when((F.col("c_mktsegment") != "BUILDING") | F.lit(r != 2), F.col("c_mktsegment")).alias("team"))
+        log = quality.recorded(log, r, "gold", quality.evaluate({"player_season_stats": stats}, quality.GOLD))
+    seasons = A.read(spark, d, "region").filter("r_regionkey < 4").select(F.col("r_regionkey").cast("long").alias("id"))
+    shown = [quality.summary(quality.cascaded(log, seasons), r, "gold").select(F.lit(r).cast("long").alias("season_id"), "stage", "check_name", "status", "details") for r in regions if r < 4]
+    return ingest.merged(*shown, quality.orphans(log, seasons).select("season_id", F.lit("orphan").alias("stage"), "check_name", "status", "details"))
 
 
 @query("SELECT s_suppkey AS id, s_name AS name, CASE s_suppkey WHEN 1 THEN 800 WHEN 2 THEN 850 END AS goals, s_suppkey <= 3 AS again FROM supplier")
@@ -607,17 +642,22 @@ def table_evolution(spark, d):
     return spark.read.schema("id long, name string, goals int, again boolean").parquet(path)
 
 
-@query("""SELECT * FROM (VALUES ('BRA-Brasileirao', 2026, 'pending', NULL, NULL), ('ENG-Premier League', 2026, 'failed', 2000::BIGINT, 'silver'), ('FRA-Ligue 1', 2026, 'complete', NULL, NULL)) t(league_key, season, status, error_length, last_error_stage)""")
+@query(f"""WITH {CONTROL}, ch AS (SELECT event_id AS moment, 1 + user_id % (SELECT COUNT(*) FROM control) AS id, ['bronze', 'silver', 'gold'][1 + event_id % 3] AS stage,
+  CASE event_type WHEN 'view' THEN 'started' WHEN 'click' THEN 'completed' WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'reset' ELSE 'started' END AS outcome, props FROM events),
+st AS (SELECT *, CASE outcome WHEN 'failed' THEN 'failed' WHEN 'reset' THEN 'pending' WHEN 'started' THEN stage || '_running' ELSE CASE stage WHEN 'gold' THEN 'complete' ELSE stage || '_done' END END AS after FROM ch),
+last AS (SELECT id, arg_max(after, moment) AS after, max(moment) AS changed, COUNT(*) FILTER (WHERE outcome <> 'completed') AS n, max(moment) FILTER (WHERE stage = 'silver' AND outcome = 'completed') AS silver_done FROM st GROUP BY id),
+err AS (SELECT id, outcome, stage, props FROM st WHERE outcome <> 'completed' QUALIFY row_number() OVER (PARTITION BY id ORDER BY moment DESC) = 1)
+SELECT c.id, league_key, season, coalesce(after, status) AS status, CASE WHEN n > 0 THEN CASE WHEN e.outcome = 'failed' THEN e.stage END ELSE last_error_stage END AS last_error_stage,
+  CASE WHEN e.outcome = 'failed' THEN CAST(least(2000, 300 * length(e.props)) AS INT) END AS error_length, silver_done, changed FROM control c LEFT JOIN last USING (id) LEFT JOIN err e USING (id)""")
 def season_transitions(spark, d):
-    """A season through all stages, one that failed with a long error, and one that failed and was reset."""
-    t = control.seeded(control.empty(spark))
-    ids = {r["league_key"]: r["id"] for r in t.filter("season = 2026").collect()}
-    for stage in ("bronze", "silver", "gold"):
-        t = control.completed(control.started(t, ids["FRA-Ligue 1"], stage), ids["FRA-Ligue 1"], stage)
-    for key in ("BRA-Brasileirao", "ENG-Premier League"):
-        t = control.failed(control.started(t, ids[key], "silver"), ids[key], "silver", "e" * 5000)
-    t = control.reset(t, ids["BRA-Brasileirao"])
-    return t.filter("season = 2026 and league_key <> 'ITA-Serie A'").select("league_key", "season", "status", F.length("last_error").cast("long").alias("error_length"), "last_error_stage")
+    """Every event as what happened to a season in a stage, all folded into the control table; errors are longer than what it keeps."""
+    t = _control(spark, d)
+    n = t.count()
+    stage = F.element_at(F.array(*map(F.lit, control.STAGES)), (F.col("event_id") % 3 + 1).cast("int"))
+    outcome = F.when(F.col("event_type") == "click", "completed").when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "signup", "reset").otherwise("started")
+    changes = A.read(spark, d, "events").select((F.col("user_id") % n + 1).alias("id"), stage.alias("stage"), outcome.alias("outcome"), F.repeat("props", F.lit(300)).alias("error"), F.timestamp_seconds("event_id").alias("at"))
+    done = control.folded(t, changes)
+    return done.select("id", "league_key", "season", "status", "last_error_stage", F.length("last_error").alias("error_length"), F.unix_timestamp("silver_completed_at").alias("silver_done"), F.unix_timestamp("updated_at").alias("changed"))
 
 
 PARTS = "o AS (SELECT o_orderkey, year(o_orderdate) AS season, o_orderstatus AS league FROM orders)"
@@ -682,3 +722,20 @@ def fetched_profiles(spark, d):
     got = fetch.fetched(c.select(F.col("c_custkey").cast("string").alias("requested_id"), url.alias("url")), delay=0.0)
     rows = got.select("requested_id", F.col("body").alias("_raw"), F.from_json("body", schemas.PROFILE).alias("p")).select("requested_id", "_raw", "p.*")
     return lineup.profile_rows(rows).select("espn_athlete_id", "display_name", "age")
+
+
+@query(f"WITH {MSG}, {DONE} SELECT line_no, {HIT} AS done FROM first f")
+def done_history(spark, d):
+    """All messages against a history of keys in buckets, added in two runs (events with a key, and older ones without) and partly twice."""
+    name = f"trip_{uuid.uuid4().hex}"
+    m = ingest.with_hashes(A.messages(spark, d))
+    value = A.read(spark, d, "events").select(F.col("event_id").alias("line_no"), "value")
+    events = m.join(value, "line_no").filter("value > 90").withColumn("status", F.lit("done"))
+    try:
+        for part in (events.filter("value > 95"), events.filter("value <= 97").withColumn("dedupe_key", F.lit(None).cast("string"))):
+            history.add(history.done_keys(part), name)
+        path = f"{_folder(spark)}/flagged"
+        history.flagged(m, spark.table(name)).select("line_no", "done").write.parquet(path)
+    finally:
+        sinks.drop_tables(spark, [name])
+    return spark.read.schema("line_no long, done boolean").parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitchlake.functions.scalars import truncated
@@ -88,3 +88,31 @@ def failed(control: DataFrame, season_id: int, stage: str, error: str) -> DataFr
 def reset(control: DataFrame, season_id: int) -> DataFrame:
     null = F.lit(None).cast("string")
     return _set(control, season_id, {"status": F.lit("pending"), "last_error": null, "last_error_stage": null})
+
+
+#: What can happen to a season in a stage.
+OUTCOMES = ("started", "completed", "failed", "reset")
+
+
+def status_after(stage: Column, outcome: Column) -> Column:
+    """The status that an outcome leaves; null for an unknown one."""
+    found = F.when(outcome == "failed", "failed").when(outcome == "reset", "pending")
+    for s, (_, running, done) in STAGES.items():
+        found = found.when((stage == s) & (outcome == "started"), running).when((stage == s) & (outcome == "completed"), done)
+    return found
+
+
+def folded(control: DataFrame, changes: DataFrame) -> DataFrame:
+    """The table after many changes at once: ``id, stage, outcome, error, at`` in the order of ``at``, each as :func:`started` and so on would apply it.
+
+    One aggregation by season, combined before its shuffle, and a join with the (small) table; unknown stages and outcomes change nothing.
+    """
+    told = changes.withColumn("status_", status_after(F.col("stage"), F.col("outcome"))).filter("status_ is not null")
+    errors = F.col("outcome") != "completed"  # which leaves the last error as it was
+    hit = F.col("outcome") == "failed"
+    marks = [F.max(F.when((F.col("stage") == s) & (F.col("outcome") == o), F.col("at"))).alias(f"{s}_{o}_") for s in STAGES for o in ("started", "completed")]
+    error = F.struct(F.when(hit, truncated(F.col("error"))).alias("e"), F.when(hit, F.col("stage")).alias("s"))
+    last = told.groupBy("id").agg(F.max_by("status_", "at").alias("status_"), F.max_by(F.when(errors, error), F.when(errors, F.col("at"))).alias("error_"), F.count_if(errors).alias("n_"), F.max("at").alias("at_"), *marks)
+    new = {"status": F.coalesce("status_", "status"), "last_error": F.when(F.col("n_") > 0, F.col("error_.e")).otherwise(F.col("last_error")), "last_error_stage": F.when(F.col("n_") > 0, F.col("error_.s")).otherwise(F.col("last_error_stage")), "updated_at": F.coalesce("at_", "updated_at")}
+    new |= {f"{s}_{o}_at": F.coalesce(f"{s}_{o}_", f"{s}_{o}_at") for s in STAGES for o in ("started", "completed")}
+    return control.join(last, "id", "left").withColumns(new).select(*control.columns)

@@ -15,7 +15,7 @@ from pitchlake.leagues import bronze_path, league_slug
 from pitchlake.operators import gold, ingest, silver
 from pitchlake.operators import lineup as enrich
 from pitchlake.plans import quality
-from pitchlake.sources import readers, sinks, versions
+from pitchlake.sources import history, readers, sinks, versions
 
 TABLES = ("teams", "players", "match_statistics", "player_match_stats", "match_events", "player_season_stats")
 
@@ -102,13 +102,13 @@ def table_counts(spark: SparkSession, database: str) -> list[tuple[str, int | No
     return [(n, spark.table(f"{database}.{n}").count() if sinks.exists(spark, f"{database}.{n}") else None) for n in TABLES]
 
 
-def plan_queue(lines: DataFrame, events: DataFrame, batch: int = ingest.BATCH) -> dict[str, DataFrame]:
-    """The phases before processing: failures, duplicates, done ones, this batch, and what remains."""
+def plan_queue(lines: DataFrame, done: DataFrame, batch: int = ingest.BATCH) -> dict[str, DataFrame]:
+    """The phases before processing: failures, duplicates, those that the history of keys (``done``) holds, this batch, and what remains."""
     good, failures = readers.parse_lines(lines)
     firsts, duplicates = ingest.split_duplicates(ingest.with_hashes(good))
-    fresh, done = ingest.split_done(firsts, events)
+    fresh, known = history.split(firsts, done)
     now, later = ingest.batch_split(fresh, batch)
-    return {"failures": failures, "duplicates": duplicates, "done": done, "batch": now, "remaining": later}
+    return {"failures": failures, "duplicates": duplicates, "done": known, "batch": now, "remaining": later}
 
 
 RESULT = "message_hash string, status string, inserted_rows long, error string"
@@ -204,12 +204,13 @@ def consume(spark: SparkSession, root: str, database: str, batch: int = ingest.B
     if not files.exists(pending):
         return {"read": 0}
     sinks.ensure_namespace(spark, database)
-    events = ensured_events(spark, f"{database}.raw_ingestion_events")
-    # every phase is written once: the lines and the events they were judged by change at the end
+    keys = f"{database}.raw_done_keys"
+    done_before = history.ensured(spark, keys, ensured_events(spark, f"{database}.raw_ingestion_events"))
+    # every phase is written once: the lines and the keys they were judged by change at the end
     lines = sinks.staged(readers.numbered_lines(spark, pending), "queue")
     kept = [lines]
     try:
-        plan = {k: sinks.staged(v, k) for k, v in plan_queue(lines, events, batch).items()}
+        plan = {k: sinks.staged(v, k) for k, v in plan_queue(lines, done_before, batch).items()}
         kept += plan.values()
         now = plan["batch"]
         results = sinks.staged(process_batch(spark, now, store_raw(database)), "results")
@@ -218,6 +219,7 @@ def consume(spark: SparkSession, root: str, database: str, batch: int = ingest.B
         # fields go back to files with the JSON value they came with
         told_fields = ("entity_type", "entity_id", "path", "provider", "league", "season", "payload_format")
         fields = [*[F.parse_json(F.col("as_json")[f]).alias(f) for f in told_fields], "message_hash", "dedupe_key", F.col("path").alias("path_")]
+        history.add(now.join(results.filter("status = 'done'"), "message_hash", "left_semi"), keys)
         told = now.join(results, "message_hash").select("status", *fields, "inserted_rows", "error")
         skipped = plan["duplicates"].unionByName(plan["done"]).select(F.lit("done").alias("status"), *fields, F.lit(0).cast("long").alias("inserted_rows"), F.col("status").alias("skip_reason"))
         done = told.filter("status = 'done'").drop("error").unionByName(skipped, allowMissingColumns=True)

@@ -10,7 +10,7 @@ from pitchlake import leagues
 from pitchlake.functions import scalars as S
 from pitchlake.operators import gold, ingest, lineup, silver
 from pitchlake.plans import control, pipeline, quality
-from pitchlake.sources import readers, sinks
+from pitchlake.sources import history, readers, sinks
 
 
 def one(spark, column):
@@ -120,8 +120,10 @@ def test_queue_lines_and_plan(spark, tmp_path):
     assert [r["line_no"] for r in bad.orderBy("line_no").collect()] == [1, 2, 3]
     lines = spark.createDataFrame([(0, good(1)), (1, good(1, "team")), (2, good(2))], "line_no int, raw string")
     events = spark.createDataFrame([("done", None, "TEAM", "2", "x", "l", "2024")], "status string, dedupe_key string, entity_type string, entity_id string, provider string, league string, season string")
-    plan = pipeline.plan_queue(lines, events)
+    sinks.drop_tables(spark, ["plan_keys"])
+    plan = pipeline.plan_queue(lines, history.ensured(spark, "plan_keys", events))
     assert {k: v.count() for k, v in plan.items()} == {"failures": 0, "duplicates": 1, "done": 1, "batch": 1, "remaining": 0}
+    sinks.drop_tables(spark, ["plan_keys"])
 
 
 def test_control_and_quality(spark):
