@@ -11,7 +11,7 @@ from pitchlake import analogs as A
 from pitchlake import schemas
 from pitchlake.functions import scalars as S
 from pitchlake.operators import gold, ingest, lineup, silver
-from pitchlake.plans import control, pipeline, quality
+from pitchlake.plans import control, incremental, pipeline, quality
 from pitchlake.sources import fetch, history, readers, sinks, versions
 
 QUERIES: dict = {}
@@ -739,3 +739,46 @@ def done_history(spark, d):
     finally:
         sinks.drop_tables(spark, [name])
     return spark.read.schema("line_no long, done boolean").parquet(path)
+
+
+def _database(spark) -> str:
+    name = f"trip_{uuid.uuid4().hex}"
+    sinks.ensure_namespace(spark, name)
+    return name
+
+
+def _kept(spark, df, columns: list[str], name: str) -> DataFrame:
+    """A result written to a folder of its own, so that its tables may go."""
+    path = f"{_folder(spark)}/{name}"
+    df.select(*columns).write.parquet(path)
+    return spark.read.schema(df.select(*columns).schema).parquet(path)
+
+
+GOLD = ["player", "team", "league", "season", "matches_played", "matches_started", "goals", "assists", "yellow_cards", "goal_contributions", "goals_per_match"]
+
+
+@query(SEASON.replace(" FROM lineup GROUP BY", " FROM lineup WHERE (season, league) IN (SELECT (season, league) FROM lineup GROUP BY season, league HAVING COUNT(*) % 3 <> 0) GROUP BY"))
+def gold_of_due_seasons(spark, d):
+    """Silver in partitions; Gold of all seasons due in one run, where a season is due by how many rows it has."""
+    db = _database(spark)
+    try:
+        stats = silver.player_match_stats(A.lineup(spark, d))
+        stats.repartition("season", "league").write.partitionBy("season", "league").format("parquet").saveAsTable(f"{db}.player_match_stats")
+        state = spark.table(f"{db}.player_match_stats").groupBy("season", F.col("league").alias("league_key")).agg(F.when(F.count("*") % 3 != 0, "silver_done").otherwise("complete").alias("status"))
+        incremental.gold_due(spark, db, incremental.seasons_due(state))
+        return _kept(spark, spark.table(f"{db}.player_season_stats"), GOLD, "gold")
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+@query(SEASON)
+def incremental_gold(spark, d):
+    """Matches taken in in three parts, of which the last brings some again; the result is that of all rows."""
+    db = _database(spark)
+    stats = silver.player_match_stats(A.lineup(spark, d))
+    try:
+        for part in (stats.filter("game % 3 = 0"), stats.filter("game % 3 = 1").withColumn("total_goals", F.col("total_goals") + 5), stats.filter("game % 3 > 0")):
+            incremental.take_in(spark, db, part)
+        return _kept(spark, spark.table(f"{db}.player_season_stats"), GOLD, "gold")
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")

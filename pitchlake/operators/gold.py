@@ -15,7 +15,12 @@ def player_season_stats(stats: DataFrame) -> DataFrame:
     sums = [F.sum(c).alias(RENAMED.get(c, c)) for c in PLAYER_STATS if c in stats.columns]
     sums += [F.sum(F.lit(0)).alias(new) for old, new in RENAMED.items() if old not in stats.columns]
     out = stats.groupBy("player", "team", "league", "season").agg(F.count_distinct("game").alias("matches_played"), F.sum(F.when(F.col("starter"), 1).otherwise(0)).alias("matches_started"), *sums)
-    return out.withColumns({"goal_contributions": F.col("goals") + F.col("assists"), "goals_per_match": F.round(F.try_divide(F.col("goals"), F.col("matches_played")), 2)})
+    return with_rates(out)
+
+
+def with_rates(sums: DataFrame) -> DataFrame:
+    """What follows from a season's sums."""
+    return sums.withColumns({"goal_contributions": F.col("goals") + F.col("assists"), "goals_per_match": F.round(F.try_divide(F.col("goals"), F.col("matches_played")), 2)})
 
 
 def top_scorers(stats: DataFrame, n: int = 10) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 
@@ -15,6 +17,11 @@ class Files:
         p = self.jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.conf), p
 
+    @staticmethod
+    def decoded(uri: str) -> str:
+        """The path that a file's URI stands for (Spark shows files as URIs, in which % itself is escaped)."""
+        return unquote(uri)
+
     def qualified(self, path: str) -> str:
         fs, p = self._at(path)
         return str(fs.makeQualified(p).toString())

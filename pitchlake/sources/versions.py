@@ -121,6 +121,39 @@ def publish(df: DataFrame, name: str, spec: dict[str, object], metrics: dict[str
     return found
 
 
+def publish_many(df: DataFrame, name: str, keys: list[str], due: list[dict[str, object]] | None = None, retained: float = RETAINED) -> list[dict[str, object]]:
+    """Replaces every partition that ``df`` has rows of, and removes those of ``due`` that it has none of; returns the replaced ones.
+
+    One job writes all of them to a fresh folder before the first is published; each then changes in one step.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        df.limit(0).write.partitionBy(*keys).format("parquet").saveAsTable(name)
+    path = folder(spark, name)
+    rows = fitted(df, name, keys).columns
+    kinds = {f.name: f.dataType for f in spark.table(name).schema}
+    whole = df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in [*rows, *keys]])
+    try:
+        # files of a partition are of even size, whatever it holds
+        whole.hint("rebalance", *keys).write.partitionBy(*keys).parquet(path)
+        written = spark.read.schema(whole.schema).parquet(path)
+        places = written.select(*keys, F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder_")).distinct().collect()  # a row a partition
+    except Exception:
+        Files(spark).delete(path)
+        raise
+    done = [{k: r[k] for k in keys} for r in places]
+    before = [point(spark, name, spec, Files.decoded(r["folder_"])) for spec, r in zip(done, places, strict=True)]
+    for spec in due or []:
+        if spec not in done and (old := place(spark, name, spec)) is not None:
+            empty = folder(spark, name)
+            fitted(df.limit(0), name, keys).write.parquet(empty)
+            before.append(point(spark, name, spec, empty) and old)
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {clause(spec)}")
+    retire(spark, name, [p for p in before if p])
+    expire(spark, name, retained)
+    return done
+
+
 #: Column by which a keyed table is cut into buckets of its keys' hash, and how many there are by default.
 BUCKET, BUCKETS = "key_bucket", 64
 
