@@ -13,6 +13,7 @@ from pitchlake.functions import scalars as S
 from pitchlake.operators import gold, ingest, lineup, silver
 from pitchlake.plans import control, incremental, pipeline, quality
 from pitchlake.sources import fetch, history, readers, sinks, versions
+from pitchlake.streaming import stages, windows
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -782,3 +783,84 @@ def incremental_gold(spark, d):
         return _kept(spark, spark.table(f"{db}.player_season_stats"), GOLD, "gold")
     finally:
         spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+ARRIVALS = """a AS (SELECT event_id, user_id, event_type, value, least((day(ts) - 1) // 10, 2) AS part, CASE WHEN day(ts) > 20 AND event_type = 'error' THEN ts - INTERVAL 15 DAY ELSE ts END AS ts FROM events),
+mark AS (SELECT max(ts) - INTERVAL 2 HOUR AS m FROM a WHERE part < 2), w AS (SELECT a.*, time_bucket(INTERVAL 6 HOUR, ts) AS start FROM a)"""
+
+
+def _arrivals(spark, d, take):
+    """Events in files that come in three times (by ten days), errors of the last days fifteen days late; ``take(stream, folder)`` after each arrival."""
+    folder = _folder(spark)
+    e = A.read(spark, d, "events").select("event_id", "user_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"))
+    late = (F.dayofmonth("ts") > 20) & (F.col("event_type") == "error")
+    rows = e.withColumns({"part": F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)), "ts": F.when(late, F.col("ts") - F.expr("INTERVAL 15 DAYS")).otherwise(F.col("ts"))})
+    for part in (0, 1, 2):
+        rows.filter(F.col("part") == part).drop("part").write.mode("append").parquet(f"{folder}/in")
+        take(windows.files(spark, f"{folder}/in", "event_id long, user_id long, event_type string, value double, ts timestamp"), folder)
+
+
+@query(f"""WITH {ARRIVALS} SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS start, event_type, COUNT(*) AS n, max(value) AS top FROM w, mark WHERE NOT (part = 2 AND start + INTERVAL 6 HOUR <= m) GROUP BY ALL""")
+def event_windows(spark, d):
+    """Windows of six hours over a file stream in three runs, kept in a table; what comes after its window has ended is dropped."""
+    name = f"trip_{uuid.uuid4().hex}"
+    keys = ["start", "event_type"]
+    take = lambda stream, folder: windows.drained(windows.tumbling(stream, "ts", "6 hours", "2 hours", "event_type", top=F.max("value")), name, keys, f"{folder}/cp").awaitTermination()
+    try:
+        _arrivals(spark, d, take)
+        found = versions.rows_of(spark, name).withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
+        return _kept(spark, found, [*keys, "n", "top"], "windows")
+    finally:
+        sinks.drop_tables(spark, [name])
+
+
+@query(f"""WITH {ARRIVALS} SELECT CAST(part AS BIGINT) AS batch, COUNT(*) AS n, COUNT(*) FILTER (WHERE part = 2 AND start + INTERVAL 6 HOUR <= m) AS late FROM w, mark GROUP BY part""")
+def late_events(spark, d):
+    """How many rows of each arrival came after their window had ended."""
+    name = f"trip_{uuid.uuid4().hex}"
+    try:
+        _arrivals(spark, d, lambda stream, folder: windows.watched(stream, name, "ts", "6 hours", "2 hours", f"{folder}/cp").awaitTermination())
+        return _kept(spark, versions.rows_of(spark, name), ["batch", "n", "late"], "late")
+    finally:
+        sinks.drop_tables(spark, [name])
+
+
+@query("""WITH e AS (SELECT user_id, ts, value, ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM events), s AS (SELECT *, sum(CASE WHEN gap < INTERVAL 6 HOUR THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts) AS no FROM e)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, COUNT(*) AS n, max(value) AS top FROM s GROUP BY user_id, no HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)""")
+def event_sessions(spark, d):
+    """Sessions of users (less than six hours from event to event) over a file stream in three runs; those that are complete."""
+    name = f"trip_{uuid.uuid4().hex}"
+    folder = _folder(spark)
+    e = A.read(spark, d, "events").select("user_id", "value", F.col("ts").cast("timestamp").alias("ts"))
+    try:
+        for part in (0, 1, 2):
+            e.filter(F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)) == part).write.mode("append").parquet(f"{folder}/in")
+            stream = windows.files(spark, f"{folder}/in", "user_id long, value double, ts timestamp")
+            windows.drained(windows.sessions(stream, "ts", "6 hours", "2 hours", "user_id", top=F.max("value")), name, ["user_id", "start"], f"{folder}/cp", "append").awaitTermination()
+        found = versions.rows_of(spark, name).withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
+        return _kept(spark, found, ["user_id", "start", "n", "top"], "sessions")
+    finally:
+        sinks.drop_tables(spark, [name])
+
+
+@query("""WITH r AS (SELECT user_id AS id, ts, ['bronze', 'silver', 'gold'][1 + event_id % 3] AS stage, event_type FROM events),
+l AS (SELECT id, ts, stage, event_type, row_number() OVER (PARTITION BY id ORDER BY ts DESC) AS k FROM r),
+s AS (SELECT id, ts, CASE event_type WHEN 'click' THEN CASE stage WHEN 'gold' THEN 'complete' ELSE stage || '_done' END WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'pending' ELSE stage || '_running' END AS status, event_type IN ('view', 'purchase') AS running FROM l WHERE k = 1),
+m AS (SELECT max(ts) - INTERVAL 1 HOUR AS m FROM events)
+SELECT id, CASE WHEN running AND ts + INTERVAL 12 HOUR < m THEN 'failed' ELSE status END AS status, running AND ts + INTERVAL 12 HOUR < m AS timed_out FROM s, m""")
+def stage_stream(spark, d):
+    """Events as stage results of as many seasons as there are users, in files that come in three times; who has run for twelve hours has failed."""
+    name = f"trip_{uuid.uuid4().hex}"
+    folder = _folder(spark)
+    stage = F.element_at(F.array(*map(F.lit, control.STAGES)), (F.col("event_id") % 3 + 1).cast("int"))
+    outcome = F.when(F.col("event_type") == "click", "completed").when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "signup", "reset").otherwise("started")
+    e = A.read(spark, d, "events").select(F.col("user_id").alias("id"), stage.alias("stage"), outcome.alias("outcome"), F.col("props").alias("error"), F.col("ts").cast("timestamp").alias("at"))
+    try:
+        for part in (0, 1, 2):
+            e.filter(F.least(F.floor((F.dayofmonth("at") - 1) / 10), F.lit(2)) == part).write.mode("append").parquet(f"{folder}/in")
+            stream = windows.files(spark, f"{folder}/in", "id long, stage string, outcome string, error string, at timestamp")
+            stages.kept(stream, name, "12h", "1 hour", f"{folder}/cp").awaitTermination()
+        found = versions.rows_of(spark, name).withColumn("timed_out", F.coalesce((F.col("status") == "failed") & (F.col("last_error") == stages.NO_ANSWER), F.lit(False)))
+        return _kept(spark, found, ["id", "status", "timed_out"], "stages")
+    finally:
+        sinks.drop_tables(spark, [name])

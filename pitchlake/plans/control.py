@@ -95,8 +95,8 @@ OUTCOMES = ("started", "completed", "failed", "reset")
 
 
 def status_after(stage: Column, outcome: Column) -> Column:
-    """The status that an outcome leaves; null for an unknown one."""
-    found = F.when(outcome == "failed", "failed").when(outcome == "reset", "pending")
+    """The status that an outcome leaves; null for an unknown outcome or stage (a reset needs no stage)."""
+    found = F.when(outcome == "reset", "pending").when(stage.isin(*STAGES) & (outcome == "failed"), "failed")
     for s, (_, running, done) in STAGES.items():
         found = found.when((stage == s) & (outcome == "started"), running).when((stage == s) & (outcome == "completed"), done)
     return found
