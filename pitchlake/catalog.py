@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitchlake import analogs as A
-from pitchlake import schemas
+from pitchlake import leagues, schemas
 from pitchlake.functions import scalars as S
 from pitchlake.operators import gold, ingest, lineup, silver
 from pitchlake.plans import control, incremental, pipeline, quality
@@ -144,7 +144,7 @@ def player_season_stats(spark, d):
 
 @query(SEASON + " ORDER BY goals DESC, player, team, season LIMIT 10")
 def top_season_scorers(spark, d):
-    return player_season_stats(spark, d).orderBy(F.desc("goals"), "player", "team", "season").limit(10)
+    return gold.top_scorers(player_season_stats(spark, d))
 
 
 @query("SELECT l_partkey AS player, l_suppkey AS team, CAST(SUM(CAST(l_quantity AS INT)) AS BIGINT) AS goals, CAST(SUM(l_linenumber) AS BIGINT) AS assists, COUNT(*) AS matches FROM lineitem GROUP BY ALL HAVING SUM(CAST(l_quantity AS INT)) > 0 ORDER BY goals DESC, player, team LIMIT 15")
@@ -681,7 +681,7 @@ def atomic_publish(spark, d):
             if df is not None:
                 versions.publish(df, name, {"season": 1997, "league": "F"})
             seen += spark.table(name).groupBy(F.lit(phase).alias("phase"), "league", "season").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys")).collect()  # a row a partition
-        return spark.createDataFrame(seen, "phase string, league string, season int, n long, keys long")
+        return readers.in_memory(spark, seen, "phase string, league string, season int, n long, keys long")
     finally:
         sinks.drop_tables(spark, [name])
 
@@ -864,3 +864,17 @@ def stage_stream(spark, d):
         return _kept(spark, found, ["id", "status", "timed_out"], "stages")
     finally:
         sinks.drop_tables(spark, [name])
+
+
+@query("""WITH n AS (SELECT n_nationkey, CASE n_nationkey % 6 WHEN 0 THEN 'BRA-Brasileirao' WHEN 1 THEN 'ITA-Serie A' WHEN 2 THEN 'ENG-Premier League' WHEN 3 THEN 'FRA-Ligue 1' WHEN 4 THEN n_name || ' -- ' || n_regionkey ELSE '!!' END AS k FROM nation)
+SELECT c_custkey, k AS league_key, CASE k WHEN 'BRA-Brasileirao' THEN 'brasileirao' WHEN 'ITA-Serie A' THEN 'serie_a' WHEN 'ENG-Premier League' THEN 'premier_league' WHEN 'FRA-Ligue 1' THEN 'ligue_1' ELSE coalesce(nullif(lower(trim(regexp_replace(k, '[^a-zA-Z0-9]+', '_', 'g'), '_')), ''), 'unknown') END AS slug FROM customer JOIN n ON c_nationkey = n_nationkey""")
+def league_slugs(spark, d):
+    """Registered and other leagues of customers by nation, as the slugs that paths use."""
+    n = A.read(spark, d, "nation")
+    k = n.n_nationkey % 6
+    key = F.lit("!!")
+    for i, name in enumerate(leagues.LEAGUES):
+        key = F.when(k == i, name).otherwise(key)
+    key = F.when(k == 4, F.concat_ws(" -- ", "n_name", F.col("n_regionkey").cast("string"))).otherwise(key)
+    named = n.select("n_nationkey", key.alias("league_key"))
+    return A.read(spark, d, "customer").join(F.broadcast(named), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "league_key", leagues.league_slug_column(F.col("league_key")).alias("slug"))

@@ -24,4 +24,5 @@ def with_rates(sums: DataFrame) -> DataFrame:
 
 
 def top_scorers(stats: DataFrame, n: int = 10) -> DataFrame:
-    return stats.orderBy(F.desc("goals"), "player", "team").limit(n)
+    """The season statistics with most goals; of equal ones by player, team and season."""
+    return stats.orderBy(F.desc("goals"), "player", "team", "season").limit(n)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchlake.functions.scalars import EMPTY_JSON, HASH_FIELDS, KEY_FIELDS, MESSAGE_FIELDS, dedupe_key, folded, identifier, json_text, message_hash, normalize_identifier, text_value, variant_texts
+from pitchlake.functions.scalars import EMPTY_JSON, HASH_FIELDS, KEY_FIELDS, MESSAGE_FIELDS, dedupe_key, folded, identifier, json_text, message_hash, normalize_identifier, variant_texts
 
 META = ("meta_message_hash", "meta_row_index", "meta_entity_type", "meta_entity_id", "meta_provider", "meta_league", "meta_season", "meta_source_path", "meta_source_created_at", "payload_json", "meta_ingested_at")
 #: Entity types whose payload is one object, and those whose payload is a list of objects.
@@ -141,16 +141,6 @@ def dynamic_names(columns: list[str]) -> dict[str, str]:
     return {c: f"src_{n}" if (n := identifier(c)) in META else n for c in columns}
 
 
-def raw_rows(payload: DataFrame, message: dict[str, Column]) -> DataFrame:
-    """Meta columns, the row as JSON, and every payload column as text."""
-    names = dynamic_names(payload.columns)
-    kinds = dict(payload.dtypes)
-    last = {new: old for old, new in names.items()}
-    meta = [message.get(m, F.lit(None).cast("string")).alias(m) for m in META if m not in ("payload_json", "meta_ingested_at")]
-    body = F.to_json(F.struct(*[F.col(f"`{c}`") for c in payload.columns]), {"ignoreNullFields": "false"}).alias("payload_json")
-    return payload.select(*meta, body, F.current_timestamp().alias("meta_ingested_at"), *[text_value(F.col(f"`{old}`"), kinds[old]).alias(new) for new, old in last.items()])
-
-
 def last_of(df: DataFrame, keys: list[str], order: Column | None) -> DataFrame:
     """The last row of each key by ``order`` (by all other columns where none is given), in one aggregation."""
     rest = [c for c in df.columns if c not in keys]

@@ -227,13 +227,13 @@ def consume(spark: SparkSession, root: str, database: str, batch: int = ingest.B
         failed = told.filter("status = 'failed'").drop("path_").unionByName(failures, allowMissingColumns=True)
         plan["remaining"].select("line_no").join(lines, "line_no").orderBy("line_no").select("raw").write.mode("overwrite").text(f"{pending}__next")
         sinks.swap_folder(spark, f"{pending}__next", pending)
-        # only distinct paths of files that are still there move, one after another
-        moved = sinks.move_processed(spark, [r[0] for r in done.select("path_").distinct().toLocalIterator()], root) if move else {}
-        places = spark.createDataFrame(list(moved.items()), "path_ string, moved_to string")
-        sinks.append_jsonl(done.join(places, "path_", "left").drop("path_").withColumn("processed_at", F.current_timestamp()), f"{root.rstrip('/')}/queue/done.jsonl")
+        # the tasks move files, as many as there are distinct paths; none comes to the driver
+        places = sinks.moved(done.select(F.col("path_").alias("path")), root).withColumnRenamed("path", "path_") if move else spark.createDataFrame([], "path_ string, moved_to string")
+        n_moved = places.count()
+        sinks.append_jsonl(done.withColumn("path_", F.btrim("path_")).join(places, "path_", "left").drop("path_").withColumn("processed_at", F.current_timestamp()), f"{root.rstrip('/')}/queue/done.jsonl")
         sinks.append_jsonl(failed.withColumn("failed_at", F.current_timestamp()), f"{root.rstrip('/')}/queue/failed.jsonl")
         inserted = results.agg(F.coalesce(F.sum("inserted_rows"), F.lit(0))).first()[0]
-        return {"read": lines.count(), "parse_failed": plan["failures"].count(), "processed": results.count(), "done": done.count(), "failed": failed.count(), "inserted_rows": inserted, "files_moved": len(moved), "remaining": plan["remaining"].count()}
+        return {"read": lines.count(), "parse_failed": plan["failures"].count(), "processed": results.count(), "done": done.count(), "failed": failed.count(), "inserted_rows": inserted, "files_moved": n_moved, "remaining": plan["remaining"].count()}
     finally:
         for df in kept:
             sinks.unstaged(df)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake import schemas
+from pitchlake.leagues import source_key
 
 #: Seconds: an answer may take, and a task pauses after each request.
 TIMEOUT, DELAY = 30.0, 0.5
@@ -60,8 +61,13 @@ def address(pattern: str, requested: Column) -> Column:
     return F.replace(F.lit(pattern), F.lit("{id}"), F.replace(F.url_encode(requested.cast("string")), F.lit("+"), F.lit("%20")))
 
 
-def profiles(ids: DataFrame, pattern: str, **options: float) -> DataFrame:
-    """Athlete profiles of ``ids`` (``requested_id``) in the shape of :func:`pitchlake.sources.readers.profiles`: null fields where a request failed or its answer isn't JSON."""
+def profiles(ids: DataFrame, pattern: str, league: str | None = None, **options: float) -> DataFrame:
+    """Athlete profiles of ``ids`` (``requested_id``) in the shape of :func:`pitchlake.sources.readers.profiles`: null fields where a request failed or its answer isn't JSON.
+
+    ``pattern`` has ``{id}``, and ``{league}`` for the source's own name of a league.
+    """
+    if league is not None:
+        pattern = pattern.replace("{league}", source_key(league))
     asked = ids.select("requested_id", address(pattern, F.col("requested_id")).alias("url"))
     good = F.when(F.try_parse_json("body").isNotNull(), F.col("body"))
     return fetched(asked, **options).select("requested_id", good.alias("_raw")).withColumn("d", F.from_json("_raw", schemas.PROFILE)).select("requested_id", "_raw", "d.*")

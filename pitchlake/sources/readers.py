@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pitchlake import schemas
-from pitchlake.functions.scalars import null_or_empty
 from pitchlake.operators.ingest import object_of, parsed_messages
 from pitchlake.sources import arrays
 
@@ -165,7 +164,3 @@ def profiles(spark: SparkSession, folder: str, requested: DataFrame | None = Non
     if requested is None:
         return docs
     return requested.select(F.col("requested_id").cast("string").alias("requested_id")).distinct().join(docs, "requested_id", "left")
-
-
-def has_text(df: DataFrame, col: str) -> DataFrame:
-    return df.filter(~null_or_empty(F.col(col)))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,9 +30,10 @@ def exists(spark: SparkSession, name: str) -> bool:
 
 
 def staged(df: DataFrame, near: str) -> DataFrame:
-    """``df``, written once beside the tables and read back, so that checks don't compute it again."""
+    """``df``, written once to the folder that the cluster shares (beside the tables, if it names none) and read back, so that checks don't compute it again."""
     spark = df.sparkSession
-    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging/{near}-{uuid.uuid4().hex}"
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{shared.rstrip('/')}/_staging/{near}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
@@ -161,6 +165,41 @@ def move_processed(spark: SparkSession, paths: list[str | None], root: str) -> d
     return out
 
 
+def moved(paths: DataFrame, root: str) -> DataFrame:
+    """Moves each distinct existing file of ``path`` to its place under ``root``/processed, by the tasks: ``path, moved_to`` of those that moved.
+
+    Files that want the same place meet in one task, where those after the first get a number.  A task that is repeated after some of its
+    files have moved finds these in their places.  The result is written once; nobody should compute it again.
+    """
+    base = root.rstrip("/")
+    own = F.btrim("path")
+    rest = F.when(F.startswith(own, F.lit(base + "/")), F.substr(own, F.lit(len(base) + 2))).otherwise(F.substring_index(own, "/", -1))
+    wanted = paths.filter(F.coalesce(own != "", F.lit(False))).select(own.alias("path"), F.concat(F.lit(f"{base}/processed/"), rest).alias("place")).distinct()
+
+    def local(path: str) -> tuple[fs.FileSystem, str]:
+        return fs.FileSystem.from_uri(re.sub("^file:/+", "/", path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                system, old = local(path)
+                there = lambda p: system.get_file_info(p).type == fs.FileType.File  # noqa: B023, E731
+                to, n = place, 0
+                stem, dot, suffix = place.rpartition(".") if "." in place.rpartition("/")[2] else (place, "", "")
+                if there(old):
+                    while there(local(to)[1]):
+                        n += 1
+                        to = f"{stem}_{n}{dot}{suffix}"
+                    target = local(to)[1]
+                    system.create_dir(target.rpartition("/")[0], recursive=True)
+                    system.move(old, target)
+                elif not there(local(to)[1]):
+                    continue
+                yield pa.RecordBatch.from_arrays([pa.array([path], pa.string()), pa.array([to], pa.string())], names=["path", "moved_to"])
+
+    return staged(wanted.repartition("place").sortWithinPartitions("place", "path").mapInArrow(run, "path string, moved_to string"), "moved")
+
+
 def store(df: DataFrame, name: str, keys: list[str], merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
     """Merges rows into a table, which is made (in buckets of its keys) or given new columns as needed.
 

@@ -20,6 +20,8 @@ def server():
     class Handler(BaseHTTPRequestHandler):
         def do_GET(self):
             name = self.path.rpartition("/")[2]
+            if not self.path.startswith("/bra.1/"):
+                name = "4"
             asked[name] += 1
             if name == "slow":
                 time.sleep(3)
@@ -34,19 +36,19 @@ def server():
 
     s = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
     threading.Thread(target=s.serve_forever, daemon=True).start()
-    yield f"http://127.0.0.1:{s.server_address[1]}/athletes/{{id}}", asked
+    yield f"http://127.0.0.1:{s.server_address[1]}/{{league}}/athletes/{{id}}", asked
     s.shutdown()
 
 
 def test_profiles_from_a_server(spark, server):
     pattern, asked = server
     ids = spark.createDataFrame([(x,) for x in ("1", "2", "2", "4", "5", "6", "7", "8", "slow", "a b/c")], "requested_id string")
-    got = {r["requested_id"]: r for r in fetch.profiles(ids, pattern, parts=3, delay=0.01, timeout=1.0, attempts=2).collect()}
+    got = {r["requested_id"]: r for r in fetch.profiles(ids, pattern, "BRA-Brasileirao", parts=3, delay=0.01, timeout=1.0, attempts=2).collect()}
     assert set(got) == {"1", "2", "4", "5", "6", "7", "8", "slow", "a b/c"}
     assert {k for k, r in got.items() if r["_raw"] is None} == {"4", "5", "7", "8", "slow"}
     assert got["6"]["athlete"]["displayName"] == "P6 é" and got["a b/c"]["athlete"]["id"] == "a%20b%2Fc"
     assert (asked["2"], asked["4"], asked["5"], asked["6"]) == (1, 1, 2, 2)
-    rows = {r["espn_athlete_id"]: r["display_name"] for r in lineup.profile_rows(fetch.profiles(ids.filter("requested_id in ('1', '4')"), pattern, parts=2, delay=0.0)).collect()}
+    rows = {r["espn_athlete_id"]: r["display_name"] for r in lineup.profile_rows(fetch.profiles(ids.filter("requested_id in ('1', '4')"), pattern, "BRA-Brasileirao", parts=2, delay=0.0)).collect()}
     assert rows == {1: "P1 é", 4: None}
 
 

@@ -129,6 +129,20 @@ def test_queue_end_to_end(spark, tmp_path):
     spark.sql(f"DROP DATABASE {db} CASCADE")
 
 
+def test_files_are_moved_by_tasks(spark, tmp_path):
+    root = str(tmp_path / "out")
+    for name, text in (("out/raw/a.json", "1"), ("out/b", "2"), ("x/c.csv", "3"), ("y/c.csv", "4"), ("y/processed.json", "5"), ("out/raw/with space%.json", "6")):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    names = ["out/raw/a.json", "out/b", "x/c.csv", "y/c.csv", "out/raw/a.json", "none.json", "out/raw", "out/raw/with space%.json"]
+    paths = spark.createDataFrame([(f" {tmp_path / n} ",) for n in names] + [(None,), (" ",)], "path string")
+    got = {r["path"]: r["moved_to"] for r in sinks.moved(paths, root).collect()}
+    want = {f"{tmp_path}/out/raw/a.json": f"{root}/processed/raw/a.json", f"{tmp_path}/out/b": f"{root}/processed/b", f"{tmp_path}/x/c.csv": f"{root}/processed/c.csv", f"{tmp_path}/y/c.csv": f"{root}/processed/c_1.csv", f"{tmp_path}/out/raw/with space%.json": f"{root}/processed/raw/with space%.json"}
+    assert got == want and (tmp_path / "out/processed/c_1.csv").read_text() == "4" and not (tmp_path / "out/b").exists() and (tmp_path / "y/processed.json").exists()
+    # a task that is repeated finds what it moved
+    assert {r["path"]: r["moved_to"] for r in sinks.moved(paths.filter("path like '%a.json%'"), root).collect()} == {f"{tmp_path}/out/raw/a.json": f"{root}/processed/raw/a.json"}
+
+
 def test_numbered_lines_over_blocks(spark, tmp_path):
     path = tmp_path / "q.jsonl"
     path.write_text("".join(f"line {i}\n" for i in range(5000)))

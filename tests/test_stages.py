@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from test_runs import LEAGUE, SEASON, season
 
 from pitchlake.plans import control, pipeline, quality, run
-from pitchlake.sources import sinks
 
 
 def test_stages_run_in_order(spark, tmp_path):
