@@ -12,6 +12,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,8 @@ RETAINED = 3600
 
 def literal(v: object) -> str:
     """A partition value in SQL."""
+    if v is None:
+        return "null"
     return str(v) if isinstance(v, int) else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -31,9 +34,9 @@ def clause(spec: dict[str, object]) -> str:
     return "PARTITION (" + ", ".join(f"`{k}`={literal(v)}" for k, v in spec.items()) + ")"
 
 
-def place(spark: SparkSession, name: str, spec: dict[str, object] | None = None) -> str | None:
-    """The folder of a table, or of one of its partitions; None if there's no such partition."""
-    if spec and spark.sql(f"SHOW PARTITIONS {name} {clause(spec)}").isEmpty():
+def place(spark: SparkSession, name: str, spec: dict[str, object] | None = None, check: bool = True) -> str | None:
+    """The folder of a table, or of one of its partitions; None if there's no such partition (an error without ``check``)."""
+    if spec and check and spark.sql(f"SHOW PARTITIONS {name} {clause(spec)}").isEmpty():
         return None
     rows = spark.sql(f"DESCRIBE FORMATTED {name} {clause(spec) if spec else ''}").filter("col_name = 'Location'").collect()
     return rows[0]["data_type"]
@@ -44,14 +47,36 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{place(spark, name)}/_versions/{int(time.time())}-{uuid.uuid4().hex}"
 
 
-def point(spark: SparkSession, name: str, spec: dict[str, object], path: str) -> str | None:
-    """Makes ``path`` the place of a partition, which may be new; returns the place it had."""
-    old = place(spark, name, spec)
-    if old is None:
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {clause(spec)} LOCATION {literal(path)}")
-    else:
-        spark.sql(f"ALTER TABLE {name} {clause(spec)} SET LOCATION {literal(path)}")
-    return old
+def known(spark: SparkSession, name: str) -> set[tuple]:
+    """The partitions a table has, as (key, text) pairs."""
+    rows = spark.sql(f"SHOW PARTITIONS {name}").collect()  # a row a partition
+    return {tuple((k, unquote(v)) for k, _, v in (part.partition("=") for part in r["partition"].split("/"))) for r in rows}
+
+
+def as_text(v: object) -> str:
+    """A partition value as :func:`known` has it."""
+    return "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
+
+
+#: Partitions that one statement adds.
+TOGETHER = 200
+
+
+def point(spark: SparkSession, name: str, places: list[tuple[dict[str, object], str]]) -> list[str]:
+    """Makes each path the place of its partition; returns the places that partitions had before.
+
+    New partitions are added together, others change one by one.
+    """
+    there = known(spark, name)
+    new = [(spec, path) for spec, path in places if tuple((k, as_text(v)) for k, v in spec.items()) not in there]
+    for at in range(0, len(new), TOGETHER):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"{clause(spec)} LOCATION {literal(path)}" for spec, path in new[at : at + TOGETHER]))
+    before, added = [], {path for _, path in new}
+    for spec, path in places:
+        if path not in added:
+            before.append(place(spark, name, spec, check=False))
+            spark.sql(f"ALTER TABLE {name} {clause(spec)} SET LOCATION {literal(path)}")
+    return before
 
 
 def retire(spark: SparkSession, name: str, paths: list[str]) -> None:
@@ -109,14 +134,14 @@ def publish(df: DataFrame, name: str, spec: dict[str, object], metrics: dict[str
         if not found["n_rows"] and place(spark, name, spec) is None:
             Files(spark).delete(path)
             return found
-        old = point(spark, name, spec, path)
+        old = point(spark, name, [(spec, path)])
     except Exception:
         Files(spark).delete(path)
         raise
     if not found["n_rows"]:
         # by now the partition is an empty folder, which may go at once
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {clause(spec)}")
-    retire(spark, name, [old] if old else [])
+    retire(spark, name, old)
     expire(spark, name, retained)
     return found
 
@@ -142,14 +167,14 @@ def publish_many(df: DataFrame, name: str, keys: list[str], due: list[dict[str,
         Files(spark).delete(path)
         raise
     done = [{k: r[k] for k in keys} for r in places]
-    before = [point(spark, name, spec, Files.decoded(r["folder_"])) for spec, r in zip(done, places, strict=True)]
+    before = point(spark, name, [(spec, Files.decoded(r["folder_"])) for spec, r in zip(done, places, strict=True)])
     for spec in due or []:
-        if spec not in done and (old := place(spark, name, spec)) is not None:
+        if spec not in done and place(spark, name, spec) is not None:
             empty = folder(spark, name)
             fitted(df.limit(0), name, keys).write.parquet(empty)
-            before.append(point(spark, name, spec, empty) and old)
+            before += point(spark, name, [(spec, empty)])
             spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {clause(spec)}")
-    retire(spark, name, [p for p in before if p])
+    retire(spark, name, before)
     expire(spark, name, retained)
     return done
 
@@ -197,7 +222,6 @@ def upsert(df: DataFrame, name: str, keys: list[str], merge: Callable[[DataFrame
     path = folder(spark, name)
     # files of a bucket are of even size, whatever it holds
     out.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
-    before = [point(spark, name, {BUCKET: b}, f"{path}/{BUCKET}={b}") for b in hit]
-    retire(spark, name, [p for p in before if p])
+    retire(spark, name, point(spark, name, [({BUCKET: b}, f"{path}/{BUCKET}={b}") for b in hit]))
     expire(spark, name, retained)
     return hit

@@ -85,6 +85,18 @@ def test_upserts_touch_only_their_buckets(spark):
     sinks.drop_tables(spark, [name])
 
 
+def test_many_partitions_with_odd_values(spark):
+    name = "versions_many"
+    sinks.drop_tables(spark, [name])
+    df = spark.createDataFrame([(i, s, x) for i, (s, x) in enumerate([(1, "a b"), (1, "c%/d='e"), (None, "n"), (2, "é"), (2, "a b")])], "v long, season int, league string")
+    for n in range(2):
+        done = versions.publish_many(df.withColumn("v", F.col("v") + 10 * n), name, ["season", "league"])
+        assert len(done) == 5 and sorted(map(str, spark.table(name).collect())) == sorted(map(str, df.withColumn("v", F.col("v") + 10 * n).collect()))
+    versions.publish_many(df.filter("season = 2"), name, ["season", "league"], due=[{"season": 1, "league": "a b"}, {"season": 7, "league": "x"}, {"season": 2, "league": "é"}])
+    assert sorted((r["v"], r["league"]) for r in spark.table(name).collect()) == [(3, "é"), (4, "a b"), (11, "c%/d='e"), (12, "n")]
+    sinks.drop_tables(spark, [name])
+
+
 def test_checks_of_a_write_equal_those_of_a_scan(spark):
     name = "observed_test"
     sinks.drop_tables(spark, [name])
