@@ -19,7 +19,9 @@ likewise.  Later bits never influence earlier probabilities, so the product is
 a probability of the text.  Every ``LANE`` bits a text's own state (weights,
 counters, map) starts anew from the shared one: then the pieces of a batch can
 step side by side, a bit of all of them at a time, and a long text costs no
-more a byte than short ones.
+more a byte than short ones, in time or in memory: a text of more than
+``GROUP`` bytes is read in windows, and what a window needs of the text before it
+(16 bytes, and the hash of the word so far) is carried on, so that results are the same.
 
 What the model gathers: the vocabulary grows with the corpus, and every count
 is exact.  The four tables have 2**SLOT_BITS slots whatever the corpus, because
@@ -37,6 +39,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -57,6 +60,7 @@ SLOT_BITS, SLICE_BITS = 22, 18
 #: Contexts: so many bytes before the symbol, or the word so far.
 CONTEXTS = ("bytes4", "bytes6", "bytes12", "word")
 PAD = b"\n" * 16
+GAP = re.compile(rb"[\x09-\x0d\x20]")
 #: Bits between fresh starts, gates, log2 of a piece's own counters, steps of its map, and bits handled between reorderings.
 LANE, GATES, LOCAL_BITS, STEPS, WINDOW = 4096, 6, 8, 33, 64
 #: First weights of the shared and the own predictor; rates of weights, own counters and map.
@@ -218,18 +222,21 @@ class Symbols:
     Texts are parted by blanks that are no symbols (``real`` is false), so that all arrays are slices of one.
     """
 
-    def __init__(self, texts: list[bytes], hashes: bool = True):
-        data = np.frombuffer(PAD + PAD.join([*texts, b""]), np.uint8)
-        pad, n = len(PAD), len(data) - len(PAD)
+    def __init__(self, texts: list[bytes], hashes: bool = True, before: list[tuple[bytes, int, int]] | None = None, final: list[bool] | None = None):
+        """``before``: for each text the 16 bytes before it, and hash and length of the word they go on with; ``final``: whether an end follows."""
+        before = before or [(PAD, 0, 0)] * len(texts)
+        data = np.frombuffer(b"".join(x for (head, _, _), t in zip(before, texts, strict=True) for x in (b"\n", head, t)) + b"\n" + PAD, np.uint8)
+        pad, n = len(PAD) + 1, len(data) - len(PAD) - 1
         sizes = np.array([len(t) for t in texts], np.int64)
         ends = np.cumsum(sizes + pad) - pad
         self.first = ends - sizes
+        closed = np.array(final, bool) if final else np.ones(len(texts), bool)
         edge = np.zeros(n + 1, np.int8)
         edge[self.first] += 1
-        edge[ends + 1] -= 1
+        edge[ends + closed] -= 1
         self.real = np.cumsum(edge[:n], dtype=np.int8).view(bool)
         self.symbol = data[pad:].astype(np.int32)
-        self.symbol[ends] = END
+        self.symbol[ends[closed]] = END
         self.last = data[pad - 1 : -1]
         self.context = data[pad - 2 : -2].astype(np.int32) << 8 | self.last
         if hashes:
@@ -241,7 +248,7 @@ class Symbols:
                 ((w >> high) * ODD64[0] >> high).astype(np.uint32),
                 ((w >> np.uint64(16)) * ODD64[1] >> high).astype(np.uint32),
                 (w * ODD64[2] + v * ODD64[0] >> high).astype(np.uint32),
-                (self._words(data)[pad - 1 : -1] + self.last * np.uint32(0x85EBCA6B)) * np.uint32(0x27D4EB2F),
+                (self._carried(data, before)[pad - 1 : -1] + self.last * np.uint32(0x85EBCA6B)) * np.uint32(0x27D4EB2F),
             ]
 
     @staticmethod
@@ -252,6 +259,75 @@ class Symbols:
         start = np.maximum.accumulate(np.where(data <= 32, np.arange(len(data), dtype=np.int32), np.int32(0)))
         return (sums - sums[start]) * inverse[start]
 
+    def _carried(self, data: np.ndarray, before: list[tuple[bytes, int, int]]) -> np.ndarray:
+        """The same where the first word of a text goes on with one that began before its 16 bytes."""
+        words = self._words(data)
+        for first, (_, h, size) in zip(self.first.tolist(), before, strict=True):
+            if size:
+                at = first + 1  # of the 16 bytes
+                stop = at
+                while not (blank := data[stop : stop + 4096] <= 32).any():
+                    stop += 4096
+                stop += int(blank.argmax())
+                words[at:stop] = words[at:stop] * np.uint32(pow(int(ODD32), size, 1 << 32)) + np.uint32(h)
+        return words
+
+
+def windows(text: bytes, limit: int) -> Iterator[tuple[bytes, tuple[bytes, int, int], bool]]:
+    """(part, what comes before it, whether it is the last) of a text, in parts of so many bytes (at least 16)."""
+    told, h, size = 0, 0, 0  # the word that text[:told] ends with
+    for a in range(0, max(1, len(text)), limit):
+        if a:
+            part = text[told : a - 16]
+            blanks = np.flatnonzero(np.frombuffer(part, np.uint8) <= 32)
+            if len(blanks):
+                part, h, size = part[blanks[-1] + 1 :], 0, 0
+            h = (h + pow(int(ODD32), size, 1 << 32) * int(Symbols._words(np.frombuffer(b"\n" + part, np.uint8))[-1])) & 0xFFFFFFFF
+            size += len(part)
+            told = a - 16
+        yield text[a : a + limit], (text[a - 16 : a] if a else PAD, h, size), a + limit >= len(text)
+
+
+def symbols(texts: list[bytes], limit: int, hashes: bool = True) -> Iterator[tuple[Symbols, np.ndarray]]:
+    """The symbols of all texts, about so many bytes at a time, and which text each slice belongs to."""
+    parts, size = [], 0
+    for i, text in enumerate(texts):
+        for part, before, final in windows(text, limit):
+            parts.append((i, part, before, final))
+            size += len(part)
+            if size >= limit:
+                yield _together(parts, hashes)
+                parts, size = [], 0
+    if parts:
+        yield _together(parts, hashes)
+
+
+def _together(parts: list[tuple], hashes: bool) -> tuple[Symbols, np.ndarray]:
+    owner, texts, before, final = zip(*parts, strict=True)
+    return Symbols(texts, hashes, before, final), np.array(owner)
+
+
+def token_parts(texts: list[bytes], limit: int) -> Iterator[tuple[list[int], list[bytes], list[bool]]]:
+    """(which text, part of it, whether it is the last) of all texts, about so many bytes at a time, cut at blanks only."""
+    owner, parts, final, size = [], [], [], 0
+    for i, text in enumerate(texts):
+        a = 0
+        while True:
+            gap = GAP.search(text, a + limit) if a + limit < len(text) else None
+            b = gap.end() if gap else len(text)
+            owner.append(i)
+            parts.append(text[a:b])
+            final.append(b == len(text))
+            size += b - a
+            if size >= limit:
+                yield owner, parts, final
+                owner, parts, final, size = [], [], [], 0
+            if b == len(text):
+                break
+            a = b
+    if owner:
+        yield owner, parts, final
+
 
 def bits(s: Symbols, trees: Trees, begin: int, end: int) -> tuple[np.ndarray, np.ndarray, Iterator[np.ndarray]]:
     """Decisions of the symbols from ``begin`` to ``end``: how many each has, then for every decision its bit, and one array of slots a table."""
@@ -311,18 +387,19 @@ def count_all(train: DataFrame) -> DataFrame:
         held: list[tuple] = []
         texts_seen = 0
         for _, texts in in_groups(batches):
-            s = Symbols(texts, hashes=False)
-            symbol = s.symbol[s.real]
-            lasts += np.bincount(s.last[s.real].astype(np.int64) << 9 | symbol, minlength=len(lasts))
-            k, n = np.unique((s.context[s.real] << 9 | symbol).view(np.uint32), return_counts=True)
-            pairs, inv = np.unique(np.concatenate([pairs, k]), return_inverse=True)
-            pair_counts = np.bincount(inv, weights=np.concatenate([pair_counts, n])).astype(np.int64)
-            first, second, _ = token_keys(texts)
-            held.append(tallied(first, second, np.ones(len(first), np.int64)))
+            for s, _ in symbols(texts, 2 * GROUP, hashes=False):
+                symbol = s.symbol[s.real]
+                lasts += np.bincount(s.last[s.real].astype(np.int64) << 9 | symbol, minlength=len(lasts))
+                k, n = np.unique((s.context[s.real] << 9 | symbol).view(np.uint32), return_counts=True)
+                pairs, inv = np.unique(np.concatenate([pairs, k]), return_inverse=True)
+                pair_counts = np.bincount(inv, weights=np.concatenate([pair_counts, n])).astype(np.int64)
+            for _, parts, _ in token_parts(texts, 2 * GROUP):
+                first, second, _ = token_keys(parts)
+                held.append(tallied(first, second, np.ones(len(first), np.int64)))
+                if sum(len(h[0]) for h in held) > 1_500_000:
+                    yield from rows(*tallied(*(np.concatenate(c) for c in zip(*held, strict=True))))
+                    held = []
             texts_seen += len(texts)
-            if sum(len(h[0]) for h in held) > 1_500_000:
-                yield from rows(*tallied(*(np.concatenate(c) for c in zip(*held, strict=True))))
-                held = []
         if texts_seen:
             k = np.flatnonzero(lasts)
             numbers = np.concatenate([pairs.astype(np.uint64), (k + (1 << TREE_BITS + 9)).astype(np.uint64)])
@@ -382,17 +459,17 @@ def count_tables(train: DataFrame, trees: Trees, most: int = 1 << 31) -> list[np
         seen = 0
         for _, texts in in_groups(batches, 500_000):
             counts = counts or [np.zeros(2 << SLOT_BITS, np.uint32) for _ in CONTEXTS]
-            s = Symbols(texts)
-            for lo in range(0, len(s.symbol), PIECE):
-                _, bit, slots = bits(s, shared.value, lo, min(lo + PIECE, len(s.symbol)))
-                seen += len(bit)
-                for c, slot in zip(counts, slots, strict=True):
-                    slot <<= np.uint32(1)
-                    slot |= bit
-                    np.add.at(c, slot.astype(np.int64), np.uint32(1))
-                if seen >= most:
-                    yield from parts(counts)
-                    seen = 0
+            for s, _ in symbols(texts, 1_000_000):
+                for lo in range(0, len(s.symbol), PIECE):
+                    _, bit, slots = bits(s, shared.value, lo, min(lo + PIECE, len(s.symbol)))
+                    seen += len(bit)
+                    for c, slot in zip(counts, slots, strict=True):
+                        slot <<= np.uint32(1)
+                        slot |= bit
+                        np.add.at(c, slot.astype(np.int64), np.uint32(1))
+                    if seen >= most:
+                        yield from parts(counts)
+                        seen = 0
         if seen:
             yield from parts(counts)
 
@@ -447,52 +524,77 @@ class Model:
     def _inputs(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For every bit of all texts its four shared inputs (one 16-byte number), and gate, bit and own counter; how many bits each text has."""
         room = 8 * sum(len(t) + 1 for t in texts) + 64
-        inputs, notes, used = np.empty(room, np.complex128), np.empty(room, np.uint32), 0
         per_text = np.zeros(len(texts), np.int64)
-        first = 0
-        while first < len(texts):
-            # the symbols of some texts at a time
-            last, size = first, 0
-            while last < len(texts) and size < 8 * PIECE:
-                size += len(texts[last])
-                last += 1
-            s = Symbols(texts[first:last])
-            lengths = np.empty(len(s.symbol), np.int64)
-            for lo in range(0, len(s.symbol), PIECE):
-                hi = min(lo + PIECE, len(s.symbol))
-                lengths[lo:hi], bit, slots = bits(s, self.trees, lo, hi)
-                end = used + len(bit)
-                if end > len(notes):
-                    inputs, notes = (np.concatenate([x[:used], np.empty(used + len(bit), x.dtype)]) for x in (inputs, notes))
-                rows = inputs[used:end].view(np.float32).reshape(-1, len(CONTEXTS))
-                sure = np.zeros(len(bit), np.uint16)
-                for i, (slot, table) in enumerate(zip(slots, self.tables, strict=True)):
-                    state = table.take(slot)
-                    rows[:, i] = state
-                    if i:
-                        state &= np.uint16(7)
-                        sure += state
-                    else:
-                        own = slot & np.uint32((1 << LOCAL_BITS) - 1)
-                rows *= SCALE
-                rows -= np.float32(8)
-                note = notes[used:end]
-                note[:] = np.minimum(sure // np.uint16(3), np.uint16(GATES - 1))
-                note |= bit << np.uint32(8)
-                note |= own << np.uint32(16)
-                used = end
-            per_text[first:last] = np.add.reduceat(lengths, s.first)
-            first = last
+        inputs, notes, used = np.empty(room, np.complex128), np.empty(room, np.uint32), 0
+        for s, owner in symbols(texts, 8 * PIECE):
+            inputs, notes, used, lengths = self._unfolded(s, inputs, notes, used)
+            np.add.at(per_text, owner, lengths)
         return inputs[:used], notes[:used], per_text
 
+    def _unfolded(self, s: Symbols, inputs: np.ndarray, notes: np.ndarray, used: int) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
+        """Writes the bits of some symbols behind the first ``used`` ones; the arrays (larger ones, if need be), the bits now in use, and those of each slice."""
+        lengths = np.empty(len(s.symbol), np.int64)
+        for lo in range(0, len(s.symbol), PIECE):
+            hi = min(lo + PIECE, len(s.symbol))
+            lengths[lo:hi], bit, slots = bits(s, self.trees, lo, hi)
+            end = used + len(bit)
+            if end > len(notes):
+                inputs, notes = (np.concatenate([x[:used], np.empty(used + len(bit), x.dtype)]) for x in (inputs, notes))
+            rows = inputs[used:end].view(np.float32).reshape(-1, len(CONTEXTS))
+            sure = np.zeros(len(bit), np.uint16)
+            for i, (slot, table) in enumerate(zip(slots, self.tables, strict=True)):
+                state = table.take(slot)
+                rows[:, i] = state
+                if i:
+                    state &= np.uint16(7)
+                    sure += state
+                else:
+                    own = slot & np.uint32((1 << LOCAL_BITS) - 1)
+            rows *= SCALE
+            rows -= np.float32(8)
+            note = notes[used:end]
+            note[:] = np.minimum(sure // np.uint16(3), np.uint16(GATES - 1))
+            note |= bit << np.uint32(8)
+            note |= own << np.uint32(16)
+            used = end
+        return inputs, notes, used, np.add.reduceat(lengths, s.first)
+
     def scores(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """log10 probability of each text, and the bits it takes.
+        """log10 probability of each text, and the bits it takes; texts of more than ``GROUP`` bytes by themselves, in windows."""
+        logs = np.zeros(len(texts))
+        short = [i for i, t in enumerate(texts) if len(t) <= GROUP]
+        if short:
+            logs[short] = self._mixed(*self._inputs([texts[i] for i in short]))
+        for i in set(range(len(texts))).difference(short):
+            logs[i] = self._long(texts[i], GROUP)
+        return logs / math.log(10), -logs / math.log(2)
+
+    def _long(self, text: bytes, limit: int) -> float:
+        """The logarithm of the probability of a text, in windows; the last bits of one that make no whole piece go to the next."""
+        total = 0.0
+        kept = np.empty(0, np.complex128), np.empty(0, np.uint32)
+        seen = 0
+        for s, _ in symbols([text], limit):
+            room = len(kept[0]) + 8 * len(s.symbol)
+            inputs, notes = np.empty(room, np.complex128), np.empty(room, np.uint32)
+            inputs[: len(kept[0])], notes[: len(kept[1])] = kept
+            inputs, notes, used, _ = self._unfolded(s, inputs, notes, len(kept[0]))
+            seen += limit
+            whole = used if seen >= len(text) else used - used % LANE
+            if whole:
+                total += float(self._mixed(inputs[:whole], notes[:whole], np.array([whole]))[0])
+            kept = inputs[whole:used].copy(), notes[whole:used].copy()
+            del inputs, notes
+        return total
+
+    @staticmethod
+    def _mixed(inputs: np.ndarray, notes: np.ndarray, per_text: np.ndarray) -> np.ndarray:
+        """The logarithm of the probability of each text's bits.
 
         Pieces of ``LANE`` bits step side by side, longest first, so that those still going on are the first ones.
         """
-        inputs, notes, per_text = self._inputs(texts)
         lanes = -(-per_text // LANE)
-        owner = np.repeat(np.arange(len(texts)), lanes)
+        owner = np.repeat(np.arange(len(per_text)), lanes)
         begin = np.repeat(np.cumsum(per_text) - per_text, lanes) + LANE * (np.arange(len(owner)) - np.repeat(np.cumsum(lanes) - lanes, lanes))
         size = np.diff(np.concatenate([begin, [len(notes)]]))
         order = np.argsort(-size, kind="stable")
@@ -509,8 +611,7 @@ class Model:
             bit = (note >> np.uint32(8) & np.uint32(1)).astype(np.float32)
             right = mixer.steps(x, bit, (note & np.uint32(255)).astype(np.int64), (note >> np.uint32(16)).astype(np.int64), going[at : at + steps])
             logs[:n] += np.log(right, out=right).sum(axis=0)
-        total = np.bincount(owner, weights=logs, minlength=len(texts))
-        return total / math.log(10), -total / math.log(2)
+        return np.bincount(owner, weights=logs, minlength=len(per_text))
 
 
 class Lanes:
@@ -616,24 +717,28 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame) -> DataFrame:
         uid = TaskContext.get().partitionId() << 36
         for ids, texts in in_groups(batches):
             scores, used = model_.scores(texts)
-            first, second, words = token_keys(texts)
-            found = frequent.find(first, second)
-            owner = np.repeat(np.arange(len(texts)), words)
-            rare = np.isnan(found)
-            known = np.bincount(owner, weights=~rare, minlength=len(texts)).astype(np.int64) + (ends > 0)
-            total = np.bincount(owner[~rare], weights=found[~rare], minlength=len(texts)) + math.log10(ends + 1)
-            m, r = len(texts), int(rare.sum())
-            numbers = uid + np.arange(m)
+            per_byte = used / np.maximum(1, [len(t) for t in texts])
+            m = len(texts)
+            for which, parts, final in token_parts(texts, 2 * GROUP):
+                which, last = np.array(which), np.array(final)
+                first, second, words = token_keys(parts)
+                found = frequent.find(first, second)
+                owner = np.repeat(np.arange(len(parts)), words)
+                rare = np.isnan(found)
+                known = np.bincount(owner, weights=~rare, minlength=len(parts)).astype(np.int64) + (last & (ends > 0))
+                total = np.bincount(owner[~rare], weights=found[~rare], minlength=len(parts)) + last * math.log10(ends + 1)
+                r = int(rare.sum())
+                numbers = uid + which
+                columns = [
+                    np.concatenate([numbers, numbers[owner[rare]]]),
+                    # a document's own row: its key is no token's, and spreads
+                    np.concatenate([numbers, first[rare].view(np.int64)]),
+                    np.concatenate([np.full(len(parts), -1), second[rare].view(np.int64)]),
+                ]
+                own = [pa.array([ids[i] for i in which], pa.int64()), pa.array(words + last), pa.array(known), pa.array(total), pa.array(scores[which]), pa.array(per_byte[which])]
+                names = ["uid", "k1", "k2", "doc_id", "n_tokens", "known", "logs", "score", "bpb"]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *(pa.concat_arrays([c, pa.nulls(r, c.type)]) for c in own)], names=names)
             uid += m
-            columns = [
-                np.concatenate([numbers, numbers[owner[rare]]]),
-                # a document's own row: its key is no token's, and spreads
-                np.concatenate([numbers, first[rare].view(np.int64)]),
-                np.concatenate([np.full(m, -1), second[rare].view(np.int64)]),
-            ]
-            own = [pa.array(ids, pa.int64()), pa.array(words + 1), pa.array(known), pa.array(total), pa.array(scores), pa.array(used / np.maximum(1, [len(t) for t in texts]))]
-            names = ["uid", "k1", "k2", "doc_id", "n_tokens", "known", "logs", "score", "bpb"]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *(pa.concat_arrays([c, pa.nulls(r, c.type)]) for c in own)], names=names)
 
     rows = narrow(docs).mapInArrow(run, "uid long, k1 long, k2 long, doc_id long, n_tokens long, known long, logs double, score double, bpb double")
     rest = vocabulary.filter(F.col("c") < least)
@@ -641,7 +746,7 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame) -> DataFrame:
     c = F.coalesce("c", F.lit(0))
     known = F.coalesce("known", F.when(c > 0, 1), F.lit(0))
     logs_ = F.coalesce("logs", F.log10(c + 1))
-    docs_ = met.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum(known).alias("n_known"), F.sum(logs_).alias("logs"), F.max("score").alias("score"), F.max("bpb").alias("bits_per_byte"))
+    docs_ = met.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum(known).alias("n_known"), F.sum(logs_).alias("logs"), F.max("score").alias("score"), F.max("bpb").alias("bits_per_byte"))
     held = F.coalesce(fold() == HELD, F.lit(False))
     base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(n + v + 1))
     return docs_.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score", "bits_per_byte")

@@ -1,6 +1,8 @@
 """Training-data operators against brute force, round trips and held-out accuracy, with odd inputs."""
 
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -362,6 +364,52 @@ def test_mixing_equals_a_slow_mixer(spark, docs):
         assert abs(total - got) < 2e-3 * abs(total) + 1e-4
 
 
+def test_mixing_windows_change_nothing():
+    """Texts cut into windows have the symbols, contexts, tokens and score of whole ones."""
+    rng = np.random.Generator(np.random.PCG64(4))
+    texts = [bytes(rng.choice(np.frombuffer(letters, np.uint8), n)) for letters in (b"abc ", b"abcdefghij", b"a\n\tb\xc3\xa9 ") for n in (0, 1, 15, 16, 17, 40, 41, 900)] + [b"x" * 500 + b" y " + b"z" * 333]
+    for limit in (16, 40, 41, 300):
+        parts = [(owner, s) for s, owner in mixing.symbols(texts, limit)]
+        for i, text in enumerate(texts):
+            whole = mixing.Symbols([text])
+            got = [[] for _ in range(7)]
+            for owner, s in parts:
+                for j in np.flatnonzero(owner == i):
+                    end = s.first[j + 1] if j + 1 < len(owner) else len(s.symbol)
+                    at = np.arange(s.first[j], end)[s.real[s.first[j] : end]]
+                    for g, x in zip(got, (s.symbol, s.last, s.context, *s.hashes), strict=True):
+                        g.append(x[at])
+            for g, x in zip(got, (whole.symbol, whole.last, whole.context, *whole.hashes), strict=True):
+                assert np.array_equal(np.concatenate(g), x[whole.real])
+        want = mixing.token_keys(texts)
+        chunks = [(which, final, *mixing.token_keys(ps)) for which, ps, final in mixing.token_parts(texts, limit)]
+        assert all(np.array_equal(np.concatenate([c[n] for c in chunks]), want[n - 2]) for n in (2, 3))
+        words = np.bincount(np.concatenate([c[0] for c in chunks]), weights=np.concatenate([c[4] for c in chunks]), minlength=len(texts))
+        assert np.array_equal(words, want[2]) and sum(sum(c[1]) for c in chunks) == len(texts)
+    model = mixing.Model(mixing.Trees([]), [np.full(1 << mixing.SLOT_BITS, mixing.UNSEEN, np.uint16) for _ in mixing.CONTEXTS])
+    text = b" ".join(texts)
+    assert abs(model._long(text, 700) - model.scores([text])[0][0] * np.log(10)) < 1e-6 * len(text)
+
+
+def test_mixing_memory_of_a_long_text():
+    """What a text of 24 MB needs beyond itself doesn't grow with it."""
+    code = """
+import resource, numpy as np
+from pitchlake.llm import mixing
+model = mixing.Model(mixing.Trees([]), [np.full(1 << mixing.SLOT_BITS, mixing.UNSEEN, np.uint16) for _ in mixing.CONTEXTS])
+text = np.random.Generator(np.random.PCG64(1)).integers(97, 107, {mb} << 20, np.uint8).tobytes()
+for s, _ in mixing.symbols([text], mixing.GROUP):
+    inputs = np.empty(8 * len(s.symbol), np.complex128), np.empty(8 * len(s.symbol), np.uint32)
+    model._unfolded(s, *inputs, 0)
+    del inputs, s
+for _, parts, _ in mixing.token_parts([text.replace(b"a", b" ")], 2 * mixing.GROUP):
+    mixing.token_keys(parts)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10)
+"""
+    small, large = (int(subprocess.run([sys.executable, "-c", code.replace("{mb}", mb)], capture_output=True, text=True, check=True).stdout) for mb in ("3", "24"))
+    assert large - small < 5 * 21  # a few copies of the text itself; in whole arrays it would be 190 bytes a byte
+
+
 def test_mixing_counts_are_exact(spark):
     # 1.2 million equal bytes in one text, and about 2.4 million word starts that share one slot of the word context
     for text, n in (("a" * 1_200_000, 1), ("ab cd ef gh " * 20_000, 30)):
