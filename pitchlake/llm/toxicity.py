@@ -14,10 +14,14 @@ step; dead states drop out at once.  Words at distance one are judged by their
 own record in the training sample, so that an innocent neighbour of a term does
 not count.
 
-Context.  Each match, misspelt or not, is looked at in a window of tokens:
-inside quotation marks or near a word of saying it is quoted, else direct.  An
-apostrophe between letters is no quotation mark.  A logistic model over the
-match counts (direct, quoted, misspelt, density) gives the score.
+Context.  Each match, misspelt or not, is quoted if it stands between paired
+quotation marks of its line, however long the quotation, else direct.  Marks pair by a stack;
+an apostrophe between letters is no mark, and a mark that stands against only
+one of its neighbours opens or closes by that.  The words in a window around
+each match are cues: their log-odds (toxic against clean documents with
+matches, shrunk towards none) are learned from the sample, in any language, and
+their sum is the window's score.  A logistic model over the match counts (direct, quoted,
+misspelt, density) and the mean score of the windows gives the document's score.
 
 Nulls and empty texts score as documents without a match.  Very long texts are
 scored whole.  Repeated rows give repeated results; of a labelled id's several
@@ -30,9 +34,10 @@ gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
-from collections import Counter
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import reduce
 
@@ -44,17 +49,20 @@ from pyspark.sql import functions as F
 from pitchlake.llm.common import forget, written
 
 SEEDS = ("idiot", "moron", "stupid", "scum", "trash", "loser", "pathetic", "worthless", "disgusting", "clown")
-SAYING = {"said", "says", "wrote", "called", "quote", "quoted", "word", "words", "term"}
 #: Labelled rows that train the lexicon and the model, at most: so many of each label, those of least hash.
 MAX_LABELLED = 12_000
 #: Lexicon size at most; letters of stems; toxic documents that must hold a term, and their share.
 MAX_TERMS, STEM_LETTERS, MIN_SUPPORT, SUPPORT_SHARE = 400, (4, 5, 6, 7), 4, 0.005
-WINDOW = 6
-FEATURES = ("bias", "direct", "quoted", "misspelt", "density", "stem")
-PRIOR = np.array([-3.0, 3.0, 0.5, 0.8, 0.5, 2.0])
+#: Words to each side of a match that are its window, within so many characters; documents a cue needs, documents its odds are shrunk by, cues at most.
+WINDOW, REACH, MIN_CUE, SHRINK, MAX_CUES = 6, 120, 20, 20.0, 4096
+FEATURES = ("bias", "direct", "quoted", "misspelt", "density", "stem", "context")
+PRIOR = np.array([-3.0, 3.0, 0.5, 0.8, 0.5, 2.0, 0.0])
 
 WORD = re.compile(r"[^\W_]+")
-QUOTES, SINGLE_QUOTES = "\"“”„«»‘", "'’"
+#: What each quotation mark closes; the marks that may be apostrophes.
+CLOSES = {'"': '"', "”": "“„”", "“": "„", "»": "«", "«": "»", "'": "'", "’": "‘’"}
+SINGLE_QUOTES = "'’"
+MARK = re.compile("[\n\"“”„«»‘'’]")
 BLANK, ASCII_SIZE = 0, 128
 
 
@@ -205,30 +213,66 @@ def matches(text: str, matcher: Matcher) -> list[tuple[int, int, int]]:
     return [(int(starts[i]), int(ends[i]), int(kinds[i])) for i in hit]
 
 
-def is_quote(text: str, i: int) -> bool:
-    """Whether text[i] is a quotation mark; a single one between letters is an apostrophe."""
-    c = text[i]
-    return c in QUOTES or c in SINGLE_QUOTES and not (text[i - 1 : i].isalnum() and text[i + 1 : i + 2].isalnum())
+def quotations(text: str) -> list[tuple[int, int]]:
+    """(start, end) of what stands between paired quotation marks of one line, by end."""
+    out: list[tuple[int, int]] = []
+    opened: list[tuple[str, int]] = []
+    for m in MARK.finditer(text):
+        c, i = m.group(), m.start()
+        if c == "\n":
+            opened = []
+            continue
+        left, right = text[i - 1 : i] if i else "", text[i + 1 : i + 2]
+        if c in SINGLE_QUOTES and left.isalnum() and right.isalnum():
+            continue
+        # with a blank on one side only, that side tells; else the marks before it do
+        closes, opens = bool(left.strip()), bool(right.strip())
+        if not opens and not closes:
+            closes = opens = True
+        if c in SINGLE_QUOTES:
+            opens &= not left.isalnum()
+        if opens and closes and c in "\"'":
+            closes = left.isalnum() or not right.isalnum()
+        at = next((k for k in range(len(opened) - 1, -1, -1) if opened[k][0] in CLOSES.get(c, "")), -1) if closes else -1
+        if at >= 0:
+            out.append((opened[at][1] + 1, i))
+            del opened[at:]
+        elif opens:
+            # a mark that opens again leaves an earlier one of its kind without a partner
+            opened = [o for o in opened if o[0] != c]
+            opened.append((c, i))
+    return out
+
+
+def inside(spans: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether one of the quotations (by end) holds the match."""
+    return any(a <= start for a, _ in spans[bisect_left(spans, end, key=lambda s: s[1]) :])
 
 
 def quoted(text: str, start: int, end: int) -> bool:
-    """Whether the match stands in quotation marks or close to a word of saying."""
-    lo, hi = max(0, start - 60), min(len(text), end + 60)
-    left = next((i for i in range(start - 1, lo - 1, -1) if is_quote(text, i)), -1)
-    right = next((i for i in range(end, hi) if is_quote(text, i)), -1)
-    if left >= 0 and right >= 0 and "\n" not in text[left:right]:
-        return True
-    near = WORD.findall(text[lo:start])[-WINDOW:] + WORD.findall(text[end:hi])[:WINDOW]
-    return any(w in SAYING for w in near)
-
-
-def evidence(text: str, found: list[tuple[int, int, int]]) -> tuple[list[int], list[str], list[str]]:
-    """(direct terms, quoted ones, stems, length of the text), misspelt words and quoted misspelt words."""
+    """Whether the match stands between paired quotation marks."""
+    return inside(quotations(text), start, end)
+
+
+def window(text: str, start: int, end: int) -> list[str]:
+    """The words around a match."""
+    return WORD.findall(text[max(0, start - REACH) : start])[-WINDOW:] + WORD.findall(text[end : end + REACH])[:WINDOW]
+
+
+def evidence(text: str, found: list[tuple[int, int, int]]) -> tuple[list[int], list[str], list[str], list[tuple[str, list[str]]]]:
+    """[direct terms, quoted ones, stems, length of the text], misspelt words, quoted misspelt words, and each match's window.
+
+    A window comes with the misspelt word it is about (else an empty one) and leaves other matches out.
+    """
     direct = quote = stem = 0
     wrong: list[str] = []
     wrong_quoted: list[str] = []
+    windows: list[tuple[str, list[str]]] = []
+    matched = {text[a:b] for a, b, _ in found}
+    spans = enclosing(quotations(text)) if found else []
     for a, b, kind in found:
-        said = quoted(text, a, b)
+        said = inside(spans, a, b)
+        windows.append((text[a:b] if kind == 3 else "", [w for w in window(text, a, b) if w not in matched]))
         if kind == 3:
             (wrong_quoted if said else wrong).append(text[a:b])
         elif said:
@@ -237,22 +281,40 @@ def evidence(text: str, found: list[tuple[int, int, int]]) -> tuple[list[int], l
             stem += 1
         else:
             direct += 1
-    return [direct, quote, stem, len(text)], wrong, wrong_quoted
+    return [direct, quote, stem, len(text)], wrong, wrong_quoted, windows
 
 
-def features(counts: list[int], wrong: list[str], wrong_quoted: list[str], innocent: frozenset) -> np.ndarray:
+def enclosing(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The outermost of nested quotations."""
+    out: list[tuple[int, int]] = []
+    for a, b in spans:
+        while out and a <= out[-1][0]:
+            out.pop()
+        out.append((a, b))
+    return out
+
+
+def features(counts: list[int], wrong: list[str], wrong_quoted: list[str], windows: list[tuple[str, list[str]]], innocent: frozenset, cues: dict[str, float] | None = None) -> np.ndarray:
     """Dampened by logarithms, in the order of FEATURES; words near a term that are innocent don't count."""
     direct, quote, stem, length = counts
     misspelt = sum(w not in innocent for w in wrong)
     quote += sum(w not in innocent for w in wrong_quoted)
-    return np.array([1.0, np.log1p(direct), np.log1p(quote), np.log1p(misspelt), np.log1p(1000.0 * (direct + stem) / (length + 100)), np.log1p(stem)])
+    told = [sum((cues or {}).get(w, 0.0) for w in near) for about, near in windows if about not in innocent]
+    context = min(4.0, max(-4.0, sum(told) / len(told))) if told else 0.0
+    return np.array([1.0, np.log1p(direct), np.log1p(quote), np.log1p(misspelt), np.log1p(1000.0 * (direct + stem) / (length + 100)), np.log1p(stem), context])
+
+
+def cue_odds(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
+    """Log-odds of a cue that so many toxic and clean documents of all with matches have in a window; none where nothing is known."""
+    rate = SHRINK * (toxic + clean) / (all_toxic + all_clean)
+    return math.log((toxic + rate) / (all_toxic + SHRINK)) - math.log((clean + rate) / (all_clean + SHRINK))
 
 
 class Model:
-    """A matcher, words near a term that are innocent, and logistic weights; scores texts."""
+    """A matcher, words near a term that are innocent, logistic weights and the odds of cues; scores texts."""
 
-    def __init__(self, matcher: Matcher, innocent: frozenset, weights: np.ndarray):
-        self.matcher, self.innocent, self.weights = matcher, innocent, weights
+    def __init__(self, matcher: Matcher, innocent: frozenset, weights: np.ndarray, cues: dict[str, float] | None = None):
+        self.matcher, self.innocent, self.weights, self.cues = matcher, innocent, weights, cues or {}
 
     def scores(self, texts: list[str | None]) -> list[float]:
         # all texts in one array: their words step through the automaton together
@@ -266,7 +328,7 @@ class Model:
             off = int(begins[i])
             found[i].append((a - off, b - off, kind))
         empty = float(self.weights[0])
-        z = [float(features(*evidence(t, f), self.innocent) @ self.weights) if f else empty for t, f in zip(low, found, strict=True)]
+        z = [float(features(*evidence(t, f), self.innocent, self.cues) @ self.weights) if f else empty for t, f in zip(low, found, strict=True)]
         return [float(1 / (1 + np.exp(-x))) for x in z]
 
 
@@ -338,23 +400,38 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     matcher = Matcher([*SEEDS, *terms], stems)
     shared = spark.sparkContext.broadcast(matcher)
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Once a document: misspelt words, cues, and (an empty cue) that it has a match."""
+        tally: dict[tuple[str, bool], list[int]] = {}
         for low, y in rows(batches):
-            numbers, wrong, wrong_quoted = evidence(low, matches(low, shared.value))
-            yield pa.RecordBatch.from_arrays([pa.array([y], pa.int32()), pa.array([numbers], pa.list_(pa.int64())), pa.array([wrong], pa.list_(pa.string())), pa.array([wrong_quoted], pa.list_(pa.string()))], names=["y", "n", "wrong", "said"])
-
-    told = sample.mapInArrow(gather, "y int, n array<long>, wrong array<string>, said array<string>").collect()  # at most 2 * MAX_LABELLED rows
-    forget(counts)
-    forget(sample)
-    tally = {0: Counter(), 1: Counter()}
-    for r in told:
-        tally[r["y"]].update({*r["wrong"], *r["said"]})
-    innocent = frozenset(w for w, n in tally[0].items() if n * 4 > tally[1][w])
+            _, wrong, said, windows = evidence(low, matches(low, shared.value))
+            exact = [near for about, near in windows if not about]
+            for key in {(w, True) for w in (*wrong, *said)} | {(w, False) for near in exact for w in near} | ({("", False)} if exact else set()):
+                tally.setdefault(key, [0, 0])[y] += 1
+        cols = list(zip(*((w, m, n[1], n[0]) for (w, m), n in tally.items()), strict=True)) or [()] * 4
+        for i in range(0, len(cols[0]), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 50_000], t) for c, t in zip(cols, (pa.string(), pa.bool_(), pa.int64(), pa.int64()), strict=True)], names=["w", "misspelt", "toxic", "clean"])
+
+    seen = sample.mapInArrow(around, "w string, misspelt boolean, toxic long, clean long").groupBy("w", "misspelt").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    seen = written(seen, "toxic-windows")
+    # at most the words an edit away from the lexicon
+    innocent = frozenset(r["w"] for r in seen.filter("misspelt AND clean * 4 > toxic").select("w").toLocalIterator())
+    cited = seen.filter("NOT misspelt AND w = ''").first()
+    often = seen.filter(~F.col("misspelt") & (F.col("w") != "") & (F.col("toxic") + F.col("clean") >= MIN_CUE)).orderBy(F.desc(F.col("toxic") + F.col("clean")), "w").limit(MAX_CUES).collect()
+    cues = {r["w"]: cue_odds(r["toxic"], r["clean"], cited["toxic"], cited["clean"]) for r in often}
+    known = spark.sparkContext.broadcast((innocent, cues))
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for low, y in rows(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([y], pa.int32()), pa.array([features(*evidence(low, matches(low, shared.value)), *known.value)], pa.list_(pa.float64()))], names=["y", "x"])
+
+    told = sample.mapInArrow(vectors, "y int, x array<double>").collect()  # at most 2 * MAX_LABELLED rows of a fixed size
+    for t in (counts, sample, seen):
+        forget(t)
     if not told:
         return Model(matcher, innocent, PRIOR.copy())
-    x = np.array([features(list(r["n"]), r["wrong"], r["said"], innocent) for r in told])
-    y = np.array([r["y"] for r in told], float)
-    return Model(matcher, innocent, logistic(x, y))
+    told.sort(key=lambda r: (r["y"], r["x"]))  # sums don't depend on the order of rows
+    return Model(matcher, innocent, logistic(np.array([r["x"] for r in told]), np.array([r["y"] for r in told], float)), cues)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:

@@ -219,6 +219,7 @@ def test_toxicity_held_out_and_odd(spark, odd):
     t = toxicity.score(docs, model).join(labels, "doc_id").toPandas()
     h = t[t["held_out"]]
     assert (h["predicted"] == h["toxic"]).mean() > 0.95
+    print("toxicity: agreement of held-out rows", (h["predicted"] == h["toxic"]).mean(), "cues", len(model.cues), dict(zip(toxicity.FEATURES, model.weights.round(2))))
     assert toxicity.score(odd, model).count() == len(ODD) and toxicity.score(odd.limit(0), model).count() == 0
     assert toxicity.keep_clean(odd, model).columns == odd.columns
     empty = toxicity.fit(odd, labels.limit(0))
@@ -243,6 +244,64 @@ def test_automaton_against_edit_distance():
     assert not toxicity.quoted(text, 12, 17) and toxicity.quoted("they 'idiot' me", 6, 11) and toxicity.quoted("«un idiot»", 4, 9)
 
 
+def test_quotations_are_paired():
+    long = "x " * 80
+    for text, want in (
+        ('"hi" you idiot said "bye"', False), ('two "quotes" around you idiot and "more"', False), ("word: you idiot", False), ("you are an idiot, says everyone", False),
+        (f'they said "{long}idiot {long}" then', True), ('he said "you\nidiot"', False), ('an inch is " and idiot', False), ("the dogs' idiot and the cats' food", False),
+        ("„du idiot“ sagte er", True), ("»du idiot« sagte er", True), ("“so ‘the idiot’ went” on", True), ("“so ‘he’ the idiot went” on", True), ('5" you idiot "ok"', False), ('("idiot")', True), ("'tis an idiot, isn't he", False),
+    ):
+        at = text.index("idiot")
+        assert toxicity.quoted(text, at, at + 5) == want, text
+        assert toxicity.evidence(text, [(at, at + 5, 1)])[0][:2] == ([0, 1] if want else [1, 0]), text
+
+
+def test_toxicity_score_against_brute_force():
+    """Terms by edits of every word, quotations by walking the text, cues by hand."""
+    terms, stems, innocent, cues = ["idiot", "moron", "scum"], ["vequ"], frozenset({"idiom"}), {"you": 0.7, "called": -1.1, "the": -0.2}
+    weights = np.array([-2.0, 1.5, 0.4, 0.9, 0.3, 1.1, 0.8])
+    model = toxicity.Model(toxicity.Matcher(terms, stems), innocent, weights, cues)
+
+    def near(a, b):
+        edits = {b[:i] + c + b[j:] for i in range(len(b) + 1) for j in (i, i + 1) for c in ["", *"abcdefghijklmnopqrstuvwxyz"]}
+        return a in edits | {b[:i] + b[i + 1] + b[i] + b[i + 2 :] for i in range(len(b) - 1)}
+
+    def score(text):
+        low, spans, start = text.lower(), [], None
+        for i, c in enumerate(low):
+            start = None if c == "\n" else start
+            if c == '"':
+                if start is None:
+                    start = i
+                else:
+                    spans.append((start, i))
+                    start = None
+        words = [(m.start(), m.group()) for m in re.finditer(r"[^\W_]+", low)]
+        kinds = [1 if w in terms else 2 if w.startswith("vequ") else 3 if any(near(w, t) for t in terms if len(t) > 4) else 0 for _, w in words]
+        n, told = [0] * 4, []
+        for k, ((at, w), kind) in enumerate(zip(words, kinds, strict=True)):
+            if kind == 0 or kind == 3 and w in innocent:
+                continue
+            around = [j for j in range(max(0, k - 6), min(len(words), k + 7)) if j != k and kinds[j] == 0]
+            told.append(sum(cues.get(words[j][1], 0.0) for j in around))
+            n[0 if any(a < at < b for a, b in spans) else kind] += 1
+        context = np.clip(np.mean(told), -4, 4) if told else 0.0
+        x = np.array([1.0, np.log1p(n[1]), np.log1p(n[0]), np.log1p(n[3]), np.log1p(1000.0 * (n[1] + n[2]) / (len(low) + 100)), np.log1p(n[2]), context])
+        return 1 / (1 + np.exp(-(x @ weights)))
+
+    rng = np.random.Generator(np.random.PCG64(9))
+    pool = ["you", "called", "the", "IDIOT", "idot", "idoit", "idiom", "scum", "skum", "vequance", "morons", "moron", "cat", "runs", "\n"]
+    texts = ["", "you", "idiot"]
+    for n in rng.integers(1, 60, 150):
+        ws = [pool[i] for i in rng.integers(0, len(pool), n)]
+        for i in rng.integers(0, n, n // 8):
+            ws[i] = f'"{ws[i]}"' if ws[i] != "\n" else ws[i]
+        texts.append(" ".join(ws))
+    texts += [f'so "{t}" it went' for t in texts[3:40] if '"' not in t and "\n" not in t]
+    texts = [t.replace('""', '"') for t in texts]
+    assert np.allclose(model.scores(texts), [score(t) for t in texts], atol=1e-12)
+
+
 def test_context_of_misspelt_terms():
     """A misspelt term counts as abuse, unless it's quoted."""
     model = toxicity.Model(toxicity.Matcher(["idiot"], []), frozenset({"idiom"}), toxicity.PRIOR)
