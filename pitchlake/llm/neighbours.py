@@ -8,6 +8,7 @@ centred on its own projection in every array; virtual rehashing widens all
 windows by a factor until enough rows lie in at least ``NEED`` of the windows.
 Those rows are verified by the exact inner product of the original vectors.
 Blocks of rows meet blocks of queries, so a task is bounded whatever the table.
+Small blocks verify a larger share of their rows: ``ENOUGH`` candidates for each wanted neighbour, so that recall there is no lower.
 The query set is a stated part of all rows, so rows are copied once for each
 ``QUERIES`` queries, and queries once for each ``ROWS`` rows.
 
@@ -33,7 +34,7 @@ from pitchlake.llm.vectors import matrix, usable
 
 PROJECTIONS, NEED, START, WIDEN = 192, 134, 0.3, 1.06
 #: Rows and queries of a block; candidates verified per wanted neighbour and block at least, and share of a block.
-ROWS, QUERIES, ENOUGH, BETA = 8192, 8192, 8, 0.1
+ROWS, QUERIES, ENOUGH, BETA = 8192, 8192, 16, 0.1
 #: Places of a sorted array between kept bit sets.
 GRAIN = 64
 SEED = 5

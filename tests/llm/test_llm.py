@@ -192,6 +192,21 @@ def test_e8_decoding_is_nearest():
     assert len(lattice.MINIMAL) == 240
 
 
+@pytest.mark.parametrize("n,kind", [(500, "gauss"), (2000, "gauss"), (8000, "gauss"), (2000, "table")])
+def test_neighbours_recall_by_size(n, kind):
+    """On vectors without any structure, and on the table's own, one block finds at least 0.94 of the 20 nearest."""
+    x = np.random.Generator(np.random.PCG64(3)).standard_normal((n, 64))
+    if kind == "table":
+        x = np.array([v for v in pd.read_parquet("/root/testdata/sf0.1/embeddings.parquet")["embedding"] if v is not None and np.isfinite(v).all() and np.any(v)], float)[:n]
+    asked = np.arange(0, n, 20)
+    hit = 0
+    for i, found in zip(asked, neighbours.search_block(x, x[asked], float(np.sqrt((x * x).sum(axis=1)).max()), 21), strict=True):
+        s = x @ x[i]
+        s[i] = -np.inf
+        hit += len(set(np.argsort(-s)[:20]) & set(found))
+    assert hit / (20 * len(asked)) >= 0.94, hit / (20 * len(asked))
+
+
 @pytest.mark.parametrize("rows,queries", [(8192, 8192), (250, 15)])
 def test_neighbours_recall_and_scores(spark, vectors, rows, queries):
     """In one block, and over eight blocks of rows and three of queries."""
