@@ -7,7 +7,8 @@ schema for each tool.  Calls are put in a stable topological order: a call
 keeps its own turn as key unless something it depends on comes later, in which
 case it moves to just after that.  Only conversations with references forward
 need any work for that; no conversation is gathered in one task unless its
-references are few (``SMALL``), and longer ones are ordered by joins.
+references are few (``SMALL``), and longer ones are ordered by joins, in
+rounds that grow with the logarithm of a chain.
 
 Identifiers repeated within a conversation: the first call (least turn, then
 tool, arguments and dependencies) and the
@@ -22,12 +23,13 @@ an empty result; columns beyond those named are ignored.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import forget, looked_up, written
+from pitchlake.llm.common import HEAVY_SHARE, forget, looked_up, shared_dir, written
 
 #: tool -> field -> (type, required)
 SCHEMAS = {"reply": {"after": ("string", False), "text": ("string", True), "turn": ("integer", True)}}
@@ -79,7 +81,7 @@ def argument_errors(tool: Column, args: Column, schemas: dict) -> Column:
 
 
 KEY = ["conv_id", "call_id"]
-#: References of a conversation that one expression orders; larger ones are ordered in rounds of joins.
+#: References of a conversation that one expression orders; larger ones are ordered by joins, with the same result.
 SMALL = 2000
 
 
@@ -115,26 +117,60 @@ def _ordered_small(links: DataFrame) -> DataFrame:
     return flat.select("conv_id", F.col("x.names").alias("call_id"), F.col("x.found.t").alias("t"), F.col("x.found.d").alias("d"))
 
 
+def _met(nodes: DataFrame, jump: bool) -> DataFrame:
+    """``nodes`` with open references after each has met what it refers to: known keys are taken over, with ``jump`` lone references are followed.
+
+    A call's key is the greatest of its own turn and, for each reference, the key referred to, one deeper (lexicographically).  So a
+    call that refers to one with a single reference left may refer to that one's target instead, as much deeper as the way is long.
+    What can't get a key falls out: calls that refer to themselves, by a way longer than the conversation has references, or to calls that fell out.
+    """
+    lone = F.get("deps", F.lit(0))
+    states = nodes.select("conv_id", F.col("call_id").alias("dep"), F.size("deps").alias("m"), F.col("k").alias("dk"), lone["dep"].alias("to"), lone["w"].alias("tw"))
+    edges = nodes.filter(F.size("deps") > 0).select(*KEY, "n", "k", F.explode("deps").alias("e")).select(*KEY, "n", "k", "e.dep", "e.w")
+    met = looked_up(edges, ["conv_id", "dep"], states)
+    known, follows = F.col("m") == 0, (F.col("m") == 1) & F.lit(jump)
+    gained = F.when(known | follows, F.struct(F.col("dk.t").alias("t"), (F.col("dk.d") + F.col("w")).alias("d")))
+    left = F.when(follows, F.struct(F.col("to").alias("dep"), (F.col("w") + F.col("tw")).alias("w"))).when(~known, F.struct("dep", "w"))
+    told = met.groupBy(*KEY).agg(F.first("n").alias("n"), F.greatest(F.first("k"), F.max(gained)).alias("k"), F.array_sort(F.collect_list(left)).alias("all"), F.bool_or(F.col("m").isNull()).alias("lost"), F.bool_or(known | follows).alias("changed"))
+    # of several ways to one call the longest counts
+    last = lambda x, i: F.coalesce(F.get("all", i + 1)["dep"] != x["dep"], F.lit(True))
+    told = told.withColumn("deps", F.filter("all", last)).drop("all")
+    return told.filter(~F.col("lost") & ~F.exists("deps", lambda e: (e["dep"] == F.col("call_id")) | (e["w"] > F.col("n")))).select(*NODE)
+
+
+NODE = [*KEY, "n", "k", "deps", "changed"]
+
+
 def _ordered_large(links: DataFrame) -> DataFrame:
-    """The same in rounds of joins, as many as the longest chain has references; what is left then lies in or behind a cycle."""
-    turn = F.col("dep_turn").cast("long")
+    """The same by rounds of joins, of which a chain of references takes the logarithm of its length.
+
+    In turn, known keys are taken over and lone references are followed, each to where the next one leads, so that ways double; only calls
+    with several open references have to wait for one round each along a way.  When nothing changes any more, what is
+    left lies in or behind a cycle.  Keys are appended to one table as they become known.
+    """
+    spark = links.sparkSession
     calls = links.select("conv_id", F.col("call_id").alias("dep"), F.lit(True).alias("refers")).distinct()
-    key = F.when(F.col("refers").isNull(), F.struct(turn.alias("t"), F.lit(0).alias("d")))
-    left = written(links.join(calls, ["conv_id", "dep"], "left").select(*KEY, F.col("turn").cast("long").alias("turn"), "dep", key.alias("k")), "refs")
-    parts = []
-    while True:
-        told = left.groupBy(*KEY).agg(F.min("turn").alias("turn"), F.count_if(F.col("k").isNull()).alias("open"), F.max("k").alias("k")).filter("open = 0")
-        raised = F.col("k.t") >= F.col("turn")
-        now = written(told.select(*KEY, F.when(raised, F.col("k.t")).otherwise(F.col("turn")).alias("t"), F.when(raised, F.col("k.d") + 1).otherwise(0).alias("d")), "ordered")
-        if now.isEmpty():
+    turn, refers = F.col("turn").cast("long"), F.col("refers").isNotNull()
+    key = lambda t, d: F.struct(t.cast("long").alias("t"), F.lit(d).cast("long").alias("d"))
+    own = links.groupBy("conv_id").agg(F.count("*").alias("n"))
+    told = looked_up(links, ["conv_id", "dep"], calls).groupBy(*KEY).agg(F.max(F.greatest(key(turn, 0), F.when(~refers, key(F.col("dep_turn"), 1)))).alias("k"), F.collect_list(F.when(refers, F.struct("dep", F.lit(1).cast("long").alias("w")))).alias("deps"))
+    told = told.join(F.broadcast(own) if own.count() <= HEAVY_SHARE else own, "conv_id").withColumn("changed", F.lit(True))
+    nodes = written(told.filter(~F.exists("deps", lambda e: e["dep"] == F.col("call_id"))).select(*NODE), "refs")
+    path = f"{shared_dir(spark)}/ordered-{uuid.uuid4().hex}"
+    ready = F.size("deps") == 0
+    flat = lambda df: df.select(*KEY, F.col("k.t").alias("t"), F.col("k.d").cast("int").alias("d"))
+    flat(nodes.limit(0)).write.parquet(path)
+    while not nodes.isEmpty():
+        # after this no reference leads to a call with a known key, so these can go
+        flat(nodes.filter(ready)).write.mode("append").parquet(path)
+        met = written(_met(nodes, False), "refs")
+        forget(nodes)
+        nodes = written(_met(met, True).unionByName(met.filter(ready)), "refs")
+        forget(met)
+        if nodes.filter("changed").isEmpty():
             break
-        parts.append(now)
-        known = now.select("conv_id", F.col("call_id").alias("dep"), F.struct("t", "d").alias("new"))
-        rest = written(left.join(now, KEY, "left_anti").join(known, ["conv_id", "dep"], "left").select(*KEY, "turn", "dep", F.coalesce("k", "new").alias("k")), "refs")
-        forget(left)
-        left = rest
-    stuck = left.select(*KEY).distinct().select(*KEY, F.lit(None).cast("long").alias("t"), F.lit(None).cast("int").alias("d"))
-    return written(reduce(DataFrame.unionByName, parts, stuck), "ordered")
+    forget(nodes)
+    return links.select(*KEY).distinct().join(spark.read.schema(flat(nodes).schema).parquet(path), KEY, "left")
 
 
 def topological(calls: DataFrame, small: int = SMALL) -> DataFrame:

@@ -781,6 +781,25 @@ def test_tools_cycles_and_what_lies_behind(spark):
         assert (got[2, "a"], got[2, "c"], got[2, "d"]) == ((1, 0), (5, 0), (9, 0))
 
 
+def test_tools_chains_past_one_expression(spark):
+    """A chain of 5,000 references, a cycle with a tail of 3,000 and calls with several references, in rounds of joins."""
+    rng = np.random.default_rng(9)
+    deps = {f"c{i}": [f"c{i + 1}"] if i < 5000 else [] for i in range(5001)}
+    deps |= {f"y{i}": [f"y{i + 1}"] if i < 3006 else ["y3000"] for i in range(3007)}
+    deps |= {f"b{i}": [f"b{j}" for j in sorted(set(rng.integers(i + 1, i + 4, 2).tolist())) if j < 40] + ["c4000"] for i in range(40)}
+    deps["z"] = ["b0", "y5"]
+    turn = {c: int(t) for c, t in zip(deps, rng.integers(0, 9000, len(deps)), strict=True)}
+    want = {c: None for c in deps}
+    order = [f"c{i}" for i in range(5000, -1, -1)] + [f"b{i}" for i in range(39, -1, -1)]
+    for c in order:
+        t, d = max((want[x] for x in deps[c]), default=(-1, 0))
+        want[c] = (t, d + 1) if t >= turn[c] else (turn[c], 0)
+    df = spark.createDataFrame([(7, turn[c], c, d) for c, d in deps.items()], "conv_id long, turn int, call_id string, depends array<string>")
+    assert tools.SMALL < len(deps)
+    got = {r["call_id"]: (r["order_turn"], r["order_depth"]) for r in tools.topological(df).collect()}
+    assert got == {c: k or (None, None) for c, k in want.items()}
+
+
 def test_tools_hot_identifier(spark):
     """One identifier holds most rows, equal ones among them; each row comes back once."""
     calls = spark.createDataFrame([(1, i % 3, "hot", "reply", '{"text":"x","turn":1}', []) for i in range(3000)] + [(1, 1, "cold", "reply", None, ["hot"])], "conv_id long, turn int, call_id string, tool string, arguments string, depends array<string>")
