@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import HEAVY_SHARE, forget, looked_up, shared_dir, written
+from pitchlake.llm.common import forget, looked_up, shared_dir, written
 
 #: tool -> field -> (type, required)
 SCHEMAS = {"reply": {"after": ("string", False), "text": ("string", True), "turn": ("integer", True)}}
@@ -152,9 +152,9 @@ def _ordered_large(links: DataFrame) -> DataFrame:
     calls = links.select("conv_id", F.col("call_id").alias("dep"), F.lit(True).alias("refers")).distinct()
     turn, refers = F.col("turn").cast("long"), F.col("refers").isNotNull()
     key = lambda t, d: F.struct(t.cast("long").alias("t"), F.lit(d).cast("long").alias("d"))
-    own = links.groupBy("conv_id").agg(F.count("*").alias("n"))
+    own = written(links.groupBy("conv_id").agg(F.count("*").alias("n")), "sizes")
     told = looked_up(links, ["conv_id", "dep"], calls).groupBy(*KEY).agg(F.max(F.greatest(key(turn, 0), F.when(~refers, key(F.col("dep_turn"), 1)))).alias("k"), F.collect_list(F.when(refers, F.struct("dep", F.lit(1).cast("long").alias("w")))).alias("deps"))
-    told = told.join(F.broadcast(own) if own.count() <= HEAVY_SHARE else own, "conv_id").withColumn("changed", F.lit(True))
+    told = looked_up(written(told, "calls"), "conv_id", own, "inner", own).withColumn("changed", F.lit(True))
     nodes = written(told.filter(~F.exists("deps", lambda e: e["dep"] == F.col("call_id"))).select(*NODE), "refs")
     path = f"{shared_dir(spark)}/ordered-{uuid.uuid4().hex}"
     ready = F.size("deps") == 0
