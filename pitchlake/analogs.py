@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitchlake.sources.sizes import spread
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,8 +23,14 @@ def schedule(spark: SparkSession, d: str) -> DataFrame:
     return o.select(F.col("o_orderkey").alias("game"), F.year("o_orderdate").alias("season"), F.col("o_orderstatus").alias("league"), F.col("o_orderpriority").alias("home_team"), F.col("o_custkey").cast("string").alias("away_team"))
 
 
+#: What a line-up takes of its line items.
+LINES = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_tax", "l_returnflag", "l_linestatus"]
+
+
 def lineup(spark: SparkSession, d: str) -> DataFrame:
-    li, o = read(spark, d, "lineitem"), read(spark, d, "orders")
+    li, o = read(spark, d, "lineitem").select(*LINES), read(spark, d, "orders")
+    # a join only sorts its rows, which takes less room than adding them up
+    li = spread(li, "l_orderkey", share=16 << 20)
     rows = li.join(o.select("o_orderkey", F.year("o_orderdate").alias("season")), li.l_orderkey == F.col("o_orderkey"))
     rows = rows.join(leagues(spark, d), rows.l_suppkey == F.col("team"))
     return rows.select(
