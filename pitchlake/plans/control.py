@@ -105,14 +105,22 @@ def status_after(stage: Column, outcome: Column) -> Column:
 def folded(control: DataFrame, changes: DataFrame) -> DataFrame:
     """The table after many changes at once: ``id, stage, outcome, error, at`` in the order of ``at``, each as :func:`started` and so on would apply it.
 
-    One aggregation by season, combined before its shuffle, and a join with the (small) table; unknown stages and outcomes change nothing.
+    One aggregation of times by season, then the last rows of each (the table is small) are met with them, so that no task sorts or keeps
+    the texts of all; unknown stages and outcomes change nothing.
     """
     told = changes.withColumn("status_", status_after(F.col("stage"), F.col("outcome"))).filter("status_ is not null")
     errors = F.col("outcome") != "completed"  # which leaves the last error as it was
     hit = F.col("outcome") == "failed"
     marks = [F.max(F.when((F.col("stage") == s) & (F.col("outcome") == o), F.col("at"))).alias(f"{s}_{o}_") for s in STAGES for o in ("started", "completed")]
+    # only numbers and times are added up here, which takes no sort
+    sums = told.groupBy("id").agg(F.max(F.when(errors, F.col("at"))).alias("error_at_"), F.count_if(errors).alias("n_"), F.max("at").alias("at_"), *marks)
+    times = sums.join(F.broadcast(control.select("id").distinct()), "id", "left_semi")
+    # a row or two a season go on with their texts
+    wanted = F.broadcast(times.select(F.col("id").alias("i_"), "at_", "error_at_"))
+    late = told.join(wanted, (F.col("id") == F.col("i_")) & ((F.col("at") == F.col("at_")) | (F.col("at") == F.col("error_at_"))))
     error = F.struct(F.when(hit, truncated(F.col("error"))).alias("e"), F.when(hit, F.col("stage")).alias("s"))
-    last = told.groupBy("id").agg(F.max_by("status_", "at").alias("status_"), F.max_by(F.when(errors, error), F.when(errors, F.col("at"))).alias("error_"), F.count_if(errors).alias("n_"), F.max("at").alias("at_"), *marks)
+    texts = late.groupBy("id").agg(F.max_by("status_", "at").alias("status_"), F.max_by(F.when(errors, error), F.when(errors, F.col("at"))).alias("error_"))
+    last = times.join(texts, "id", "left")
     new = {"status": F.coalesce("status_", "status"), "last_error": F.when(F.col("n_") > 0, F.col("error_.e")).otherwise(F.col("last_error")), "last_error_stage": F.when(F.col("n_") > 0, F.col("error_.s")).otherwise(F.col("last_error_stage")), "updated_at": F.coalesce("at_", "updated_at")}
     new |= {f"{s}_{o}_at": F.coalesce(f"{s}_{o}_", f"{s}_{o}_at") for s in STAGES for o in ("started", "completed")}
     return control.join(last, "id", "left").withColumns(new).select(*control.columns)

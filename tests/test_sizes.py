@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from pitchlake.operators import gold
+from pitchlake.plans import control
 from pitchlake.sources import sizes
 
 
@@ -17,3 +18,14 @@ def test_gold_takes_partitions_by_the_size_of_its_input(spark, tmp_path, monkeyp
     found = gold.player_season_stats(stored)
     assert found.rdd.getNumPartitions() >= 19
     assert sorted(map(tuple, found.collect())) == want
+
+
+def test_folding_sorts_no_texts(spark):
+    t = spark.createDataFrame([(1, "L", 2024, "pending")], "id long, league_key string, season int, status string")
+    t = control.empty(spark).unionByName(t, allowMissingColumns=True)
+    changes = spark.range(1000).select((F.col("id") % 2 + 1).alias("id"), F.lit("gold").alias("stage"), F.when(F.col("id") < 990, "failed").otherwise("completed").alias("outcome"), F.repeat(F.col("id").cast("string"), F.lit(700)).alias("error"), F.timestamp_seconds("id").alias("at"))
+    done = control.folded(t, changes)
+    # the texts that are sorted are those of the last rows only: a join has picked them below
+    assert "BroadcastHashJoin" in done._jdf.queryExecution().executedPlan().toString().rpartition("SortAggregate")[2]
+    first = done.first()
+    assert (first["status"], first["last_error"], first["last_error_stage"]) == ("complete", ("988" * 700)[:2000], "gold") and first["updated_at"].timestamp() == 998
