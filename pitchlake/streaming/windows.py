@@ -2,7 +2,8 @@
 
 The watermark of a micro-batch is the latest time of all batches before it less the lateness; rows of a window that ended by then are dropped by
 the engine, and its state goes.  :func:`late_rows` says which these are, by the same rule, from the marks that earlier batches left.
-Results are written in update mode: a window that changes is written again, whole, so a batch that is repeated changes nothing.
+Results are written in update mode: a window that changes is written again, whole, so a batch that is repeated changes nothing.  Windows
+that are complete when they come (append mode) are a partition of their batch, which a repeated batch replaces.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pitchlake.operators.ingest import upsert
-from pitchlake.sources import sinks
+from pitchlake.sources import sinks, versions
 
 
 def tumbling(rows: DataFrame, time: str, every: str, lateness: str, *keys: str, **aggregates: Column) -> DataFrame:
@@ -34,9 +35,15 @@ def into_table(name: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
     return lambda batch, _: sinks.store(batch, name, keys, lambda old, new: upsert(old, new, keys))
 
 
+def added_to_table(name: str) -> Callable[[DataFrame, int], None]:
+    """Stores the windows of a batch, which never change again, as the table's partition ``batch``; nothing stored before is read or rewritten."""
+    return lambda batch, number: versions.publish(batch.withColumn("batch", F.lit(number).cast("long")), name, {"batch": number})
+
+
 def drained(windows: DataFrame, name: str, keys: list[str], checkpoint: str, mode: str = "update") -> StreamingQuery:
-    """Takes what is there now, then ends."""
-    return windows.writeStream.outputMode(mode).foreachBatch(into_table(name, keys)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Takes what is there now, then ends.  In append mode the table is one of batches, else one of ``keys``."""
+    store = added_to_table(name) if mode == "append" else into_table(name, keys)
+    return windows.writeStream.outputMode(mode).foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def late_rows(batch: DataFrame, time: str, every: str, lateness: str, latest: object) -> DataFrame:

@@ -57,3 +57,18 @@ def test_stages_without_an_answer_fail(spark, tmp_path):
     assert seen[1] == {1: ("failed", stages.NO_ANSWER), 2: ("complete", None), 3: ("failed", "e"), 4: ("pending", None)}
     assert seen[2] == seen[1] | {1: ("silver_done", stages.NO_ANSWER), 5: ("bronze_running", None)}
     sinks.drop_tables(spark, [name])
+
+
+def test_complete_windows_are_added_by_batch(spark):
+    name = "stream_sessions"
+    sinks.drop_tables(spark, [name])
+    take = windows.added_to_table(name)
+    first, second = (spark.createDataFrame(r, "user_id int, start string, n int") for r in ([(1, "a", 5), (2, "a", 6)], [(1, "b", 7)]))
+    take(first.limit(0), 0)
+    take(first, 1)
+    before = versions.place(spark, name, {"batch": 1})
+    for _ in range(2):
+        take(second, 2)
+    assert versions.place(spark, name, {"batch": 1}) == before
+    assert sorted(map(tuple, spark.table(name).collect())) == [(1, "a", 5, 1), (1, "b", 7, 2), (2, "a", 6, 1)]
+    sinks.drop_tables(spark, [name])
