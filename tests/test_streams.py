@@ -72,3 +72,26 @@ def test_complete_windows_are_added_by_batch(spark):
     assert versions.place(spark, name, {"batch": 1}) == before
     assert sorted(map(tuple, spark.table(name).collect())) == [(1, "a", 5, 1), (1, "b", 7, 2), (2, "a", 6, 1)]
     sinks.drop_tables(spark, [name])
+
+
+def test_batches_of_results_are_folded_without_python_and_again_alike(spark, tmp_path):
+    name, at = "stream_folded", lambda s: datetime.fromisoformat(f"2024-01-01 {s}")
+    sinks.drop_tables(spark, [name])
+    schema = "id long, stage string, outcome string, error string, at timestamp"
+    steps = [("silver", "failed", "x" * 3000, "10:03"), ("silver", "started", None, "10:01"), ("nothing", "failed", "y", "10:05"), ("gold", "unknown", None, "10:06"), ("silver", "completed", None, "10:04")]
+    first = spark.createDataFrame([(1, *s[:3], at(s[3])) for s in steps] + [(2, "gold", "started", None, at("10:00")), (3, "gold", "unknown", None, at("10:00")), (4, "gold", "failed", None, None)], schema)
+    second = spark.createDataFrame([(1, "gold", "failed", "late", at("09:00")), (5, "gold", "reset", None, at("16:11"))], schema)
+    take = stages.into_table(name, "6h", "10 minutes", str(tmp_path / "cp"))
+    wanted = ("pending", None, None, None)
+    for stage, outcome, error, _ in sorted(steps, key=lambda s: s[3]):
+        wanted = stages.after(wanted, stage, outcome, error)
+    shown = lambda: {r["id"]: (r["status"], r["last_error"], r["last_error_stage"], r["running"], r["changed"]) for r in versions.rows_of(spark, name).collect()}
+    plan = stages.told(first)._jdf.queryExecution().executedPlan().toString()
+    assert "Pandas" not in plan and "Python" not in plan
+    for _ in range(2):
+        take(first, 0)
+        assert shown() == {1: (*wanted, at("10:06")), 2: ("gold_running", None, None, "gold", at("10:00")), 3: (None, None, None, None, at("10:00"))}
+    for _ in range(2):
+        take(second, 1)
+        assert shown() == {1: (*wanted, at("10:06")), 2: ("failed", stages.NO_ANSWER, "gold", None, at("16:00")), 3: (None, None, None, None, at("10:00")), 5: ("pending", None, None, None, at("16:11"))}
+    sinks.drop_tables(spark, [name])
