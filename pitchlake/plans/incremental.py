@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pitchlake.operators.gold import RENAMED, player_season_stats, with_rates
 from pitchlake.schemas import PLAYER_STATS
-from pitchlake.sources import sinks, versions
+from pitchlake.sources import sinks, sizes, versions
 
 PARTITION = ["season", "league"]
 GRAIN = ["player", "team", *PARTITION]
@@ -36,12 +36,25 @@ def partials(stats: DataFrame) -> DataFrame:
     return stats.groupBy(*GRAIN, "game").agg(F.sum(F.when(F.col("starter"), 1).otherwise(0)).alias("starts"), *sums)
 
 
+#: Column by which rows of a season and league are cut into shares of even size.
+CUT = "cut_"
+
+
+def arranged(df: DataFrame, by: list[str], tasks: int, cuts: int) -> DataFrame:
+    """Rows by season, league and a hash of ``by``, which is added as :data:`CUT`.
+
+    What then joins or adds up by these and ``by`` needs no other shuffle, and a task's rows belong to few partitions of a table.
+    """
+    return df.withColumn(CUT, F.pmod(F.xxhash64(*by), F.lit(cuts))).repartition(tasks, *PARTITION, CUT)
+
+
 def from_partials(parts: DataFrame) -> DataFrame:
-    """:func:`pitchlake.operators.gold.player_season_stats` of the rows behind the partial sums."""
+    """:func:`pitchlake.operators.gold.player_season_stats` of the rows behind the partial sums, arranged by player and team or not."""
     sums = [F.sum(c).alias(RENAMED.get(c, c)) for c in PLAYER_STATS if c in parts.columns]
     sums += [F.sum(F.lit(0)).alias(new) for old, new in RENAMED.items() if old not in parts.columns]
     # a match is one row here, so nothing needs to be distinct
-    return with_rates(parts.groupBy(*GRAIN).agg(F.count("game").alias("matches_played"), F.sum("starts").alias("matches_started"), *sums))
+    keys = [*GRAIN, *(c for c in (CUT,) if c in parts.columns)]
+    return with_rates(parts.groupBy(*keys).agg(F.count("game").alias("matches_played"), F.sum("starts").alias("matches_started"), *sums)).drop(CUT)
 
 
 def take_in(spark: SparkSession, database: str, new: DataFrame) -> list[dict[str, object]]:
@@ -56,14 +69,18 @@ def take_in(spark: SparkSession, database: str, new: DataFrame) -> list[dict[str
         hit = [r.asDict() for r in staged.select(*PARTITION).distinct().collect()]  # a row a season
         if not hit:
             return []
-        merged = staged
-        if sinks.exists(spark, sums):
-            due = spark.createDataFrame([tuple(h[k] for k in PARTITION) for h in hit], staged.select(*PARTITION).schema)
-            old = due_rows(spark.table(sums), due)
-            merged = old.join(staged.select(*PARTITION, "game").distinct(), [*PARTITION, "game"], "left_anti").unionByName(staged, allowMissingColumns=True)
-        versions.publish_many(merged, sums, PARTITION)
         due = spark.createDataFrame([tuple(h[k] for k in PARTITION) for h in hit], staged.select(*PARTITION).schema)
-        versions.publish_many(sinks.audited(from_partials(due_rows(spark.table(sums), due))), target, PARTITION, hit)
+        known = sinks.exists(spark, sums)
+        tasks = sizes.tasks(*([due_rows(spark.table(sums), due)] if known else []), staged)
+        cuts = -(-2 * tasks // len(hit))
+        fresh = arranged(staged, ["game"], tasks, cuts)
+        merged = fresh
+        if known:
+            old = arranged(due_rows(spark.table(sums), due), ["game"], tasks, cuts)
+            merged = old.join(fresh.select(*PARTITION, CUT, "game"), [*PARTITION, CUT, "game"], "left_anti").unionByName(fresh, allowMissingColumns=True)
+        versions.publish_many(merged.drop(CUT), sums, PARTITION, arranged=True)
+        rows = arranged(due_rows(spark.table(sums), due), ["player", "team"], tasks, cuts)
+        versions.publish_many(sinks.audited(from_partials(rows)), target, PARTITION, hit, arranged=True)
         return hit
     finally:
         sinks.unstaged(staged)

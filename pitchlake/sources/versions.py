@@ -146,9 +146,11 @@ def publish(df: DataFrame, name: str, spec: dict[str, object], metrics: dict[str
     return found
 
 
-def publish_many(df: DataFrame, name: str, keys: list[str], due: list[dict[str, object]] | None = None, retained: float = RETAINED) -> list[dict[str, object]]:
+def publish_many(df: DataFrame, name: str, keys: list[str], due: list[dict[str, object]] | None = None, retained: float = RETAINED, arranged: bool = False) -> list[dict[str, object]]:
     """Replaces every partition that ``df`` has rows of, and removes those of ``due`` that it has none of; returns the replaced ones.
 
+    ``arranged``: rows of a partition lie in few tasks already, and are written as they lie, without another shuffle.
+
     One job writes all of them to a fresh folder before the first is published; each then changes in one step.
     """
     spark = df.sparkSession
@@ -160,9 +162,9 @@ def publish_many(df: DataFrame, name: str, keys: list[str], due: list[dict[str,
     whole = df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in [*rows, *keys]])
     try:
         # files of a partition are of even size, whatever it holds
-        whole.hint("rebalance", *keys).write.partitionBy(*keys).parquet(path)
-        written = spark.read.schema(whole.schema).parquet(path)
-        places = written.select(*keys, F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder_")).distinct().collect()  # a row a partition
+        (whole if arranged else whole.hint("rebalance", *keys)).write.partitionBy(*keys).parquet(path)
+        written = spark.read.schema(whole.schema).parquet(path).select(*keys, F.col("_metadata.file_path").alias("file_")).distinct()
+        places = written.select(*keys, F.regexp_replace("file_", "/[^/]*$", "").alias("folder_")).distinct().collect()  # a row a partition
     except Exception:
         Files(spark).delete(path)
         raise

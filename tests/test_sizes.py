@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from pitchlake.operators import gold
-from pitchlake.plans import control
+from pitchlake.plans import control, incremental
 from pitchlake.sources import sizes
 
 
@@ -29,3 +29,22 @@ def test_folding_sorts_no_texts(spark):
     assert "BroadcastHashJoin" in done._jdf.queryExecution().executedPlan().toString().rpartition("SortAggregate")[2]
     first = done.first()
     assert (first["status"], first["last_error"], first["last_error_stage"]) == ("complete", ("988" * 700)[:2000], "gold") and first["updated_at"].timestamp() == 998
+
+
+def test_increments_shuffle_rows_once_for_each_table(spark, monkeypatch):
+    db = "arranged_test"
+    spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    spark.sql(f"CREATE DATABASE {db}")
+    rows = spark.range(600).select((F.col("id") % 50).alias("game"), (F.col("id") % 60).alias("player"), F.lit("t").alias("team"), F.lit("L").alias("league"), (2020 + F.col("id") % 3).cast("int").alias("season"), (F.col("id") % 2 == 0).alias("starter"), F.lit(1).alias("total_goals"))
+    plans = []
+    publish = incremental.versions.publish_many
+    monkeypatch.setattr(incremental.versions, "publish_many", lambda df, *a, **k: plans.append((df._jdf.queryExecution().executedPlan().toString(), k)) or publish(df, *a, **k))
+    incremental.take_in(spark, db, rows.filter("game < 30"))
+    incremental.take_in(spark, db, rows.filter("game > 20").withColumn("total_goals", F.lit(2)))
+    shuffles = [p.count("Exchange hashpartitioning") for p, _ in plans]
+    # old rows, their games and new rows; then Gold's, once each
+    assert shuffles[0] == 1 and shuffles[1] == 1 and shuffles[2] <= 3 and shuffles[3] == 1 and all(k.get("arranged") for _, k in plans)
+    got = spark.table(f"{db}.player_season_stats").drop("processed_at")
+    want = gold.player_season_stats(rows.withColumn("total_goals", F.when(F.col("game") > 20, 2).otherwise(1)))
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+    spark.sql(f"DROP DATABASE {db} CASCADE")
