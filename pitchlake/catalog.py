@@ -12,7 +12,7 @@ from pitchlake import leagues, schemas
 from pitchlake.functions import scalars as S
 from pitchlake.operators import gold, ingest, lineup, silver
 from pitchlake.plans import control, incremental, pipeline, quality
-from pitchlake.sources import fetch, history, readers, sinks, versions
+from pitchlake.sources import fetch, history, readers, sinks, sizes, versions
 from pitchlake.streaming import stages, windows
 
 QUERIES: dict = {}
@@ -764,7 +764,9 @@ def gold_of_due_seasons(spark, d):
     db = _database(spark)
     try:
         stats = silver.player_match_stats(A.lineup(spark, d))
-        stats.repartition("season", "league").write.partitionBy("season", "league").format("parquet").saveAsTable(f"{db}.player_match_stats")
+        n = sizes.tasks(stats)  # a season and league takes several of these tasks, each small enough to sort in memory
+        rows = incremental.arranged(stats, ["game"], n, max(1, n // 8)).drop(incremental.CUT)
+        versions.publish_many(rows, f"{db}.player_match_stats", incremental.PARTITION, arranged=True)
         state = spark.table(f"{db}.player_match_stats").groupBy("season", F.col("league").alias("league_key")).agg(F.when(F.count("*") % 3 != 0, "silver_done").otherwise("complete").alias("status"))
         incremental.gold_due(spark, db, incremental.seasons_due(state))
         return _kept(spark, spark.table(f"{db}.player_season_stats"), GOLD, "gold")

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from pitchlake import catalog
 from pitchlake.operators import gold
 from pitchlake.plans import control, incremental
 from pitchlake.sources import sizes
@@ -48,3 +49,12 @@ def test_increments_shuffle_rows_once_for_each_table(spark, monkeypatch):
     want = gold.player_season_stats(rows.withColumn("total_goals", F.when(F.col("game") > 20, 2).otherwise(1)))
     assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
     spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_silver_of_due_seasons_is_cut_by_size(spark, monkeypatch):
+    seen = []
+    publish = catalog.versions.publish_many
+    monkeypatch.setattr(catalog.versions, "publish_many", lambda df, *a, **k: seen.append(df) or publish(df, *a, **k))
+    monkeypatch.setattr(sizes, "SHARE", 10_000)
+    rows = catalog.gold_of_due_seasons(spark, "/root/testdata/sf0.001").count()
+    assert rows and seen[0].rdd.getNumPartitions() >= 12
