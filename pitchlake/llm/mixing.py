@@ -62,11 +62,12 @@ CONTEXTS = ("bytes4", "bytes6", "bytes12", "word")
 PAD = b"\n" * 16
 GAP = re.compile(rb"[\x09-\x0d\x20]")
 #: Bits between fresh starts, gates, log2 of a piece's own counters, steps of its map, and bits handled between reorderings.
-LANE, GATES, LOCAL_BITS, STEPS, WINDOW = 4096, 6, 8, 33, 64
+LANE, GATES, LOCAL_BITS, STEPS, WINDOW = 4096, 6, 8, 33, 32
 #: First weights of the shared and the own predictor; rates of weights, own counters and map.
 WEIGHT, OWN_WEIGHT, RATE, OWN_RATE, MAP_RATE = np.float32(0.38), np.float32(0.25), np.float32(0.03), np.float32(0.32), np.float32(0.012)
-#: Bytes of text that step side by side; symbols whose bits are unfolded at once.
-GROUP, PIECE = 1_500_000, 32_768
+#: Bytes of text that step side by side (calls cost less a bit the more do); symbols whose bits are unfolded at once (one table
+#: after another, so that the slots in use stay in the cache).
+GROUP, PIECE = 3_000_000, 131_072
 END = 256
 #: log2 of the tree contexts, the share of all symbols a context needs for a tree of its own, and the least count.
 TREE_BITS, TREE_SHARE, TREE_LEAST = 16, 1 << 13, 64
@@ -193,6 +194,9 @@ class Trees:
             self.row[c] = i
             # what wasn't seen here is ordered by its count elsewhere
             made.append(huffman((table[c] * 4096 + share.astype(np.int64)).tolist()))
+        # where each pair of bytes finds its tree, of which a row has 257 numbers
+        pairs_ = np.arange(1 << TREE_BITS)
+        self.start = self.rows(pairs_, pairs_ & 255).astype(np.int64) * 257
         self.code = np.array([[c for c, _ in m] for m in made], np.uint32)
         self.length = np.array([[n for _, n in m] for m in made], np.uint8)
 
@@ -331,7 +335,8 @@ def token_parts(texts: list[bytes], limit: int) -> Iterator[tuple[list[int], lis
 
 def bits(s: Symbols, trees: Trees, begin: int, end: int) -> tuple[np.ndarray, np.ndarray, Iterator[np.ndarray]]:
     """Decisions of the symbols from ``begin`` to ``end``: how many each has, then for every decision its bit, and one array of slots a table."""
-    at = trees.rows(s.context[begin:end], s.last[begin:end]) * np.int64(257) + s.symbol[begin:end]
+    at = trees.start.take(s.context[begin:end])
+    at += s.symbol[begin:end]
     code, length = trees.code.ravel().take(at), trees.length.ravel().take(at) * s.real[begin:end].astype(np.int64)
     ends = np.cumsum(length)
     owner = np.repeat(np.arange(end - begin), length)
@@ -344,12 +349,18 @@ def bits(s: Symbols, trees: Trees, begin: int, end: int) -> tuple[np.ndarray, np
     node *= ODD32
 
     def slots() -> Iterator[np.ndarray]:
-        for h in s.hashes:
-            slot = h[begin:end].take(owner)
-            slot ^= node
+        both = node.astype(np.uint64)
+        both |= both << np.uint64(32)
+        # two contexts at a time
+        for low, high in zip(s.hashes[::2], s.hashes[1::2], strict=True):
+            wide = high[begin:end].astype(np.uint64) << np.uint64(32)
+            wide |= low[begin:end]
+            slot = wide.take(owner)
+            slot ^= both
+            slot = slot.view(np.uint32)
             slot *= np.uint32(0x85EBCA6B)
             slot >>= np.uint32(32 - SLOT_BITS)
-            yield slot
+            yield from (slot[0::2], slot[1::2])
 
     return length, bit, slots()
 
@@ -387,13 +398,13 @@ def count_all(train: DataFrame) -> DataFrame:
         held: list[tuple] = []
         texts_seen = 0
         for _, texts in in_groups(batches):
-            for s, _ in symbols(texts, 2 * GROUP, hashes=False):
+            for s, _ in symbols(texts, GROUP, hashes=False):
                 symbol = s.symbol[s.real]
                 lasts += np.bincount(s.last[s.real].astype(np.int64) << 9 | symbol, minlength=len(lasts))
                 k, n = np.unique((s.context[s.real] << 9 | symbol).view(np.uint32), return_counts=True)
                 pairs, inv = np.unique(np.concatenate([pairs, k]), return_inverse=True)
                 pair_counts = np.bincount(inv, weights=np.concatenate([pair_counts, n])).astype(np.int64)
-            for _, parts, _ in token_parts(texts, 2 * GROUP):
+            for _, parts, _ in token_parts(texts, GROUP):
                 first, second, _ = token_keys(parts)
                 held.append(tallied(first, second, np.ones(len(first), np.int64)))
                 if sum(len(h[0]) for h in held) > 1_500_000:
@@ -457,16 +468,17 @@ def count_tables(train: DataFrame, trees: Trees, most: int = 1 << 31) -> list[np
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: list[np.ndarray] = []
         seen = 0
-        for _, texts in in_groups(batches, 500_000):
+        for _, texts in in_groups(batches, 4 * PIECE):
             counts = counts or [np.zeros(2 << SLOT_BITS, np.uint32) for _ in CONTEXTS]
-            for s, _ in symbols(texts, 1_000_000):
+            for s, _ in symbols(texts, 4 * PIECE):
                 for lo in range(0, len(s.symbol), PIECE):
                     _, bit, slots = bits(s, shared.value, lo, min(lo + PIECE, len(s.symbol)))
                     seen += len(bit)
                     for c, slot in zip(counts, slots, strict=True):
-                        slot <<= np.uint32(1)
-                        slot |= bit
-                        np.add.at(c, slot.astype(np.int64), np.uint32(1))
+                        at = slot.astype(np.int64)
+                        at <<= 1
+                        at |= bit
+                        np.add.at(c, at, np.uint32(1))
                     if seen >= most:
                         yield from parts(counts)
                         seen = 0
@@ -499,6 +511,9 @@ def count_tables(train: DataFrame, trees: Trees, most: int = 1 << 31) -> list[np
 TRUST = np.array([0.0, 0.6, 0.75, 0.85, 0.92, 0.96, 0.98, 1.0])
 SCALE = np.float32(16 / 65536)
 UNSEEN = 1 << 15
+#: Of four states in one number: the sureness of all but the first, what adds those up, and the gate of each sum.
+SURE, ADDED = np.uint64(0x0007_0007_0007_0000), np.uint64(0x0001_0001_0001)
+GATE = np.minimum(np.arange(22) // 3, GATES - 1).astype(np.uint16)
 
 
 def states(counts: np.ndarray) -> np.ndarray:
@@ -520,19 +535,28 @@ def squash(z: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
 class Model:
     def __init__(self, trees: Trees, tables: list[np.ndarray]):
         self.trees, self.tables = trees, tables
+        self.room = np.empty(0, np.uint64), np.empty(0, np.uint16)
+
+    def __reduce__(self) -> tuple:
+        return Model, (self.trees, self.tables)  # without the room
 
     def _inputs(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For every bit of all texts its four shared inputs (one 16-byte number), and gate, bit and own counter; how many bits each text has."""
-        room = 8 * sum(len(t) + 1 for t in texts) + 64
+        """For every bit of all texts the states of its four shared inputs (one 8-byte number), and gate, bit and own counter; how many bits each text has."""
+        size = 8 * sum(len(t) + 1 for t in texts) + 64
         per_text = np.zeros(len(texts), np.int64)
-        inputs, notes, used = np.empty(room, np.complex128), np.empty(room, np.uint32), 0
-        for s, owner in symbols(texts, 8 * PIECE):
+        # the room stays for the next texts: new memory costs about as much as what is written there
+        if len(self.room[0]) < size:
+            self.room = tuple(np.empty(size + size // 4, x.dtype) for x in self.room)
+        (inputs, notes), used = self.room, 0
+        for s, owner in symbols(texts, 2 * PIECE):
             inputs, notes, used, lengths = self._unfolded(s, inputs, notes, used)
             np.add.at(per_text, owner, lengths)
+        self.room = inputs, notes
         return inputs[:used], notes[:used], per_text
 
     def _unfolded(self, s: Symbols, inputs: np.ndarray, notes: np.ndarray, used: int) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
         """Writes the bits of some symbols behind the first ``used`` ones; the arrays (larger ones, if need be), the bits now in use, and those of each slice."""
+        inputs = inputs.view(np.uint64)
         lengths = np.empty(len(s.symbol), np.int64)
         for lo in range(0, len(s.symbol), PIECE):
             hi = min(lo + PIECE, len(s.symbol))
@@ -540,22 +564,20 @@ class Model:
             end = used + len(bit)
             if end > len(notes):
                 inputs, notes = (np.concatenate([x[:used], np.empty(used + len(bit), x.dtype)]) for x in (inputs, notes))
-            rows = inputs[used:end].view(np.float32).reshape(-1, len(CONTEXTS))
-            sure = np.zeros(len(bit), np.uint16)
+            packed_ = inputs[used:end]
+            rows = packed_.view(np.uint16).reshape(-1, len(CONTEXTS))
             for i, (slot, table) in enumerate(zip(slots, self.tables, strict=True)):
-                state = table.take(slot)
-                rows[:, i] = state
-                if i:
-                    state &= np.uint16(7)
-                    sure += state
-                else:
-                    own = slot & np.uint32((1 << LOCAL_BITS) - 1)
-            rows *= SCALE
-            rows -= np.float32(8)
-            note = notes[used:end]
-            note[:] = np.minimum(sure // np.uint16(3), np.uint16(GATES - 1))
-            note |= bit << np.uint32(8)
-            note |= own << np.uint32(16)
+                if not i:
+                    note = slot.astype(np.uint16)
+                    note <<= np.uint16(8)  # the own counter's place is all that is left of the slot
+                rows[:, i] = table.take(slot)
+            # the sureness of all contexts but the first, added up in the highest sixteen bits
+            sure = packed_ & SURE
+            sure *= ADDED
+            sure >>= np.uint64(48)
+            note |= GATE.take(sure.view(np.int64))
+            note |= bit.astype(np.uint16) << np.uint16(7)
+            notes[used:end] = note
             used = end
         return inputs, notes, used, np.add.reduceat(lengths, s.first)
 
@@ -572,11 +594,11 @@ class Model:
     def _long(self, text: bytes, limit: int) -> float:
         """The logarithm of the probability of a text, in windows; the last bits of one that make no whole piece go to the next."""
         total = 0.0
-        kept = np.empty(0, np.complex128), np.empty(0, np.uint32)
+        kept = np.empty(0, np.uint64), np.empty(0, np.uint16)
         seen = 0
         for s, _ in symbols([text], limit):
             room = len(kept[0]) + 8 * len(s.symbol)
-            inputs, notes = np.empty(room, np.complex128), np.empty(room, np.uint32)
+            inputs, notes = np.empty(room, np.uint64), np.empty(room, np.uint16)
             inputs[: len(kept[0])], notes[: len(kept[1])] = kept
             inputs, notes, used, _ = self._unfolded(s, inputs, notes, len(kept[0]))
             seen += limit
@@ -602,79 +624,106 @@ class Model:
         going = (len(size) - np.searchsorted(size[::-1], np.arange(size[0]), side="right")).tolist()
         mixer = Lanes(len(size))
         logs = np.zeros(len(size))
+        # runs of WINDOW bits from every place on; those of the last places go beyond the end
+        edge = max(0, len(notes) - WINDOW)
+        tails = [np.concatenate([x[edge:], np.zeros(WINDOW, x.dtype)]) for x in (inputs, notes)]
+        runs, ends = [[np.ndarray((max(0, len(x) - WINDOW + 1), WINDOW), x.dtype, x, strides=x.strides * 2) for x in xs] for xs in ((inputs, notes), tails)]
         for at in range(0, len(going), WINDOW):
             n, steps = going[at], min(WINDOW, len(going) - at)
-            place = begin[:n] + np.arange(at, at + steps)[:, None]
-            np.minimum(place, len(notes) - 1, out=place)
-            x = inputs.take(place).view(np.float32).reshape(steps, n, 4)
-            note = notes.take(place)
-            bit = (note >> np.uint32(8) & np.uint32(1)).astype(np.float32)
-            right = mixer.steps(x, bit, (note & np.uint32(255)).astype(np.int64), (note >> np.uint32(16)).astype(np.int64), going[at : at + steps])
-            logs[:n] += np.log(right, out=right).sum(axis=0)
+            place = begin[:n] + at
+            late = np.flatnonzero(place > edge) if edge else np.arange(n)
+            x, note = (np.empty((n, WINDOW), r.dtype) for r in runs)
+            for out, run, tail in zip((x, note), runs, ends, strict=True):
+                if edge:
+                    out[:] = run[np.minimum(place, edge)]
+                out[late] = tail[place[late] - edge]
+            right = mixer.steps(x[:, :steps].T, note[:, :steps].T)
+            if going[at + steps - 1] < n:
+                for t, m in enumerate(going[at : at + steps]):
+                    right[t, m:] = 1
+            # a bit has a probability of 1.6e-4 or more, so that of eight is no too small number
+            for t in range(0, steps, 8):
+                logs[:n] += np.log(np.multiply.reduce(right[t : t + 8], axis=0))
         return np.bincount(owner, weights=logs, minlength=len(per_text))
 
 
 class Lanes:
-    """The state of pieces of text that step side by side, and room for a step's numbers."""
+    """The state of pieces of text that step side by side.
+
+    A step is many small operations, so those of the own counter and of the map go together: their
+    numbers lie side by side.  Mix and own counters are kept negated, which is what ``exp`` needs.
+    """
 
     def __init__(self, n: int):
+        self.n = n
         self.weights = np.full((n * GATES, 4), WEIGHT, np.float32)
         self.own_weights = np.full(n, OWN_WEIGHT, np.float32)
-        self.own = np.zeros(n << LOCAL_BITS, np.float32)
-        self.map = np.tile(squash(((np.arange(STEPS) - STEPS // 2) / 2).astype(np.float32)), n)
+        self.cells = np.zeros((n << LOCAL_BITS) + n * STEPS, np.float32)  # own counters, then maps
+        self.cells[n << LOCAL_BITS :] = np.tile(squash(((np.arange(STEPS) - STEPS // 2) / 2).astype(np.float32)), n)
         self.number = np.arange(n)
-        self.room = [np.empty(n, np.float32) for _ in range(5)], np.empty((n, 4), np.float32), np.empty(n, np.complex128), np.empty(n, np.int64)
+        self.map_at = self.number * STEPS + (n << LOCAL_BITS)
 
-    def steps(self, inputs: np.ndarray, bits_: np.ndarray, gates: np.ndarray, owns: np.ndarray, going: list[int]) -> np.ndarray:
-        """The probability given to each bit before it was learnt from; 1 where a piece has ended."""
+    def steps(self, states_: np.ndarray, notes: np.ndarray) -> np.ndarray:
+        """The probability given to each bit before it was learnt from; a row a step, for the first pieces. Those that have ended go on without sense."""
         f = np.float32
-        gates += self.number[: gates.shape[1]] * GATES
-        owns += self.number[: gates.shape[1]] << LOCAL_BITS
-        map_at = self.number * STEPS
-        whole = self.weights.view(np.complex128).ravel()
-        ones, half, low, high = np.ones(4, f), f(STEPS // 2 + 0.5), f(-8), f(8)
-        found = bits_.copy()
-        for t, n in enumerate(going):
-            x, bit, gate, slot, p = inputs[t, :n], bits_[t, :n], gates[t, :n], owns[t, :n], found[t, :n]
-            (z, error, own, step, seen), product, picked, place = [r[:n] for r in self.room[0]], *(r[:n] for r in self.room[1:])
+        n = states_.shape[1]
+        x = np.empty((*states_.shape, 4), f)
+        x[:] = np.ascontiguousarray(states_).view(np.uint16).reshape(x.shape)
+        x *= SCALE
+        x -= f(8)
+        notes = np.ascontiguousarray(notes)
+        bit = (notes >> np.uint16(7) & np.uint16(1)).astype(f)
+        gates = (notes & np.uint16(127)) + self.number[:n] * GATES
+        cells_at = np.empty((len(notes), 2 * n), np.int64)
+        np.add(notes >> np.uint16(8), self.number[:n] << LOCAL_BITS, out=cells_at[:, :n])
+        # what comes of probability (mix, own counter, map) and bit: steps of weights and own counter, the map's new number
+        rates = np.repeat(np.array([-RATE, OWN_RATE, f(1) - MAP_RATE], f), n)
+        moves = np.concatenate([bit * RATE, bit * -OWN_RATE, bit * MAP_RATE], axis=1)
+        found = np.empty_like(bit)
+        whole, own_weights, map_at = self.weights.view(np.complex128).ravel(), self.own_weights[:n], self.map_at[:n]
+        minus, ones = np.full(4, -1, f), np.ones((1, 4), f)
+        one, minus_two, half, low, high = (np.full(m, v, f) for m, v in ((2 * n, 1), (n, -2), (n, STEPS // 2 + 0.5), (n, -8), (n, 8)))
+        both, p, product, picked, part = np.empty(2 * n, f), np.empty(3 * n, f), np.empty((n, 4), f), np.empty(n, np.complex128), np.empty(n, f)
+        z, own = both[:n], both[n:]  # negated
+        mix, two, seen = p[:n], p[: 2 * n], p[2 * n :]
+        w = picked.view(f).reshape(n, 4)
+        move = np.empty(3 * n, f)
+        error, own_move, new = move[:n], move[n : 2 * n], move[n:]
+        for x_, gate, cell, bit_move, out in zip(x, gates, cells_at, moves, found, strict=True):
+            place = cell[n:]
             # all places are in range: clipping only spares a copy
-            self.own.take(slot, out=own, mode="clip")
+            self.cells.take(cell[:n], out=own, mode="clip")
             whole.take(gate, out=picked, mode="clip")
-            w = picked.view(f).reshape(n, 4)
-            np.multiply(w, x, out=product)
-            np.dot(product, ones, out=z)
-            np.multiply(self.own_weights[:n], own, out=error)
-            z += error
+            np.multiply(w, x_, out=product)
+            np.dot(product, minus, out=z)
+            np.multiply(own_weights, own, out=part)
+            np.add(z, part, out=z)
             np.minimum(z, high, out=z)
             np.maximum(z, low, out=z)
-            squash(z, out=p)
-            np.subtract(bit, p, out=error)
-            # the own counter moves, in the stretched domain
-            squash(own, out=step)
-            np.subtract(bit, step, out=step)
-            step *= OWN_RATE
-            step += own
-            self.own[slot] = step
+            np.exp(both, out=two)
+            np.add(two, one, out=two)
+            np.reciprocal(two, out=two)
             # the map: what came where the mix said this
-            z += z
-            z += half
-            place[:] = z
-            place += map_at[:n]
-            self.map.take(place, out=seen, mode="clip")
-            p += seen
-            p *= f(0.5)
-            np.subtract(bit, seen, out=step)
-            step *= MAP_RATE
-            step += seen
-            self.map[place] = step
-            error *= RATE
-            own *= error
-            self.own_weights[:n] += own
-            x *= error.repeat(4).reshape(n, 4)
-            w += x
+            np.multiply(z, minus_two, out=part)
+            np.add(part, half, out=part)
+            place[:] = part
+            np.add(place, map_at, out=place)
+            self.cells.take(place, out=seen, mode="clip")
+            np.add(mix, seen, out=out)
+            np.multiply(p, rates, out=move)
+            np.add(move, bit_move, out=move)
+            # the own counter moves, in the stretched domain
+            np.add(own_move, own, out=own_move)
+            self.cells[cell] = new
+            np.multiply(error, own, out=part)
+            np.subtract(own_weights, part, out=own_weights)
+            np.dot(error.reshape(n, 1), ones, out=product)
+            np.multiply(x_, product, out=product)
+            np.add(w, product, out=w)
             whole[gate] = picked
-        # from the probability of a one to that of the bit; ended pieces hold their bit
-        found += bits_
+        # from twice the probability of a one to that of the bit
+        found *= f(0.5)
+        found += bit
         found -= f(1)
         return np.abs(found, out=found)
 
@@ -719,7 +768,7 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame) -> DataFrame:
             scores, used = model_.scores(texts)
             per_byte = used / np.maximum(1, [len(t) for t in texts])
             m = len(texts)
-            for which, parts, final in token_parts(texts, 2 * GROUP):
+            for which, parts, final in token_parts(texts, GROUP):
                 which, last = np.array(which), np.array(final)
                 first, second, words = token_keys(parts)
                 found = frequent.find(first, second)
