@@ -384,26 +384,41 @@ def in_groups(batches: Iterator[pa.RecordBatch], limit: int = GROUP) -> Iterator
 # --- training ------------------------------------------------------------------
 
 
-def count_all(train: DataFrame) -> DataFrame:
-    """``k1, k2, c``: the counts of all tokens and of all pairs (tree context, symbol), in one pass over the texts."""
+def count_all(train: DataFrame, most: int = 1 << 31) -> DataFrame:
+    """``k1, k2, c``: the counts of all tokens and of all pairs (tree context, symbol), in one pass over the texts.
+
+    A task hands its pairs on after ``most`` symbols, before a counter of four bytes can overflow.
+    """
 
     def rows(first: np.ndarray, second: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
         for lo in range(0, len(first), 200_000):
             part = slice(lo, lo + 200_000)
             yield pa.RecordBatch.from_arrays([pa.array(first[part].view(np.int64)), pa.array(second[part].view(np.int64)), pa.array(count[part])], names=["k1", "k2", "c"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, pair_counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    def pair_rows(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        k = np.flatnonzero(pairs)
+        n = pairs[k].astype(np.int64)
         lasts = np.zeros(256 << 9, np.int64)
+        np.add.at(lasts, k & (256 << 9) - 1, n)
+        last = np.flatnonzero(lasts)
+        numbers = np.concatenate([k, last + (1 << TREE_BITS + 9)]).astype(np.uint64)
+        return numbers, np.full(len(numbers), PAIR << 56, np.uint64), np.concatenate([n, lasts[last]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs: np.ndarray | None = None
         held: list[tuple] = []
-        texts_seen = 0
+        texts_seen = seen = 0
         for _, texts in in_groups(batches):
             for s, _ in symbols(texts, GROUP, hashes=False):
-                symbol = s.symbol[s.real]
-                lasts += np.bincount(s.last[s.real].astype(np.int64) << 9 | symbol, minlength=len(lasts))
-                k, n = np.unique((s.context[s.real] << 9 | symbol).view(np.uint32), return_counts=True)
-                pairs, inv = np.unique(np.concatenate([pairs, k]), return_inverse=True)
-                pair_counts = np.bincount(inv, weights=np.concatenate([pair_counts, n])).astype(np.int64)
+                pairs = np.zeros(1 << TREE_BITS + 9, np.uint32) if pairs is None else pairs
+                at = s.context[s.real].astype(np.int64)
+                at <<= 9
+                at |= s.symbol[s.real]
+                np.add.at(pairs, at, np.uint32(1))
+                seen += len(at)
+                if seen >= most:
+                    held.append(pair_rows(pairs))
+                    pairs[:] = seen = 0
             for _, parts, _ in token_parts(texts, GROUP):
                 first, second, _ = token_keys(parts)
                 held.append(tallied(first, second, np.ones(len(first), np.int64)))
@@ -412,9 +427,7 @@ def count_all(train: DataFrame) -> DataFrame:
                     held = []
             texts_seen += len(texts)
         if texts_seen:
-            k = np.flatnonzero(lasts)
-            numbers = np.concatenate([pairs.astype(np.uint64), (k + (1 << TREE_BITS + 9)).astype(np.uint64)])
-            held.append((numbers, np.full(len(numbers), PAIR << 56, np.uint64), np.concatenate([pair_counts, lasts[k]])))
+            held.append(pair_rows(pairs))
             held.append((np.zeros(1, np.uint64), np.full(1, LAST << 56, np.uint64), np.array([texts_seen])))
             yield from rows(*tallied(*(np.concatenate(c) for c in zip(*held, strict=True))))
 
@@ -513,6 +526,8 @@ SCALE = np.float32(16 / 65536)
 UNSEEN = 1 << 15
 #: Of four states in one number: the sureness of all but the first, what adds those up, and the gate of each sum.
 SURE, ADDED = np.uint64(0x0007_0007_0007_0000), np.uint64(0x0001_0001_0001)
+#: Makes signed numbers around zero of four states.
+MIDDLE = np.uint64(0x8000_8000_8000_8000)
 GATE = np.minimum(np.arange(22) // 3, GATES - 1).astype(np.uint16)
 
 
@@ -576,6 +591,7 @@ class Model:
             sure *= ADDED
             sure >>= np.uint64(48)
             note |= GATE.take(sure.view(np.int64))
+            packed_ ^= MIDDLE
             note |= bit.astype(np.uint16) << np.uint16(7)
             notes[used:end] = note
             used = end
@@ -631,12 +647,11 @@ class Model:
         for at in range(0, len(going), WINDOW):
             n, steps = going[at], min(WINDOW, len(going) - at)
             place = begin[:n] + at
-            late = np.flatnonzero(place > edge) if edge else np.arange(n)
-            x, note = (np.empty((n, WINDOW), r.dtype) for r in runs)
-            for out, run, tail in zip((x, note), runs, ends, strict=True):
-                if edge:
-                    out[:] = run[np.minimum(place, edge)]
-                out[late] = tail[place[late] - edge]
+            late = np.flatnonzero(place > edge)
+            x, note = (run[np.minimum(place, edge)] if edge else tail[place] for run, tail in zip(runs, ends, strict=True))
+            if edge and len(late):
+                for out, tail in zip((x, note), ends, strict=True):
+                    out[late] = tail[place[late] - edge]
             right = mixer.steps(x[:, :steps].T, note[:, :steps].T)
             if going[at + steps - 1] < n:
                 for t, m in enumerate(going[at : at + steps]):
@@ -668,9 +683,8 @@ class Lanes:
         f = np.float32
         n = states_.shape[1]
         x = np.empty((*states_.shape, 4), f)
-        x[:] = np.ascontiguousarray(states_).view(np.uint16).reshape(x.shape)
+        x[:] = np.ascontiguousarray(states_).view(np.int16).reshape(x.shape)
         x *= SCALE
-        x -= f(8)
         notes = np.ascontiguousarray(notes)
         bit = (notes >> np.uint16(7) & np.uint16(1)).astype(f)
         gates = (notes & np.uint16(127)) + self.number[:n] * GATES
@@ -678,7 +692,9 @@ class Lanes:
         np.add(notes >> np.uint16(8), self.number[:n] << LOCAL_BITS, out=cells_at[:, :n])
         # what comes of probability (mix, own counter, map) and bit: steps of weights and own counter, the map's new number
         rates = np.repeat(np.array([-RATE, OWN_RATE, f(1) - MAP_RATE], f), n)
-        moves = np.concatenate([bit * RATE, bit * -OWN_RATE, bit * MAP_RATE], axis=1)
+        moves = np.empty((len(notes), 3 * n), f)
+        for k, rate in enumerate((RATE, -OWN_RATE, MAP_RATE)):
+            np.multiply(bit, rate, out=moves[:, k * n : k * n + n])
         found = np.empty_like(bit)
         whole, own_weights, map_at = self.weights.view(np.complex128).ravel(), self.own_weights[:n], self.map_at[:n]
         minus, ones = np.full(4, -1, f), np.ones((1, 4), f)

@@ -1,5 +1,6 @@
 """Training-data operators against brute force, round trips and held-out accuracy, with odd inputs."""
 
+import pickle
 import re
 import subprocess
 import sys
@@ -505,6 +506,32 @@ def test_mixing_counts_are_exact(spark):
     assert np.isfinite(model.scores([b"a" * 1_200_000])[0]).all()
 
 
+def test_mixing_costs_and_company(spark, docs):
+    """A bit takes ten bytes, in room that stays; a score doesn't depend on the texts beside it; pairs handed on in parts add up."""
+    train = docs.limit(60).select("doc_id", "text")
+    model, _ = mixing.fit(train)
+    texts = [mixing.lowered(r["text"].encode()) for r in train.filter("text is not null").collect()] + [b"", b"a", b"the of and" * 900]
+    inputs, notes, per_text = model._inputs(texts)
+    assert inputs.itemsize + notes.itemsize == 10 and len(inputs) == len(notes) == per_text.sum()
+    room = model.room[0]
+    together = model.scores(texts)[0]
+    assert np.shares_memory(model.room[0], room) and not len(pickle.loads(pickle.dumps(model)).room[0])
+    for i, text in enumerate(texts):
+        alone = model.scores([text])[0][0]
+        assert abs(alone - together[i]) < 1e-4 * abs(alone) + 1e-5
+    want, got = ({(r["k1"], r["k2"]): r["c"] for r in mixing.count_all(train, most).collect()} for most in (1 << 31, 1000))
+    assert want == got
+    # pairs by the two bytes before a symbol, and by the last one, as counted by hand
+    pairs, by_hand = {k & 0xFFFFFFFF: c for (k, k2), c in got.items() if k2 >> 56 & 0xFF == mixing.PAIR}, {}
+    for r in train.collect():
+        data = b"\n\n" + mixing.lowered((r["text"] or "").encode())
+        for i in range(2, len(data) + 1):
+            symbol = data[i] if i < len(data) else mixing.END
+            for context in (data[i - 2] << 8 | data[i - 1], data[i - 1] + (1 << mixing.TREE_BITS)):
+                by_hand[context << 9 | symbol] = by_hand.get(context << 9 | symbol, 0) + 1
+    assert pairs == by_hand
+
+
 def test_urls_recurring_concatenated_hosts(spark):
     hosts = ["casinowin.com", "freebets.org", "casino-win.net", "win-free.net", "good-news.net", "better.com", "alphabet.com", "newsroom.com"]
     rows = [(i, f"https://{hosts[i % 8]}/page/{i}") for i in range(4000)] + [(9000, "https://freecasino.com/page/1")]
